@@ -73,6 +73,13 @@ _VERBS = {
 }
 
 
+def _relation_of(kind: str) -> Callable[[Column], Column]:
+    return lambda m: F.struct(
+        F.trim(m["source"]).alias("source_entity"), F.trim(m["target"]).alias("target_entity"),
+        F.lit(kind).alias("relation_type"), F.lit(vocab.RULE_CONFIDENCE).alias("confidence"),
+        m["evidence"].alias("evidence_text"))
+
+
 def relations(docs: DataFrame, id_col: str, content: str = "text") -> DataFrame:
     """Rule-based relations: one row per match of a pattern with two groups."""
     body = F.col(content)
@@ -83,11 +90,7 @@ def relations(docs: DataFrame, id_col: str, content: str = "text") -> DataFrame:
         rx = F.lit("(?i)" + pattern)
         got = F.arrays_zip(*[F.regexp_extract_all(body, rx, F.lit(g)).alias(n)
                              for g, n in ((1, "source"), (2, "target"), (0, "evidence"))])
-        hits = F.transform(got, lambda m, kind=kind: F.struct(
-            F.trim(m["source"]).alias("source_entity"), F.trim(m["target"]).alias("target_entity"),
-            F.lit(kind).alias("relation_type"), F.lit(vocab.RULE_CONFIDENCE).alias("confidence"),
-            m["evidence"].alias("evidence_text")))
-        found.append(F.when(body.rlike("(?i)" + _VERBS[kind]), hits))
+        found.append(F.when(body.rlike("(?i)" + _VERBS[kind]), F.transform(got, _relation_of(kind))))
     rows = docs.select(id_col, F.explode(F.flatten(F.filter(F.array(*found), lambda x: x.isNotNull()))).alias("r"))
     return rows.select(id_col, "r.*").where(F.col("confidence") > vocab.RELATION_CONFIDENCE_MIN)
 

@@ -17,30 +17,39 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidings.operators.ingest import union_all
+from tidings.session import materialize
 
 QUERY_BLOCK = 2048      # queries held by one task at a time
 DIGITS = 9              # ranking precision; equal within it means a tie by id
 
 
 def query_blocks(queries: DataFrame, vec: str) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Query vectors in blocks of bounded size.
+    """Query vectors in blocks of at most ``QUERY_BLOCK``.
 
-    The count is checked first; larger sets are split by id hash into more
-    blocks, each collected alone, so the driver holds one block at a time.
+    One bounded fetch serves the usual case.  A larger set is written to the
+    shared folder once and split by id hash into more blocks, each fetched
+    within the same bound, so no fetch grows with the query table.
     """
     q = queries.where(F.col(vec).isNotNull()).select("query_id", F.col(vec).alias("v"))
-    parts = -(-q.count() // (QUERY_BLOCK // 2)) or 1
+    rows = q.limit(QUERY_BLOCK + 1).collect()
+    if len(rows) <= QUERY_BLOCK:
+        return [_block(rows)] if rows else []
+    kept = materialize(q, "queries")
+    parts = -(-2 * kept.count() // QUERY_BLOCK)
     out = []
     for i in range(parts):
-        part = q if parts == 1 else q.where(F.pmod(F.xxhash64("query_id"), F.lit(parts)) == i)
-        rows = part.limit(QUERY_BLOCK * 2).collect()
-        if len(rows) >= QUERY_BLOCK * 2:
-            raise ValueError("query ids are not distinct enough to split into blocks")
+        rows = kept.where(F.pmod(F.xxhash64("query_id"), F.lit(parts)) == i).limit(QUERY_BLOCK + 1).collect()
+        if len(rows) > QUERY_BLOCK:
+            raise ValueError("query ids repeat too often to be split into blocks")
         if rows:
-            out.append((np.array([r[0] for r in rows]), _unit(np.array([r[1] for r in rows], dtype=float))))
+            out.append(_block(rows))
     return out
 
 
+def _block(rows) -> tuple[np.ndarray, np.ndarray]:
+    return np.array([r[0] for r in rows]), _unit(np.array([r[1] for r in rows], dtype=float))
+
+
 def _unit(m: np.ndarray) -> np.ndarray:
     n = np.sqrt((m * m).sum(axis=1, keepdims=True))
     return m / np.where(n == 0, 1.0, n)
