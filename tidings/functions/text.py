@@ -16,6 +16,16 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN_PATTERN), F.lit(0))
 
 
+def explode_tokens(toks: Column) -> Column:
+    """One row per token.
+
+    The outer form, because a plain ``explode`` makes the optimizer test the
+    array for emptiness first, which would tokenise every text again.  A text
+    without tokens gives one null row; joins and ``is not null`` drop it.
+    """
+    return F.explode_outer(toks)
+
+
 def collapse(text: Column) -> Column:
     """Whitespace runs to one space, trimmed; null stays null."""
     return F.trim(F.regexp_replace(text, WHITESPACE, " "))

@@ -88,10 +88,11 @@ def keyword_table(spark, lists=None) -> DataFrame:
     return spark.createDataFrame(rows, "tag string, keyword string")
 
 
-def word_tags(postings: DataFrame, keywords: DataFrame) -> DataFrame:
+def word_tags(docs: DataFrame, keywords: DataFrame) -> DataFrame:
     """(doc_num, tag) for single-word keywords: an equi-join on the word."""
     single = keywords.where(~F.col("keyword").contains(" ")).select(F.col("keyword").alias("term"), "tag")
-    return postings.join(single, "term").select("doc_num", "tag").distinct()
+    words = docs.select("doc_num", text.explode_tokens(F.array_distinct("tokens")).alias("term"))
+    return words.join(single, "term").select("doc_num", "tag").distinct()
 
 
 def phrase_tags(articles: DataFrame, lists=None) -> DataFrame:
@@ -105,7 +106,8 @@ def phrase_tags(articles: DataFrame, lists=None) -> DataFrame:
     norm = {tag: [" " + " ".join(_words(k)) + " " for k in words] for tag, words in lists.items()}
     hits = [F.when(reduce(or_, [F.col("line").contains(k) for k in words]), F.lit(tag)) for tag, words in norm.items()]
     return (articles.select("doc_num", line.alias("line"))
-            .select("doc_num", F.explode(F.filter(F.array(*hits), lambda x: x.isNotNull())).alias("tag")))
+            .select("doc_num", F.explode_outer(F.filter(F.array(*hits), lambda x: x.isNotNull())).alias("tag"))
+            .where(F.col("tag").isNotNull()))
 
 
 def _words(phrase: str) -> list[str]:

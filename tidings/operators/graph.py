@@ -100,9 +100,11 @@ def require_unique(df: DataFrame, *keys: str) -> DataFrame:
 # --- adjacency ---------------------------------------------------------------------
 
 def undirected(edges: DataFrame) -> DataFrame:
-    """Distinct (a, b) in both directions, without loops."""
-    pairs = edges.select(F.col("src").alias("a"), F.col("dst").alias("b"))
-    return pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct()
+    """Distinct (a, b) in both directions, without loops; one shuffle of the
+    unordered pairs, which are then written out both ways."""
+    pairs = edges.where("src <> dst").select(F.least("src", "dst").alias("x"), F.greatest("src", "dst").alias("y")).distinct()
+    return pairs.select(F.inline(F.array(F.struct(F.col("x").alias("a"), F.col("y").alias("b")),
+                                         F.struct(F.col("y").alias("a"), F.col("x").alias("b")))))
 
 
 def degree(edges: DataFrame) -> DataFrame:
@@ -191,27 +193,38 @@ def neighbourhood(edges: DataFrame, seeds: DataFrame, hops: int = 2) -> DataFram
 def shortest_paths(edges: DataFrame, pairs: DataFrame, max_depth: int = 4) -> DataFrame:
     """Shortest path text per (src, dst) pair, up to ``max_depth`` edges.
 
-    Breadth first from each source; every reached node keeps one path, the
-    smallest by text, and settled nodes are not expanded again.
+    Breadth first from each source.  At every depth the frontier first meets
+    the neighbours of the targets, a small table; only sources with a target
+    still open expand further.  Each reached node keeps one path, the
+    smallest by text, and is expanded once.
     """
     adj = materialize(undirected(edges), "pairs")
-    state = pairs.select(F.col("src").alias("seed"), F.col("src").alias("id"), F.lit(0).alias("depth"), F.col("src").alias("path")).distinct()
-    frontier = state
+    pairs = materialize(pairs.select("src", "dst").distinct(), "wanted")
+    doors = materialize(pairs.join(adj.withColumnRenamed("a", "dst"), "dst").select("src", "dst", F.col("b").alias("id")), "doors")
+    frontier = pairs.select("src", F.col("src").alias("id"), F.col("src").alias("path")).distinct()
+    seen = frontier.select("src", "id")
+    found = materialize(pairs.where("src = dst").select("src", "dst", F.lit(0).alias("depth"), F.col("src").alias("path")), "found")
     for d in range(1, max_depth + 1):
-        step = (frontier.select("seed", F.col("id").alias("a"), "path").join(adj, "a")
-                .groupBy("seed", F.col("b").alias("id")).agg(F.min(F.concat_ws(">", "path", "b")).alias("path")))
-        frontier = materialize(step.join(state, ["seed", "id"], "left_anti").select("seed", "id", F.lit(d).alias("depth"), "path"), "frontier")
-        state = state.unionByName(frontier)
-    return (pairs.join(state.select(F.col("seed").alias("src"), F.col("id").alias("dst"), "depth", "path"), ["src", "dst"], "left"))
+        hit = (doors.join(frontier, ["src", "id"]).join(found, ["src", "dst"], "left_anti").groupBy("src", "dst")
+               .agg(F.lit(d).alias("depth"), F.min(F.concat_ws(">", "path", "dst")).alias("path")))
+        found = found.unionByName(materialize(hit, "found"))
+        if d == max_depth:
+            break
+        open_src = pairs.join(found, ["src", "dst"], "left_anti").select("src").distinct()
+        step = (frontier.join(open_src, "src", "left_semi").withColumnRenamed("id", "a").join(adj, "a")
+                .groupBy("src", F.col("b").alias("id")).agg(F.min(F.concat_ws(">", "path", "b")).alias("path"))
+                .join(seen, ["src", "id"], "left_anti"))
+        frontier = materialize(step, "frontier")
+        seen = seen.unionByName(frontier.select("src", "id"))
+    return pairs.join(found, ["src", "dst"], "left")
 
 
 # --- lookups and measures -------------------------------------------------------------
 
 def partners(edges: DataFrame, members: DataFrame, kind: str) -> DataFrame:
     """Distinct (id, partner) over relations of one type, either direction."""
-    of_kind = edges.where(F.col("type") == kind)
-    both = of_kind.select(F.col("src").alias("id"), F.col("dst").alias("partner")).unionByName(
-        of_kind.select(F.col("dst").alias("id"), F.col("src").alias("partner")))
+    both = edges.where(F.col("type") == kind).select("src", "dst").distinct().select(F.inline(F.array(
+        F.struct(F.col("src").alias("id"), F.col("dst").alias("partner")), F.struct(F.col("dst").alias("id"), F.col("src").alias("partner")))))
     return both.distinct().join(members.select("id"), "id", "left_semi")
 
 
@@ -319,8 +332,8 @@ def resolve_entities(names: DataFrame, aliases: DataFrame) -> DataFrame:
     """
     exact = names.join(aliases, names["name"] == aliases["alias"]).select("name", "alias", "entity_id", F.lit(0).alias("distance"))
     rest = names.join(aliases.select(F.col("alias").alias("name")), "name", "left_anti")
-    left = rest.select("name", F.explode(_deletions(F.col("name"))).alias("form"))
-    right = aliases.select("alias", "entity_id", F.explode(_deletions(F.col("alias"))).alias("form"))
+    left = rest.select("name", F.explode_outer(_deletions(F.col("name"))).alias("form"))
+    right = aliases.select("alias", "entity_id", F.explode_outer(_deletions(F.col("alias"))).alias("form"))
     near = (left.join(right, "form")
             .where((F.substring("name", 1, 1) == F.substring("alias", 1, 1)) & (F.levenshtein("name", "alias") <= 2))
             .select("name", "alias", "entity_id", F.levenshtein("name", "alias").alias("distance")))

@@ -18,7 +18,7 @@ from tidings.operators.ingest import union_all
 TYPE_BY_LENGTH = ("Company", "Technology", "Agency", "Organization")
 
 
-def derive_gazetteer(postings: DataFrame, n_docs: Column, low: float = 0.005, high: float = 0.05) -> DataFrame:
+def derive_gazetteer(frequencies: DataFrame, n_docs: Column, low: float = 0.005, high: float = 0.05) -> DataFrame:
     """Alias table from the corpus: long plain words of middling frequency.
 
     Its size is bounded whatever the corpus: at most (average distinct words
@@ -26,20 +26,23 @@ def derive_gazetteer(postings: DataFrame, n_docs: Column, low: float = 0.005, hi
     """
     alias = F.col("term")
     kind = F.element_at(F.array(*[F.lit(t) for t in TYPE_BY_LENGTH]), F.length(alias) % 4 + 1)
-    df = postings.where(alias.rlike("^[a-z]{8,}$")).groupBy("term").agg(F.count("*").alias("df"))
-    return (df.where((F.col("df") >= n_docs * low) & (F.col("df") <= n_docs * high))
+    return (frequencies.where(alias.rlike("^[a-z]{8,}$") & (F.col("df") >= n_docs * low) & (F.col("df") <= n_docs * high))
             .select(alias.alias("alias"), F.md5(F.concat_ws("|", alias, kind)).alias("entity_id"), kind.alias("type")))
 
 
-def mentions(postings: DataFrame, gazetteer: DataFrame) -> DataFrame:
-    """(doc_num, entity_id, alias, type, tf): one row per document and entity."""
-    return (postings.withColumnRenamed("term", "alias").join(gazetteer, "alias")
-            .select("doc_num", "entity_id", "alias", "type", "tf"))
+def mentions(docs: DataFrame, gazetteer: DataFrame) -> DataFrame:
+    """(doc_num, entity_id, alias, type, tf): one row per document and entity.
+
+    Tokens meet the alias table before they are grouped, so only mentions are
+    shuffled.
+    """
+    return (docs.select("doc_num", text.explode_tokens(F.col("tokens")).alias("alias")).join(gazetteer, "alias")
+            .groupBy("doc_num", "entity_id", "alias", "type").agg(F.count("*").alias("tf")))
 
 
-def mention_positions(articles: DataFrame, gazetteer: DataFrame) -> DataFrame:
+def mention_positions(docs: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Every occurrence with its token position, from 0."""
-    return (articles.select("doc_num", F.posexplode(text.tokens(F.col("content"))).alias("pos", "alias"))
+    return (docs.select("doc_num", F.posexplode_outer("tokens").alias("pos", "alias"))
             .join(gazetteer, "alias"))
 
 
@@ -65,34 +68,38 @@ def run_extractor(docs: DataFrame, extract: Callable, schema: str) -> DataFrame:
 
 # --- relations ---------------------------------------------------------------
 
-# A pattern can only match where one of its verbs occurs: cheap test first.
-_VERBS = {
+# Necessary part of every pattern of a type: a cheap test before the full one.
+_STEMS = {
     "AWARDED_CONTRACT": "contract", "FUNDING_RELATIONSHIP": "DARPA|SBIR|DoD|Navy|Air Force|Army",
     "PARTNERSHIP": "partner|collaborate|team", "ACQUISITION": "acquire|purchase|buy|bought",
-    "TECHNOLOGY_DEVELOPMENT": "system|technology|platform|solution",
+    "TECHNOLOGY_DEVELOPMENT": "develop|creat|build|specialize|focus",
 }
 
 
-def _relation_of(kind: str) -> Callable[[Column], Column]:
+def _relation_of(kind: str, rx: str) -> Callable[[Column], Column]:
     return lambda m: F.struct(
-        F.trim(m["source"]).alias("source_entity"), F.trim(m["target"]).alias("target_entity"),
-        F.lit(kind).alias("relation_type"), F.lit(vocab.RULE_CONFIDENCE).alias("confidence"),
-        m["evidence"].alias("evidence_text"))
+        F.trim(F.regexp_extract(m, rx, 1)).alias("source_entity"), F.trim(F.regexp_extract(m, rx, 2)).alias("target_entity"),
+        F.lit(kind).alias("relation_type"), F.lit(vocab.RULE_CONFIDENCE).alias("confidence"), m.alias("evidence_text"))
 
 
 def relations(docs: DataFrame, id_col: str, content: str = "text") -> DataFrame:
-    """Rule-based relations: one row per match of a pattern with two groups."""
+    """Rule-based relations: one row per match of a pattern with two groups.
+
+    The text is searched once per pattern for whole matches; the groups are
+    read from each match, which re-matches to the same groups because the
+    patterns look at nothing outside it.
+    """
     body = F.col(content)
     found = []
     for kind, pattern in vocab.RELATION_PATTERNS:
         if pattern.count("(") - pattern.count("(?:") < 2:
             continue
-        rx = F.lit("(?i)" + pattern)
-        got = F.arrays_zip(*[F.regexp_extract_all(body, rx, F.lit(g)).alias(n)
-                             for g, n in ((1, "source"), (2, "target"), (0, "evidence"))])
-        found.append(F.when(body.rlike("(?i)" + _VERBS[kind]), F.transform(got, _relation_of(kind))))
-    rows = docs.select(id_col, F.explode(F.flatten(F.filter(F.array(*found), lambda x: x.isNotNull()))).alias("r"))
-    return rows.select(id_col, "r.*").where(F.col("confidence") > vocab.RELATION_CONFIDENCE_MIN)
+        rx = "(?i)" + pattern
+        hits = F.transform(F.regexp_extract_all(body, F.lit(rx), F.lit(0)), _relation_of(kind, rx))
+        found.append(F.when(body.rlike("(?i)" + _STEMS[kind]), hits))
+    # outer form: a plain explode would run every pattern again to test for emptiness
+    rows = docs.select(id_col, F.explode_outer(F.flatten(F.filter(F.array(*found), lambda x: x.isNotNull()))).alias("r"))
+    return rows.where(F.col("r").isNotNull()).select(id_col, "r.*").where(F.col("confidence") > vocab.RELATION_CONFIDENCE_MIN)
 
 
 def allowed_relations(rel: DataFrame, column: str = "type", strict: bool = True) -> DataFrame:
@@ -133,7 +140,7 @@ def pronoun_clusters(docs: DataFrame, id_col: str, content: str = "text") -> Dat
     Offsets come from a running length over the word and gap pieces of one
     row; the window is per document, so it is bounded by the document.
     """
-    pieces = docs.select(id_col, F.posexplode(F.regexp_extract_all(
+    pieces = docs.select(id_col, F.posexplode_outer(F.regexp_extract_all(
         F.col(content), F.lit(r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+"), F.lit(0))).alias("pos", "piece"))
     w = Window.partitionBy(id_col).orderBy("pos")
     size = F.length("piece")

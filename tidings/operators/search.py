@@ -17,22 +17,25 @@ from tidings import vocab
 from tidings.functions import text
 from tidings.operators.ingest import union_all
 from tidings.operators.vector import DIGITS, exact_topk, rank_hits
+from tidings.session import within
 
-EMPTY = "query_id bigint, doc_num bigint, score double, rank int"
+BROADCAST_TERMS = 200_000   # query-term rows broadcast at most: some 20 MB
 
 
 def tokenised(articles: DataFrame, id_col: str = "doc_num", content: str = "content") -> DataFrame:
     return articles.select(F.col(id_col), text.tokens(F.col(content)).alias("tokens"))
 
 
-def postings(docs: DataFrame, id_col: str = "doc_num") -> DataFrame:
-    """(document, term, tf) from token lists; repeats combine inside the task."""
-    return docs.select(id_col, F.explode("tokens").alias("term")).groupBy(id_col, "term").agg(F.count("*").alias("tf"))
+def document_frequencies(docs: DataFrame) -> DataFrame:
+    """(term, df): distinct terms per row, then map-side-combined counts."""
+    return (docs.select(text.explode_tokens(F.array_distinct("tokens")).alias("term"))
+            .where(F.col("term").isNotNull()).groupBy("term").agg(F.count("*").alias("df")))
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
     """Distinct terms of each query."""
-    return (queries.select("query_id", F.explode(F.array_distinct(text.tokens(F.col("query_text")))).alias("term")))
+    return (queries.select("query_id", text.explode_tokens(F.array_distinct(text.tokens(F.col("query_text")))).alias("term"))
+            .where(F.col("term").isNotNull()))
 
 
 def bm25_scores(docs: DataFrame, queries: DataFrame, id_col: str = "doc_num") -> DataFrame:
@@ -40,25 +43,26 @@ def bm25_scores(docs: DataFrame, queries: DataFrame, id_col: str = "doc_num") ->
 
     ``docs`` holds ``id_col`` and ``tokens``.  Tokens outside the query
     vocabulary are dropped before anything is shuffled; the rest is shuffled
-    once by document, which serves both the term counts and the score sums.
-    Term statistics shrink to one row per query term and join back by value,
-    so Spark picks broadcast or shuffle by their measured size.
+    once by document, which serves the term counts and the score sums alike.
+    The query terms are counted first: up to ``BROADCAST_TERMS`` rows they are
+    broadcast, so a stop word in most documents never meets a shuffle by term;
+    beyond that the joins shuffle and adaptive execution splits hot terms.
     """
     terms = query_terms(queries)
-    vocabulary = terms.select("term").distinct()
+    small = F.broadcast if within(terms, BROADCAST_TERMS) else (lambda df: df)
     n_docs = docs.agg(F.count("*").cast("double")).scalar()
     avgdl = docs.agg(F.avg(F.size("tokens"))).scalar()
 
-    hits = (docs.select(id_col, F.size("tokens").cast("double").alias("dl"), F.explode("tokens").alias("term"))
-            .join(vocabulary, "term").repartition(id_col)
+    hits = (docs.select(id_col, F.size("tokens").cast("double").alias("dl"), text.explode_tokens(F.col("tokens")).alias("term"))
+            .join(small(terms.select("term").distinct()), "term").repartition(id_col)
             .groupBy(id_col, "dl", "term").agg(F.count("*").cast("double").alias("tf")))
     df = hits.groupBy("term").agg(F.count("*").cast("double").alias("df"))
     # one row per query term, carrying its idf
-    weights = terms.join(df, "term").select(
+    weights = terms.join(small(df), "term").select(
         "query_id", "term", F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
     tf, k1, b = F.col("tf"), vocab.BM25_K1, vocab.BM25_B
     gain = F.col("idf") * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("dl") / avgdl))
-    return (hits.join(weights, "term").groupBy("query_id", id_col)
+    return (hits.join(small(weights), "term").groupBy("query_id", id_col)
             .agg(F.round(F.sum(gain), DIGITS).alias("score")))
 
 
@@ -161,7 +165,7 @@ def chunked(articles: DataFrame, size: int = 300) -> DataFrame:
     """Token windows of ``size`` with their number, from 0; all tokens kept."""
     toks = articles.select("doc_num", text.tokens(F.col("content")).alias("all_tokens"))
     starts = F.sequence(F.lit(0), F.greatest(F.size("all_tokens") - 1, F.lit(0)), F.lit(size))
-    return (toks.select("doc_num", "all_tokens", F.posexplode(starts).alias("chunk_no", "start"))
+    return (toks.select("doc_num", "all_tokens", F.posexplode_outer(starts).alias("chunk_no", "start"))
             .select("doc_num", "chunk_no", F.slice("all_tokens", F.col("start") + 1, size).alias("tokens")))
 
 

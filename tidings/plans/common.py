@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidings.operators import nlp, search
+from tidings.session import materialize
 from tidings.sources import tables
 
 
@@ -26,11 +27,21 @@ def text_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def found(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(gazetteer, mentions) of the whole corpus."""
-    post = search.postings(tokenised(spark, sf_dir))
+    """(gazetteer, mentions) of the whole corpus.
+
+    The alias table is written once: the queries join it several times.  Its
+    size is bounded by the words of an average document over the lowest
+    frequency share, never by the corpus, so it may be broadcast.
+    """
+    docs = tokenised(spark, sf_dir)
     n_docs = tables.table(spark, sf_dir, "documents").agg(F.count("*")).scalar()
-    gaz = nlp.derive_gazetteer(post, n_docs)
-    return gaz, nlp.mentions(post, gaz)
+    gaz = F.broadcast(materialize(nlp.derive_gazetteer(search.document_frequencies(docs), n_docs), "gazetteer"))
+    return gaz, nlp.mentions(docs, gaz)
+
+
+def relations(spark: SparkSession, sf_dir: str, gaz: DataFrame) -> DataFrame:
+    """Typed relations between entities that follow each other in a text."""
+    return nlp.adjacent_relations(nlp.mention_positions(tokenised(spark, sf_dir), gaz))
 
 
 def iso(column: str, name: str | None = None):

@@ -11,6 +11,7 @@ from tidings.plans import common
 from tidings.plans.nlp import OCCURRENCES
 from tidings.plans.search import _HYBRID, _ranked
 from tidings.plans.sql import ARTICLES, EDGES, GAZETTEER, TOKENS, with_
+from tidings.session import materialize
 from tidings.sources import tables
 
 _T = tables.table
@@ -80,7 +81,7 @@ def graph_relations_upsert(spark, sf):
 
 def graph_update_stats(spark, sf):
     gaz, found = common.found(spark, sf)
-    occ = nlp.mention_positions(common.text_articles(spark, sf), gaz)
+    occ = nlp.mention_positions(common.tokenised(spark, sf), gaz)
     nodes = found.join(tables.doc_vectors(spark, sf), "doc_num", "left").select(F.col("alias").alias("id"), "embedding")
     return graph.update_statistics(nodes, nlp.adjacent_relations(occ))
 
@@ -145,7 +146,7 @@ def relation_strength(spark, sf):
 
 def team_views(spark, sf):
     gaz, _ = common.found(spark, sf)
-    adj = nlp.adjacent_relations(nlp.mention_positions(common.text_articles(spark, sf), gaz))
+    adj = common.relations(spark, sf, gaz)
     all_edges = adj.select("type").unionByName(tables.edges(spark, sf).select("type")).groupBy("type").agg(F.count("*").alias("n"))
     views = [graph.team_view(all_edges, t).groupBy(F.lit(t).alias("team"), "type").agg(F.sum("n").alias("n")) for t in vocab.TEAM_RELATIONS]
     return views[0].unionByName(views[1]).unionByName(views[2])
@@ -153,16 +154,17 @@ def team_views(spark, sf):
 
 def enriched_search_doc(spark, sf):
     gaz, found = common.found(spark, sf)
-    adj = nlp.adjacent_relations(nlp.mention_positions(common.text_articles(spark, sf), gaz))
-    return graph.document_network(found, adj.select("src", "dst", "type"))
+    adj = common.relations(spark, sf, gaz)
+    # both tables feed several joins: extracted once, read from the shared folder after
+    return graph.document_network(materialize(found, "mentions"), materialize(adj.select("src", "dst", "type"), "relations"))
 
 
 def entity_resolution(spark, sf):
     """Every long word of the corpus against the alias table, with the number
     of documents that support it."""
     gaz, _ = common.found(spark, sf)
-    post = search.postings(common.tokenised(spark, sf))
-    names = post.where(F.col("term").rlike("^[a-z]{8,}$")).groupBy(F.col("term").alias("name")).agg(F.count("*").alias("docs"))
+    freq = search.document_frequencies(common.tokenised(spark, sf)).where(F.col("term").rlike("^[a-z]{8,}$"))
+    names = materialize(freq.select(F.col("term").alias("name"), F.col("df").alias("docs")), "names")
     return graph.resolve_entities(names.select("name"), gaz).join(names, "name").select("name", "alias", "entity_id", "distance", "docs")
 
 

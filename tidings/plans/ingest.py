@@ -142,12 +142,12 @@ def relevance_mart(spark, sf):
 
 def sector_tags(spark, sf):
     from tidings.operators import search
-    post = search.postings(common.tokenised(spark, sf))
+    docs = common.tokenised(spark, sf)
     # keyword lists with hits in this corpus: its 40 most frequent words, dealt into five lists
-    frequent = (post.groupBy("term").agg(F.count("*").alias("df")).orderBy(F.desc("df"), "term").limit(40)
+    frequent = (search.document_frequencies(docs).orderBy(F.desc("df"), "term").limit(40)
                 .select(F.col("term").alias("keyword"),
                         F.concat(F.lit("list_"), (F.length("term") % 5).cast("string")).alias("tag")))
-    hits = clean.word_tags(post, frequent.unionByName(clean.keyword_table(spark))).unionByName(
+    hits = clean.word_tags(docs, frequent.unionByName(clean.keyword_table(spark))).unionByName(
         clean.phrase_tags(common.text_articles(spark, sf))).distinct()
     per_doc = hits.groupBy("doc_num").agg(text.joined(F.collect_list("tag")).alias("tags"))
     return per_doc.groupBy("tags").agg(F.count("*").alias("docs"))

@@ -120,7 +120,7 @@ def sinks_roundtrip(spark, sf):
     log = ingest.run_log(topics(spark), a.groupBy("topic_key").agg(F.count("*").alias("items")))
     files.combine_successful(spark, log, p["articles"], p["combined"])
     gaz, found = common.found(spark, sf)
-    adj = nlp.adjacent_relations(nlp.mention_positions(common.text_articles(spark, sf), gaz))
+    adj = common.relations(spark, sf, gaz)
     enriched = materialize(nlp.enrich(a, found, adj), "enriched")
     files.vector_objects(enriched).write.parquet(p["objects"])
     files.write_enriched(enriched, p["enriched"])

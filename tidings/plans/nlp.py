@@ -29,7 +29,7 @@ def entities_by_type(spark, sf):
 
 def _occurrences(spark, sf):
     gaz, found = common.found(spark, sf)
-    return nlp.mention_positions(common.text_articles(spark, sf), gaz), found
+    return nlp.mention_positions(common.tokenised(spark, sf), gaz), found
 
 
 def graph_extract(spark, sf):
@@ -60,7 +60,7 @@ def briefs(spark, sf):
     """One sentence per order line, worded from its parties, beside every document."""
     def name(c):
         return F.replace(c, F.lit("#"), F.lit(" "))
-    li = tables.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    li = tables.spread(tables.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), "l_orderkey")
     o = tables.table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("c_custkey"))
     c = tables.table(spark, sf, "customer").select("c_custkey", name("c_name").alias("c"))
     s = tables.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), name("s_name").alias("s"))
@@ -76,7 +76,8 @@ def briefs(spark, sf):
                 .otherwise(F.concat("s", F.lit(" met "), "c")))
     lines = rows.select(F.concat_ws(":", F.lit("line"), "l_orderkey", "l_linenumber").alias("id"),
                         F.concat(sentence, F.lit(". The "), "p", F.lit(" shipped.")).alias("text"))
-    docs = tables.table(spark, sf, "documents").select(F.concat_ws(":", F.lit("doc"), "doc_id").alias("id"), "text")
+    docs = tables.spread(tables.table(spark, sf, "documents").select("doc_id", "text"), "doc_id").select(
+        F.concat_ws(":", F.lit("doc"), "doc_id").alias("id"), "text")
     return lines.unionByName(docs)
 
 
@@ -95,7 +96,7 @@ def coref_rewrite(spark, sf):
 
 def consolidate_nlp(spark, sf):
     _, found = common.found(spark, sf)
-    docs = tables.table(spark, sf, "documents").select(F.col("doc_id").alias("doc_num"), F.col("text"))
+    docs = tables.spread(tables.table(spark, sf, "documents").select(F.col("doc_id").alias("doc_num"), F.col("text")), "doc_num")
     ents = found.groupBy("doc_num").agg(F.array_sort(F.collect_list("alias")).alias("entities"))
     coref = nlp.pronoun_clusters(docs, "doc_num").select("doc_num", F.col("clusters").alias("coreferences"))
     rel = nlp.relations(docs, "doc_num").groupBy("doc_num").agg(F.collect_list(F.struct("source_entity", "target_entity", "relation_type")).alias("relations"))

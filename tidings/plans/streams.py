@@ -53,7 +53,7 @@ def stream_catchup(spark, sf):
 def stream_graph(spark, sf):
     """Enriched files to graph deltas, merged on reading."""
     gaz, found = common.found(spark, sf)
-    adj = nlp.adjacent_relations(nlp.mention_positions(common.text_articles(spark, sf), gaz))
+    adj = common.relations(spark, sf, gaz)
     src, root, chk = scratch(spark, "enriched"), scratch(spark, "graph"), scratch(spark, "chk")
     files.write_enriched(nlp.enrich(tables.articles(spark, sf), found, adj), src)
     stream = configure(spark).readStream.schema(schemas.ENRICHED).json(src)

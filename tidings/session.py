@@ -39,6 +39,11 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/tidings/{name}-{uuid.uuid4().hex}"
 
 
+def within(df: DataFrame, rows: int) -> bool:
+    """Whether ``df`` has at most ``rows`` rows; reads no more than one beyond."""
+    return df.limit(rows + 1).count() <= rows
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
