@@ -61,7 +61,8 @@ def run_extractor(docs: DataFrame, extract: Callable, schema: str) -> DataFrame:
                 res = extract(pdf).assign(error=None)
             except Exception as e:  # the batch is skipped, not the job
                 res = pd.DataFrame({"doc_num": pdf["doc_num"]}).assign(error=f"{type(e).__name__}: {e}")
-            yield res.reindex(columns=out.names)
+            res = res.reindex(columns=out.names).astype(object)
+            yield res.where(res.notna(), None)
 
     return docs.mapInPandas(run, out)
 

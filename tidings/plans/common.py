@@ -6,13 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidings.operators import nlp, search
-from tidings.session import materialize
+from tidings.session import materialize, within
 from tidings.sources import tables
 
-
-def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Articles, spread over all cores when the scan is small."""
-    return tables.articles(spark, sf_dir)
+BROADCAST_ALIASES = 500_000   # alias rows broadcast at most: some 50 MB
 
 
 def tokenised(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,11 +28,13 @@ def found(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
     The alias table is written once: the queries join it several times.  Its
     size is bounded by the words of an average document over the lowest
-    frequency share, never by the corpus, so it may be broadcast.
+    frequency share, never by the corpus; it is broadcast after a check.
     """
     docs = tokenised(spark, sf_dir)
     n_docs = tables.table(spark, sf_dir, "documents").agg(F.count("*")).scalar()
-    gaz = F.broadcast(materialize(nlp.derive_gazetteer(search.document_frequencies(docs), n_docs), "gazetteer"))
+    gaz = materialize(nlp.derive_gazetteer(search.document_frequencies(docs), n_docs), "gazetteer")
+    if within(gaz, BROADCAST_ALIASES):
+        gaz = F.broadcast(gaz)
     return gaz, nlp.mentions(docs, gaz)
 
 
