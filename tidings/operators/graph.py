@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from tidings import vocab
 from tidings.functions import text
 from tidings.operators.ingest import union_all
-from tidings.session import materialize
+from tidings.session import materialize, within
 
-HUB_EDGES = 100_000   # adjacency rows of one node handled by one task
+HUB_EDGES = 100_000        # adjacency rows of one node handled by one task
+BROADCAST_NODES = 500_000  # node rows broadcast at most: some 30 MB
 
 
 # --- merges --------------------------------------------------------------------
@@ -113,27 +114,32 @@ def degree(edges: DataFrame) -> DataFrame:
     return ends.groupBy("id").agg(F.count("*").alias("degree"))
 
 
-def split_adjacency(edges: DataFrame, name: str) -> DataFrame:
-    """Undirected adjacency for iterative jobs: a, b, deg, salt, salts.
+def split_adjacency(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Adjacency (a, b, salt) and nodes (id, deg, salts) for iterative jobs.
 
     A hub's rows are dealt over ``salts`` slices of at most ``HUB_EDGES``, so
-    no task of an iteration ever holds more than one slice of one node.
-    Written once; every round reads it from the shared folder.
+    no task of an iteration holds more than one slice of one node.  Only hubs
+    are looked up, by broadcast while they are few; the adjacency is never
+    shuffled by its skewed key.  Both tables live in the shared folder.
     """
-    adj = materialize(undirected(edges), "pairs")
-    deg = adj.groupBy("a").agg(F.count("*").alias("deg"))
-    salts = F.ceil(F.col("deg") / HUB_EDGES).cast("int")
-    return materialize(adj.join(deg, "a").select(
-        "a", "b", "deg", salts.alias("salts"), F.pmod(F.xxhash64("b"), salts).cast("int").alias("salt")), "adjacency")
+    pairs = materialize(undirected(edges), "pairs")
+    deg = pairs.groupBy("a").agg(F.count("*").alias("deg"))
+    nodes = materialize(deg.select(F.col("a").alias("id"), "deg", F.ceil(F.col("deg") / HUB_EDGES).cast("int").alias("salts")), "nodes")
+    hubs = nodes.where("salts > 1").select(F.col("id").alias("a"), "salts")
+    if within(hubs, 0):
+        return pairs.withColumn("salt", F.lit(0)), nodes
+    slot = F.coalesce(F.pmod(F.xxhash64("b"), F.col("salts")), F.lit(0)).cast("int")
+    return materialize(pairs.join(_small(hubs), "a", "left").select("a", "b", slot.alias("salt")), "adjacency"), nodes
 
 
-def _sliced(values: DataFrame) -> DataFrame:
-    """Node values repeated for each slice of their node."""
-    return values.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+def _small(df: DataFrame) -> DataFrame:
+    """Broadcast a table of checked size; a larger one joins by shuffle."""
+    return F.broadcast(df) if within(df, BROADCAST_NODES) else df
 
 
-def nodes_of(adj: DataFrame) -> DataFrame:
-    return adj.groupBy(F.col("a").alias("id")).agg(F.max("deg").alias("deg"), F.max("salts").alias("salts"))
+def _sliced(values: DataFrame) -> DataFrame:
+    """Node values repeated for each slice of their node."""
+    return values.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
 
 
 def pagerank(edges: DataFrame, rounds: int = 5, damping: float = 0.85) -> DataFrame:
@@ -142,13 +148,12 @@ def pagerank(edges: DataFrame, rounds: int = 5, damping: float = 0.85) -> DataFr
     Each round shuffles the node table and partially summed contributions and
     writes the ranks, which cuts lineage; the edges are only read.
     """
-    adj = split_adjacency(edges, "pagerank")
-    nodes = materialize(nodes_of(adj), "nodes")
+    adj, nodes = split_adjacency(edges)
     n = float(nodes.count())
     ranks = nodes.withColumn("rank", F.lit(1.0 / n))
     for _ in range(rounds):
-        flow = (adj.join(_sliced(ranks.select(F.col("id").alias("a"), "salts", (F.col("rank") / F.col("deg")).alias("share"))).drop("salts"), ["a", "salt"])
-                .groupBy(F.col("b").alias("id")).agg(F.sum("share").alias("inflow")))
+        share = ranks.select(F.col("id").alias("a"), "salts", (F.col("rank") / F.col("deg")).alias("share"))
+        flow = adj.join(_sliced(share), ["a", "salt"]).groupBy(F.col("b").alias("id")).agg(F.sum("share").alias("inflow"))
         ranks = materialize(nodes.join(flow, "id").select(
             "id", "deg", "salts", (F.lit((1 - damping) / n) + damping * F.col("inflow")).alias("rank")), "ranks")
     return ranks.select("id", "deg", "rank")
@@ -159,21 +164,21 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
 
     Labels spread to neighbours and then jump to the label of their label, so
     the rounds needed grow with the logarithm of the diameter.  Stops when no
-    label changed.
+    label changed.  A label becomes hot only as labels become few; the jump
+    table has one row per label in use and is then small enough to broadcast.
     """
-    adj = split_adjacency(edges, "components")
-    nodes = nodes_of(adj)
-    labels = materialize(nodes.select("id", "salts", F.col("id").alias("label")), "labels")
+    adj, nodes = split_adjacency(edges)
+    labels = nodes.select("id", "salts", F.col("id").alias("label"))
     for _ in range(max_rounds):
-        best = (adj.join(_sliced(labels.withColumnRenamed("id", "a")).drop("salts"), ["a", "salt"])
+        near = (adj.join(_sliced(labels.withColumnRenamed("id", "a")), ["a", "salt"])
                 .groupBy(F.col("b").alias("id")).agg(F.min("label").alias("near")))
-        spread = materialize(labels.join(best, "id").select(
-            "id", "salts", "label", F.least("label", "near").alias("next")), "spread")
-        parent = spread.select(F.col("id").alias("next"), F.col("next").alias("up"))
-        moved = materialize(spread.join(parent, "next").select(
+        spread = materialize(labels.join(near, "id").select("id", "salts", "label", F.least("label", "near").alias("next")), "spread")
+        jumps = materialize(spread.select("next").distinct().join(
+            spread.select(F.col("id").alias("next"), F.col("next").alias("up")), "next"), "jumps")
+        moved = materialize(spread.join(_small(jumps), "next").select(
             "id", "salts", F.least("next", "up").alias("new"), (F.least("next", "up") != F.col("label")).alias("moved")), "labels")
         labels = moved.select("id", "salts", F.col("new").alias("label"))
-        if not moved.where("moved").limit(1).count():
+        if within(moved.where("moved"), 0):
             return labels.select("id", "label")
     raise RuntimeError("components did not settle")
 

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from tidings import vocab
 from tidings.functions import ids, text
-from tidings.operators import clean, ingest
+from tidings.operators import clean, ingest, search
 from tidings.plans import common
 from tidings.plans.sql import ARTICLES, GAZETTEER, RAW, TOKENS, with_
+from tidings.session import materialize
 from tidings.sources import tables
 
 TOPICS = (
@@ -141,12 +142,11 @@ def relevance_mart(spark, sf):
 
 
 def sector_tags(spark, sf):
-    from tidings.operators import search
     docs = common.tokenised(spark, sf)
     # keyword lists with hits in this corpus: its 40 most frequent words, dealt into five lists
-    frequent = (search.document_frequencies(docs).orderBy(F.desc("df"), "term").limit(40)
-                .select(F.col("term").alias("keyword"),
-                        F.concat(F.lit("list_"), (F.length("term") % 5).cast("string")).alias("tag")))
+    frequent = materialize(search.document_frequencies(docs).orderBy(F.desc("df"), "term").limit(40)
+                           .select(F.col("term").alias("keyword"),
+                                   F.concat(F.lit("list_"), (F.length("term") % 5).cast("string")).alias("tag")), "keywords")
     hits = clean.word_tags(docs, frequent.unionByName(clean.keyword_table(spark))).unionByName(
         clean.phrase_tags(common.text_articles(spark, sf))).distinct()
     per_doc = hits.groupBy("doc_num").agg(text.joined(F.collect_list("tag")).alias("tags"))

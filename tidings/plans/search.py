@@ -8,6 +8,7 @@ from tidings.functions import vectors
 from tidings.operators import search, vector
 from tidings.plans import common
 from tidings.plans.sql import ARTICLES, GAZETTEER, TOKENS, with_
+from tidings.session import materialize
 from tidings.sources import tables
 
 DEPTH = 50
@@ -44,7 +45,9 @@ def match_all_filtered(spark, sf):
 
 def _three(spark, sf, k):
     a, v, q = common.text_articles(spark, sf), tables.doc_vectors(spark, sf), tables.search_queries(spark, sf)
-    kw, vec = search.keyword_leg(a, q, DEPTH), vector.exact_topk(v, q, DEPTH)
+    # depth x queries rows, used several times: searched once
+    kw = materialize(search.keyword_leg(a, q, DEPTH), "keyword")
+    vec = materialize(vector.exact_topk(v, q, DEPTH), "vector")
     hyb = vector.rank_hits(search.fuse(kw, vec), k)
     return kw.where(F.col("rank") <= k), vec.where(F.col("rank") <= k), hyb
 
@@ -58,7 +61,8 @@ def weighted_fusion(spark, sf):
     a, v, q = common.text_articles(spark, sf), tables.doc_vectors(spark, sf), tables.search_queries(spark, sf)
     _, found = common.found(spark, sf)
     degree = found.groupBy("doc_num").agg(F.count("*").alias("centrality"))
-    return _hits(search.weighted_fusion(search.keyword_leg(a, q, DEPTH), vector.exact_topk(v, q, DEPTH), degree, 5))
+    kw, vec = materialize(search.keyword_leg(a, q, DEPTH), "keyword"), materialize(vector.exact_topk(v, q, DEPTH), "vector")
+    return _hits(search.weighted_fusion(kw, vec, degree, 5))
 
 
 def retriever(spark, sf):
@@ -100,8 +104,9 @@ def recall_baseline(spark, sf):
 
 def entity_vectors(spark, sf):
     _, found = common.found(spark, sf)
-    return (found.join(tables.doc_vectors(spark, sf), "doc_num").groupBy("entity_id", "alias")
-            .agg(vectors.mean_vector(F.col("embedding")).alias("embedding"), F.count("*").alias("docs")))
+    means = (found.join(tables.doc_vectors(spark, sf), "doc_num").groupBy("entity_id", "alias")
+             .agg(vectors.mean_vector(F.col("embedding")).alias("embedding"), F.count("*").alias("docs")))
+    return materialize(means, "entity_vectors")
 
 
 def entity_similarity(spark, sf):
@@ -115,11 +120,11 @@ def entity_similarity(spark, sf):
 def _edge_texts(spark, sf):
     """One line per customer-supplier relation: the text an edge vector is made of."""
     e = tables.awards(spark, sf)
-    return (e.groupBy("src", "dst", "type").agg(F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).alias("total"))
-            .select(F.concat_ws(">", "src", "dst").alias("edge_id"), "total",
+    sums = e.groupBy("src", "dst", "type").agg(F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).alias("total"))
+    return materialize(sums.select(F.concat_ws(">", "src", "dst").alias("edge_id"), "total",
                     F.array(F.concat(F.lit("buyer"), F.col("src")), F.concat(F.lit("seller"), F.col("dst")),
                             F.concat(F.lit("orders"), F.col("n").cast("string")),
-                            F.concat(F.lit("size"), F.length(F.floor("total").cast("string")).cast("string"))).alias("tokens")))
+                            F.concat(F.lit("size"), F.length(F.floor("total").cast("string")).cast("string"))).alias("tokens")), "edge_texts")
 
 
 def edge_similarity(spark, sf):

@@ -11,8 +11,11 @@ from tidings.operators.graph import latest_per_key
 
 
 def _dated(articles: DataFrame) -> DataFrame:
-    return articles.withColumn("source_name", F.concat(F.lit("newsapi_ai_"), "topic_key")).withColumn(
+    """Rows with their folder columns, rebalanced by them: few files per
+    folder, and a folder holding most rows is split over several tasks."""
+    rows = articles.withColumn("source_name", F.concat(F.lit("newsapi_ai_"), "topic_key")).withColumn(
         "date", F.date_format("ingestion_timestamp", "yyyy-MM-dd"))
+    return rows.hint("rebalance", "source_name", "date")
 
 
 def write_raw_json(articles: DataFrame, root: str) -> None:
