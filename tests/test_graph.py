@@ -172,3 +172,10 @@ def test_document_network_small(spark):
 def test_vocabulary_filter(spark):
     rel = spark.createDataFrame([("USES",), ("LIKES",)], "type string")
     assert nlp.allowed_relations(rel).count() == 1 and nlp.allowed_relations(rel, strict=False).count() == 2
+
+
+def test_bitemporal_hides_later_records(spark):
+    f = spark.createDataFrame([("k", "a", day(0), day(0)), ("k", "b", day(5), day(30))], "k string, object string, start timestamp, recorded timestamp")
+    early = temporal.known_lifecycle(f, ["k"], F.lit("2024-01-10").cast("timestamp")).collect()
+    assert [(r.object, r.end) for r in early] == [("a", None)]
+    assert temporal.known_lifecycle(f, ["k"], F.lit("2024-03-01").cast("timestamp")).where("end is not null").count() == 1

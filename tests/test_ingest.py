@@ -154,3 +154,16 @@ def test_profile_empty_and_null_handling(spark, tmp_path):
 def test_ids(spark):
     r = spark.createDataFrame([("HTTPS://WWW.X.org/A/?q=1#f",)], "u string").select(ids.canonical_url(F.col("u")), ids.host(F.col("u"))).first()
     assert tuple(r) == ("https://www.x.org/A", "x.org")
+
+
+def test_document_scan_skips_unreadable_files(spark, tmp_path):
+    a = spark.createDataFrame([("d1", "T", "body"), ("d2", "U", ""), ("d3", "V", None)], "doc_id string, title string, content string")
+    for f in schemas.ARTICLE_15.fields:
+        if f.name not in a.columns:
+            a = a.withColumn(f.name, F.lit(None).cast(f.dataType))
+    a.select(schemas.ARTICLE_15.names).write.parquet(str(tmp_path / "p"))
+    (tmp_path / "p" / "broken.parquet").write_bytes(b"not parquet")
+    docs = files.scan_documents(spark, str(tmp_path / "p"))
+    assert rows(docs.select("page_content", "metadata.id", "metadata.categories")) == [("T\n\nbody", "d1", [])]
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    assert "Not(EqualTo(content,))" in plan and "wgt" not in plan

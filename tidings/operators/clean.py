@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidings import vocab
 from tidings.functions import text
-from tidings.session import within
+from tidings.session import small
 
 REQUIRED = ("id", "title", "content", "source", "timestamp")
 
@@ -92,10 +92,9 @@ def keyword_table(spark, lists=None) -> DataFrame:
 def word_tags(docs: DataFrame, keywords: DataFrame) -> DataFrame:
     """(doc_num, tag) for single-word keywords: an equi-join on the word."""
     single = keywords.where(~F.col("keyword").contains(" ")).select(F.col("keyword").alias("term"), "tag")
-    if within(single, 100_000):
-        single = F.broadcast(single)   # a frequent word then never meets a shuffle by word
     words = docs.select("doc_num", text.explode_tokens(F.array_distinct("tokens")).alias("term"))
-    return words.join(single, "term").select("doc_num", "tag").distinct()
+    # a frequent word must not meet a shuffle by word
+    return words.join(small(single, 100_000), "term").select("doc_num", "tag").distinct()
 
 
 def phrase_tags(articles: DataFrame, lists=None) -> DataFrame:

@@ -9,13 +9,13 @@ collapses in the tasks that read it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidings import vocab
 from tidings.functions import text
 from tidings.operators.ingest import union_all
-from tidings.session import materialize, within
+from tidings.session import materialize, small, within
 
 HUB_EDGES = 100_000        # adjacency rows of one node handled by one task
 BROADCAST_NODES = 500_000  # node rows broadcast at most: some 30 MB
@@ -129,12 +129,7 @@ def split_adjacency(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     if within(hubs, 0):
         return pairs.withColumn("salt", F.lit(0)), nodes
     slot = F.coalesce(F.pmod(F.xxhash64("b"), F.col("salts")), F.lit(0)).cast("int")
-    return materialize(pairs.join(_small(hubs), "a", "left").select("a", "b", slot.alias("salt")), "adjacency"), nodes
-
-
-def _small(df: DataFrame) -> DataFrame:
-    """Broadcast a table of checked size; a larger one joins by shuffle."""
-    return F.broadcast(df) if within(df, BROADCAST_NODES) else df
+    return materialize(pairs.join(small(hubs, BROADCAST_NODES), "a", "left").select("a", "b", slot.alias("salt")), "adjacency"), nodes
 
 
 def _sliced(values: DataFrame) -> DataFrame:
@@ -175,7 +170,7 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         spread = materialize(labels.join(near, "id").select("id", "salts", "label", F.least("label", "near").alias("next")), "spread")
         jumps = materialize(spread.select("next").distinct().join(
             spread.select(F.col("id").alias("next"), F.col("next").alias("up")), "next"), "jumps")
-        moved = materialize(spread.join(_small(jumps), "next").select(
+        moved = materialize(spread.join(small(jumps, BROADCAST_NODES), "next").select(
             "id", "salts", F.least("next", "up").alias("new"), (F.least("next", "up") != F.col("label")).alias("moved")), "labels")
         labels = moved.select("id", "salts", F.col("new").alias("label"))
         if within(moved.where("moved"), 0):
@@ -185,8 +180,8 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
 
 def neighbourhood(edges: DataFrame, seeds: DataFrame, hops: int = 2) -> DataFrame:
     """(seed, id, hop) for every node within ``hops`` of each seed."""
-    adj = undirected(edges)
-    seen = frontier = seeds.select("seed", F.col("seed").alias("id"), F.lit(0).alias("hop"))
+    adj = materialize(undirected(edges), "pairs")
+    seen = frontier = materialize(seeds.select("seed", F.col("seed").alias("id"), F.lit(0).alias("hop")), "frontier")
     for h in range(1, hops + 1):
         reached = (frontier.select("seed", F.col("id").alias("a")).join(adj, "a")
                    .select("seed", F.col("b").alias("id")).distinct().join(seen, ["seed", "id"], "left_anti"))
@@ -206,7 +201,7 @@ def shortest_paths(edges: DataFrame, pairs: DataFrame, max_depth: int = 4) -> Da
     adj = materialize(undirected(edges), "pairs")
     pairs = materialize(pairs.select("src", "dst").distinct(), "wanted")
     doors = materialize(pairs.join(adj.withColumnRenamed("a", "dst"), "dst").select("src", "dst", F.col("b").alias("id")), "doors")
-    frontier = pairs.select("src", F.col("src").alias("id"), F.col("src").alias("path")).distinct()
+    frontier = materialize(pairs.select("src", F.col("src").alias("id"), F.col("src").alias("path")).distinct(), "frontier")
     seen = frontier.select("src", "id")
     found = materialize(pairs.where("src = dst").select("src", "dst", F.lit(0).alias("depth"), F.col("src").alias("path")), "found")
     for d in range(1, max_depth + 1):
@@ -234,9 +229,13 @@ def partners(edges: DataFrame, members: DataFrame, kind: str) -> DataFrame:
 
 
 def route(hits: DataFrame, mentions: DataFrame, limit: int = 20) -> DataFrame:
-    """Ranked documents to the entities they mention, best supported first."""
-    from pyspark.sql import Window
-    support = (hits.select("query_id", "doc_num", "rank").join(mentions, "doc_num")
+    """Ranked documents to the entities they mention, best supported first.
+
+    The hits are few and written first, so the mentions are not shuffled to
+    meet them.
+    """
+    top = materialize(hits.select("query_id", "doc_num", "rank"), "hits")
+    support = (mentions.join(small(top, BROADCAST_NODES), "doc_num")
                .groupBy("query_id", "entity_id", "alias").agg(F.count("*").alias("hits"), F.min("rank").alias("best_rank")))
     w = Window.partitionBy("query_id").orderBy(F.desc("hits"), "best_rank", "alias")
     return support.withColumn("position", F.row_number().over(w)).where(F.col("position") <= limit)

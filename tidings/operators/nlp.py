@@ -103,8 +103,17 @@ def relations(docs: DataFrame, id_col: str, content: str = "text") -> DataFrame:
     return rows.where(F.col("r").isNotNull()).select(id_col, "r.*").where(F.col("confidence") > vocab.RELATION_CONFIDENCE_MIN)
 
 
+def allowed(df: DataFrame, types: tuple[str, ...], column: str = "type", strict: bool = True) -> DataFrame:
+    """Rows of the allowed node or relation types; all rows when not strict."""
+    return df.where(F.col(column).isin(*types)) if strict else df
+
+
 def allowed_relations(rel: DataFrame, column: str = "type", strict: bool = True) -> DataFrame:
-    return rel.where(F.col(column).isin(*vocab.RELATION_TYPES)) if strict else rel
+    return allowed(rel, vocab.RELATION_TYPES, column, strict)
+
+
+def allowed_nodes(nodes: DataFrame, column: str = "type", strict: bool = True) -> DataFrame:
+    return allowed(nodes, vocab.NODE_TYPES, column, strict)
 
 
 # --- coreference -------------------------------------------------------------
@@ -239,6 +248,12 @@ def entity_texts(nodes: DataFrame, *order: Column) -> DataFrame:
     return first
 
 
+def node_embeddings(nodes: DataFrame, *order: Column, embed: Callable = vectors.embed_tokens) -> DataFrame:
+    """One vector per distinct entity, from its first text."""
+    texts = entity_texts(nodes, *order)
+    return texts.select("id", "entity_text", embed(text.tokens(F.col("entity_text"))).alias("embedding"))
+
+
 def consolidate(documents: DataFrame, entities: DataFrame, coreferences: DataFrame, rel: DataFrame) -> DataFrame:
     """One record per document from the three services; missing parts are empty."""
     def empty(col, like):

@@ -17,7 +17,7 @@ from tidings import vocab
 from tidings.functions import text
 from tidings.operators.ingest import union_all
 from tidings.operators.vector import DIGITS, exact_topk, rank_hits
-from tidings.session import within
+from tidings.session import materialize, small, within
 
 BROADCAST_TERMS = 200_000   # query-term rows broadcast at most: some 20 MB
 
@@ -49,20 +49,20 @@ def bm25_scores(docs: DataFrame, queries: DataFrame, id_col: str = "doc_num") ->
     beyond that the joins shuffle and adaptive execution splits hot terms.
     """
     terms = query_terms(queries)
-    small = F.broadcast if within(terms, BROADCAST_TERMS) else (lambda df: df)
+    hint = F.broadcast if within(terms, BROADCAST_TERMS) else (lambda df: df)
     n_docs = docs.agg(F.count("*").cast("double")).scalar()
     avgdl = docs.agg(F.avg(F.size("tokens"))).scalar()
 
     hits = (docs.select(id_col, F.size("tokens").cast("double").alias("dl"), text.explode_tokens(F.col("tokens")).alias("term"))
-            .join(small(terms.select("term").distinct()), "term").repartition(id_col)
+            .join(hint(terms.select("term").distinct()), "term").repartition(id_col)
             .groupBy(id_col, "dl", "term").agg(F.count("*").cast("double").alias("tf")))
     df = hits.groupBy("term").agg(F.count("*").cast("double").alias("df"))
     # one row per query term, carrying its idf
-    weights = terms.join(small(df), "term").select(
+    weights = terms.join(hint(df), "term").select(
         "query_id", "term", F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
     tf, k1, b = F.col("tf"), vocab.BM25_K1, vocab.BM25_B
     gain = F.col("idf") * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("dl") / avgdl))
-    return (hits.join(small(weights), "term").groupBy("query_id", id_col)
+    return (hits.join(hint(weights), "term").groupBy("query_id", id_col)
             .agg(F.round(F.sum(gain), DIGITS).alias("score")))
 
 
@@ -155,8 +155,13 @@ def weighted_fusion(keyword: DataFrame, vector: DataFrame, centrality: DataFrame
 
 
 def retrieve(hits: DataFrame, articles: DataFrame, k: int = 5) -> DataFrame:
-    """Content previews and metadata for the first ``k`` hits."""
-    return (hits.where(F.col("rank") <= k).join(articles, "doc_num")
+    """Content previews and metadata for the first ``k`` hits.
+
+    The hits are few and written first; the articles are read once and never
+    shuffled.
+    """
+    top = materialize(hits.where(F.col("rank") <= k), "hits")
+    return (articles.join(small(top, BROADCAST_TERMS), "doc_num")
             .select("query_id", "rank", "doc_id", "source", "title", "score",
                     text.one_line(F.col("content")).alias("preview"), "content"))
 

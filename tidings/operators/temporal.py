@@ -39,6 +39,15 @@ def lifecycle(facts: DataFrame, keys: list[str]) -> DataFrame:
     return next_in_group(once, keys, ["start", "object"], ["start"], F.date_trunc("month", "start")).withColumnRenamed("next_start", "end")
 
 
+def known_lifecycle(facts: DataFrame, keys: list[str], known_at: Column) -> DataFrame:
+    """The lifecycle as it was known at a time: only facts recorded by then.
+
+    ``facts`` also holds ``recorded``; with ``as_of`` this answers both
+    questions of a bi-temporal table: what held when, as known when.
+    """
+    return lifecycle(facts.where(F.col("recorded") <= known_at), keys)
+
+
 def as_of(intervals: DataFrame, dates: list[str]) -> DataFrame:
     """Facts holding at each date: start <= date and (open or date < end)."""
     days = F.array(*[F.lit(d).cast("timestamp") for d in dates])

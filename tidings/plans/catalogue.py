@@ -2,24 +2,14 @@
 
 from __future__ import annotations
 
-from importlib import import_module
+from tidings.plans import graph, ingest, io, nlp, profile, quality, search, streams, temporal
 
-AREAS = ("ingest", "profile", "search", "nlp", "graph", "temporal", "quality", "io", "streams")
-
-
-def _areas():
-    out = []
-    for a in AREAS:
-        try:
-            out.append(import_module(f"tidings.plans.{a}"))
-        except ModuleNotFoundError:
-            pass
-    return out
+AREAS = (ingest, profile, search, nlp, graph, temporal, quality, io, streams)
 
 
 def queries() -> dict:
-    return {n: f for m in _areas() for n, f in m.QUERIES.items()}
+    return {n: f for m in AREAS for n, f in m.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {n: s for m in _areas() for n, s in m.ORACLES.items()}
+    return {n: s for m in AREAS for n, s in m.ORACLES.items()}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidings.operators import nlp, search
-from tidings.session import materialize, within
+from tidings.session import materialize, small
 from tidings.sources import tables
 
 BROADCAST_ALIASES = 500_000   # alias rows broadcast at most: some 50 MB
@@ -32,9 +32,7 @@ def found(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """
     docs = tokenised(spark, sf_dir)
     n_docs = tables.table(spark, sf_dir, "documents").agg(F.count("*")).scalar()
-    gaz = materialize(nlp.derive_gazetteer(search.document_frequencies(docs), n_docs), "gazetteer")
-    if within(gaz, BROADCAST_ALIASES):
-        gaz = F.broadcast(gaz)
+    gaz = small(materialize(nlp.derive_gazetteer(search.document_frequencies(docs), n_docs), "gazetteer"), BROADCAST_ALIASES)
     return gaz, nlp.mentions(docs, gaz)
 
 

@@ -106,6 +106,14 @@ def parquet_reads(spark, sf):
     return ingest.union_all(count(single, "single"), count(many, "many"), count(glob, "glob"), count(staged, "array"))
 
 
+def document_scan(spark, sf):
+    """Documents read back from written article files, per source."""
+    root = scratch(spark, "articles")
+    files.write_articles(tables.articles(spark, sf).drop("doc_num", "lang"), root)
+    return files.scan_documents(spark, root).groupBy(F.col("metadata.source").alias("source")).agg(
+        F.count("*").alias("documents"), F.sum(F.length("page_content")).alias("chars"), F.min("metadata.id").alias("first"))
+
+
 def file_inventory(spark, sf):
     return landing.inventory(tables.configure(spark), sf).select(F.regexp_extract("path", "([^/]+)$", 1).alias("file"), "length")
 
@@ -146,7 +154,7 @@ def sinks_roundtrip(spark, sf):
         rows("runs", spark.read.parquet(p["runs"]).withColumn("doc_id", F.lit("x")), long))
 
 
-QUERIES = {f.__name__: f for f in (landing_sources, feed_since, parquet_reads, file_inventory, sinks_roundtrip)}
+QUERIES = {f.__name__: f for f in (landing_sources, feed_since, parquet_reads, document_scan, file_inventory, sinks_roundtrip)}
 
 _PAGE_TITLE = r"trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '[ \t\n\x0B\f\r]+', ' ', 'g'))"
 
@@ -169,6 +177,8 @@ SELECT 'single' AS read, topic_key, count(*) AS n, min(doc_id) AS first FROM art
 UNION ALL SELECT 'many', topic_key, count(*), min(doc_id) FROM articles WHERE topic_key IN ('t1', 't2', 't3') GROUP BY 2
 UNION ALL SELECT 'glob', topic_key, count(*), min(doc_id) FROM articles WHERE strftime(ingestion_timestamp, '%Y-%m-%d') LIKE '2024-01-0%' GROUP BY 2
 UNION ALL SELECT 'array', topic_key, count(*), min(doc_id) FROM articles GROUP BY 2"""),
+    "document_scan": with_(ARTICLES, body="""
+SELECT source, count(*) AS documents, sum(length(title) + 2 + length(content))::BIGINT AS chars, min(doc_id) AS first FROM articles WHERE content <> '' GROUP BY 1"""),
     "sinks_roundtrip": with_(ARTICLES, TOKENS, GAZETTEER, body="""
 SELECT 'raw' AS sink, count(*) AS n, sum(length(content))::BIGINT AS "check" FROM articles
 UNION ALL SELECT 'articles', count(*), sum(length(content))::BIGINT FROM articles

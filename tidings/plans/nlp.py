@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidings import vocab
-from tidings.functions import text
+from tidings.functions import text, vectors
 from tidings.operators import nlp
 from tidings.plans import common
 from tidings.plans.sql import ARTICLES, EDGES, GAZETTEER, TOKENS, with_
@@ -107,20 +107,29 @@ def consolidate_nlp(spark, sf):
                       F.col("processing_metadata.model_versions")["ner"].alias("ner_model"))
 
 
-def entity_texts(spark, sf):
-    """First text of each entity in publication order."""
+def _nodes(spark, sf):
     _, found = common.found(spark, sf)
     a = tables.articles(spark, sf).select("doc_num", "published_at", "source")
-    nodes = found.join(a, "doc_num").select(
+    return found.join(a, "doc_num").select(
         F.col("alias").alias("id"), "type", "published_at", "doc_num",
         F.when(F.col("tf") > 1, F.create_map(F.lit("description"), F.concat(F.lit("from "), "source")))
         .otherwise(F.create_map(F.lit("sector"), F.lit("press"))).alias("properties"))
-    return nlp.entity_texts(nodes, F.col("published_at"), F.col("doc_num"))
+
+
+def entity_texts(spark, sf):
+    """First text of each entity in publication order."""
+    return nlp.entity_texts(_nodes(spark, sf), F.col("published_at"), F.col("doc_num"))
+
+
+def node_embeddings(spark, sf):
+    out = nlp.node_embeddings(nlp.allowed_nodes(_nodes(spark, sf)), F.col("published_at"), F.col("doc_num"))
+    return out.select("id", F.size("embedding").cast("bigint").alias("dim"), F.round(vectors.norm(F.col("embedding")), 6).alias("norm"),
+                      F.round(F.array_max("embedding"), 6).alias("largest"))
 
 
 QUERIES = {f.__name__: f for f in (
     ner_gazetteer, entities_by_type, graph_extract, nlp_summary, vocab_filter, relation_rules, coref_rewrite,
-    consolidate_nlp, entity_texts)}
+    consolidate_nlp, entity_texts, node_embeddings)}
 
 OCCURRENCES = """
 occ AS (SELECT s.doc_num, s.pos, g.alias, g.type FROM seq s JOIN gaz g ON s.term = g.alias),
@@ -160,6 +169,11 @@ words AS (SELECT * FROM pieces WHERE regexp_matches(piece, '^[\p{L}\p{N}]')),
 main AS (SELECT doc_id, piece AS main, pos AS main_pos FROM words QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length(piece) DESC, pos) = 1)
 """
 
+_TEXTS = """
+texts AS (SELECT alias AS id, arg_min(alias || ' - ' || type || CASE WHEN tf > 1 THEN ' - from ' || source ELSE '' END, (published_at, doc_num)) AS entity_text
+  FROM mentions JOIN articles USING (doc_num) GROUP BY 1)
+"""
+
 ORACLES = {
     "ner_gazetteer": with_(TOKENS, GAZETTEER, body="""
 SELECT type, count(*) AS mentions, sum(tf)::BIGINT AS occurrences, count(*) FILTER (tf / (tf + 0.5::DOUBLE) > 0.7) AS confident,
@@ -194,7 +208,11 @@ SELECT doc_id AS doc_num, coalesce(m.n, 0) AS entities, CASE WHEN w.n > 0 THEN 1
        '1.0' AS version, 'roberta-base-finetuned-v2.1' AS ner_model
 FROM documents d LEFT JOIN (SELECT doc_num, count(*) AS n FROM mentions GROUP BY 1) m ON d.doc_id = m.doc_num
 LEFT JOIN w ON d.doc_id = w.doc_num LEFT JOIN (SELECT doc_id, count(*) AS n FROM rules GROUP BY 1) r USING (doc_id)"""),
-    "entity_texts": with_(ARTICLES, TOKENS, GAZETTEER, body="""
-SELECT alias AS id, arg_min(alias || ' - ' || type || CASE WHEN tf > 1 THEN ' - from ' || source ELSE '' END, (published_at, doc_num)) AS entity_text
-FROM mentions JOIN articles USING (doc_num) GROUP BY 1"""),
+    "node_embeddings": with_(ARTICLES, TOKENS, GAZETTEER, _TEXTS, r"""
+tt AS (SELECT id, unnest(regexp_extract_all(lower(entity_text), '[\p{L}\p{N}]+')) AS term FROM texts),
+sl AS (SELECT id, ('0x' || substring(md5(term), 1, 7))::BIGINT % 64 AS slot,
+  sum(CASE WHEN ('0x' || substring(md5(term), 8, 1))::BIGINT % 2 = 0 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END) AS val FROM tt GROUP BY 1, 2)""", body="""
+SELECT id, 64::BIGINT AS dim, CASE WHEN sum(val * val) > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS norm,
+  round(CASE WHEN sum(val * val) > 0 THEN greatest(max(val), 0) / sqrt(sum(val * val)) ELSE 0 END, 6) AS largest FROM sl GROUP BY 1"""),
+    "entity_texts": with_(ARTICLES, TOKENS, GAZETTEER, _TEXTS, body="SELECT id, entity_text FROM texts"),
 }

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidings import vocab
 from tidings.functions import text
 from tidings.operators import ingest, profile
 from tidings.plans import common

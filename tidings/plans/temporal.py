@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidings.operators import temporal
-from tidings.plans import common
 from tidings.plans.sql import EDGES, with_
 from tidings.sources import tables
 
@@ -26,6 +25,15 @@ def relation_lifecycle(spark, sf):
     return iv.select("subject", "object", F.date_format("start", "yyyy-MM-dd").alias("start"), F.date_format("end", "yyyy-MM-dd").alias("end"))
 
 
+def relation_bitemporal(spark, sf):
+    """What held at each date, as known on 1 July 1998 from orders placed by then."""
+    o = tables.table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").cast("timestamp").alias("recorded"))
+    li = tables.table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", F.col("l_shipdate").cast("timestamp").alias("start"))
+    facts = li.join(o, "l_orderkey").select(tables._key("p:", "l_partkey").alias("subject"), tables._key("s:", "l_suppkey").alias("object"), "start", "recorded")
+    held = temporal.as_of(temporal.known_lifecycle(facts, ["subject"], F.lit("1998-07-01").cast("timestamp")), DATES)
+    return held.select(F.date_format("as_of", "yyyy-MM-dd").alias("as_of"), "subject", "object", F.date_format("start", "yyyy-MM-dd").alias("start"))
+
+
 def relation_asof(spark, sf):
     held = temporal.as_of(temporal.lifecycle(_facts(spark, sf), ["subject", "type"]), DATES)
     return held.select(F.date_format("as_of", "yyyy-MM-dd").alias("as_of"), "subject", "object", F.date_format("start", "yyyy-MM-dd").alias("start"))
@@ -64,7 +72,7 @@ def interval_overlaps(spark, sf):
                       "next_object", F.date_format("next_start", "yyyy-MM-dd").alias("next_start"), "violation")
 
 
-QUERIES = {f.__name__: f for f in (relation_trend, relation_lifecycle, relation_asof, conflict_resolve, confidence_merge, interval_overlaps)}
+QUERIES = {f.__name__: f for f in (relation_trend, relation_lifecycle, relation_asof, relation_bitemporal, conflict_resolve, confidence_merge, interval_overlaps)}
 
 _LIFE = """
 life AS (SELECT subject, object, ts AS start, lead(ts) OVER (PARTITION BY subject ORDER BY ts, object) AS end_
@@ -77,6 +85,11 @@ SELECT type, strftime(p, '%Y-%m') AS period, n, n - lag(n) OVER (PARTITION BY ty
     "relation_lifecycle": with_(EDGES, _LIFE, body="""
 SELECT subject, object, strftime(start, '%Y-%m-%d') AS start, strftime(end_, '%Y-%m-%d') AS "end" FROM life"""),
     "relation_asof": with_(EDGES, _LIFE, "ds AS (SELECT unnest([" + ", ".join(f"TIMESTAMP '{d}'" for d in DATES) + "]) AS d)", body="""
+SELECT strftime(d, '%Y-%m-%d') AS as_of, subject, object, strftime(start, '%Y-%m-%d') AS start FROM life JOIN ds ON start <= d AND (end_ IS NULL OR d < end_)"""),
+    "relation_bitemporal": with_("""
+life AS (SELECT subject, object, ts AS start, lead(ts) OVER (PARTITION BY subject ORDER BY ts, object) AS end_ FROM (
+  SELECT DISTINCT 'p:' || l_partkey AS subject, 's:' || l_suppkey AS object, l_shipdate AS ts FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  WHERE o_orderdate <= TIMESTAMP '1998-07-01'))""", "ds AS (SELECT unnest([" + ", ".join(f"TIMESTAMP '{d}'" for d in DATES) + "]) AS d)", body="""
 SELECT strftime(d, '%Y-%m-%d') AS as_of, subject, object, strftime(start, '%Y-%m-%d') AS start FROM life JOIN ds ON start <= d AND (end_ IS NULL OR d < end_)"""),
     "conflict_resolve": """SELECT subject, 'SUPPLIES' AS type, object, confidence, strftime(ts, '%Y-%m-%d') AS last_updated, facts FROM (
   SELECT 'p:' || l_partkey AS subject, 's:' || l_suppkey AS object, round(1 - l_discount - l_tax, 6) AS confidence, l_shipdate AS ts,

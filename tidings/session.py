@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _local_roots: dict[str, str] = {}
 
@@ -44,6 +45,12 @@ def within(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` for a broadcast when it has at most ``rows`` rows, else unchanged
+    (the join then shuffles).  Meant for tables already written."""
+    return F.broadcast(df) if within(df, rows) else df
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

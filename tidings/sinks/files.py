@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidings import schemas
+from tidings.functions import text
 from tidings.operators.graph import latest_per_key
 
 
@@ -34,6 +35,20 @@ def read_articles(spark: SparkSession, *paths: str, base: str | None = None) ->
     return (reader.option("basePath", base) if base else reader).parquet(*paths)
 
 
+def scan_documents(spark: SparkSession, *paths: str) -> DataFrame:
+    """Documents of article files: page content and metadata.
+
+    Reads nine columns of rows with content (both reach the Parquet scan);
+    unreadable files are skipped and the others go on.
+    """
+    rows = (spark.read.schema(schemas.ARTICLE_15).option("ignoreCorruptFiles", True).parquet(*paths)
+            .where(F.col("content").isNotNull() & (F.col("content") != "")))
+    return rows.select(
+        text.embedding_text(F.col("title"), F.col("content"), F.col("description")).alias("page_content"),
+        F.struct(F.col("doc_id").alias("id"), "title", "description", "link", "published_at", "source", "source_type",
+                 F.coalesce("categories", F.array().cast("array<string>")).alias("categories")).alias("metadata"))
+
+
 def combine_successful(spark: SparkSession, log: DataFrame, root: str, target: str) -> str:
     """All articles of topics that succeeded with items, as one table.
 
