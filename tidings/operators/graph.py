@@ -285,15 +285,18 @@ def document_network(mentions: DataFrame, edges: DataFrame) -> DataFrame:
 
     Relations among a document's entities are found by expanding each
     undirected pair from its end of lower degree only, then checking the other
-    end by a semi-join; pairs of entities are never enumerated.
+    end by a semi-join; pairs of entities are never enumerated.  Mentions are
+    placed by document once, so per-document sets need no further shuffle
+    while the relation lookups are small enough to broadcast.
     """
-    ents = mentions.select("doc_num", F.col("alias").alias("id"))
-    deg = degree(edges)
+    ents = mentions.select("doc_num", F.col("alias").alias("id")).repartition("doc_num")
+    deg = materialize(degree(edges), "degree")
     kinds = F.when(F.col("type") == "PARTNERS_WITH", "partners").when(F.col("type") == "COMPETES_WITH", "competitors") \
         .when(F.col("type").isin("USES", "DEVELOPS", "SUPPLIES"), "supply")
     ends = edges.select(kinds.alias("kind"), "src", "dst").where(F.col("kind").isNotNull())
     near = (ends.select("kind", F.col("src").alias("id"), F.col("dst").alias("other"))
             .unionByName(ends.select("kind", F.col("dst").alias("id"), F.col("src").alias("other"))).distinct())
+    near = small(materialize(near, "near"), BROADCAST_NODES)
     lists = (ents.join(near, "id").select("doc_num", "kind", "other").distinct().groupBy("doc_num").agg(
         *[F.count_if(F.col("kind") == k).alias(k) for k in ("partners", "competitors", "supply")]))
     sums = ents.join(deg, "id", "left").groupBy("doc_num").agg(
@@ -304,6 +307,7 @@ def document_network(mentions: DataFrame, edges: DataFrame) -> DataFrame:
                 .join(deg.select(F.col("id").alias("y"), F.col("degree").alias("dy")), "y")
                 .select(F.when(F.col("dx") <= F.col("dy"), F.col("x")).otherwise(F.col("y")).alias("id"),
                         F.when(F.col("dx") <= F.col("dy"), F.col("y")).otherwise(F.col("x")).alias("other"), "n"))
+    oriented = small(materialize(oriented, "oriented"), BROADCAST_NODES)
     inside = (ents.join(oriented, "id").select("doc_num", F.col("other").alias("id"), "n")
               .join(ents, ["doc_num", "id"], "left_semi").groupBy("doc_num")
               .agg((2 * F.sum("n")).alias("connections"), F.count("*").alias("pairs")))
