@@ -45,15 +45,33 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def questions(kind: str, chunk: int, buckets: int, keys: np.ndarray, data: np.ndarray) -> Iterator[tuple]:
-    """Blocks of sorted distinct ``keys`` with one row of ``data`` each."""
-    cuts = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets + 1))
+    """Blocks of sorted distinct ``keys`` with one row of ``data`` each.
+
+    Keys are one code a row, or two (shape n x 2) where 64 bits would let
+    different ones meet.
+    """
+    first = keys if keys.ndim == 1 else keys[:, 0]
+    cuts = np.searchsorted(bucket_of(first, buckets), np.arange(buckets + 1))
     for b in np.flatnonzero(np.diff(cuts)):
         part = slice(cuts[b], cuts[b + 1])
         yield int(b), chunk, kind, keys[part].tobytes(), pack(data[part]), int(cuts[b + 1] - cuts[b])
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted distinct keys, place of each row among them); keys as in ``questions``."""
+    if keys.ndim == 1:
+        return np.unique(keys, return_inverse=True)
+    order = np.lexsort((keys[:, 1], keys[:, 0]))
+    ranked = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (ranked[1:] != ranked[:-1]).any(axis=1)
+    place = np.empty(len(keys), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return ranked[new], place
+
+
 def frame(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=[c.split()[0] for c in BLOCK.split(", ")])
+    return pd.DataFrame(rows, columns=[c.split()[0] for c in BLOCK.split(", ")], dtype=object)
 
 
 def answer(blocks: DataFrame, answers: dict[str, Callable]) -> DataFrame:
@@ -67,8 +85,10 @@ def answer(blocks: DataFrame, answers: dict[str, Callable]) -> DataFrame:
         out = []
         for kind, part in pdf.sort_values(["kind", "chunk"]).groupby("kind", sort=True):
             keys = np.frombuffer(b"".join(part["keys"]), np.uint64)
-            distinct, place = np.unique(keys, return_inverse=True)
-            values = answers[kind](distinct, place, [bytes(d) for d in part["data"]])
+            if len(keys) != part["size"].sum():
+                keys = keys.reshape(-1, 2)
+            known, place = distinct(keys)
+            values = answers[kind](known, place, [bytes(d) for d in part["data"]])
             ends = np.cumsum(part["size"].to_numpy())
             for b, c, size, end in zip(part["bucket"], part["chunk"], part["size"], ends, strict=True):
                 out.append((b, c, kind, None, pack(values[place[end - size:end]]), size))

@@ -88,7 +88,6 @@ class Index:
                 places.setdefault(code, set()).add((len(bag), at))
         self.shingles = np.array(sorted(places), np.uint64)
         self.places = [sorted(places[c]) for c in self.shingles.tolist()]
-        self.short = sorted({len(b) for b in self.bags if len(b) == 1})
 
     def windows(self, bag: np.ndarray) -> dict[int, np.ndarray]:
         """Window starts per window length (in shingles).

@@ -147,7 +147,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     block = blocks(rows)
     cut = rows.withColumn("block", block)
     order = [F.col("doc_id").asc_nulls_first(), F.col("text")]
-    firsts = cut.groupBy("block").agg(F.min("doc_id").alias("head"))
+    firsts = cut.groupBy("block").agg(F.min(F.struct("doc_id")).alias("head")).select("block", F.col("head.doc_id").alias("head"))   # a struct: null counts as first
     ring = Window.orderBy("block")
     back = materialize(firsts.select("block", "head", F.coalesce(F.lag("block").over(ring), F.max("block").over(
         ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("to")), "heads")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidings.llm import decontaminate, imatch, lm, mixing, quality, sharding, simhash, urls, warc
+from tidings.llm import decontaminate, imatch, lm, mixing, quality, sharding, simhash, substrings, urls, warc
 from tidings.session import materialize
 from tidings.sources.tables import table
 
@@ -51,6 +51,28 @@ def op9_sharding_bfd(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup(table(spark, sf_dir, "documents")).drop("spans")
+
+
 QUERIES = {f.__name__: f for f in (op1_url_rules, op2_warc_salvage, op3_imatch, op4_quality_rff, op5_simhash_trie, op6_lm_backoff, op7_decontaminate,
-                                   op8_mixing, op9_sharding_bfd)}
+                                   op8_mixing, op9_sharding_bfd, op10_substrings)}
 ORACLES: dict[str, str] = {}
+
+MIXED = r"""
+WITH sized AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+src AS (SELECT source, sum(size)::BIGINT AS source_size, [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS w
+        FROM sized GROUP BY source),
+caps AS (SELECT *, 2.0::DOUBLE * source_size AS cap FROM src),
+run AS (SELECT *, coalesce(sum(cap) OVER lower, 0) AS used, sum(w) OVER () - coalesce(sum(w) OVER lower, 0) AS free,
+               1.5::DOUBLE * (SELECT sum(size) FROM sized) AS budget
+        FROM caps WINDOW lower AS (ORDER BY cap / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+level AS (SELECT max((budget - used) / free) AS level FROM run),
+goal AS (SELECT source, source_size, least(cap, coalesce(level, 0) * w) AS target FROM caps, level),
+rated AS (SELECT doc_id, size, g.source_size, target, CASE WHEN g.source_size > 0 THEN target / g.source_size ELSE 0 END AS rate,
+                 ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::UBIGINT::DOUBLE / 4503599627370496 AS u
+          FROM sized s JOIN goal g ON s.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, size, source_size, target, (size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken FROM rated
+"""
+
+ORACLES["op8_mixing"] = MIXED

@@ -83,6 +83,8 @@ def decode(data: bytes, at: int) -> tuple[dict, int]:
     if data[end:end + 4] != END:
         raise ValueError("record does not end where its length says")
     block, kind = data[begin:end], head.get(b"warc-type", "")
+    if not re.fullmatch(r"[a-z]+", kind) or not head.get(b"warc-record-id"):
+        raise ValueError("no record type or id")
     out = {"record_type": kind, "record_id": head.get(b"warc-record-id", "").strip("<>"), "url": head.get(b"warc-target-uri"),
            "refers_to_id": head[b"warc-refers-to"].strip("<>") if b"warc-refers-to" in head else None,
            "payload_digest": head.get(b"warc-payload-digest", "").partition(":")[2] or None, "payload": None, "payload_bytes": None}
@@ -179,7 +181,7 @@ def _salvage_files(batches):
 
 def _frame(rows: list[dict]) -> pd.DataFrame:
     names = [c.split()[0] for c in RECORD.split(", ")]
-    return pd.DataFrame(rows, columns=names).astype({"payload_bytes": "Int64"})
+    return pd.DataFrame(rows, columns=names, dtype=object)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
