@@ -123,7 +123,7 @@ def test_entity_resolution_finds_all_within_two_edits(spark):
     aliases = spark.createDataFrame([("lockheed", "e1"), ("raytheon", "e2")], "alias string, entity_id string")
     names = ["lockheed", "lokheed", "lockeheeds", "lxckhxed", "raytheom", "raytheonics", "hockleed"]
     got = {r.name: (r.entity_id, r.distance) for r in graph.resolve_entities(spark.createDataFrame([(n,) for n in names], "name string"), aliases).collect()}
-    assert got == {"lockheed": ("e1", 0), "lokheed": ("e1", 1), "lockeheeds": ("e1", 2), "lxckhxed": ("e1", 2), "raytheom": ("e2", 1)}
+    assert got == {"lockheed": ("e1", 0), "lokheed": ("e1", 1), "lockeheeds": ("e1", 2), "lxckhxed": ("e1", 2), "raytheom": ("e2", 1), "hockleed": ("e1", 2)}
 
 
 def test_set_density(spark):
@@ -148,7 +148,33 @@ def test_job_change_and_conflicts(spark):
 
 def test_overlaps_and_inverted(spark):
     iv = spark.createDataFrame([("s", "a", day(0), day(50)), ("s", "b", day(40), day(60)), ("s", "c", day(70), day(65))], "subject string, object string, start timestamp, end timestamp")
-    assert rows(temporal.overlaps(iv, ["subject"]).select("object", "violation")) == [("a", "overlap"), ("c", "inverted")]
+    assert rows(temporal.overlaps(iv, ["subject"]).select("object", "earlier", "violation")) == [("b", "a", "overlap"), ("c", "b", "inverted")]
+
+
+def test_overlap_with_an_interval_further_back(spark):
+    iv = spark.createDataFrame([("s", "A", day(1), day(70)), ("s", "B", day(2), day(3)), ("s", "C", day(40), day(41)), ("s", "D", day(80), None), ("s", "E", day(200), day(201))],
+                               "subject string, object string, start timestamp, end timestamp")
+    assert rows(temporal.overlaps(iv, ["subject"]).select("object", "earlier", "violation")) == [("B", "A", "overlap"), ("C", "A", "overlap"), ("E", "D", "overlap")]
+
+
+def test_trend_counts_gap_months(spark):
+    e = spark.createDataFrame([("x", day(0)), ("x", day(1)), ("x", day(70))], "type string, ts timestamp")
+    assert [(r.n, r.change) for r in temporal.trend(e).orderBy("period").collect()] == [(2, None), (0, -2), (1, 1)]
+
+
+def test_resolution_allows_any_letter_and_any_length(spark):
+    long = "abcdefghij" * 3
+    aliases = spark.createDataFrame([("definition", "d"), (long, "l"), ("", "e"), ("ab", "s")], "alias string, entity_id string")
+    names = ["xefinition", "efinition", "xx" + long[:-1], long[:10] + long[12:], long[:14] + "zz" + long[16:], "a" * 5000, "b", "unrelatedword"]
+    got = {r.name: (r.entity_id, r.distance) for r in graph.resolve_entities(spark.createDataFrame([(n,) for n in names], "name string"), aliases).collect()}
+    assert got.pop("b") in (("e", 1), ("s", 1))
+    assert got == {"xefinition": ("d", 1), "efinition": ("d", 1), long[:10] + long[12:]: ("l", 2), long[:14] + "zz" + long[16:]: ("l", 2)}
+
+
+def test_document_lists_are_rows(spark):
+    m = spark.createDataFrame([(1, "a"), (2, "b")], "doc_num long, alias string")
+    e = spark.createDataFrame([("a", "b", "PARTNERS_WITH"), ("c", "a", "EMPLOYS"), ("a", "z", "LIKES")], E)
+    assert rows(graph.document_lists(m, e)) == [(1, "partners", "b"), (1, "personnel", "c"), (2, "partners", "a")]
 
 
 def test_quality_gate(spark):

@@ -142,7 +142,7 @@ def test_phrase_tags_match_whole_words(spark):
 
 def test_router_and_filters(spark):
     a = spark.createDataFrame([("the Military said",), ("militaryish",), (None,)], "content string")
-    assert [r.matched for r in clean.route(a).collect()] == [True, False, None]
+    assert [r.matched for r in clean.route(a).collect()] == [True, True, None]
 
 
 def test_profile_empty_and_null_handling(spark, tmp_path):
@@ -167,3 +167,56 @@ def test_document_scan_skips_unreadable_files(spark, tmp_path):
     assert rows(docs.select("page_content", "metadata.id", "metadata.categories")) == [("T\n\nbody", "d1", [])]
     plan = docs._jdf.queryExecution().executedPlan().toString()
     assert "Not(EqualTo(content,))" in plan and "wgt" not in plan
+
+
+def test_days_are_kept_and_retried(spark, tmp_path):
+    a = spark.createDataFrame([("a", "2024-01-01"), ("b", "2024-01-02")], "doc_id string, d string").withColumn("topic_key", F.lit("t"))
+    a = a.withColumn("ingestion_timestamp", F.to_timestamp("d")).drop("d")
+    for which in ("a", "b", "a"):
+        files.write_raw_json(a.where(F.col("doc_id") == which), str(tmp_path / "raw"))
+    assert rows(spark.read.json(str(tmp_path / "raw")).select("doc_id")) == [("a",), ("b",)]
+    for run in ("1", "2", "2"):
+        files.write_summary(a.agg(F.count("*").alias("n")), str(tmp_path / "runs"), run, "2024-01-0" + run)
+    assert spark.read.parquet(str(tmp_path / "runs")).count() == 2
+
+
+def test_index_writers_ties_and_compaction(spark, tmp_path):
+    def delta(*r):
+        return spark.createDataFrame(list(r), "k string, v string, t int")
+    root, folded = str(tmp_path / "ix"), str(tmp_path / "folded")
+    assert files.write_batch(delta(("a", "old", 1), ("b", "old", 1)), root, 0, "w1") == 2
+    files.write_batch(delta(("b", "other", 2)), root, 0, "w2")
+    files.write_batch(delta(("a", "late version", 3), ("a", "early version", 2)), root, 1, "w1")
+    latest = lambda r: {x.k: x.v for x in files.read_latest(spark, r, "k", order="t").collect()}
+    assert latest(root) == {"a": "late version", "b": "other"}
+    files.compact(spark, root, folded, "k", order="t")
+    files.write_batch(delta(("c", "new", 1)), folded, 0, "w1")
+    assert latest(folded) == {"a": "late version", "b": "other", "c": "new"}
+    files.write_batch(delta(("c", "new", 1)), folded, 0, "w1")
+    assert spark.read.parquet(folded).count() == 3
+
+
+def test_skipped_files_are_named(spark, tmp_path):
+    root = tmp_path / "p"
+    spark.createDataFrame([("d", "text")], "doc_id string, content string").coalesce(1).write.parquet(str(root))
+    (root / "broken.parquet").write_bytes(b"PAR1 cut off")
+    docs = files.scan_documents(spark, str(root))
+    assert docs.count() == 1
+    assert [r.path.rsplit("/", 1)[1] for r in files.skipped_files(spark, str(root)).collect()] == ["broken.parquet"]
+
+
+def test_query_items_range_sources_and_rejects(spark, tmp_path):
+    from tidings.sources import landing
+    item = '{"source": {"name": "%s"}, "url": "%s", "publishedAt": "2024-01-0%dT00:00:00Z"}'
+    (tmp_path / "a.json").write_text('{"query": "q", "articles": [%s, %s, %s]}\n{"query": "broken\n' % (item % ("A", "u1", 1), item % ("B", "u2", 2), item % ("A", "u3", 3)))
+    day = lambda d: F.lit(f"2024-01-0{d}").cast("timestamp")
+    links = lambda **o: sorted(r.link for r in landing.query_items(spark, str(tmp_path), **o).collect())
+    assert links() == ["u1", "u2", "u3"] and links(sources=("A",)) == ["u1", "u3"]
+    assert links(published_from=day(2)) == ["u2", "u3"] and links(published_from=day(2), published_to=day(2)) == ["u2"]
+    assert [r.line for r in landing.rejected_lines(spark, str(tmp_path)).collect()] == ['{"query": "broken']
+
+
+def test_router_matches_anywhere_and_literally(spark):
+    a = spark.createDataFrame([("the militarys plan",), ("xdarpax",), ("a.b",), ("aXb",)], "content string")
+    assert [r.matched for r in clean.route(a).collect()] == [True, True, False, False]
+    assert [r.matched for r in clean.route(a, ("a.b",)).collect()] == [False, False, True, False]

@@ -1,8 +1,12 @@
+import random
+import re
+
 import pandas as pd
 from pyspark.sql import functions as F
 
 from conftest import rows
-from tidings import schemas
+from tidings import schemas, vocab
+from tidings.functions import text
 from tidings.operators import nlp
 
 SENTENCES = [
@@ -22,6 +26,33 @@ def test_relation_rules(spark):
         (8, "A", "B", "ACQUISITION", "A buys B"), (8, "C", "D", "ACQUISITION", "C purchased D")], key=str)
 
 
+def test_relation_rules_match_the_patterns_themselves(spark):
+    """Against the patterns as published, in another regex engine, on odd texts."""
+    rng = random.Random(5)
+    bits = ["A", "B2", "and", "&", "partners with", "partner", "team up", "acquires", "bought by", "develops", "a system", "x platform", ".", ",", "\n", "  ",
+            "DARPA", "funds", "$5,000", "$3 million", "from", "to", "specializes in", "contract"]
+    texts = [(i, " ".join(rng.choice(bits) for _ in range(rng.randint(1, 25)))) for i in range(400)]
+    want = set()
+    for i, t in texts:
+        for kind, p in vocab.RELATION_PATTERNS:
+            if p.count("(") - p.count("(?:") >= 2:
+                want |= {(i, m[1].strip(" "), m[2].strip(" "), kind, m[0]) for m in re.finditer(p, t, re.IGNORECASE | re.ASCII)}
+    got = nlp.relations(spark.createDataFrame(texts, "id long, text string"), "id")
+    assert {tuple(r) for r in got.select("id", "source_entity", "target_entity", "relation_type", "evidence_text").collect()} == want and len(want) > 100
+
+
+def test_relation_rules_on_a_long_run_of_words(spark):
+    run = "word " * 20_000
+    got = nlp.relations(spark.createDataFrame([(1, run + "acquires " + run), (2, run + "develops " + run), (3, run + "partners with")], "id long, text string"), "id")
+    assert [(r.id, len(r.source_entity), len(r.target_entity)) for r in got.collect()] == [(1, len(run) - 1, len(run) - 1)]
+
+
+def test_alias_mentions_of_any_form(spark):
+    docs = spark.createDataFrame([(1, "the new york times of new york"), (2, "times"), (3, None)], "doc_num long, t string").select("doc_num", text.tokens(F.col("t")).alias("tokens"))
+    names = spark.createDataFrame([("a", "New-York"), ("b", "New York Times"), ("c", "of"), ("d", "!"), ("e", "Été")], "entity_id string, name string")
+    assert rows(nlp.alias_mentions(docs, names)) == [(1, "a", "New-York", 2), (1, "b", "New York Times", 1), (1, "c", "of", 1)]
+
+
 def resolve(spark, text, clusters):
     df = spark.createDataFrame([(text, clusters)], f"text string, clusters {schemas.CLUSTERS.simpleString()}")
     return df.select(nlp.resolve_coreferences(F.col("text"), F.col("clusters"))).first()[0]
@@ -38,8 +69,10 @@ def test_coreference_replaces_only_the_mentions(spark):
 
 def test_default_clusters(spark):
     df = spark.createDataFrame([(1, "It is a machine; they like its parts")], "id long, text string")
-    c = nlp.pronoun_clusters(df, "id").first().clusters
+    c = df.select(nlp.pronoun_clusters("text").alias("c")).first().c
     assert [[tuple(s) for s in g] for g in c] == [[(8, 15), (0, 2), (17, 21), (27, 30)]]
+    none = spark.createDataFrame([(None,), ("",), (" - ",)], "text string").select(F.size(nlp.pronoun_clusters("text")).alias("n"))
+    assert [r.n for r in none.collect()] == [0, 0, 0]
 
 
 def test_failed_batch_is_reported_and_others_go_on(spark):

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tidings.plans import catalogue
 from tools.parity import TABLES, compare
 
 SF = "/root/testdata/sf0.001"
@@ -17,7 +18,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalogue.queries()))
 def test_query(spark, con, name):
     message, _, _, ok = compare(spark, con, name, SF)
     # an empty result may be right on the smallest tables, a difference never is

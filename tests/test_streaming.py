@@ -22,33 +22,41 @@ def drain(spark, src, make, root, chk, keys, mode="update"):
     return files.read_latest(spark, root, *keys)
 
 
+def counted(spark, src, count, root, chk, *keys):
+    flows.keep_counts(flows.run_events(flows.file_stream(spark, schemas.EVENTS, src, per_batch=1)), count, root, chk)
+    return flows.summed(spark, root, *keys)
+
+
 def test_threshold_counts_across_batches_and_redelivery(spark):
     src, root, chk = (scratch(spark, n) for n in ("src", "out", "chk"))
+    run = lambda: counted(spark, src, flows.threshold_windows, root, chk, "start", "resource")
     events(spark, (1, 1, 3, "purchase"), (2, 20, 3, "purchase"), (3, 70, 3, "purchase")).write.parquet(src)
-    drain(spark, src, flows.threshold_windows, root, chk, ["start", "resource"])
+    run()
     events(spark, (4, 30, 3, "purchase"), (5, 5, 3, "error")).write.mode("append").parquet(src)
-    out = drain(spark, src, flows.threshold_windows, root, chk, ["start", "resource"])
+    out = run()
     assert rows(out.select("start", "events")) == [(BASE, 3), (BASE + dt.timedelta(seconds=60), 1)]
-    again = drain(spark, src, flows.threshold_windows, root, chk, ["start", "resource"])
-    assert rows(again) == rows(out)
+    assert rows(run()) == rows(out)
 
 
-def test_late_rows_beyond_the_watermark_are_dropped(spark):
+def test_late_rows_are_counted(spark):
     src, root, chk = (scratch(spark, n) for n in ("src", "out", "chk"))
     for batch in ([(1, 0, 3, "purchase")], [(2, 7200, 3, "purchase")], [(3, 7260, 3, "purchase")], [(4, 10, 3, "purchase")]):
         events(spark, *batch).write.mode("append").parquet(src)
-        out = drain(spark, src, flows.threshold_windows, root, chk, ["start", "resource"])
-    assert sum(r.events for r in out.collect()) == 3      # event 4 came two hours late
+        out = counted(spark, src, flows.threshold_windows, root, chk, "start", "resource")
+    assert rows(out.select("start", "events")) == [(BASE, 2), (BASE + dt.timedelta(hours=2), 1), (BASE + dt.timedelta(seconds=7260), 1)]
+    daily = counted(spark, src, flows.daily_summary, scratch(spark, "out"), scratch(spark, "chk"), "start")
+    assert rows(daily.select("runs", "completed", "failed")) == [(4, 4, 0)]
 
 
-def test_dedup_within_an_hour(spark):
+def test_dedup_from_the_last_fetch_kept(spark):
+    """10:59 and 11:01 are one fetch; an hour after the first one kept, the next counts."""
     src, root, chk = (scratch(spark, n) for n in ("src", "out", "chk"))
     make = lambda s: flows.dedupe_fetches(s, "user_id", "state")
-    events(spark, (1, 0, 3, "purchase"), (2, 60, 4, "purchase")).write.parquet(src)
-    drain(spark, src, make, root, chk, ["key"], "append")
-    events(spark, (3, 600, 3, "purchase")).write.mode("append").parquet(src)
-    out = drain(spark, src, make, root, chk, ["key"], "append")
-    assert rows(out.select("event_id")) == [(1,), (2,)]
+    events(spark, (1, 3540, 3, "purchase"), (2, 60, 4, "purchase"), (3, 3660, 3, "purchase"), (4, 3540 + 3600, 3, "purchase")).write.parquet(src)
+    drain(spark, src, make, root, chk, ["event_id"], "append")
+    events(spark, (5, 3540 + 3700, 3, "purchase"), (6, 3540 + 7200, 3, "purchase")).write.mode("append").parquet(src)
+    out = drain(spark, src, make, root, chk, ["event_id"], "append")
+    assert rows(out.select("event_id")) == [(1,), (2,), (4,), (6,)]
 
 
 def test_alert_message(spark):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -86,8 +88,8 @@ def standard_source(name: Column) -> Column:
 
 
 def any_of(terms) -> str:
-    """Case-insensitive whole-word alternation usable with ``rlike``."""
-    return r"(?i)(^|[^\p{L}\p{N}])(" + "|".join(terms) + r")([^\p{L}\p{N}]|$)"
+    """Case-insensitive alternation for ``rlike``: any term, anywhere in the text."""
+    return "(?i)(" + "|".join(re.sub(r"([\\.^$*+?()\[\]{}|])", r"\\\1", t) for t in terms) + ")"
 
 
 def joined(values: Column) -> Column:

@@ -34,21 +34,29 @@ def hash_slot(token: str, dim: int) -> tuple[int, float]:
     return int(h[:7], 16) % dim, 1.0 if int(h[7], 16) % 2 == 0 else -1.0
 
 
+class _Slots(dict):
+    """Slot of a token, worked out once: its bucket, plus ``dim`` for a negative sign."""
+
+    def __init__(self, dim: int):
+        self.dim = dim
+
+    def __missing__(self, token: str) -> int:
+        bucket, sign = hash_slot(token, self.dim)
+        self[token] = bucket if sign > 0 else bucket + self.dim
+        return self[token]
+
+
 def hash_model(dim: int = HASH_DIM) -> Callable[[pd.Series], list[np.ndarray]]:
     """Default embedding model: unit-norm signed feature hashing of tokens."""
-    slots: dict[str, tuple[int, float]] = {}
+    slots = _Slots(dim)
 
     def embed(batch):
         out = []
         for toks in batch:
-            v = np.zeros(dim)
-            for t in toks:
-                s = slots.get(t)
-                if s is None:
-                    if len(slots) > 500_000:
-                        slots.clear()
-                    s = slots[t] = hash_slot(t, dim)
-                v[s[0]] += s[1]
+            if len(slots) > 500_000:
+                slots.clear()
+            hits = np.bincount(np.fromiter(map(slots.__getitem__, toks), np.int64, len(toks)), minlength=2 * dim)
+            v = (hits[:dim] - hits[dim:]).astype(float)   # second half: negative sign
             n = np.sqrt((v * v).sum())
             out.append(v / n if n > 0 else v)
         return out

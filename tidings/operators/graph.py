@@ -279,6 +279,25 @@ def team_view(edges: DataFrame, team: str) -> DataFrame:
     return edges.where(F.col("type").isin(*vocab.TEAM_RELATIONS[team]))
 
 
+LIST_KINDS = {"PARTNERS_WITH": "partners", "COMPETES_WITH": "competitors", "USES": "supply", "DEVELOPS": "supply", "SUPPLIES": "supply",
+              "EMPLOYS": "personnel", "LEADS": "personnel", "WORKS_FOR": "personnel"}
+
+
+def _listed(ents: DataFrame, edges: DataFrame) -> DataFrame:
+    """(doc_num, kind, other): distinct neighbours of a document's entities by kind of list."""
+    kinds = F.create_map(*[F.lit(x) for kv in LIST_KINDS.items() for x in kv])[F.col("type")]
+    ends = edges.select(kinds.alias("kind"), "src", "dst").where(F.col("kind").isNotNull())
+    near = (ends.select("kind", F.col("src").alias("id"), F.col("dst").alias("other"))
+            .unionByName(ends.select("kind", F.col("dst").alias("id"), F.col("src").alias("other"))).distinct())
+    return ents.join(small(materialize(near, "near"), BROADCAST_NODES), "id").select("doc_num", "kind", "other").distinct()
+
+
+def document_lists(mentions: DataFrame, edges: DataFrame) -> DataFrame:
+    """Partners, competitors, suppliers and personnel of each document's
+    entities as (doc_num, kind, other) rows: no list grows in one row."""
+    return _listed(mentions.select("doc_num", F.col("alias").alias("id")).repartition("doc_num"), edges)
+
+
 def document_network(mentions: DataFrame, edges: DataFrame) -> DataFrame:
     """Per document: partners, competitors and suppliers of its entities,
     centrality sum, relations among its entities, relevance and density.
@@ -291,13 +310,7 @@ def document_network(mentions: DataFrame, edges: DataFrame) -> DataFrame:
     """
     ents = mentions.select("doc_num", F.col("alias").alias("id")).repartition("doc_num")
     deg = materialize(degree(edges), "degree")
-    kinds = F.when(F.col("type") == "PARTNERS_WITH", "partners").when(F.col("type") == "COMPETES_WITH", "competitors") \
-        .when(F.col("type").isin("USES", "DEVELOPS", "SUPPLIES"), "supply")
-    ends = edges.select(kinds.alias("kind"), "src", "dst").where(F.col("kind").isNotNull())
-    near = (ends.select("kind", F.col("src").alias("id"), F.col("dst").alias("other"))
-            .unionByName(ends.select("kind", F.col("dst").alias("id"), F.col("src").alias("other"))).distinct())
-    near = small(materialize(near, "near"), BROADCAST_NODES)
-    lists = (ents.join(near, "id").select("doc_num", "kind", "other").distinct().groupBy("doc_num").agg(
+    lists = (_listed(ents, edges).groupBy("doc_num").agg(
         *[F.count_if(F.col("kind") == k).alias(k) for k in ("partners", "competitors", "supply")]))
     sums = ents.join(deg, "id", "left").groupBy("doc_num").agg(
         F.count("*").alias("entities"), F.coalesce(F.sum("degree"), F.lit(0)).alias("centrality"))
@@ -320,30 +333,66 @@ def document_network(mentions: DataFrame, edges: DataFrame) -> DataFrame:
 
 # --- entity resolution --------------------------------------------------------------
 
+SHORT_NAME = 16   # up to here deletion forms, beyond it segments: both bounded per name
+
+
 def _deletions(word: Column) -> Column:
-    """The word and every form with one or two characters removed."""
+    """The word and every form with one or two characters removed (at most
+    some 170, as longer words are not asked)."""
     def drop(w, i):
         return F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, F.length(w)))
     def once(w):
-        return F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: drop(w, i))
+        return F.when(F.length(w) > 0, F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: drop(w, i))).otherwise(F.array().cast("array<string>"))
     first = once(word)
     return F.array_distinct(F.concat(F.array(word), first, F.flatten(F.transform(first, once))))
 
 
+def _segment(length: Column, part: int) -> tuple[Column, Column]:
+    """(start from 0, size) of a third of a word."""
+    third = F.floor(length / 3).cast("int")
+    return third * part, (third if part < 2 else (length - third * 2).cast("int"))
+
+
+def _segments(word: Column) -> Column:
+    """A long alias under each of its thirds: two edits leave one untouched."""
+    n = F.length(word)
+    out = []
+    for part in range(3):
+        at, size = _segment(n, part)
+        out.append(F.concat_ws("|", n.cast("string"), F.lit(str(part)), F.substring(word, at + 1, size)))
+    return F.array(*out)
+
+
+def _segment_probes(word: Column) -> Column:
+    """Where those thirds may lie in a word within two edits: shifted by up to
+    two, in an alias up to two shorter or longer (75 forms)."""
+    out = []
+    for change in range(-2, 3):
+        n = F.length(word) + change
+        for part in range(3):
+            at, size = _segment(n, part)
+            out += [F.when((n > SHORT_NAME) & (at + shift >= 0), F.concat_ws("|", n.cast("string"), F.lit(str(part)), F.substring(word, at + 1 + shift, size)))
+                    for shift in range(-2, 3)]
+    return F.array_distinct(F.array_compact(F.array(*out)))
+
+
 def resolve_entities(names: DataFrame, aliases: DataFrame) -> DataFrame:
     """Surface forms to canonical ids: exact alias, else the nearest alias
-    within two edits and the same first letter.
+    within two edits.
 
-    Two words within two edits always share a form with at most two
-    characters removed, so an equi-join on those forms finds every candidate
-    without comparing all names with all aliases.
+    Two words within two edits share a form with at most two characters
+    removed; of a long alias one third is left untouched.  Equi-joins on those
+    forms find every candidate without comparing all names with all aliases,
+    and a name makes a bounded number of them however long it is.
     """
     exact = names.join(aliases, names["name"] == aliases["alias"]).select("name", "alias", "entity_id", F.lit(0).alias("distance"))
     rest = names.join(aliases.select(F.col("alias").alias("name")), "name", "left_anti")
-    left = rest.select("name", F.explode_outer(_deletions(F.col("name"))).alias("form"))
-    right = aliases.select("alias", "entity_id", F.explode_outer(_deletions(F.col("alias"))).alias("form"))
-    near = (left.join(right, "form")
-            .where((F.substring("name", 1, 1) == F.substring("alias", 1, 1)) & (F.levenshtein("name", "alias") <= 2))
+    none = F.array().cast("array<string>")
+    asked = F.concat(F.when(F.length("name") <= SHORT_NAME + 2, _deletions(F.col("name"))).otherwise(none), _segment_probes(F.col("name")))
+    listed = F.when(F.length("alias") <= SHORT_NAME, _deletions(F.col("alias"))).otherwise(_segments(F.col("alias")))
+    left = rest.select("name", F.explode_outer(asked).alias("form"))
+    right = aliases.select("alias", "entity_id", F.explode_outer(listed).alias("form"))
+    near = (left.join(right, "form").where(F.levenshtein("name", "alias") <= 2)
             .select("name", "alias", "entity_id", F.levenshtein("name", "alias").alias("distance")))
     best = near.groupBy("name").agg(F.min(F.struct("distance", "alias", "entity_id")).alias("b")).select(
         "name", "b.alias", "b.entity_id", "b.distance")

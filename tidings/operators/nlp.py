@@ -8,12 +8,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidings import schemas, vocab
 from tidings.functions import text, vectors
 from tidings.operators.ingest import union_all
+from tidings.session import materialize, small
+
+BROADCAST_ALIASES = 500_000   # name rows broadcast at most: some 50 MB
+_WORD = regex.compile(r"[\p{L}\p{N}]+")
+_LONGEST_PRONOUN = max(map(len, vocab.PRONOUNS))
 
 TYPE_BY_LENGTH = ("Company", "Technology", "Agency", "Organization")
 
@@ -46,23 +53,46 @@ def mention_positions(docs: DataFrame, gazetteer: DataFrame) -> DataFrame:
             .join(gazetteer, "alias"))
 
 
-def run_extractor(docs: DataFrame, extract: Callable, schema: str) -> DataFrame:
-    """Run a model over Arrow batches: ``extract`` maps a pandas frame to one.
+def alias_mentions(docs: DataFrame, aliases: DataFrame) -> DataFrame:
+    """(doc_num, entity_id, name, tf) of given names in tokenised texts.
 
-    A failing batch is reported as a row with its error; the others go on.
+    ``aliases`` has entity_id and name, of any number of words, any letters
+    and any frequency.  Names are cut into the same tokens as texts.  A token
+    that begins no name is dropped first; at the others one n-gram is formed
+    per name length that begins with it, so only likely matches are joined.
+    Beyond the broadcast bound both joins shuffle.
+    """
+    key = text.tokens(F.col("name"))
+    names = materialize(aliases.select("entity_id", "name", F.array_join(key, " ").alias("gram"), key[0].alias("head"), F.size(key).alias("n"))
+                        .where(F.col("n") > 0).distinct(), "aliases")
+    heads = materialize(names.groupBy("head").agg(F.collect_set("n").alias("lengths")), "heads")
+    at = docs.select("doc_num", "tokens", F.posexplode_outer("tokens").alias("pos", "head")).where(F.col("head").isNotNull())
+    begun = at.join(small(heads, BROADCAST_ALIASES), "head")
+    grams = begun.select("doc_num", F.explode(F.transform(F.filter("lengths", lambda n: F.col("pos") + n <= F.size("tokens")), lambda n: F.array_join(F.slice("tokens", F.col("pos") + 1, n), " "))).alias("gram"))
+    return grams.join(small(names.select("gram", "entity_id", "name"), BROADCAST_ALIASES), "gram").groupBy(
+        "doc_num", "entity_id", "name").agg(F.count("*").alias("tf"))
+
+
+def run_extractor(docs: DataFrame, extract: Callable, schema: str, rows: int | None = None) -> DataFrame:
+    """Run a model over Arrow batches, or over ``rows`` rows of one at a time:
+    ``extract`` maps a pandas frame to one.
+
+    A failing batch is reported as a row per document with its error; the
+    others go on.
     """
     from pyspark.sql.types import StringType, StructType, _parse_datatype_string
     out = StructType(list(_parse_datatype_string(schema).fields)).add("error", StringType())
 
     def run(batches):
-        import pandas as pd
-        for pdf in batches:
-            try:
-                res = extract(pdf).assign(error=None)
-            except Exception as e:  # the batch is skipped, not the job
-                res = pd.DataFrame({"doc_num": pdf["doc_num"]}).assign(error=f"{type(e).__name__}: {e}")
-            res = res.reindex(columns=out.names).astype(object)
-            yield res.where(res.notna(), None)
+        for whole in batches:
+            for i in range(0, len(whole), rows or max(1, len(whole))):
+                pdf = whole.iloc[i:i + (rows or len(whole))]
+                try:
+                    res = extract(pdf).assign(error=None)
+                except Exception as e:  # the batch is skipped, not the job
+                    res = pd.DataFrame({"doc_num": pdf["doc_num"]}).assign(error=f"{type(e).__name__}: {e}")
+                res = res.reindex(columns=out.names).astype(object)
+                yield res.where(res.notna(), None)
 
     return docs.mapInPandas(run, out)
 
@@ -77,10 +107,33 @@ _STEMS = {
 }
 
 
-def _relation_of(kind: str, rx: str) -> Callable[[Column], Column]:
-    return lambda m: F.struct(
-        F.trim(F.regexp_extract(m, rx, 1)).alias("source_entity"), F.trim(F.regexp_extract(m, rx, 2)).alias("target_entity"),
-        F.lit(kind).alias("relation_type"), F.lit(vocab.RULE_CONFIDENCE).alias("confidence"), m.alias("evidence_text"))
+# A run of words as the patterns spell it, and the same strings without a nested
+# repeat: matched in one sweep, with no recursion however long the run.
+_RUN, _SWEEP = r"\w+(?:\s+\w+)*", r"\w(?:[\w\s]*\w)?"
+
+
+def _hits(body: Column, kind: str, pattern: str) -> Column:
+    """Whole matches of a pattern in a text, as relation structs.
+
+    A pattern that begins with a run of words matches inside one stretch of
+    words and blanks, at most once, from its first word: a match from a later
+    word would also match from the first.  So the text is cut into stretches,
+    those without the pattern's stem are dropped, and the rest are matched
+    from their start (after ``&``, where a pattern allows it).
+    """
+    swept = pattern.replace(_RUN, _SWEEP)
+    if pattern.startswith(f"({_RUN})"):
+        joins = "&" in pattern
+        stretches = F.filter(F.regexp_extract_all(body, F.lit(r"[\w\s&]+" if joins else r"[\w\s]+"), F.lit(0)), lambda r: r.rlike("(?i)" + _STEMS[kind]))
+        rx = r"(?i)(?:^|(?<=&))\s*" + swept if joins else r"(?i)^\s*" + swept
+        found = F.flatten(F.transform(stretches, lambda r: F.regexp_extract_all(r, F.lit(rx), F.lit(0))))
+    else:
+        rx = "(?i)" + swept
+        found = F.regexp_extract_all(body, F.lit(rx), F.lit(0))
+    again = "(?i)" + swept
+    return F.transform(F.transform(found, lambda m: F.regexp_replace(m, r"^\s+", "")), lambda m: F.struct(
+        F.trim(F.regexp_extract(m, again, 1)).alias("source_entity"), F.trim(F.regexp_extract(m, again, 2)).alias("target_entity"),
+        F.lit(kind).alias("relation_type"), F.lit(vocab.RULE_CONFIDENCE).alias("confidence"), m.alias("evidence_text")))
 
 
 def relations(docs: DataFrame, id_col: str, content: str = "text") -> DataFrame:
@@ -95,9 +148,7 @@ def relations(docs: DataFrame, id_col: str, content: str = "text") -> DataFrame:
     for kind, pattern in vocab.RELATION_PATTERNS:
         if pattern.count("(") - pattern.count("(?:") < 2:
             continue
-        rx = "(?i)" + pattern
-        hits = F.transform(F.regexp_extract_all(body, F.lit(rx), F.lit(0)), _relation_of(kind, rx))
-        found.append(F.when(body.rlike("(?i)" + _STEMS[kind]), hits))
+        found.append(F.when(body.rlike("(?i)" + _STEMS[kind]), _hits(body, kind, pattern)))
     # outer form: a plain explode would run every pattern again to test for emptiness
     rows = docs.select(id_col, F.explode_outer(F.flatten(F.filter(F.array(*found), lambda x: x.isNotNull()))).alias("r"))
     return rows.where(F.col("r").isNotNull()).select(id_col, "r.*").where(F.col("confidence") > vocab.RELATION_CONFIDENCE_MIN)
@@ -144,24 +195,27 @@ def resolve_coreferences(body: Column, clusters: Column) -> Column:
     return F.coalesce(done, body)
 
 
-def pronoun_clusters(docs: DataFrame, id_col: str, content: str = "text") -> DataFrame:
-    """Default clusters: the longest word of a document and its pronouns.
+def pronoun_clusters(content: str = "text") -> Column:
+    """Default clusters of each text: its longest word (the first of equals)
+    and its pronouns, as character offsets.  A text without words has none.
 
-    Offsets come from a running length over the word and gap pieces of one
-    row; the window is per document, so it is bounded by the document.
+    One pass over the text in the task that reads it; nothing is shuffled.
     """
-    pieces = docs.select(id_col, F.posexplode_outer(F.regexp_extract_all(
-        F.col(content), F.lit(r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+"), F.lit(0))).alias("pos", "piece"))
-    w = Window.partitionBy(id_col).orderBy("pos")
-    size = F.length("piece")
-    at = pieces.withColumn("end", F.sum(size).over(w).cast("int")).withColumn("start", F.col("end") - size)
-    span = F.struct("start", "end")
-    word = F.col("piece").rlike(r"^[\p{L}\p{N}]")
-    per_doc = at.where(word).groupBy(id_col).agg(
-        F.max(F.struct(size.alias("n"), (-F.col("start")).alias("neg"), span.alias("span"))).alias("m"),
-        F.sort_array(F.collect_list(F.when(F.lower("piece").isin(*vocab.PRONOUNS), span))).alias("pronouns"))
-    return per_doc.select(id_col, F.array(F.array_distinct(
-        F.concat(F.array("m.span"), F.col("pronouns")))).cast(schemas.CLUSTERS).alias("clusters"))
+    @F.pandas_udf(schemas.CLUSTERS)
+    def find(body: pd.Series) -> pd.Series:
+        out = []
+        for value in body:
+            main, pronouns = None, []
+            for m in _WORD.finditer(value or ""):
+                span = {"start": m.start(), "end": m.end()}
+                if main is None or m.end() - m.start() > main["end"] - main["start"]:
+                    main = span
+                if m.end() - m.start() <= _LONGEST_PRONOUN and m[0].lower() in vocab.PRONOUNS:
+                    pronouns.append(span)
+            out.append([] if main is None else [[main] + [p for p in pronouns if p != main]])
+        return pd.Series(out, dtype=object)
+
+    return find(content)
 
 
 # --- assembly ----------------------------------------------------------------

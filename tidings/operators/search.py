@@ -38,24 +38,41 @@ def query_terms(queries: DataFrame) -> DataFrame:
             .where(F.col("term").isNotNull()))
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` worked out once: a lambda would repeat it
+    for every element it is called on."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def term_counts(tokens: Column) -> Column:
+    """Distinct tokens of one row with their counts, from the sorted tokens:
+    a run of equal ones ends where the next differs."""
+    def runs(ranked):
+        n = F.size(ranked)
+        ends = F.filter(F.sequence(F.lit(1), n), lambda i: (i == n) | (F.get(ranked, i - 1) != F.get(ranked, i)))
+        return _bound(ends, lambda e: F.transform(e, lambda end, k: F.struct(
+            F.get(ranked, end - 1).alias("term"), (end - F.when(k > 0, F.get(e, k - 1)).otherwise(0)).cast("double").alias("tf"))))
+    return F.when(F.size(tokens) > 0, _bound(F.array_sort(tokens), runs))
+
+
 def bm25_scores(docs: DataFrame, queries: DataFrame, id_col: str = "doc_num") -> DataFrame:
     """(query_id, id, score) for every document sharing a term with a query.
 
-    ``docs`` holds ``id_col`` and ``tokens``.  Tokens outside the query
-    vocabulary are dropped before anything is shuffled; the rest is shuffled
-    once by document, which serves the term counts and the score sums alike.
-    The query terms are counted first: up to ``BROADCAST_TERMS`` rows they are
-    broadcast, so a stop word in most documents never meets a shuffle by term;
-    beyond that the joins shuffle and adaptive execution splits hot terms.
+    ``docs`` holds ``id_col`` and ``tokens``, one row per document.  Each task
+    counts the terms of its own rows and drops those outside the query
+    vocabulary; these counts are written once and serve document frequencies
+    and scores.  A document's scores are summed where it was read, so what is
+    shuffled is one row per query and document.  The query terms are counted
+    first: up to ``BROADCAST_TERMS`` rows they are broadcast, so a stop word
+    in most documents never meets a shuffle by term; beyond that the joins
+    shuffle and adaptive execution splits hot terms.
     """
     terms = query_terms(queries)
     hint = F.broadcast if within(terms, BROADCAST_TERMS) else (lambda df: df)
-    n_docs = docs.agg(F.count("*").cast("double")).scalar()
-    avgdl = docs.agg(F.avg(F.size("tokens"))).scalar()
+    n_docs, avgdl = docs.agg(F.count("*").cast("double"), F.avg(F.size("tokens"))).first()
 
-    hits = (docs.select(id_col, F.size("tokens").cast("double").alias("dl"), text.explode_tokens(F.col("tokens")).alias("term"))
-            .join(hint(terms.select("term").distinct()), "term").repartition(id_col)
-            .groupBy(id_col, "dl", "term").agg(F.count("*").cast("double").alias("tf")))
+    counted = docs.select(F.col(id_col), F.size("tokens").cast("double").alias("dl"), F.explode_outer(term_counts(F.col("tokens"))).alias("t"))
+    hits = materialize(counted.select(id_col, "dl", "t.*").join(hint(terms.select("term").distinct()), "term"), "hits")
     df = hits.groupBy("term").agg(F.count("*").cast("double").alias("df"))
     # one row per query term, carrying its idf
     weights = terms.join(hint(df), "term").select(
@@ -68,7 +85,7 @@ def bm25_scores(docs: DataFrame, queries: DataFrame, id_col: str = "doc_num") ->
 
 def keyword_search(articles: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """BM25 top-k per query with the total number of matches."""
-    scores = bm25_scores(tokenised(articles), queries)
+    scores = materialize(bm25_scores(tokenised(articles), queries), "scores")
     totals = scores.groupBy("query_id").agg(F.count("*").alias("total_matches"))
     return rank_hits(scores, k).join(totals, "query_id")
 

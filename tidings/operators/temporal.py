@@ -56,10 +56,17 @@ def as_of(intervals: DataFrame, dates: list[str]) -> DataFrame:
 
 
 def trend(edges: DataFrame, period: str = "month") -> DataFrame:
-    """Relations per type and period, and the change from the period before."""
+    """Relations per type and period, and the change from the period before.
+
+    Periods without relations between a type's first and last count 0, so
+    "before" is always the calendar's.
+    """
     counts = edges.where("ts is not null").groupBy("type", F.date_trunc(period, "ts").alias("period")).agg(F.count("*").alias("n"))
+    spans = counts.groupBy("type").agg(F.min("period").alias("a"), F.max("period").alias("b"))
+    calendar = spans.select("type", F.explode(F.sequence("a", "b", F.expr(f"INTERVAL 1 {period}"))).alias("period"))
+    whole = calendar.join(counts, ["type", "period"], "left").select("type", "period", F.coalesce("n", F.lit(0)).alias("n"))
     w = Window.partitionBy("type").orderBy("period")   # one row per period: bounded
-    return counts.withColumn("change", F.col("n") - F.lag("n").over(w))
+    return whole.withColumn("change", F.col("n") - F.lag("n").over(w))
 
 
 def resolve_conflicts(evidence: DataFrame, keys: list[str]) -> DataFrame:
@@ -88,7 +95,24 @@ def merge_confidence(evidence: DataFrame, keys: list[str], as_of: Column, half_l
 
 
 def overlaps(intervals: DataFrame, keys: list[str]) -> DataFrame:
-    """Adjacent intervals of a key that overlap, and inverted intervals."""
-    nxt = next_in_group(intervals, keys, ["start", "object"], ["start", "object"], F.date_trunc("month", "start"))
-    kind = F.when(F.col("end") < F.col("start"), "inverted").when(F.col("next_start") < F.col("end"), "overlap")
-    return nxt.withColumn("violation", kind).where(F.col("violation").isNotNull())
+    """Intervals that start before an earlier one of their key has ended, and
+    inverted intervals.
+
+    Intervals are ordered by start and object; each is compared with the
+    latest end of all before it (null: never ends), given as ``reached`` with
+    the ``earlier`` object that has it.  Inverted intervals cover nothing.  The running maximum goes per (key,
+    month of the start), then over one row per key and month, so a key
+    holding most rows is spread over its months.
+    """
+    month = F.date_trunc("month", "start")
+    never = F.lit("9999-12-31").cast("timestamp")
+    cover = F.when((F.col("end") >= F.col("start")) | F.col("end").isNull(), F.coalesce(F.col("end").cast("timestamp"), never))
+    rows = intervals.withColumn("_m", month).withColumn("_cover", F.when(cover.isNotNull(), F.struct(cover.alias("to"), F.col("object").alias("by"))))
+    before = Window.unboundedPreceding, -1
+    inner = rows.withColumn("_in", F.max("_cover").over(Window.partitionBy(*keys, "_m").orderBy("start", "object").rowsBetween(*before)))
+    months = rows.groupBy(*keys, "_m").agg(F.max("_cover").alias("_top"))
+    months = months.withColumn("_past", F.max("_top").over(Window.partitionBy(*keys).orderBy("_m").rowsBetween(*before))).drop("_top")
+    seen = inner.join(months, [*keys, "_m"], "left").withColumn("_at", F.greatest("_in", "_past"))
+    kind = F.when(F.col("end") < F.col("start"), "inverted").when(F.col("_at.to") > F.col("start"), "overlap")
+    return seen.withColumn("violation", kind).where(F.col("violation").isNotNull()).select(
+        *intervals.columns, F.col("_at.by").alias("earlier"), F.col("_at.to").alias("reached"), "violation")

@@ -43,3 +43,14 @@ def relations(spark: SparkSession, sf_dir: str, gaz: DataFrame) -> DataFrame:
 
 def iso(column: str, name: str | None = None):
     return F.date_format(column, "yyyy-MM-dd HH:mm:ss").alias(name or column)
+
+
+def digest(*columns):
+    """Aggregate: sum of 32-bit codes of the rows' text, the same in any order."""
+    row = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("?")) for c in columns])
+    return F.sum(F.conv(F.substring(F.md5(row), 1, 8), 16, 10).cast("bigint")).alias("digest")
+
+
+def digest_sql(*columns):
+    row = "concat_ws('|', " + ", ".join(f"coalesce(({c})::VARCHAR, '?')" for c in columns) + ")"
+    return f"sum(('0x' || substring(md5({row}), 1, 8))::BIGINT)::BIGINT AS digest"

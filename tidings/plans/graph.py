@@ -99,12 +99,12 @@ def graph_route(spark, sf):
 
 def partners(spark, sf):
     members = _T(spark, sf, "supplier").select(tables._key("s:", "s_suppkey").alias("id"))
-    p = graph.partners(tables.awards(spark, sf), members, "AWARDS")
-    return p.groupBy("id").agg(F.count("*").alias("partners"), F.min("partner").alias("first"), F.max("partner").alias("last"))
+    return graph.partners(tables.awards(spark, sf), members, "AWARDS")
 
 
 def two_hop(spark, sf):
-    seeds = (_T(spark, sf, "supplier").orderBy(F.desc("s_acctbal"), "s_suppkey").limit(3).select(tables._key("s:", "s_suppkey").alias("seed")))
+    """Everything within two steps of each region: its nations, and their parties."""
+    seeds = _T(spark, sf, "region").select(tables._key("r:", "r_regionkey").alias("seed"))
     return graph.neighbourhood(tables.edges(spark, sf), seeds, 2)
 
 
@@ -159,6 +159,12 @@ def enriched_search_doc(spark, sf):
     return graph.document_network(materialize(found, "mentions"), materialize(adj.select("src", "dst", "type"), "relations"))
 
 
+def document_lists(spark, sf):
+    gaz, found = common.found(spark, sf)
+    adj = common.relations(spark, sf, gaz)
+    return graph.document_lists(found, adj.select("src", "dst", "type"))
+
+
 def entity_resolution(spark, sf):
     """Every long word of the corpus against the alias table, with the number
     of documents that support it."""
@@ -185,7 +191,7 @@ def index_graph_sync(spark, sf):
 QUERIES = {f.__name__: f for f in (
     graph_docs_upsert, graph_entities_upsert, graph_mentions, graph_relations_upsert, graph_update_stats, graph_constraint,
     graph_route, partners, two_hop, centrality_degree, pagerank_5, components, components_all, shortest_path,
-    density_relevance, relation_strength, team_views, enriched_search_doc, entity_resolution, entity_provenance, index_graph_sync)}
+    density_relevance, relation_strength, team_views, enriched_search_doc, document_lists, entity_resolution, entity_provenance, index_graph_sync)}
 
 _ADJ = """
 und AS MATERIALIZED (SELECT DISTINCT a, b FROM (SELECT src AS a, dst AS b FROM {e} UNION ALL SELECT dst, src FROM {e}) WHERE a <> b)
@@ -220,6 +226,8 @@ def _bfs(depth=4):
     return ",\n".join(parts)
 
 
+_LETTERS = "(" + " + ".join(f"CASE WHEN contains({{0}}, '{chr(97 + i)}') THEN {1 << i} ELSE 0 END" for i in range(26)) + ")::BIGINT"
+
 ORACLES = {
     "graph_docs_upsert": with_(ARTICLES, """
 u AS (SELECT doc_id AS id, source, published_at, ingestion_timestamp AS lu FROM articles
@@ -249,10 +257,9 @@ SELECT (SELECT count(*) FROM mentions) AS nodes, (SELECT count(*) FROM mentions
 sup AS (SELECT query_id, entity_id, alias, count(*) AS hits, min(rank) AS best_rank FROM hyb JOIN mentions USING (doc_num) GROUP BY ALL),
 rr AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY hits DESC, best_rank, alias) AS position FROM sup)""", body="""
 SELECT query_id, alias, hits, best_rank, position FROM rr WHERE position <= 20"""),
-    "partners": """SELECT 's:' || l_suppkey AS id, count(DISTINCT o_custkey) AS partners, min('c:' || o_custkey) AS first, max('c:' || o_custkey) AS last
-FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1""",
+    "partners": """SELECT DISTINCT 's:' || l_suppkey AS id, 'c:' || o_custkey AS partner FROM orders JOIN lineitem ON o_orderkey = l_orderkey""",
     "two_hop": with_(EDGES, _ADJ.format(e="edges"), """
-h0 AS MATERIALIZED (SELECT 's:' || s_suppkey AS seed FROM supplier ORDER BY s_acctbal DESC, s_suppkey LIMIT 3),
+h0 AS MATERIALIZED (SELECT 'r:' || r_regionkey AS seed FROM region),
 h1 AS MATERIALIZED (SELECT seed, b AS id FROM h0 JOIN und ON a = seed),
 h2 AS (SELECT DISTINCT seed, b AS id FROM h1 JOIN und ON a = id WHERE b <> seed)""", body="""
 SELECT seed, seed AS id, 0 AS hop FROM h0 UNION ALL SELECT seed, id, 1 FROM h1
@@ -292,11 +299,19 @@ SELECT doc_num, entities, coalesce(partners, 0) AS partners, coalesce(competitor
   coalesce(connections, 0)::BIGINT AS connections, least(coalesce(connections, 0) / 10.0::DOUBLE, 1.0::DOUBLE) AS network_relevance_score,
   CASE WHEN entities > 1 THEN round(coalesce(pairs, 0) * 2.0::DOUBLE / (entities * (entities - 1)), 6) ELSE 0 END AS relationship_density
 FROM sums LEFT JOIN lists USING (doc_num) LEFT JOIN ins USING (doc_num)"""),
+    "document_lists": with_(TOKENS, GAZETTEER, OCCURRENCES, """
+kinds AS (SELECT src, dst, CASE WHEN type = 'PARTNERS_WITH' THEN 'partners' WHEN type = 'COMPETES_WITH' THEN 'competitors'
+  WHEN type IN ('USES', 'DEVELOPS', 'SUPPLIES') THEN 'supply' END AS kind FROM adj)""", body="""
+SELECT DISTINCT doc_num, kind, other FROM mentions JOIN (SELECT kind, src AS id, dst AS other FROM kinds UNION ALL SELECT kind, dst, src FROM kinds) n
+ON alias = n.id WHERE kind IS NOT NULL"""),
+    # two edits change at most four letters of the set a word is made of: a cheap test before the distance
     "entity_resolution": with_(TOKENS, GAZETTEER, """
-names AS (SELECT term AS name, count(*) AS docs FROM postings WHERE regexp_full_match(term, '[a-z]{8,}') GROUP BY 1),
-near AS (SELECT name, alias, entity_id, levenshtein(name, alias) AS distance FROM names JOIN gaz ON substring(name, 1, 1) = substring(alias, 1, 1)
-  AND abs(length(name) - length(alias)) <= 2 WHERE levenshtein(name, alias) <= 2)""", body="""
-SELECT name, alias, entity_id, distance::INT AS distance, docs FROM near JOIN names USING (name)
+names AS MATERIALIZED (SELECT term AS name, count(*) AS docs, """ + _LETTERS.format("term") + """ AS letters FROM postings
+  WHERE regexp_full_match(term, '[a-z]{8,}') GROUP BY 1),
+known AS MATERIALIZED (SELECT alias, entity_id, """ + _LETTERS.format("alias") + """ AS letters FROM gaz),
+near AS (SELECT name, alias, entity_id, docs, CASE WHEN bit_count(xor(n.letters, k.letters)) <= 4 THEN levenshtein(name, alias) ELSE 9 END AS distance
+  FROM names n JOIN known k ON abs(length(name) - length(alias)) <= 2)""", body="""
+SELECT name, alias, entity_id, distance::INT AS distance, docs FROM near WHERE distance <= 2
 QUALIFY row_number() OVER (PARTITION BY name ORDER BY distance, alias, entity_id) = 1"""),
     "entity_provenance": with_(TOKENS, GAZETTEER, body="SELECT entity_id, source, count(*) AS docs FROM mentions JOIN documents ON doc_num = doc_id GROUP BY 1, 2"),
     "index_graph_sync": """SELECT doc_id AS id, 'index' AS missing_in FROM documents WHERE doc_id NOT IN (SELECT vec_id FROM embeddings)

@@ -142,22 +142,19 @@ def relevance_mart(spark, sf):
 
 
 def sector_tags(spark, sf):
+    """Tags by keyword: the fixed lists, and the words of the benchmark items dealt into five."""
     docs = common.tokenised(spark, sf)
-    # keyword lists with hits in this corpus: its 40 most frequent words, dealt into five lists
-    frequent = materialize(search.document_frequencies(docs).orderBy(F.desc("df"), "term").limit(40)
-                           .select(F.col("term").alias("keyword"),
-                                   F.concat(F.lit("list_"), (F.length("term") % 5).cast("string")).alias("tag")), "keywords")
-    hits = clean.word_tags(docs, frequent.unionByName(clean.keyword_table(spark))).unionByName(
+    word = F.explode(text.tokens(F.col("text")))
+    listed = materialize(tables.table(spark, sf, "benchmark").select(word.alias("keyword")).distinct()
+                         .select("keyword", F.concat(F.lit("list_"), (F.length("keyword") % 5).cast("string")).alias("tag")), "keywords")
+    hits = clean.word_tags(docs, listed.unionByName(clean.keyword_table(spark))).unionByName(
         clean.phrase_tags(common.text_articles(spark, sf))).distinct()
     per_doc = hits.groupBy("doc_num").agg(text.joined(F.collect_list("tag")).alias("tags"))
     return per_doc.groupBy("tags").agg(F.count("*").alias("docs"))
 
 
-ROUTE_WORDS = ("that", "with", "pour", "und") + vocab.ROUTE_TERMS
-
-
 def content_router(spark, sf):
-    return (clean.route(tables.articles(spark, sf), ROUTE_WORDS).groupBy("lang")
+    return (clean.route(tables.articles(spark, sf)).groupBy("lang")
             .agg(F.count_if("matched").alias("matched"), F.count_if(~F.col("matched")).alias("unmatched")))
 
 
@@ -289,8 +286,8 @@ SELECT article_id, source_name, round(score, 6) AS final_relevance_score,
        tech AS technologies
 FROM scored WHERE score > 0"""),
     "sector_tags": with_(TOKENS, """
-frequent AS (SELECT term, 'list_' || (length(term) % 5) AS tag FROM
-  (SELECT term FROM postings GROUP BY term ORDER BY count(*) DESC, term LIMIT 40)),
+frequent AS (SELECT DISTINCT term, 'list_' || (length(term) % 5) AS tag FROM
+  (SELECT unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS term FROM benchmark)),
 lines AS (SELECT doc_num, ' ' || array_to_string(tokens, ' ') || ' ' AS line FROM toks)""",
                          "kw AS (SELECT * FROM " + _SECTORS + " t(tag, keyword))", """
 hits AS (
@@ -298,7 +295,7 @@ hits AS (
   UNION SELECT DISTINCT doc_num, tag FROM lines JOIN kw ON contains(line, keyword)),
 per_doc AS (SELECT doc_num, string_agg(tag, ',' ORDER BY tag) AS tags FROM hits GROUP BY 1)""", body="""
 SELECT tags, count(*) AS docs FROM per_doc GROUP BY 1"""),
-    "content_router": with_("m AS (SELECT lang, regexp_matches(text, '" + text.any_of(ROUTE_WORDS) + "') AS matched FROM documents)", body="""
+    "content_router": with_("m AS (SELECT lang, regexp_matches(text, '" + text.any_of(vocab.ROUTE_TERMS) + "') AS matched FROM documents)", body="""
 SELECT lang, count(*) FILTER (matched) AS matched, count(*) FILTER (NOT matched) AS unmatched FROM m GROUP BY 1"""),
     "lookback_filter": with_(ARTICLES, body="""
 SELECT source, count(*) AS n, strftime(min(published_at), '%Y-%m-%d %H:%M:%S') AS oldest FROM articles

@@ -115,7 +115,10 @@ def document_scan(spark, sf):
 
 
 def file_inventory(spark, sf):
-    return landing.inventory(tables.configure(spark), sf).select(F.regexp_extract("path", "([^/]+)$", 1).alias("file"), "length")
+    """Tables found in the folder by listing, with their rows."""
+    found = landing.inventory(tables.configure(spark), sf).select(F.regexp_extract("path", "([^/]+[.]parquet)(/[^/]+)?$", 1).alias("file")).distinct()
+    names = [r[0] for r in found.orderBy("file").collect()]   # one per table of the folder
+    return ingest.union_all(*[spark.read.parquet(f"{sf}/{n}").agg(F.lit(n).alias("file"), F.count("*").alias("n")) for n in names])
 
 
 def sinks_roundtrip(spark, sf):
@@ -137,27 +140,77 @@ def sinks_roundtrip(spark, sf):
     files.write_batch(files.search_documents(emb), p["index"], 0)
     files.write_batch(files.search_documents(emb.where(F.col("topic_key") == "t1").withColumn("title", F.lit("updated"))), p["index"], 1)
     files.write_topic_exports(ingest.export_rows(tables.raw_items(spark, sf)), p["exports"])
-    files.append_summary(ingest.run_summary(log), p["runs"])
-    files.append_summary(ingest.run_summary(log), p["runs"])
+    for run, day in (("1", "2024-01-01"), ("2", "2024-01-02"), ("2", "2024-01-02")):   # the second run is retried
+        files.write_summary(ingest.run_summary(log), p["runs"], run, day)
     latest = files.read_latest(spark, p["index"], "doc_id")
-    def rows(name, df, extra):
-        return df.agg(F.lit(name).alias("sink"), F.count("*").alias("n"), F.sum(extra).cast("bigint").alias("check"))
-    long = F.col("doc_id").isNotNull().cast("bigint")
+    def rows(name, df, *content):
+        return df.agg(F.lit(name).alias("sink"), F.count("*").alias("n"), common.digest(*content))
+    text_of = ("doc_id", "title", "content")
     return ingest.union_all(
-        rows("raw", spark.read.schema(schemas.ARTICLE_15).json(p["raw"]), F.length("content")),
-        rows("articles", files.read_articles(spark, p["articles"]), F.length("content")),
-        rows("combined", spark.read.parquet(p["combined"]), F.length("content")),
-        rows("enriched", files.read_enriched(spark, p["enriched"]), F.size("entities")),
-        rows("objects", objects, F.col("entity_count")),
-        rows("index", latest, (F.col("title") == "updated").cast("bigint")),
-        rows("exports", spark.read.json(p["exports"], schema="doc_id string, content string"), F.length("content")),
-        rows("runs", spark.read.parquet(p["runs"]).withColumn("doc_id", F.lit("x")), long))
-
-
-QUERIES = {f.__name__: f for f in (landing_sources, feed_since, parquet_reads, document_scan, file_inventory, sinks_roundtrip)}
+        rows("raw", spark.read.schema(schemas.ARTICLE_15).json(p["raw"]), *text_of),
+        rows("articles", files.read_articles(spark, p["articles"]), *text_of),
+        rows("combined", spark.read.parquet(p["combined"]), *text_of),
+        rows("enriched", files.read_enriched(spark, p["enriched"]).select("doc_id", F.array_join(F.array_sort("entities"), ",").alias("names")), "doc_id", "names"),
+        rows("objects", objects, "document_id", "entity_count"),
+        rows("index", latest, "doc_id", "title"),
+        rows("exports", spark.read.json(p["exports"], schema="doc_id string, content string"), "content"),
+        rows("runs", spark.read.parquet(p["runs"]), "run_date"))
+
+
+def daily_sinks(spark, sf):
+    """Two days through the raw landing, the article tables and the exports,
+    the first day sent twice: each day is there once."""
+    a = tables.articles(spark, sf).drop("doc_num", "lang")
+    items = tables.raw_items(spark, sf)
+    p = {n: scratch(spark, n) for n in ("raw", "articles", "exports")}
+    early = lambda c: F.date_format(c, "yyyy-MM-dd") < "2024-01-16"
+    for first in (True, False, True):
+        some = a.where(early("ingestion_timestamp") if first else ~early("ingestion_timestamp"))
+        files.write_raw_json(some, p["raw"])
+        files.write_articles(some, p["articles"])
+        files.write_topic_exports(ingest.export_rows(items.where(early("fetched_at") if first else ~early("fetched_at"))), p["exports"])
+    def of(name, df, day):
+        return df.groupBy(F.lit(name).alias("sink"), day.alias("day")).agg(F.count("*").alias("n"), common.digest("content"))
+    day = F.date_format("ingestion_timestamp", "yyyyMMdd")
+    exports = spark.read.schema("doc_id string, content string, topic_slug string, day string").json(p["exports"])
+    return ingest.union_all(of("raw", spark.read.schema(schemas.ARTICLE_15).json(p["raw"]), day),
+                            of("articles", files.read_articles(spark, p["articles"]), day), of("exports", exports, F.col("day")))
+
+
+def index_versions(spark, sf):
+    """One index, four deltas: two writers that number their batches alike, a
+    batch with two versions of its keys, and a delta after compaction."""
+    a = tables.articles(spark, sf)
+    def rows(title, hours, which):
+        emb = a.where(which).withColumn("embedding", F.array(F.lit(0.0))).withColumn("title", F.lit(title)).withColumn(
+            "ingestion_timestamp", F.col("ingestion_timestamp") + F.make_interval(hours=F.lit(hours)))
+        return files.search_documents(emb)
+    n, by = F.col("doc_num"), "ingestion_timestamp"
+    root, folded = scratch(spark, "index"), scratch(spark, "folded")
+    sent = [files.write_batch(rows("first", 0, n >= 0), root, 0, "a"),
+            files.write_batch(rows("other writer", 1, n % 2 == 0), root, 0, "b"),
+            files.write_batch(rows("older", 2, n % 3 == 0).unionByName(rows("newer", 3, n % 3 == 0)), root, 1, "a")]
+    files.compact(spark, root, folded, "doc_id", order=by)
+    sent += [files.write_batch(rows("after", 4, n % 5 == 0), folded, 0, "a"), files.write_batch(rows("late", -9, n % 7 == 0), folded, 0, "c")]
+    latest = files.read_latest(spark, folded, "doc_id", order=by)
+    return latest.groupBy("title").agg(F.count("*").alias("n"), common.digest("doc_id", "content"), F.lit(sum(sent)).cast("bigint").alias("sent"))
+
+
+def rejected_lines(spark, sf):
+    """Query results read = kept + rejected, and the lines that were not JSON."""
+    root = scratch(spark, "landing-newsapi")
+    land_queries(spark, sf, root)
+    bad = landing.rejected_lines(spark, root)
+    return bad.groupBy(F.regexp_extract("line", '"query": "([^"]*)"', 1).alias("query")).agg(F.count("*").alias("rejected"))
+
+
+QUERIES = {f.__name__: f for f in (landing_sources, feed_since, parquet_reads, document_scan, file_inventory, sinks_roundtrip,
+                                    daily_sinks, index_versions, rejected_lines)}
 
 _PAGE_TITLE = r"trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '[ \t\n\x0B\f\r]+', ' ', 'g'))"
 
+_TEXT = common.digest_sql("doc_id", "title", "content")
+
 ORACLES = {
     "landing_sources": with_(ARTICLES, RAW, body=r"""
 SELECT 'topics' AS plugin, 'news_article' AS source_type, count(*) AS n, count(DISTINCT id) AS ids, count(*) AS dated, sum(length(body))::BIGINT AS chars,
@@ -179,13 +232,28 @@ UNION ALL SELECT 'glob', topic_key, count(*), min(doc_id) FROM articles WHERE st
 UNION ALL SELECT 'array', topic_key, count(*), min(doc_id) FROM articles GROUP BY 2"""),
     "document_scan": with_(ARTICLES, body="""
 SELECT source, count(*) AS documents, sum(length(title) + 2 + length(content))::BIGINT AS chars, min(doc_id) AS first FROM articles WHERE content <> '' GROUP BY 1"""),
-    "sinks_roundtrip": with_(ARTICLES, TOKENS, GAZETTEER, body="""
-SELECT 'raw' AS sink, count(*) AS n, sum(length(content))::BIGINT AS "check" FROM articles
-UNION ALL SELECT 'articles', count(*), sum(length(content))::BIGINT FROM articles
-UNION ALL SELECT 'combined', count(*), sum(length(content))::BIGINT FROM articles WHERE topic_key <> 't2'
-UNION ALL SELECT 'enriched', (SELECT count(*) FROM documents), count(*) FROM mentions
-UNION ALL SELECT 'objects', (SELECT count(*) FROM documents), count(*) FROM mentions
-UNION ALL SELECT 'index', count(*), count(*) FILTER (topic_key = 't1') FROM articles
-UNION ALL SELECT 'exports', count(*), sum(length(content))::BIGINT FROM articles
-UNION ALL SELECT 'runs', 2, 2"""),
+    "sinks_roundtrip": with_(ARTICLES, TOKENS, GAZETTEER, """
+names AS (SELECT 'doc_' || doc_id AS doc_id, coalesce(x, '') AS names, coalesce(n, 0) AS n FROM documents LEFT JOIN (
+  SELECT doc_num, string_agg(alias, ',' ORDER BY alias) AS x, count(*) AS n FROM mentions GROUP BY 1) m ON doc_num = doc_id)""", body=f"""
+SELECT 'raw' AS sink, count(*) AS n, {_TEXT} FROM articles
+UNION ALL SELECT 'articles', count(*), {_TEXT} FROM articles
+UNION ALL SELECT 'combined', count(*), {_TEXT} FROM articles WHERE topic_key <> 't2'
+UNION ALL SELECT 'enriched', count(*), {common.digest_sql('doc_id', 'names')} FROM names
+UNION ALL SELECT 'objects', count(*), {common.digest_sql('doc_id', 'n')} FROM names
+UNION ALL SELECT 'index', count(*), {common.digest_sql('doc_id', "CASE WHEN topic_key = 't1' THEN 'updated' ELSE coalesce(title, '') END")} FROM articles
+UNION ALL SELECT 'exports', count(*), {common.digest_sql('content')} FROM articles
+UNION ALL SELECT 'runs', 2, {common.digest_sql('d')} FROM (VALUES (DATE '2024-01-01'), (DATE '2024-01-02')) t(d)"""),
+    "daily_sinks": with_(ARTICLES, """
+r AS (SELECT doc_id, content, strftime(ingestion_timestamp, '%Y%m%d') AS day FROM articles)""", body="UNION ALL ".join(
+        f"SELECT '{sink}' AS sink, day, count(*) AS n, {common.digest_sql('content')} FROM r GROUP BY day " for sink in ("raw", "articles", "exports"))),
+    "index_versions": with_(ARTICLES, """
+v AS (SELECT *, CASE WHEN doc_num % 5 = 0 THEN 'after' WHEN doc_num % 3 = 0 THEN 'newer' WHEN doc_num % 2 = 0 THEN 'other writer' ELSE 'first' END AS t FROM articles),
+sent AS (SELECT (count(*) + count(*) FILTER (doc_num % 2 = 0) + 2 * count(*) FILTER (doc_num % 3 = 0) + count(*) FILTER (doc_num % 5 = 0)
+  + count(*) FILTER (doc_num % 7 = 0))::BIGINT AS sent FROM articles)""", body=f"""
+SELECT t AS title, count(*) AS n, {common.digest_sql('doc_id', 'content')}, (SELECT sent FROM sent) AS sent FROM v GROUP BY t"""),
+    "rejected_lines": "SELECT query, pages AS rejected FROM (" + " UNION ALL ".join(
+        f"""SELECT '{q.replace("'", "''")}' AS query, count(DISTINCT doc_id // {PAGE}) AS pages FROM documents
+WHERE doc_id % {len(vocab.NEWS_QUERIES)} = {i} OR (doc_id + 5) % {len(vocab.NEWS_QUERIES)} = {i}""" for i, q in enumerate(vocab.NEWS_QUERIES)) + ") WHERE pages > 0",
+    "file_inventory": " UNION ALL ".join(f"SELECT '{t}.parquet' AS file, count(*) AS n FROM {t}" for t in (
+        "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations").split()),
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidings import vocab
 from tidings.functions import text, vectors
 from tidings.operators import nlp
+from tidings.operators.ingest import union_all
 from tidings.plans import common
 from tidings.plans.sql import ARTICLES, EDGES, GAZETTEER, TOKENS, with_
 from tidings.sources import tables
@@ -85,20 +86,64 @@ def relation_rules(spark, sf):
     return nlp.relations(briefs(spark, sf), "id")
 
 
+def resolved_texts(docs):
+    """Texts with clusters and the coreference-resolved form, row by row."""
+    return docs.withColumn("clusters", nlp.pronoun_clusters("text")).withColumn("resolved", nlp.resolve_coreferences(F.col("text"), F.col("clusters")))
+
+
+def relations_resolved(spark, sf):
+    """Relations found after coreferences were resolved: each order line's
+    brief goes on about its subject as ``it``."""
+    said = briefs(spark, sf).select(F.col("id"), F.when(F.col("id").startswith("line"), F.concat("text", F.lit(" It acquires a part.")))
+                                    .otherwise(F.col("text")).alias("text"))
+    return nlp.relations(resolved_texts(said).select("id", F.col("resolved").alias("text")), "id")
+
+
+def given_names(spark, sf):
+    """Alias table from the given tables: party and part names, and the first
+    three words of each benchmark item."""
+    t = lambda name: tables.table(spark, sf, name)
+    def of(name, prefix, key, value):
+        return t(name).select(F.concat(F.lit(prefix), F.col(key).cast("string")).alias("entity_id"), F.col(value).alias("name"))
+    first = F.array_join(F.slice(text.tokens(F.col("text")), 1, 3), " ")
+    return union_all(of("nation", "n:", "n_nationkey", "n_name"), of("supplier", "s:", "s_suppkey", "s_name"),
+                     of("customer", "c:", "c_custkey", "c_name"), of("part", "p:", "p_partkey", "p_name"),
+                     t("benchmark").select(F.concat(F.lit("b:"), F.col("item_id").cast("string")).alias("entity_id"), first.alias("name")))
+
+
+def ner_aliases(spark, sf):
+    """Mentions of all given names in all texts."""
+    return nlp.alias_mentions(common.tokenised(spark, sf), given_names(spark, sf))
+
+
+def run_models(spark, sf):
+    """A model over all texts that fails on the batches holding a marked one:
+    failed batches are reported, the others counted."""
+    docs = tables.table(spark, sf, "documents").select(F.col("doc_id").alias("doc_num"), F.col("text"))
+
+    def upper(pdf):
+        if (pdf["doc_num"] % 97 == 5).any():
+            raise ValueError("marked text")
+        return pdf.assign(capitals=[sum(c.isupper() for c in t) for t in pdf["text"]])[["doc_num", "capitals"]]
+
+    # one row at a time, so the batch size of the session does not decide which rows fail
+    done = nlp.run_extractor(docs.select("doc_num", "text"), upper, "doc_num long, capitals long", rows=1)
+    return done.select("doc_num", "capitals", F.col("error").isNotNull().alias("failed"), "error")
+
+
 def coref_rewrite(spark, sf):
     docs = tables.spread(tables.table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
-    clusters = nlp.pronoun_clusters(docs, "doc_id")
-    done = docs.join(clusters, "doc_id", "left").withColumn("resolved", nlp.resolve_coreferences(F.col("text"), F.col("clusters")))
+    done = resolved_texts(docs)
     return done.select("doc_id", F.md5(F.coalesce("resolved", "text")).alias("resolved_md5"),
                        F.length(F.coalesce("resolved", "text")).cast("bigint").alias("chars"),
-                       F.coalesce(F.size(F.element_at("clusters", 1)) - 1, F.lit(0)).cast("bigint").alias("pronouns"))
+                       F.coalesce(F.size(F.try_element_at("clusters", F.lit(1))) - 1, F.lit(0)).cast("bigint").alias("pronouns"))
 
 
 def consolidate_nlp(spark, sf):
     _, found = common.found(spark, sf)
     docs = tables.spread(tables.table(spark, sf, "documents").select(F.col("doc_id").alias("doc_num"), F.col("text")), "doc_num")
     ents = found.groupBy("doc_num").agg(F.array_sort(F.collect_list("alias")).alias("entities"))
-    coref = nlp.pronoun_clusters(docs, "doc_num").select("doc_num", F.col("clusters").alias("coreferences"))
+    coref = docs.select("doc_num", nlp.pronoun_clusters("text").alias("coreferences"))
     rel = nlp.relations(docs, "doc_num").groupBy("doc_num").agg(F.collect_list(F.struct("source_entity", "target_entity", "relation_type")).alias("relations"))
     out = nlp.consolidate(docs.select("doc_num"), ents, coref, rel)
     return out.select("doc_num", F.size("entities").cast("bigint").alias("entities"), F.size("coreferences").cast("bigint").alias("clusters"),
@@ -129,7 +174,7 @@ def node_embeddings(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     ner_gazetteer, entities_by_type, graph_extract, nlp_summary, vocab_filter, relation_rules, coref_rewrite,
-    consolidate_nlp, entity_texts, node_embeddings)}
+    consolidate_nlp, entity_texts, node_embeddings, relations_resolved, ner_aliases, run_models)}
 
 OCCURRENCES = """
 occ AS (SELECT s.doc_num, s.pos, g.alias, g.type FROM seq s JOIN gaz g ON s.term = g.alias),
@@ -198,6 +243,25 @@ SELECT (SELECT count(*) FROM documents) AS documents, (SELECT count(DISTINCT doc
 SELECT type, count(*) AS "all", count(*) FILTER (type IN ({_ALLOWED})) AS strict FROM u GROUP BY 1"""),
     "relation_rules": with_(_BRIEFS, _rules("briefs", "id"), body="""
 SELECT id, trim(s) AS source_entity, trim(t) AS target_entity, relation_type, 0.8::DOUBLE AS confidence, e AS evidence_text FROM rules"""),
+    "relations_resolved": with_(_BRIEFS, "said AS MATERIALIZED (SELECT row_number() OVER () AS r, id, CASE WHEN starts_with(id, 'line') THEN text || ' It acquires a part.' ELSE text END AS text FROM briefs)",
+                                _PIECES.replace("documents", "said").replace("doc_id", "r"), f"""
+whole AS (SELECT r, string_agg(CASE WHEN lower(piece) IN ({_PRONOUNS}) AND pos <> main_pos THEN main ELSE piece END, '' ORDER BY pos) AS text
+  FROM pieces LEFT JOIN main USING (r) GROUP BY 1),
+resolved AS (SELECT id, whole.text FROM whole JOIN said USING (r))""", _rules("resolved", "id"), body="""
+SELECT id, trim(s) AS source_entity, trim(t) AS target_entity, relation_type, 0.8::DOUBLE AS confidence, e AS evidence_text FROM rules"""),
+    "ner_aliases": with_(TOKENS, r"""
+given AS (SELECT 'n:' || n_nationkey AS entity_id, n_name AS name FROM nation UNION ALL SELECT 's:' || s_suppkey, s_name FROM supplier
+  UNION ALL SELECT 'c:' || c_custkey, c_name FROM customer UNION ALL SELECT 'p:' || p_partkey, p_name FROM part
+  UNION ALL SELECT 'b:' || item_id, array_to_string(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')[1:3], ' ') FROM benchmark),
+keyed AS (SELECT DISTINCT entity_id, name, array_to_string(regexp_extract_all(lower(name), '[\p{L}\p{N}]+'), ' ') AS gram,
+  len(regexp_extract_all(lower(name), '[\p{L}\p{N}]+')) AS n FROM given),
+grams AS (SELECT s.doc_num, array_to_string(t.tokens[s.pos:s.pos + k.n - 1], ' ') AS gram FROM seq s JOIN toks t USING (doc_num)
+  JOIN (SELECT DISTINCT n, split_part(gram, ' ', 1) AS head FROM keyed) k ON k.head = s.term
+  WHERE s.pos + k.n - 1 <= len(t.tokens))""", body="""
+SELECT doc_num, entity_id, name, count(*) AS tf FROM grams JOIN keyed USING (gram) GROUP BY ALL"""),
+    "run_models": r"""
+SELECT doc_id AS doc_num, CASE WHEN doc_id % 97 <> 5 THEN len(regexp_extract_all(text, '\p{Lu}')) END::BIGINT AS capitals, doc_id % 97 = 5 AS failed,
+  CASE WHEN doc_id % 97 = 5 THEN 'ValueError: marked text' END AS error FROM documents""",
     "coref_rewrite": with_(_PIECES, body=f"""
 SELECT doc_id, md5(string_agg(x, '' ORDER BY pos)) AS resolved_md5, sum(length(x))::BIGINT AS chars, coalesce(sum(p), 0)::BIGINT AS pronouns FROM (
   SELECT doc_id, pos, CASE WHEN lower(piece) IN ({_PRONOUNS}) AND pos <> main_pos THEN main ELSE piece END AS x,

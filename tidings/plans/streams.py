@@ -24,7 +24,7 @@ def _land_articles(spark, sf):
 
 
 def _index_rows(spark, root):
-    ix = files.read_latest(spark, root, "doc_id")
+    ix = files.read_latest(spark, root, "doc_id", order="ingestion_timestamp")
     return ix.select("doc_id", F.md5("content").alias("content_md5"), "url", common.iso("published_at"),
                      F.size("content_vector").cast("bigint").alias("dims"), F.round(vectors.norm(F.col("content_vector")), 6).alias("norm"))
 
@@ -59,7 +59,8 @@ def stream_graph(spark, sf):
     stream = configure(spark).readStream.schema(schemas.ENRICHED).json(src)
     flows.graph_updates(stream, root, chk)
     parts = flows.read_graph(spark, root)
-    out = [df.agg(F.lit(n).alias("part"), F.count("*").alias("n")) for n, df in zip(("documents", "entities", "mentions", "edges"), parts)]
+    content = {"documents": ("id", "source"), "entities": ("id",), "mentions": ("doc_id", "entity_id"), "edges": ("src", "dst", "type")}
+    out = [df.agg(F.lit(n).alias("part"), F.count("*").alias("n"), common.digest(*content[n])) for n, df in zip(content, parts)]
     return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
 
 
@@ -73,15 +74,26 @@ def _drained(spark, df, keys, mode="update"):
     return files.read_latest(spark, root, *keys)
 
 
+def _counted(spark, sf, count, *keys):
+    """Counts of the events in two runs over one checkpoint: the file of the
+    second run holds the older half of the events."""
+    src, root, chk = scratch(spark, "events"), scratch(spark, "counts"), scratch(spark, "chk")
+    ev = tables.table(spark, sf, "events")
+    middle = ev.agg(F.expr("percentile_approx(event_id, 0.5)")).scalar()
+    for half in (F.col("event_id") > middle, F.col("event_id") <= middle):
+        ev.where(half).write.mode("append").parquet(src)
+        flows.keep_counts(flows.run_events(flows.file_stream(configure(spark), schemas.EVENTS, src)), count, root, chk)
+    return flows.summed(spark, root, *keys)
+
+
 def stream_threshold(spark, sf):
     """Windows of 60 seconds with at least one completed run per resource."""
-    out = _drained(spark, flows.threshold_windows(_events(spark, sf)), ["start", "resource"])
+    out = _counted(spark, sf, flows.threshold_windows, "start", "resource")
     return out.where("events >= 1").select(common.iso("start"), "resource", "events")
 
 
 def stream_daily(spark, sf):
-    out = _drained(spark, flows.daily_summary(_events(spark, sf)), ["start"])
-    return out.select(common.iso("start"), "runs", "completed", "failed")
+    return _counted(spark, sf, flows.daily_summary, "start").select(common.iso("start"), "runs", "completed", "failed")
 
 
 def stream_alert(spark, sf):
@@ -89,10 +101,9 @@ def stream_alert(spark, sf):
 
 
 def stream_dedup(spark, sf):
-    """One fetch per arguments and hour."""
-    ev = _events(spark, sf).withColumn("hour", F.date_trunc("hour", "occurred"))
-    out = _drained(spark, flows.dedupe_fetches(ev, "user_id", "state", "hour"), ["key"], "append")
-    return out.select("key", "user_id", "state", common.iso("hour"))
+    """Fetches by user and state that are not repeated within an hour of the last one kept."""
+    out = _drained(spark, flows.dedupe_fetches(_events(spark, sf), "user_id", "state"), ["event_id"], "append")
+    return out.select("event_id", "key", "user_id", "state", common.iso("occurred"))
 
 
 QUERIES = {f.__name__: f for f in (stream_ingest_index, stream_catchup, stream_graph, stream_threshold, stream_daily, stream_alert, stream_dedup)}
@@ -109,9 +120,11 @@ SELECT doc_id, md5(content) AS content_md5, link AS url, strftime(published_at,
     "stream_catchup": with_(ARTICLES, body="""
 SELECT 1::BIGINT AS run, count(*) AS rows, count(DISTINCT doc_id) AS docs FROM articles WHERE topic_key IN ('t0', 't1')
 UNION ALL SELECT 2, count(*), count(DISTINCT doc_id) FROM articles"""),
-    "stream_graph": with_(TOKENS, GAZETTEER, OCCURRENCES, body="""
-SELECT 'documents' AS part, count(*) AS n FROM documents UNION ALL SELECT 'entities', count(DISTINCT alias) FROM mentions
-UNION ALL SELECT 'mentions', count(*) FROM mentions UNION ALL SELECT 'edges', count(*) FROM (SELECT DISTINCT src, dst, type FROM adj)"""),
+    "stream_graph": with_(TOKENS, GAZETTEER, OCCURRENCES, body=f"""
+SELECT 'documents' AS part, count(*) AS n, {common.digest_sql("'doc_' || doc_id", "source")} FROM documents
+UNION ALL SELECT 'entities', count(*), {common.digest_sql("alias")} FROM (SELECT DISTINCT alias FROM mentions)
+UNION ALL SELECT 'mentions', count(*), {common.digest_sql("'doc_' || doc_num", "alias")} FROM mentions
+UNION ALL SELECT 'edges', count(*), {common.digest_sql("src", "dst", "type")} FROM (SELECT DISTINCT src, dst, type FROM adj)"""),
     "stream_threshold": with_(_RUNS, body="""
 SELECT strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:%S') AS start, resource, count(*) AS events FROM runs WHERE state = 'Completed' GROUP BY 1, 2"""),
     "stream_daily": with_(_RUNS, body="""
@@ -120,7 +133,11 @@ SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS start, count(*) A
     "stream_alert": with_(_RUNS, body="""
 SELECT event_id, 'Ingestion Failed' AS subject, 'Flow: ' || resource || chr(10) || 'Run: ' || event_id || chr(10) || 'Time: ' || strftime(ts, '%Y-%m-%d %H:%M:%S') AS body
 FROM runs WHERE state = 'Failed'"""),
-    "stream_dedup": with_(_RUNS, body="""
-SELECT DISTINCT md5(user_id || '|' || state || '|' || strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S')) AS key, user_id, state,
-  strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour FROM runs"""),
+    "stream_dedup": with_(_RUNS, """
+kept AS (
+  SELECT user_id, state, min(ts) AS ts FROM runs GROUP BY 1, 2
+  UNION ALL SELECT k.user_id, k.state, min(r.ts) FROM kept k JOIN runs r ON r.user_id = k.user_id AND r.state = k.state AND r.ts >= k.ts + INTERVAL 1 HOUR
+  GROUP BY k.user_id, k.state, k.ts)""", body="""
+SELECT min(event_id) AS event_id, md5(user_id || '|' || state) AS key, user_id, state, strftime(ts, '%Y-%m-%d %H:%M:%S') AS occurred
+FROM kept JOIN runs USING (user_id, state, ts) GROUP BY user_id, state, ts"""),
 }

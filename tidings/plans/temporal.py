@@ -69,7 +69,7 @@ def _terms(spark, sf):
 def interval_overlaps(spark, sf):
     out = temporal.overlaps(_terms(spark, sf), ["subject"])
     return out.select("subject", "object", F.date_format("start", "yyyy-MM-dd").alias("start"), F.date_format("end", "yyyy-MM-dd").alias("end"),
-                      "next_object", F.date_format("next_start", "yyyy-MM-dd").alias("next_start"), "violation")
+                      "earlier", F.date_format("reached", "yyyy-MM-dd").alias("reached"), "violation")
 
 
 QUERIES = {f.__name__: f for f in (relation_trend, relation_lifecycle, relation_asof, relation_bitemporal, conflict_resolve, confidence_merge, interval_overlaps)}
@@ -80,7 +80,10 @@ life AS (SELECT subject, object, ts AS start, lead(ts) OVER (PARTITION BY subjec
 """
 
 ORACLES = {
-    "relation_trend": with_(EDGES, "c AS (SELECT type, date_trunc('month', ts) AS p, count(*) AS n FROM edges WHERE ts IS NOT NULL GROUP BY 1, 2)", body="""
+    "relation_trend": with_(EDGES, """
+k AS (SELECT type, date_trunc('month', ts) AS p, count(*) AS n FROM edges WHERE ts IS NOT NULL GROUP BY 1, 2),
+cal AS (SELECT type, unnest(generate_series(min(p)::TIMESTAMP, max(p)::TIMESTAMP, INTERVAL 1 MONTH)) AS p FROM k GROUP BY 1),
+c AS (SELECT cal.type, cal.p, coalesce(n, 0) AS n FROM cal LEFT JOIN k ON k.type = cal.type AND k.p = cal.p)""", body="""
 SELECT type, strftime(p, '%Y-%m') AS period, n, n - lag(n) OVER (PARTITION BY type ORDER BY p) AS change FROM c"""),
     "relation_lifecycle": with_(EDGES, _LIFE, body="""
 SELECT subject, object, strftime(start, '%Y-%m-%d') AS start, strftime(end_, '%Y-%m-%d') AS "end" FROM life"""),
@@ -104,7 +107,7 @@ SELECT strftime(d, '%Y-%m-%d') AS as_of, subject, object, strftime(start, '%Y-%m
 GROUP BY 1""",
     "interval_overlaps": with_(EDGES, """
 terms AS (SELECT dst AS subject, src AS object, min(ts) AS s, max(ts) AS e FROM supplies GROUP BY 1, 2),
-nx AS (SELECT *, lead(s) OVER w AS ns, lead(object) OVER w AS no FROM terms WINDOW w AS (PARTITION BY subject ORDER BY s, object))""", body="""
-SELECT subject, object, strftime(s, '%Y-%m-%d') AS start, strftime(e, '%Y-%m-%d') AS "end", no AS next_object, strftime(ns, '%Y-%m-%d') AS next_start,
-  CASE WHEN e < s THEN 'inverted' ELSE 'overlap' END AS violation FROM nx WHERE e < s OR ns < e"""),
+nx AS (SELECT *, max(CASE WHEN e >= s THEN {'t': e, 'o': object} END) OVER (PARTITION BY subject ORDER BY s, object ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM terms)""", body="""
+SELECT subject, object, strftime(s, '%Y-%m-%d') AS start, strftime(e, '%Y-%m-%d') AS "end", r.o AS earlier, strftime(r.t, '%Y-%m-%d') AS reached,
+  CASE WHEN e < s THEN 'inverted' ELSE 'overlap' END AS violation FROM nx WHERE e < s OR r.t > s"""),
 }

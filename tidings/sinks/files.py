@@ -1,9 +1,12 @@
-"""File sinks.  Every write is an overwrite of what it owns, so a repeat of a
-failed job gives the same files."""
+"""File sinks.  Every write is an overwrite of what it owns (the days, the run
+or the batch it holds), so a repeat of a failed job gives the same files and
+nothing written by another is lost."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidings import schemas
@@ -19,14 +22,18 @@ def _dated(articles: DataFrame) -> DataFrame:
     return rows.hint("rebalance", "source_name", "date")
 
 
+def _by_day(rows: DataFrame, *folders: str):
+    """Writer that replaces only the folders present in ``rows``."""
+    return rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders)
+
+
 def write_raw_json(articles: DataFrame, root: str) -> None:
-    _dated(articles).write.mode("overwrite").partitionBy("source_name", "date").json(root)
+    _by_day(_dated(articles), "source_name", "date").json(root)
 
 
 def write_articles(articles: DataFrame, root: str) -> None:
     """Topic tables by source and day; only the days present are replaced."""
-    (_dated(articles).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("source_name", "date").parquet(root))
+    _by_day(_dated(articles), "source_name", "date").parquet(root)
 
 
 def read_articles(spark: SparkSession, *paths: str, base: str | None = None) -> DataFrame:
@@ -39,7 +46,8 @@ def scan_documents(spark: SparkSession, *paths: str) -> DataFrame:
     """Documents of article files: page content and metadata.
 
     Reads nine columns of rows with content (both reach the Parquet scan);
-    unreadable files are skipped and the others go on.
+    unreadable files are skipped and the others go on: ``skipped_files`` names
+    them.
     """
     rows = (spark.read.schema(schemas.ARTICLE_15).option("ignoreCorruptFiles", True).parquet(*paths)
             .where(F.col("content").isNotNull() & (F.col("content") != "")))
@@ -49,11 +57,26 @@ def scan_documents(spark: SparkSession, *paths: str) -> DataFrame:
                  F.coalesce("categories", F.array().cast("array<string>")).alias("categories")).alias("metadata"))
 
 
+def skipped_files(spark: SparkSession, *paths: str) -> DataFrame:
+    """path, length of the article files that gave no row: unreadable or empty.
+
+    Files are listed without their content and compared with those the same
+    scan read from; listed = read + skipped.
+    """
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(list(paths))
+              .select(F.col("path"), "length"))
+    read = (spark.read.schema(schemas.ARTICLE_15).option("ignoreCorruptFiles", True).parquet(*paths)
+            .select(F.col("_metadata.file_path").alias("path"), "doc_id", "content")
+            .groupBy("path").agg(F.max(F.xxhash64("doc_id", "content")).alias("code")).where(F.col("code") >= -(1 << 63)))   # reads the pages, not only footers
+    name = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    return listed.join(read.select(name(F.col("path")).alias("_read")), name(F.col("path")) == F.col("_read"), "left_anti")
+
+
 def combine_successful(spark: SparkSession, log: DataFrame, root: str, target: str) -> str:
     """All articles of topics that succeeded with items, as one table.
 
     The run log decides by a semi-join on the partition column, so other
-    topics' files are skipped.  Unreadable files are skipped too; '' when
+    topics' files are skipped.  Unreadable files are skipped too (``skipped_files``); '' when
     there is nothing to combine.
     """
     good = log.where((F.col("status") == "success") & (F.col("items_processed") > 0)).select(
@@ -82,12 +105,14 @@ def vector_objects(enriched: DataFrame) -> DataFrame:
 
 
 def write_topic_exports(rows: DataFrame, root: str) -> None:
-    """One folder per topic slug and day, beside the combined read of the root."""
-    rows.withColumn("day", F.date_format("fetched_at", "yyyyMMdd")).write.mode("overwrite").partitionBy("topic_slug", "day").json(root)
+    """One folder per topic slug and day, beside the combined read of the root;
+    days not in ``rows`` stay."""
+    _by_day(rows.withColumn("day", F.date_format("fetched_at", "yyyyMMdd")), "topic_slug", "day").json(root)
 
 
-def append_summary(summary: DataFrame, path: str) -> None:
-    summary.write.mode("append").parquet(path)
+def write_summary(summary: DataFrame, root: str, run_id: str, run_date: str) -> None:
+    """The summary row of one run with its date; a retry of the run replaces it."""
+    summary.withColumn("run_date", F.lit(run_date).cast("date")).write.mode("overwrite").parquet(f"{root}/run_id=run-{run_id}")
 
 
 # --- upserted index ------------------------------------------------------------
@@ -100,17 +125,42 @@ def search_documents(embedded: DataFrame) -> DataFrame:
         F.col("embedding").alias("content_vector"))
 
 
-def write_batch(rows: DataFrame, root: str, batch_id: int) -> None:
-    """One delta of an upserted table.  The batch owns its folder, so a
-    re-delivered batch replaces itself; cost follows the delta's size."""
-    rows.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+def writer_id(checkpoint: str) -> str:
+    """Name of the stream that owns a checkpoint."""
+    return "w" + hashlib.md5(checkpoint.encode()).hexdigest()[:12]
+
 
+def write_batch(rows: DataFrame, root: str, batch_id: int, writer: str = "main") -> int:
+    """One delta of an upserted table; returns the number of rows upserted.
 
-def read_latest(spark: SparkSession, root: str, *keys: str) -> DataFrame:
-    """Current rows of an upserted table: per key the newest batch wins."""
-    return latest_per_key(spark.read.parquet(root), list(keys), "batch_id").drop("batch_id")
+    A batch owns its folder under its writer's, so a re-delivered batch
+    replaces itself and never that of another writer, whose batches are
+    numbered from 0 as well.  Cost follows the delta's size.
+    """
+    seen = Observation()
+    rows.observe(seen, F.count("*").alias("n")).write.mode("overwrite").parquet(f"{root}/writer={writer}/batch_id={batch_id}")
+    return seen.get["n"]
+
+
+def read_deltas(spark: SparkSession, root: str) -> DataFrame:
+    """All rows of all batches, without the folders' columns."""
+    return spark.read.parquet(root).drop("writer", "batch_id")
+
+
+def read_latest(spark: SparkSession, root: str, *keys: str, order: str | None = None) -> DataFrame:
+    """Current rows of an upserted table.
+
+    Per key the row with the greatest ``order`` wins (for example an ingestion
+    time), whichever writer sent it; without one the newest batch.  Equal rows
+    go by batch, writer and content, so the winner never depends on the run.
+    """
+    rows = spark.read.parquet(root)
+    own = [c for c in rows.columns if c not in ("writer", "batch_id")]
+    ranked = rows.withColumn("_content", F.xxhash64(*own))
+    by = ([order] if order else []) + ["batch_id", "writer", "_content"]
+    return latest_per_key(ranked, list(keys), *by).select(*own)
 
 
-def compact(spark: SparkSession, root: str, target: str, *keys: str) -> None:
-    """Fold all deltas into the first batch of a new table."""
-    write_batch(read_latest(spark, root, *keys), target, 0)
+def compact(spark: SparkSession, root: str, target: str, *keys: str, order: str | None = None) -> None:
+    """Fold all deltas into one batch of a new table, older than any other."""
+    write_batch(read_latest(spark, root, *keys, order=order), target, -1, "compacted")

@@ -50,18 +50,36 @@ def agency_items(spark: SparkSession, path: str) -> DataFrame:
         F.coalesce("i.categories", F.array().cast("array<string>")).alias("categories"))
 
 
-def query_items(spark: SparkSession, path: str) -> DataFrame:
-    """Keyword-query results tagged with their query; broken lines are dropped,
-    a URL found by several queries is kept once."""
+def _query_schema():
     from pyspark.sql.types import StringType, StructType
-    schema = StructType(list(schemas.QUERY_RESPONSE.fields)).add("_corrupt_record", StringType())
-    rows = spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
+    return StructType(list(schemas.QUERY_RESPONSE.fields)).add("_corrupt_record", StringType())
+
+
+def rejected_lines(spark: SparkSession, path: str) -> DataFrame:
+    """file, line of the query results that are not valid JSON; lines read =
+    lines kept + these.  Empty lines are neither."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+    parsed = lines.withColumn("_p", F.from_json("line", _query_schema(), {"mode": "PERMISSIVE"}))
+    return parsed.where((F.trim("line") != "") & F.col("_p._corrupt_record").isNotNull()).drop("_p")
+
+
+def query_items(spark: SparkSession, path: str, published_from=None, published_to=None, sources: tuple[str, ...] | None = None) -> DataFrame:
+    """Keyword-query results tagged with their query, within a date range
+    (both ends included) and a list of sources where given.
+
+    Broken lines are left out (``rejected_lines`` has them); a URL found by
+    several queries is kept once.
+    """
+    rows = spark.read.schema(_query_schema()).option("mode", "PERMISSIVE").json(path)
     a = rows.where(F.col("_corrupt_record").isNull()).select("query", F.explode("articles").alias("a"))
     out = a.select(
         F.concat(F.lit("newsapi_"), ids.url_md5(F.col("a.url"))).alias("id"), "a.title", "a.content", "a.description",
         F.col("a.url").alias("link"), text.parse_iso(F.col("a.publishedAt")).alias("published_at"),
         F.coalesce("a.source.name", F.lit("Unknown")).alias("source"), F.lit(vocab.SOURCE_TYPE).alias("source_type"),
         F.array("query").alias("categories"))
+    for given, keep in ((published_from, lambda: F.col("published_at") >= published_from), (published_to, lambda: F.col("published_at") <= published_to),
+                        (sources, lambda: F.col("source").isin(*sources))):
+        out = out.where(keep()) if given is not None else out
     return ingest.first_per_key(out, "link", F.element_at("categories", 1))
 
 

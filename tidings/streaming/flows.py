@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +39,7 @@ def embed_and_index(articles: DataFrame, root: str, checkpoint: str, model_facto
     def each(batch: DataFrame, batch_id: int) -> None:
         body = text.embedding_text(F.col("title"), F.col("content"), F.col("description"))
         rows = batch.withColumn("embedding", vectors.embed_tokens(text.tokens(body), model_factory))
-        files.write_batch(files.search_documents(rows), root, batch_id)
+        files.write_batch(files.search_documents(rows), root, batch_id, files.writer_id(checkpoint))
 
     run_available(articles, each, checkpoint)
 
@@ -48,25 +49,25 @@ def graph_updates(enriched: DataFrame, root: str, checkpoint: str) -> None:
 
     The deltas of each table are merged on reading by the graph operators.
     """
+    writer = files.writer_id(checkpoint)
+
     def each(batch: DataFrame, batch_id: int) -> None:
         stamp = F.to_timestamp("metadata.published_at")
         node = batch.select("doc_id", stamp.alias("last_updated"), F.explode("graph.nodes").alias("n"))
         rel = batch.select("doc_id", stamp.alias("last_updated"), F.explode("graph.relationships").alias("r"))
         files.write_batch(batch.select(F.col("doc_id").alias("id"), "metadata.source", stamp.alias("published_at"), stamp.alias("last_updated")),
-                          f"{root}/documents", batch_id)
+                          f"{root}/documents", batch_id, writer)
         files.write_batch(node.select(F.col("n.id").alias("id"), F.array("n.type").alias("labels"), F.col("n.properties").alias("props"),
-                                      F.lit(None).cast("array<float>").alias("embedding"), "last_updated", "doc_id"), f"{root}/entities", batch_id)
+                                      F.lit(None).cast("array<float>").alias("embedding"), "last_updated", "doc_id"), f"{root}/entities", batch_id, writer)
         files.write_batch(rel.select(F.col("r.source").alias("src"), F.col("r.target").alias("dst"), F.col("r.type").alias("type"),
-                                     F.col("r.properties").alias("props"), F.col("doc_id").alias("source_doc"), "last_updated"), f"{root}/edges", batch_id)
+                                     F.col("r.properties").alias("props"), F.col("doc_id").alias("source_doc"), "last_updated"), f"{root}/edges", batch_id, writer)
 
     run_available(enriched, each, checkpoint)
 
 
 def read_graph(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(documents, entities, mentions, edges) merged over all deltas."""
-    docs = spark.read.parquet(f"{root}/documents").drop("batch_id")
-    nodes = spark.read.parquet(f"{root}/entities").drop("batch_id")
-    edges = spark.read.parquet(f"{root}/edges").drop("batch_id")
+    docs, nodes, edges = (files.read_deltas(spark, f"{root}/{part}") for part in ("documents", "entities", "edges"))
     documents = graph.upsert_documents(docs.limit(0), docs)
     entities = graph.upsert_entities(nodes.drop("doc_id").limit(0), nodes.drop("doc_id"))
     mentions = graph.mention_edges(nodes.select("doc_id", F.col("id").alias("entity_id")), documents, entities)
@@ -83,24 +84,35 @@ def run_events(events: DataFrame) -> DataFrame:
         F.concat(F.lit("flow-"), (F.col("user_id") % 10).cast("string")).alias("resource"), "user_id", "value")
 
 
-def threshold_windows(events: DataFrame, within: str = "60 seconds", state: str = COMPLETED, lateness: str = "10 minutes") -> DataFrame:
+def threshold_windows(events: DataFrame, within: str = "60 seconds", state: str = COMPLETED) -> DataFrame:
     """Events per resource in tumbling windows of ``within``."""
     w = F.window("occurred", within)
-    hits = events.where(F.col("state") == state)
-    if hits.isStreaming:
-        hits = hits.withWatermark("occurred", lateness)
-    return hits.groupBy(w.alias("w"), "resource").agg(F.count("*").alias("events")).select(
+    return events.where(F.col("state") == state).groupBy(w.alias("w"), "resource").agg(F.count("*").alias("events")).select(
         F.col("w.start").alias("start"), "resource", "events")
 
 
-def daily_summary(events: DataFrame, lateness: str = "1 day") -> DataFrame:
-    if events.isStreaming:
-        events = events.withWatermark("occurred", lateness)
+def daily_summary(events: DataFrame) -> DataFrame:
     return events.groupBy(F.window("occurred", "1 day").alias("w")).agg(
         F.count("*").alias("runs"), F.count_if(F.col("state") == COMPLETED).alias("completed"),
         F.count_if(F.col("state") == FAILED).alias("failed")).select(F.col("w.start").alias("start"), "runs", "completed", "failed")
 
 
+def keep_counts(events: DataFrame, count: Callable[[DataFrame], DataFrame], root: str, checkpoint: str) -> None:
+    """Counts of each micro-batch as deltas; ``files.read_deltas`` summed by
+    key is the total (``summed``).
+
+    Counts add up, so no state and no watermark is needed: an event counts
+    however late its file arrives, and a batch delivered again replaces its
+    own delta.
+    """
+    run_available(events, lambda batch, batch_id: files.write_batch(count(batch), root, batch_id, files.writer_id(checkpoint)), checkpoint)
+
+
+def summed(spark: SparkSession, root: str, *keys: str) -> DataFrame:
+    deltas = files.read_deltas(spark, root)
+    return deltas.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in deltas.columns if c not in keys])
+
+
 def failure_alerts(events: DataFrame) -> DataFrame:
     """One message row per failed run."""
     failed = events.where(F.col("state") == FAILED)
@@ -110,11 +122,33 @@ def failure_alerts(events: DataFrame) -> DataFrame:
 
 
 def dedupe_fetches(events: DataFrame, *args: str, within: str = "1 hour") -> DataFrame:
-    """Drop a fetch whose arguments were already seen within an hour."""
-    return events.withColumn("key", F.md5(F.concat_ws("|", *[F.col(a).cast("string") for a in args]))) \
-        .withWatermark("occurred", within).dropDuplicatesWithinWatermark(["key"])
+    """Fetches that are not a repeat: one with the same arguments is dropped
+    until ``within`` has passed since the last one kept.
+
+    A state row per argument key holds the time of the last fetch kept, so
+    the rule does not depend on how events fall into batches, as long as a
+    key's events arrive in order; an event before the last one kept is a
+    repeat if less than ``within`` lies between them.
+    """
+    from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+    gap = pd.Timedelta(within)
+    keyed = events.withColumn("key", F.md5(F.concat_ws("|", *[F.col(a).cast("string") for a in args])))
+
+    def keep(key, batches, state: GroupState):
+        last = pd.Timestamp(state.get[0]) if state.exists else None
+        rows = pd.concat(list(batches)).sort_values(["occurred", "event_id"])
+        kept = []
+        for at in rows["occurred"]:
+            fresh = last is None or abs(at - last) >= gap
+            last = at if fresh and (last is None or at > last) else last
+            kept.append(fresh)
+        if last is not None:
+            state.update((last.to_pydatetime(),))
+        yield rows[kept]
+
+    return keyed.groupBy("key").applyInPandasWithState(keep, keyed.schema, "last timestamp", "append", GroupStateTimeout.NoTimeout)
 
 
 def keep_latest(df: DataFrame, root: str, checkpoint: str, mode: str = "update") -> None:
     """Changed result rows of each micro-batch as deltas of an upserted table."""
-    run_available(df, lambda batch, batch_id: files.write_batch(batch, root, batch_id), checkpoint, mode)
+    run_available(df, lambda batch, batch_id: files.write_batch(batch, root, batch_id, files.writer_id(checkpoint)), checkpoint, mode)
