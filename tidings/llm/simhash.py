@@ -20,8 +20,8 @@ from tidings.llm.components import components
 from tidings.session import materialize, small
 
 SHINGLE, SEED, RADIUS = 3, 42, 2
-SUBTREE = 16_384      # fingerprints a pair of subtrees may hold in one task
-MOST_BITS = 8         # bits a round takes at most
+SUBTREE = 65_536      # fingerprints a pair of subtrees may hold in one task
+ROUND_BITS = 4        # bits a round takes off
 FAN = 50_000          # node pairs a task walks down at once
 DIRECT = 64           # pairs of node sizes whose product is below are compared directly
 BROADCAST_IDS = 1_000_000
@@ -117,7 +117,7 @@ def walk(a: np.ndarray, b: np.ndarray, same: bool, bit: int, radius: int = RADIU
 
 
 class Forest:
-    """Union-find over indexes; ``join`` tells whether a link joined two trees."""
+    """Union-find over indexes; a root is the smallest of its tree."""
 
     def __init__(self, n: int):
         self.up = list(range(n))
@@ -128,39 +128,37 @@ class Forest:
             i = self.up[i]
         return i
 
-    def join(self, i: int, j: int) -> bool:
+    def join(self, i: int, j: int) -> None:
         i, j = self.root(i), self.root(j)
         self.up[max(i, j)] = min(i, j)
-        return i != j
 
 
 def _subtrees(radius: int, bits: int):
     def links(pdf: pd.DataFrame) -> pd.DataFrame:
-        """A spanning forest of one subtree pair's links, and links per fingerprint."""
+        """Each linked fingerprint of a subtree pair with the first of its group
+        there, and links per fingerprint."""
         fp = pdf["fp"].to_numpy(np.int64).view(np.uint64)
         first = pdf["first"].to_numpy(bool)
         same = bool((pdf["p"] == pdf["q"]).iloc[0])
         a = np.sort(fp[first])
         b = a if same else np.sort(fp[~first])
         keys = a if same else np.concatenate([a, b])
-        forest, degree, tree = Forest(len(keys)), np.zeros(len(keys), np.int64), []
+        forest, degree = Forest(len(keys)), np.zeros(len(keys), np.int64)
         for i, j in walk(a, b, same, 63 - bits, radius):
             j = j if same else j + len(a)
             degree += np.bincount(i, minlength=len(keys)) + np.bincount(j, minlength=len(keys))
-            tree += [(x, y) for x, y in zip(i.tolist(), j.tolist(), strict=True) if forest.join(x, y)]
-        signed = keys.view(np.int64)
-        linked = np.flatnonzero(degree)
-        u, v = ([signed[t[k]] for t in tree] for k in (0, 1))
-        none = [None] * len(linked)
-        return pd.DataFrame({"u": pd.array(list(u) + list(signed[linked]), "Int64"), "v": pd.array(list(v) + none, "Int64"),
-                             "links": pd.array([None] * len(tree) + degree[linked].tolist(), "Int64")})
+            for x, y in zip(i.tolist(), j.tolist(), strict=True):
+                forest.join(x, y)
+        signed, linked = keys.view(np.int64), np.flatnonzero(degree)
+        first = np.array([forest.root(i) for i in linked.tolist()], np.int64)
+        return pd.DataFrame({"u": signed[linked], "v": signed[first] if len(linked) else signed[linked], "links": degree[linked]})
     return links
 
 
 def trie_links(keys: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """u, v, links of a table of distinct fp (long): rows with v are links that
-    connect what all links connect, rows without give a fingerprint's number
-    of links (to be summed).
+    """u, v, links of a table of distinct fp (long): a linked fingerprint, the
+    one that stands for its group in a subtree pair, and its links there (to
+    be summed).  The pairs (u, v) connect what all links connect.
 
     A round sends each fingerprint to the subtree pairs its next bits allow
     within the budget left.  Pairs with one side empty, or of one fingerprint,
@@ -176,14 +174,12 @@ def trie_links(keys: DataFrame, radius: int = RADIUS) -> DataFrame:
         sizes = live.groupBy(*pair).agg(F.count_if("first").alias("a"), F.count_if(~F.col("first")).alias("b"))
         sizes = materialize(sizes.where(F.when(F.col("p") == F.col("q"), F.col("a") > 1).otherwise((F.col("a") > 0) & (F.col("b") > 0))), "sizes")
         big = (F.col("a") + F.col("b") > SUBTREE) if depth < 64 else F.lit(False)
-        most = sizes.where(big).agg(F.max(F.col("a") + F.col("b"))).first()[0]
         done = live.join(sizes.where(~big).select(*pair), pair).groupBy(*pair).applyInPandas(_subtrees(radius, depth), "u long, v long, links long")
         out.append(done)
-        if most is None:
+        if sizes.where(big).limit(1).count() == 0:
             break
-        bits = min(MOST_BITS, 64 - depth, max(1, int(most / SUBTREE).bit_length()))
-        live = materialize(_descend(live.join(sizes.where(big).select(*pair), pair), depth, bits, radius), "subtrees")
-        depth += bits
+        live = materialize(_descend(live.join(sizes.where(big).select(*pair), pair), depth, ROUND_BITS, radius), "subtrees")
+        depth += ROUND_BITS
     found = out[0]
     for more in out[1:]:
         found = found.unionByName(more)
@@ -220,8 +216,8 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     coded = materialize(fingerprints(docs), "fingerprints")
     classes = materialize(coded.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
     found = trie_links(classes.select("fp"), radius)
-    label = components(found.where(F.col("v").isNotNull()).select("u", "v"))
-    links = found.where(F.col("v").isNull()).groupBy(F.col("u").alias("fp")).agg(F.sum("links").alias("links"))
+    label = components(found.select("u", "v"))
+    links = found.groupBy(F.col("u").alias("fp")).agg(F.sum("links").alias("links"))
     labelled = materialize(
         classes.join(label.withColumnRenamed("node", "fp"), "fp", "left").join(links, "fp", "left")
         .select("fp", "rep", "copies", F.coalesce("label", "fp").alias("label"), F.coalesce("links", F.lit(0)).alias("links")), "labelled")
