@@ -142,6 +142,12 @@ def chunk_retrieval(spark, sf):
     return h.select("query_id", "doc_num", F.round("score", 6).alias("score"), "chunk_no", "rank")
 
 
+def chunk_vectors(spark, sf):
+    """Best chunk per document by the vector of its words, for every benchmark item."""
+    h = search.chunk_vector_search(common.text_articles(spark, sf), tables.search_queries(spark, sf), 5)
+    return h.select("query_id", "doc_num", F.round("score", 6).alias("score"), "chunk_no", "rank")
+
+
 def chunk_stats(spark, sf):
     c = search.chunked(common.text_articles(spark, sf))
     return c.groupBy("doc_num").agg(F.count("*").alias("chunks"), F.sum(F.size("tokens")).alias("tokens"),
@@ -179,7 +185,7 @@ def embed_summary(spark, sf):
 QUERIES = {f.__name__: f for f in (
     bm25_topk, vector_topk, hybrid_rrf, filtered_search, match_all_filtered, method_overlap, weighted_fusion,
     retriever, empty_search, ann_topk, ann_all_cells, recall_monitor, recall_baseline, entity_similarity,
-    edge_similarity, chunk_retrieval, chunk_stats, summary_vectors, doc_vector_join, embed_hash, embed_summary)}
+    edge_similarity, chunk_retrieval, chunk_vectors, chunk_stats, summary_vectors, doc_vector_join, embed_hash, embed_summary)}
 
 
 def _bm25(name, docs, key="doc_num"):
@@ -257,6 +263,14 @@ sc AS (SELECT query_id, d.edge_id, round(dot / (na.nrm * nb.nrm), 9) AS score FR
        JOIN en nb ON nb.edge_id = d.edge_id WHERE nb.nrm > 0)
 """
 
+def _hashed(name, keys, seq):
+    """Slot values and norms of the token vectors of ``seq(keys, term)``."""
+    return f"""
+{name} AS MATERIALIZED (SELECT {keys}, ('0x' || substring(md5(term), 1, 7))::BIGINT % 64 AS slot,
+  sum(CASE WHEN ('0x' || substring(md5(term), 8, 1))::BIGINT % 2 = 0 THEN 1 ELSE -1 END)::DOUBLE AS val FROM {seq} GROUP BY ALL),
+{name}_norm AS (SELECT {keys}, sqrt(sum(val * val)) AS norm FROM {name} GROUP BY ALL)"""
+
+
 _HASH = """
 slots AS (SELECT {key}, ('0x' || substring(md5(term), 1, 7))::BIGINT % 64 AS slot,
        sum(CASE WHEN ('0x' || substring(md5(term), 8, 1))::BIGINT % 2 = 0 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END) AS val FROM {seq} GROUP BY ALL)
@@ -268,6 +282,16 @@ chunks AS (SELECT doc_num, (s // 300)::INT AS chunk_no, tokens[s + 1 : s + 300]
 """
 
 ORACLES = {
+    "chunk_vectors": with_(TOKENS, r"""
+cut AS (SELECT doc_num, (pos - 1) // 300 AS chunk_no, term FROM seq),
+asked AS (SELECT item_id AS query_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS term FROM benchmark)""",
+                           _hashed("cv", "doc_num, chunk_no", "cut"), _hashed("qv", "query_id", "asked"), """
+dots AS (SELECT query_id, doc_num, chunk_no, sum(q.val * c.val) AS dot FROM qv q JOIN cv c USING (slot) GROUP BY ALL),
+scored AS (SELECT query_id, doc_num, chunk_no, round(dot / (a.norm * b.norm), 9) AS score FROM dots JOIN qv_norm a USING (query_id)
+  JOIN cv_norm b USING (doc_num, chunk_no) WHERE a.norm > 0 AND b.norm > 0),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY query_id, doc_num ORDER BY score DESC, chunk_no) = 1),
+placed AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_num) AS rank FROM best)""", body="""
+SELECT query_id, doc_num, round(score, 6) AS score, chunk_no, rank FROM placed WHERE rank <= 5"""),
     "bm25_topk": with_(TOKENS, _Q, _bm25("kw", "toks"), _ranked("kw", "kw_scores", 5), body="""
 SELECT query_id, doc_num, round(score, 6) AS score, rank, total_matches FROM kw
 JOIN (SELECT query_id, count(*) AS total_matches FROM kw_scores GROUP BY 1) t USING (query_id)"""),
