@@ -33,6 +33,21 @@ def failing_rows(df: DataFrame, rules: dict[str, Column], *keys: str) -> DataFra
     return df.select(*keys, F.explode(F.filter(bad, lambda r: r.isNotNull())).alias("rule"))
 
 
+def repeated_rows(df: DataFrame, name: str, key: str, *row: str) -> DataFrame:
+    """(row, rule) of all rows whose key is not unique: the stored failures of
+    ``unique_count``.  Repeated keys are found by a combining aggregate first,
+    so only those meet the rows.  A null key repeats like any other."""
+    again = df.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n")).where(F.col("_n") > 1).select("_key")
+    return df.join(again, F.col(key).eqNullSafe(F.col("_key")), "left_semi").select(*row, F.lit(name).alias("rule"))
+
+
+def reference_count(df: DataFrame, name: str, key: str, refs: DataFrame, ref: str) -> DataFrame:
+    """Rows whose key is not among the references, as a rule row."""
+    missing = df.join(refs.select(F.col(ref).alias("_ref")).distinct(), F.col(key) == F.col("_ref"), "left").select(
+        F.col("_ref").isNull().cast("int").alias("bad"))
+    return missing.agg(F.lit(name).alias("rule"), F.count("*").alias("rows"), F.coalesce(F.sum("bad"), F.lit(0)).alias("violations"))
+
+
 def gate(*counts: DataFrame) -> DataFrame:
     """One row: rules, failed rules, violations and whether the load may run."""
     return union_all(*counts).agg(

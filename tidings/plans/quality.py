@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidings import vocab
 from tidings.operators import clean, quality
+from tidings.operators.ingest import union_all
 from tidings.plans.ingest import _STAGING, raw_newsapi
-from tidings.plans.sql import ARTICLES, with_
+from tidings.plans.sql import ARTICLES, EDGES, with_
 from tidings.sources import tables
 
 
@@ -31,13 +33,28 @@ def dq_tests(spark, sf):
 
 
 def dq_failures(spark, sf):
-    return quality.failing_rows(_staging(spark, sf), _rules(), "article_id")
+    s = _staging(spark, sf)
+    return quality.failing_rows(s, _rules(), "article_id").unionByName(quality.repeated_rows(s, "url_unique", "url", "article_id"))
 
 
 def dq_gate(spark, sf):
     return quality.gate(*_counts(spark, sf))
 
 
+def dq_gate_graph(spark, sf):
+    """Whether entities and relations may be loaded: keys, names, types and
+    endpoints; customers without an address in the first nations are left out,
+    so some endpoints are missing."""
+    t = lambda n: tables.table(spark, sf, n)
+    ents = (t("supplier").select(F.concat(F.lit("s:"), F.col("s_suppkey").cast("string")).alias("id"), F.col("s_name").alias("name"))
+            .unionByName(t("customer").where("c_nationkey > 2").select(F.concat(F.lit("c:"), F.col("c_custkey").cast("string")).alias("id"), F.col("c_name").alias("name"))))
+    rel = tables.awards(spark, sf)
+    gates = {"entities": (quality.rule_counts(ents, {"id_set": F.col("id").isNotNull(), "name_set": F.col("name") != ""}), quality.unique_count(ents, "id_unique", "id")),
+             "relations": (quality.rule_counts(rel, {"type_allowed": F.col("type").isin(*vocab.RELATION_TYPES), "value_positive": F.col("value") > 0}),
+                           quality.reference_count(rel, "source_known", "src", ents, "id"), quality.reference_count(rel, "target_known", "dst", ents, "id"))}
+    return union_all(*[quality.gate(*counts).withColumn("part", F.lit(part)) for part, counts in gates.items()])
+
+
 def dq_dimensions(spark, sf):
     a = tables.articles(spark, sf)
     newest = a.agg(F.max("published_at")).scalar()
@@ -53,7 +70,7 @@ def dq_dimensions(spark, sf):
     return quality.dimensions(wide.select(F.explode(rows).alias("x")).select("x.*").unionByName(acc))
 
 
-QUERIES = {f.__name__: f for f in (dq_tests, dq_failures, dq_gate, dq_dimensions)}
+QUERIES = {f.__name__: f for f in (dq_tests, dq_failures, dq_gate, dq_gate_graph, dq_dimensions)}
 
 _TESTS = """
 st AS (SELECT s.*, CASE WHEN doc_num % 13 <> 0 THEN link END AS url FROM staging s JOIN articles a ON s.article_id = a.doc_id),
@@ -76,9 +93,21 @@ _DIM = """SELECT dimension, good, total, round(good / total, 6) AS ratio, round(
 
 ORACLES = {
     "dq_tests": with_(ARTICLES, _STAGING, _TESTS, body="SELECT * FROM tests"),
-    "dq_failures": with_(ARTICLES, _STAGING, body="""
+    "dq_gate_graph": with_(EDGES, f"""
+ents AS (SELECT 's:' || s_suppkey AS id, s_name AS name FROM supplier UNION ALL SELECT 'c:' || c_custkey, c_name FROM customer WHERE c_nationkey > 2),
+rules AS (
+  SELECT 'entities' AS part, count(*) FILTER (id IS NULL) AS violations FROM ents UNION ALL SELECT 'entities', count(*) FILTER (coalesce(name, '') = '') FROM ents
+  UNION ALL SELECT 'entities', count(*) - count(DISTINCT id) FROM ents
+  UNION ALL SELECT 'relations', count(*) FILTER (type NOT IN ({", ".join(f"'{x}'" for x in vocab.RELATION_TYPES)})) FROM awards
+  UNION ALL SELECT 'relations', count(*) FILTER (NOT value > 0) FROM awards
+  UNION ALL SELECT 'relations', count(*) FILTER (src NOT IN (SELECT id FROM ents)) FROM awards
+  UNION ALL SELECT 'relations', count(*) FILTER (dst NOT IN (SELECT id FROM ents)) FROM awards)""", body="""
+SELECT part, count(*) AS rules, count(*) FILTER (violations > 0) AS failed_rules, sum(violations)::BIGINT AS violations, count(*) FILTER (violations > 0) = 0 AS passed
+FROM rules GROUP BY part"""),
+    "dq_failures": with_(ARTICLES, _STAGING, _TESTS, body="""
 SELECT article_id, 'description_not_null' AS rule FROM staging WHERE description_clean IS NULL
-UNION ALL SELECT article_id, 'title_not_blank' FROM staging WHERE title_clean = ''"""),
+UNION ALL SELECT article_id, 'title_not_blank' FROM staging WHERE title_clean = ''
+UNION ALL SELECT article_id, 'url_unique' FROM st WHERE url IN (SELECT url FROM st GROUP BY 1 HAVING count(*) > 1)"""),
     "dq_gate": with_(ARTICLES, _STAGING, _TESTS, body="""
 SELECT count(*) AS rules, count(*) FILTER (violations > 0) AS failed_rules, sum(violations)::BIGINT AS violations, count(*) FILTER (violations > 0) = 0 AS passed FROM tests"""),
     "dq_dimensions": with_(ARTICLES, body=_DIM),
