@@ -58,6 +58,24 @@ def stream_graph(spark, sf):
     files.write_enriched(nlp.enrich(tables.articles(spark, sf), found, adj), src)
     stream = configure(spark).readStream.schema(schemas.ENRICHED).json(src)
     flows.graph_updates(stream, root, chk)
+    return _graph_parts(spark, root)
+
+
+def stream_chain(spark, sf):
+    """Ingested files through the NLP stream into the graph stream, in two
+    arrivals: each stage sees only what is new."""
+    gaz, _ = common.found(spark, sf)
+    src, enriched, root = (scratch(spark, n) for n in ("ingested", "enriched", "graph"))
+    chk = scratch(spark, "chk")
+    a = tables.articles(spark, sf).drop("doc_num", "lang")
+    for topics in (("t0", "t1", "t2"), ("t3",)):
+        a.where(F.col("topic_key").isin(*topics)).write.mode("append").parquet(src)
+        flows.enrich_new(flows.file_stream(configure(spark), schemas.ARTICLE_15, src), gaz, enriched, f"{chk}/nlp")
+        flows.graph_updates(flows.enriched_stream(spark, enriched), root, f"{chk}/graph")
+    return _graph_parts(spark, root)
+
+
+def _graph_parts(spark, root):
     parts = flows.read_graph(spark, root)
     content = {"documents": ("id", "source"), "entities": ("id",), "mentions": ("doc_id", "entity_id"), "edges": ("src", "dst", "type")}
     out = [df.agg(F.lit(n).alias("part"), F.count("*").alias("n"), common.digest(*content[n])) for n, df in zip(content, parts)]
@@ -106,13 +124,19 @@ def stream_dedup(spark, sf):
     return out.select("event_id", "key", "user_id", "state", common.iso("occurred"))
 
 
-QUERIES = {f.__name__: f for f in (stream_ingest_index, stream_catchup, stream_graph, stream_threshold, stream_daily, stream_alert, stream_dedup)}
+QUERIES = {f.__name__: f for f in (stream_ingest_index, stream_catchup, stream_graph, stream_chain, stream_threshold, stream_daily, stream_alert, stream_dedup)}
 
 _RUNS = """
 runs AS (SELECT event_id, ts, user_id, 'flow-' || (user_id % 10) AS resource, CASE event_type WHEN 'error' THEN 'Failed' ELSE 'Completed' END AS state
   FROM events WHERE event_type IN ('error', 'purchase'))
 """
 
+_GRAPH = with_(TOKENS, GAZETTEER, OCCURRENCES, body=f"""
+SELECT 'documents' AS part, count(*) AS n, {common.digest_sql("'doc_' || doc_id", "source")} FROM documents
+UNION ALL SELECT 'entities', count(*), {common.digest_sql("alias")} FROM (SELECT DISTINCT alias FROM mentions)
+UNION ALL SELECT 'mentions', count(*), {common.digest_sql("'doc_' || doc_num", "alias")} FROM mentions
+UNION ALL SELECT 'edges', count(*), {common.digest_sql("src", "dst", "type")} FROM (SELECT DISTINCT src, dst, type FROM adj)""")
+
 ORACLES = {
     "stream_ingest_index": with_(ARTICLES, body=r"""
 SELECT doc_id, md5(content) AS content_md5, link AS url, strftime(published_at, '%Y-%m-%d %H:%M:%S') AS published_at, 64::BIGINT AS dims,
@@ -120,11 +144,8 @@ SELECT doc_id, md5(content) AS content_md5, link AS url, strftime(published_at,
     "stream_catchup": with_(ARTICLES, body="""
 SELECT 1::BIGINT AS run, count(*) AS rows, count(DISTINCT doc_id) AS docs FROM articles WHERE topic_key IN ('t0', 't1')
 UNION ALL SELECT 2, count(*), count(DISTINCT doc_id) FROM articles"""),
-    "stream_graph": with_(TOKENS, GAZETTEER, OCCURRENCES, body=f"""
-SELECT 'documents' AS part, count(*) AS n, {common.digest_sql("'doc_' || doc_id", "source")} FROM documents
-UNION ALL SELECT 'entities', count(*), {common.digest_sql("alias")} FROM (SELECT DISTINCT alias FROM mentions)
-UNION ALL SELECT 'mentions', count(*), {common.digest_sql("'doc_' || doc_num", "alias")} FROM mentions
-UNION ALL SELECT 'edges', count(*), {common.digest_sql("src", "dst", "type")} FROM (SELECT DISTINCT src, dst, type FROM adj)"""),
+    "stream_graph": _GRAPH,
+    "stream_chain": _GRAPH,
     "stream_threshold": with_(_RUNS, body="""
 SELECT strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:%S') AS start, resource, count(*) AS events FROM runs WHERE state = 'Completed' GROUP BY 1, 2"""),
     "stream_daily": with_(_RUNS, body="""

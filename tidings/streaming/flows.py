@@ -12,8 +12,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidings import schemas
 from tidings.functions import text, vectors
-from tidings.operators import graph
+from tidings.operators import graph, nlp
 from tidings.sinks import files
 
 COMPLETED, FAILED = "Completed", "Failed"
@@ -44,6 +45,27 @@ def embed_and_index(articles: DataFrame, root: str, checkpoint: str, model_facto
     run_available(articles, each, checkpoint)
 
 
+def enrich_new(articles: DataFrame, gazetteer: DataFrame, root: str, checkpoint: str) -> None:
+    """New articles: entities, relations and vectors, as enriched files for
+    the graph stream.  ``gazetteer`` is a stored alias table (alias, entity_id,
+    type); a batch delivered again replaces its own files."""
+    writer = files.writer_id(checkpoint)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.withColumn("doc_num", F.col("doc_id"))
+        docs = rows.select("doc_num", text.tokens(F.col("content")).alias("tokens"))
+        found = nlp.mentions(docs, gazetteer)
+        rel = nlp.adjacent_relations(nlp.mention_positions(docs, gazetteer))
+        files.write_enriched(nlp.enrich(rows, found, rel), f"{root}/{writer}-{batch_id}")
+
+    run_available(articles, each, checkpoint)
+
+
+def enriched_stream(spark: SparkSession, root: str) -> DataFrame:
+    """Enriched files below ``root``, each read once."""
+    return spark.readStream.schema(schemas.ENRICHED).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").json(root)
+
+
 def graph_updates(enriched: DataFrame, root: str, checkpoint: str) -> None:
     """New enriched documents: node, mention and relation rows as deltas.
 
