@@ -7,6 +7,7 @@ Only those survivors meet in the final rank.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -85,13 +86,17 @@ def _scorer(qids: np.ndarray, qmat: np.ndarray, k: int, centroids=None, probes=N
                 continue
             ids = b.column(0).to_numpy(zero_copy_only=False)
             x = _unit(_matrix(b.column(1)))
-            s = np.round(x @ qmat.T, DIGITS)
-            ok = None if allowed is None else allowed[np.argmax(x @ centroids.T, axis=1)]
-            for j in range(len(qids)):
-                i, sc = (ids, s[:, j]) if ok is None else (ids[ok[:, j]], s[ok[:, j], j])
-                if j in best:
-                    i, sc = np.concatenate([best[j][0], i]), np.concatenate([best[j][1], sc])
-                best[j] = _best(i, sc, k)
+            # rows of a cell meet only the queries that probe it
+            cell = np.zeros(len(ids), int) if allowed is None else np.argmax(x @ centroids.T, axis=1)
+            for c in np.unique(cell):
+                rows = np.flatnonzero(cell == c)
+                asking = np.arange(len(qids)) if allowed is None else np.flatnonzero(allowed[c])
+                s = np.round(x[rows] @ qmat[asking].T, DIGITS)
+                for at, j in enumerate(asking.tolist()):
+                    i, sc = ids[rows], s[:, at]
+                    if j in best:
+                        i, sc = np.concatenate([best[j][0], i]), np.concatenate([best[j][1], sc])
+                    best[j] = _best(i, sc, k)
         for j, (i, sc) in best.items():
             if len(i):
                 yield pa.RecordBatch.from_arrays(
@@ -131,14 +136,17 @@ def fit_cells(corpus: DataFrame, cells: int, vec_col: str = "embedding", seed: i
     return _unit(np.array(model.clusterCenters()))
 
 
-def approx_topk(corpus: DataFrame, queries: DataFrame, k: int, cells: int = 16, probes: int = 4,
+def approx_topk(corpus: DataFrame, queries: DataFrame, k: int, cells: int | None = None, probes: int = 4,
                 id_col: str = "doc_num", vec_col: str = "embedding",
                 query_vec: str = "query_vector", centroids: np.ndarray | None = None) -> DataFrame:
     """Top-k over the ``probes`` cells nearest each query, scored exactly.
 
     More probes, more recall; probing every cell equals ``exact_topk``.
+    Without ``cells`` their number grows with the square root of the corpus,
+    so the rows a query is compared with grow no faster.
     """
     if centroids is None:
+        cells = cells or max(16, math.isqrt(corpus.count()) // 4)
         centroids = fit_cells(corpus, cells, vec_col)
     return _search(corpus, queries, k, id_col, vec_col, query_vec, centroids, min(probes, len(centroids)))
 
