@@ -93,7 +93,9 @@ def test_components_on_a_long_chain(spark):
     assert {r.label for r in out.collect()} == {"n000"}
 
 
-def test_paths_and_neighbourhood_against_brute_force(spark):
+@pytest.mark.parametrize("hub", [100_000, 2])
+def test_paths_and_neighbourhood_against_brute_force(spark, monkeypatch, hub):
+    monkeypatch.setattr(graph, "HUB_EDGES", hub)
     edges = random_edges(seed=9, nodes=40, n=60)
     adj = adjacency(edges)
     def bfs(s):

@@ -140,8 +140,8 @@ def _sliced(values: DataFrame) -> DataFrame:
 def pagerank(edges: DataFrame, rounds: int = 5, damping: float = 0.85) -> DataFrame:
     """Fixed rounds of rank flow over the undirected graph.
 
-    Each round shuffles the node table and partially summed contributions and
-    writes the ranks, which cuts lineage; the edges are only read.
+    Each round joins the adjacency with the node table, sums contributions
+    before they are shuffled and writes the ranks, which cuts lineage.
     """
     adj, nodes = split_adjacency(edges)
     n = float(nodes.count())
@@ -178,12 +178,18 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+def _towards(frontier: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Frontier rows (id, ...) as (a, salt, ...): a hub's once per slice of its adjacency."""
+    hubs = small(nodes.where("salts > 1").select("id", "salts"), BROADCAST_NODES)
+    return _sliced(frontier.join(hubs, "id", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))).withColumnRenamed("id", "a")
+
+
 def neighbourhood(edges: DataFrame, seeds: DataFrame, hops: int = 2) -> DataFrame:
     """(seed, id, hop) for every node within ``hops`` of each seed."""
-    adj = materialize(undirected(edges), "pairs")
+    adj, nodes = split_adjacency(edges)
     seen = frontier = materialize(seeds.select("seed", F.col("seed").alias("id"), F.lit(0).alias("hop")), "frontier")
     for h in range(1, hops + 1):
-        reached = (frontier.select("seed", F.col("id").alias("a")).join(adj, "a")
+        reached = (_towards(frontier.select("seed", "id"), nodes).join(adj, ["a", "salt"])
                    .select("seed", F.col("b").alias("id")).distinct().join(seen, ["seed", "id"], "left_anti"))
         frontier = materialize(reached.withColumn("hop", F.lit(h)), "frontier")
         seen = seen.unionByName(frontier)
@@ -198,9 +204,10 @@ def shortest_paths(edges: DataFrame, pairs: DataFrame, max_depth: int = 4) -> Da
     still open expand further.  Each reached node keeps one path, the
     smallest by text, and is expanded once.
     """
-    adj = materialize(undirected(edges), "pairs")
+    adj, nodes = split_adjacency(edges)
     pairs = materialize(pairs.select("src", "dst").distinct(), "wanted")
-    doors = materialize(pairs.join(adj.withColumnRenamed("a", "dst"), "dst").select("src", "dst", F.col("b").alias("id")), "doors")
+    doors = materialize(_towards(pairs.select("src", "dst", F.col("dst").alias("id")), nodes).join(adj, ["a", "salt"])
+                        .select("src", "dst", F.col("b").alias("id")), "doors")
     frontier = materialize(pairs.select("src", F.col("src").alias("id"), F.col("src").alias("path")).distinct(), "frontier")
     seen = frontier.select("src", "id")
     found = materialize(pairs.where("src = dst").select("src", "dst", F.lit(0).alias("depth"), F.col("src").alias("path")), "found")
@@ -211,7 +218,7 @@ def shortest_paths(edges: DataFrame, pairs: DataFrame, max_depth: int = 4) -> Da
         if d == max_depth:
             break
         open_src = pairs.join(found, ["src", "dst"], "left_anti").select("src").distinct()
-        step = (frontier.join(open_src, "src", "left_semi").withColumnRenamed("id", "a").join(adj, "a")
+        step = (_towards(frontier.join(open_src, "src", "left_semi"), nodes).join(adj, ["a", "salt"])
                 .groupBy("src", F.col("b").alias("id")).agg(F.min(F.concat_ws(">", "path", "b")).alias("path"))
                 .join(seen, ["src", "id"], "left_anti"))
         frontier = materialize(step, "frontier")
