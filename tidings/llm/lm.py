@@ -125,7 +125,7 @@ def _vocabulary(n: int):
 
 
 def _totals(pdf: pd.DataFrame) -> pd.DataFrame:
-    keys = np.frombuffer(b"".join(pdf["keys"]), np.uint64)
+    keys = np.concatenate([blocks.unpack_keys(bytes(k)) for k in pdf["keys"]])
     counts = np.concatenate([blocks.unpack(bytes(d), np.uint32) for d in pdf["data"]])
     return pd.DataFrame({"tokens": [int(counts.sum(dtype=np.int64))], "known": [len(np.unique(keys))]})
 
