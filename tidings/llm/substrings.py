@@ -83,7 +83,7 @@ class Texts:
         size = self.last - self.first + window
         shape = (size * (window + 1) + anchor[begin] - self.first).astype(np.uint64)
         self.spans = np.stack([blocks.mix(self.code(k, self.first, size), shape) for k in (0, 1)], axis=1)
-        self.seeds = grams[anchor[begin]]
+        self.seeds = blocks.mix(grams[anchor[begin]])   # smallest codes are not evenly spread; mixed, they are
 
     def code(self, k: int, at: np.ndarray, size) -> np.ndarray:
         """k-th hash of ``size`` words from each place."""
