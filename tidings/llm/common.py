@@ -7,10 +7,11 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidings.session import materialize
+from tidings.session import materialize, small
 
 # Fixed value: a word is a run of anything but space and the controls 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
+BROADCAST_IDS = 1_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -64,3 +65,18 @@ def chunked(docs: DataFrame, *others: str) -> tuple[DataFrame, int]:
     n = chunk_count(total)
     chunk = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(n)).cast("int")
     return docs.select(chunk.alias("chunk"), "doc_id", "text", *others), n
+
+
+def with_row(docs: DataFrame) -> DataFrame:
+    """``docs``, written once, with a ``_row`` of its own for every row."""
+    return materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
+
+
+def keep_least(keyed: DataFrame, groups: DataFrame) -> DataFrame:
+    """Exactly one row of ``keyed`` for each group of (_row, group): that of
+    the smallest doc_id, null last."""
+    found = materialize(groups, "groups")
+    named = found.join(keyed.select("_row", "doc_id"), "_row")
+    kept = materialize(named.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "_row"))["_row"].alias("_row")), "kept")
+    gone = materialize(found.select("_row").join(kept.select("_row"), "_row", "left_anti"), "gone")
+    return keyed.join(small(gone, BROADCAST_IDS), "_row", "left_anti")

@@ -16,15 +16,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidings.llm.common import keep_least, with_row
 from tidings.llm.components import components
-from tidings.session import materialize, small
+from tidings.session import materialize
 
 SHINGLE, SEED, RADIUS = 3, 42, 2
 SUBTREE = 65_536      # fingerprints a pair of subtrees may hold in one task
 ROUND_BITS = 4        # bits a round takes off
 FAN = 50_000          # node pairs a task walks down at once
 DIRECT = 64           # pairs of node sizes whose product is below are compared directly
-BROADCAST_IDS = 1_000_000
 
 
 # --- fingerprints -----------------------------------------------------------------
@@ -227,8 +227,8 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """One document of each near-duplicate component: that of the smallest
-    doc_id, with all its columns.  Rows without doc_id stay."""
-    found = near_duplicates(docs, radius)
-    gone = materialize(found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct(), "gone")
-    return docs.join(small(gone, BROADCAST_IDS), "doc_id", "left_anti").select(*docs.columns)
+    """One row of each near-duplicate component, with all its columns: that of
+    the smallest doc_id; one without doc_id only if all are."""
+    keyed = with_row(docs)
+    found = near_duplicates(keyed.select(F.col("_row").alias("doc_id"), "text"), radius)
+    return keep_least(keyed, found.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("group"))).select(*docs.columns)
