@@ -215,3 +215,13 @@ def test_blocks_find_all_within_radius():
         for b in rng.choice(64, decontaminate.RADIUS, replace=False):
             fp ^= 1 << int(b)
         assert index.candidates(26, fp) == [0]
+
+
+def test_texts_shorter_than_the_item(spark):
+    words = [f"w{i}" for i in range(30)]
+    rows = [(n, " ".join(words[:n])) for n in range(20, 31)] + [(100 + n, " ".join(words[30 - n:])) for n in range(20, 30)]
+    bench = spark.createDataFrame([(1, " ".join(words)), (2, "never seen words in any of these texts here")], "item_id long, text string")
+    got = {r.doc_id: r.similarity for r in decontaminate.contaminated(frame(spark, rows), bench).collect()}
+    want = {i: similarity(bag(t.split()), bag(words)) for i, t in rows}
+    assert got == pytest.approx({i: s for i, s in want.items() if s >= 0.8})
+    assert 28 in got and 129 in got and 24 not in got

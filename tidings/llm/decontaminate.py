@@ -95,7 +95,8 @@ class Index:
         A window without any item's shingle has similarity 0 to all and is
         left out; the others start where a shared shingle puts an item's
         start.  At least 0.8 of the shingles are shared, so the best aligned
-        window of a near copy is among them.
+        window of a near copy is among them.  A text a little shorter than an
+        item is a window as a whole.
         """
         at = np.searchsorted(self.shingles, bag)
         at[at == len(self.shingles)] = 0
@@ -103,8 +104,8 @@ class Index:
         starts: dict[int, set[int]] = {}
         for h in hits.tolist():
             for length, offset in self.places[at[h]]:
-                s = min(max(0, h - offset), len(bag) - length)
-                if s >= 0:
+                s = min(max(0, h - offset), max(0, len(bag) - length))
+                if len(bag) >= SIMILAR * length:
                     starts.setdefault(length, set()).add(s)
         return {n: np.array(sorted(s), np.int64) for n, s in starts.items()}
 
@@ -122,7 +123,7 @@ class Index:
         for length, starts in self.windows(bag).items():
             for i in range(0, len(starts), 4096):
                 part = starts[i:i + 4096]
-                rows = bag[part[:, None] + np.arange(length)]
+                rows = bag[part[:, None] + np.arange(min(length, len(bag)))]
                 for s, row, fp in zip(part.tolist(), rows, simhash(rows).tolist(), strict=True):
                     for k in self.candidates(length, fp):
                         sim = similarity(row, self.bags[k])
@@ -146,8 +147,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, similarity, start: items found in texts, the best
     window each; start counts words without punctuation.
 
-    Words are lower-cased; an item of fewer than five words is one shingle of
-    its own length and found only in texts as short.  Empty items and texts
+    Words are lower-cased; a text shorter than an item, down to 0.8 of its
+    shingles, is compared as a whole.  An item of fewer than five words is one
+    shingle of its own length and found only in texts as short.  Empty items and texts
     match nothing.  Items are sent to the tasks ITEMS at a time: each pass
     reads all texts, whatever their number.
     """
