@@ -225,3 +225,14 @@ def test_texts_shorter_than_the_item(spark):
     want = {i: similarity(bag(t.split()), bag(words)) for i, t in rows}
     assert got == pytest.approx({i: s for i, s in want.items() if s >= 0.8})
     assert 28 in got and 129 in got and 24 not in got
+
+
+def test_repeated_and_null_keys(spark):
+    item, other, clean = (" ".join(f"{c}{i}" for i in range(30)) for c in "abc")
+    bench = spark.createDataFrame([(1, item), (None, other)], "item_id long, text string")
+    rows = [(None, item), (None, clean), (4, item), (4, clean), (5, other), (6, clean), (6, clean)]
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(frame(spark, rows), bench).collect()}
+    assert got == {(None, 1), (4, 1), (5, None)}
+    kept = decontaminate.clean_rows(frame(spark, rows), bench)
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == sorted((str(d), clean) for d in (None, 4, 6, 6))
+    assert kept.columns == frame(spark, []).columns

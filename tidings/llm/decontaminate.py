@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidings.llm.blocks import mix
+from tidings.llm.common import with_row
 from tidings.session import materialize, small
 
 SHINGLE, SIMILAR = 5, 0.8
@@ -129,7 +130,7 @@ class Index:
                         sim = similarity(row, self.bags[k])
                         if sim >= SIMILAR and sim > best.get(self.ids[k], (0.0, 0))[0]:
                             best[self.ids[k]] = (sim, s)
-        return [(item, sim, s) for item, (sim, s) in sorted(best.items())]
+        return [(item, sim, s) for item, (sim, s) in sorted(best.items(), key=lambda b: (b[0] is None, b[0] or 0))]
 
 
 def _search(index):
@@ -139,13 +140,14 @@ def _search(index):
             rows = []
             for doc_id, text in zip(pdf["doc_id"].astype("Int64"), pdf["text"], strict=True):
                 rows += [(doc_id, *hit) for hit in index.value.find(text, known)]
-            yield pd.DataFrame(rows, columns=["doc_id", "item_id", "similarity", "start"]).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=["doc_id", "item_id", "similarity", "start"]).astype({"doc_id": "Int64", "item_id": "Int64"})
     return run
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, similarity, start: items found in texts, the best
-    window each; start counts words without punctuation.
+    window each; start counts words without punctuation.  Rows that share a
+    doc_id, and items that share an item_id or have none, count as one.
 
     Words are lower-cased; a text shorter than an item, down to 0.8 of its
     shingles, is compared as a whole.  An item of fewer than five words is one
@@ -154,12 +156,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     reads all texts, whatever their number.
     """
     spark = docs.sparkSession
-    items = materialize(benchmark.where(F.col("item_id").isNotNull()).select("item_id", F.coalesce("text", F.lit("")).alias("text")), "items")
+    items = materialize(benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text")), "items")
     n = items.count()
     passes = max(1, -(-n // ITEMS))
     found = None
     for k in range(passes):
-        part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == k).orderBy("item_id").collect()
+        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k).orderBy("item_id", "text").collect()
         index = spark.sparkContext.broadcast(Index([(r[0], r[1]) for r in part]))
         hits = docs.select("doc_id", "text").mapInPandas(_search(index), "doc_id long, item_id long, similarity double, start long")
         found = hits if found is None else found.unionByName(hits)
@@ -168,6 +170,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` in which no item is found, with all columns."""
+    """The rows of ``docs`` whose doc_id has no item in any row, with all
+    columns.  Rows without doc_id stay; ``clean_rows`` tests them as well."""
     dirty = materialize(contaminated(docs, benchmark).where(F.col("doc_id").isNotNull()).select("doc_id").distinct(), "dirty")
     return docs.join(small(dirty, BROADCAST_IDS), "doc_id", "left_anti").select(*docs.columns)
+
+
+def clean_rows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` in which no item is found, whatever their doc_id, with all columns."""
+    keyed = with_row(docs)
+    found = contaminated(keyed.select(F.col("_row").alias("doc_id"), "text"), benchmark)
+    dirty = materialize(found.select(F.col("doc_id").alias("_row")).distinct(), "dirty")
+    return keyed.join(small(dirty, BROADCAST_IDS), "_row", "left_anti").select(*docs.columns)
