@@ -189,17 +189,22 @@ def test_phrases(spark, bound, sample, ease):
 
 def test_tasks_send_counts_on(spark, monkeypatch):
     """Tiny limits of what a task holds change nothing."""
-    counts = phrases._Counts(phrases.Trie([("en", "a", 0), ("en", "b", 0), ("en", "a b", 0), ("fr", "a", 0)]), 0)
+    counts = phrases._Counts(phrases.Trie().add(1, [(["en", "en", "fr"], ["a", "b", "a"], [0, 0, 0])]).add(2, [(["en"], ["a b"], [0])]), 0)
     total = Counter()
+
+    def gather():
+        for batch in counts.take():
+            for row in batch.to_pylist():
+                lang, phrase = (x[0] for x in counts.trie.phrases(np.array([row["code"]]))) if row["code"] is not None else (row["lang"], row["phrase"])
+                total[lang, phrase] += row["n"]
+
     for i in range(50):
-        counts.add("en", "a b a b c. A b" if i % 2 else "a b, a")
+        counts.add("en", b"a b a b c. A b" if i % 2 else b"a b, a")
         if i % 7 == 0:
             counts.look_up()
         if i % 10 == 0:
-            for pdf in counts.take():
-                total.update(dict(zip(zip(pdf.lang, pdf.phrase, strict=True), pdf.n, strict=True)))
-    for pdf in counts.take():
-        total.update(dict(zip(zip(pdf.lang, pdf.phrase, strict=True), pdf.n, strict=True)))
+            gather()
+    gather()
     assert total == {("en", "a"): 125, ("en", "b"): 100, ("en", "c"): 25, ("en", ""): 250, ("en", "a b"): 100, ("en", "b a"): 25}
 
 
