@@ -67,16 +67,27 @@ def chunked(docs: DataFrame, *others: str) -> tuple[DataFrame, int]:
     return docs.select(chunk.alias("chunk"), "doc_id", "text", *others), n
 
 
+def packed(docs: DataFrame) -> Column:
+    """All columns in one struct ``_doc``, so that no name of theirs meets a name of ours."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]).alias("_doc")
+
+
 def with_row(docs: DataFrame) -> DataFrame:
-    """``docs``, written once, with a ``_row`` of its own for every row."""
-    return materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
+    """_doc, _row: the packed rows, written once, each with a number of its own."""
+    return materialize(docs.select(packed(docs), F.monotonically_increasing_id().alias("_row")), "keyed")
+
+
+def bare(keyed: DataFrame, number: str = "_row") -> DataFrame:
+    """The row number (as ``number``), doc_id if that is another column, and text of packed rows."""
+    own = [] if number == "doc_id" else [F.col("_doc.doc_id").alias("doc_id")]
+    return keyed.select(F.col("_row").alias(number), *own, F.col("_doc.text").alias("text"))
 
 
 def keep_least(keyed: DataFrame, groups: DataFrame) -> DataFrame:
-    """Exactly one row of ``keyed`` for each group of (_row, group): that of
+    """Exactly one row of packed rows for each group of (_row, group): that of
     the smallest doc_id, null last."""
     found = materialize(groups, "groups")
-    named = found.join(keyed.select("_row", "doc_id"), "_row")
+    named = found.join(bare(keyed).select("_row", "doc_id"), "_row")
     kept = materialize(named.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "_row"))["_row"].alias("_row")), "kept")
     gone = materialize(found.select("_row").join(kept.select("_row"), "_row", "left_anti"), "gone")
-    return keyed.join(small(gone, BROADCAST_IDS), "_row", "left_anti")
+    return keyed.join(small(gone, BROADCAST_IDS), "_row", "left_anti").select("_doc.*")

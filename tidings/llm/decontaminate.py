@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidings.llm.blocks import mix
-from tidings.llm.common import with_row
+from tidings.llm.common import bare, with_row
 from tidings.session import materialize, small
 
 SHINGLE, SIMILAR = 5, 0.8
@@ -179,6 +179,6 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def clean_rows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` in which no item is found, whatever their doc_id, with all columns."""
     keyed = with_row(docs)
-    found = contaminated(keyed.select(F.col("_row").alias("doc_id"), "text"), benchmark)
+    found = contaminated(bare(keyed, "doc_id"), benchmark)
     dirty = materialize(found.select(F.col("doc_id").alias("_row")).distinct(), "dirty")
-    return keyed.join(small(dirty, BROADCAST_IDS), "_row", "left_anti").select(*docs.columns)
+    return keyed.join(small(dirty, BROADCAST_IDS), "_row", "left_anti").select("_doc.*")

@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidings.llm.common import packed
 from tidings.session import materialize, small
 
 FEATURES = 256             # random projections
@@ -212,4 +213,4 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def score(text: pd.Series) -> pd.Series:
         return pd.Series(model.score(np.vstack([describe(t) for t in text])) if len(text) else np.zeros(0))
 
-    return docs.withColumn("_score", score("text")).where(F.col("_score") >= THRESHOLD).drop("_score")
+    return docs.select(packed(docs), score("text").alias("_score")).where(F.col("_score") >= THRESHOLD).select("_doc.*")

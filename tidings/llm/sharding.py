@@ -13,10 +13,11 @@ import random
 from collections.abc import Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidings.llm.common import numbered
+from tidings.llm.common import numbered, packed
 from tidings.session import materialize
 
 SHARDS = 16
@@ -128,8 +129,8 @@ def assign(rows: DataFrame, shards: int = SHARDS, capacity: int | None = None) -
         ["bytes", "cell", "parcel"], ascending=[False, True, True])
     sizes = parcels["bytes"].tolist()
     parcels["shard"] = best_fit(sizes, capacity) if capacity else even_fit(sizes, shards)
-    placed = spark.createDataFrame(
-        [tuple(map(int, r)) for r in parcels[["cell", "parcel", "shard"]].itertuples(index=False)], "cell int, parcel int, shard int")
+    # as Arrow, which needs no Python worker beside those that packed the cells
+    placed = spark.createDataFrame(pa.Table.from_pandas(parcels[["cell", "parcel", "shard"]].astype("int32"), preserve_index=False))
     return packed.join(F.broadcast(placed), ["cell", "parcel"]).select("digest", "shard")
 
 
@@ -157,4 +158,4 @@ def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     digest = F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
     sizes = docs.select(digest.alias("digest"), (F.octet_length(F.coalesce(F.col("text"), F.lit(""))) + 1).cast("long").alias("size"))
     where = materialize(assign(sizes, shards), "assigned").select(F.col("digest").alias("_at"), "shard")
-    return rest.withColumn("_digest", digest).join(where, F.col("_digest") == F.col("_at")).select(*rest.columns, "shard")
+    return docs.select(packed(rest), digest.alias("_digest")).join(where, F.col("_digest") == F.col("_at")).select("_doc.*", "shard")

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidings.llm.common import keep_least, with_row
+from tidings.llm.common import bare, keep_least, with_row
 from tidings.llm.components import components
 from tidings.session import materialize
 
@@ -230,5 +230,5 @@ def keep_first(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """One row of each near-duplicate component, with all its columns: that of
     the smallest doc_id; one without doc_id only if all are."""
     keyed = with_row(docs)
-    found = near_duplicates(keyed.select(F.col("_row").alias("doc_id"), "text"), radius)
-    return keep_least(keyed, found.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("group"))).select(*docs.columns)
+    found = near_duplicates(bare(keyed, "doc_id"), radius)
+    return keep_least(keyed, found.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("group")))
