@@ -1,11 +1,13 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
 from tidings.functions import vectors
 from tidings.operators import search, vector
+from tidings.sources import tables
 
 DOCS = [(1, "drone drone radar"), (2, "radar ship"), (3, "ship ship ship port"), (4, "")]
 QUERIES = [(1, "drone radar"), (2, "port"), (3, "absent")]
@@ -95,6 +97,31 @@ def test_recall_grows_with_probes(spark):
     assert at[0] <= at[1] <= at[2] == 1.0 and at[1] > 0.5
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_index_reaches_the_floor(spark, sf):
+    v, q = (f(spark, f"/root/testdata/{sf}") for f in (tables.doc_vectors, tables.search_queries))
+    index, exact = vector.build_index(v, 10), vector.exact_topk(v, q, 10)
+    report = vector.recall(vector.search_index(index, q, 10), exact)
+    assert vector.check_recall(report).agg(F.avg("recall")).first()[0] >= vector.FLOOR
+    assert rows(vector.search_index(index, q, 10, probes=len(index.centroids)).select("query_id", "doc_num", "rank")) == rows(exact.select("query_id", "doc_num", "rank"))
+    assert index.rows.count() == v.count() and index.curve[index.probes - 1] >= vector.GOAL and index.curve[-1] == 1.0
+
+
+def test_index_reads_only_probed_cells(spark):
+    _, df = random_vectors(spark, 400)
+    index = vector.build_index(df, 10, cells=8)
+    read = index.read([0, 3])
+    assert "PartitionFilters: [isnotnull(cell" in read._jdf.queryExecution().executedPlan().toString() or "PartitionFilters: [cell" in read._jdf.queryExecution().executedPlan().toString()
+    files = [f.select(F.input_file_name()).distinct().count() for f in (read, index.rows)]
+    assert files[0] < files[1] and {r.cell for r in read.select("cell").distinct().collect()} <= {0, 3}
+
+
+def test_recall_below_the_floor_is_an_error(spark):
+    report = spark.createDataFrame([(1, 10, 8, 0.8), (2, 10, 9, 0.9)], "query_id long, k long, matched long, recall double")
+    with pytest.raises(ValueError, match="below"):
+        vector.check_recall(report)
+
+
 def test_rrf_is_symmetric(spark):
     a = spark.createDataFrame([(1, 10, 0.9, 1), (1, 11, 0.8, 2)], "query_id long, doc_num long, score double, rank int")
     b = spark.createDataFrame([(1, 11, 5.0, 1), (1, 12, 4.0, 2)], "query_id long, doc_num long, score double, rank int")

@@ -2,13 +2,15 @@
 
 The corpus is never shuffled: each task scores its own rows against a bounded
 block of queries with one matrix product and keeps its own k best per query.
-Only those survivors meet in the final rank.
+Only those survivors meet in the final rank.  An index keeps the vectors in one
+folder per cell, so that a search opens only the cells it probes.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -18,10 +20,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidings.operators.ingest import union_all
-from tidings.session import materialize
+from tidings.session import materialize, scratch
 
 QUERY_BLOCK = 2048      # queries held by one task at a time
 DIGITS = 9              # ranking precision; equal within it means a tie by id
+FIT_ROWS = 200_000      # vectors the cell centres are fitted on at most; every vector is indexed
+CALIBRATE = 256         # vectors that are searched exactly to choose the probes
+FLOOR = 0.9             # recall an index must reach
+GOAL = 0.95             # recall the probes are chosen for, so that other queries reach the floor
 
 
 def query_blocks(queries: DataFrame, vec: str) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -70,11 +76,16 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return ids[order], scores[order]
 
 
+def _nearest_cells(qmat: np.ndarray, centroids: np.ndarray, probes: int) -> np.ndarray:
+    return np.argsort(-(qmat @ centroids.T), axis=1, kind="stable")[:, :probes]
+
+
 def _scorer(qids: np.ndarray, qmat: np.ndarray, k: int, centroids=None, probes=None):
-    """Arrow-batch function: (id, vector) rows to this task's k best per query."""
+    """Arrow-batch function: (id, vector) rows to this task's k best per query.
+    A third column, if there, is the row's cell."""
     allowed = None
     if centroids is not None:
-        near = np.argsort(-(qmat @ centroids.T), axis=1, kind="stable")[:, :probes]
+        near = _nearest_cells(qmat, centroids, probes)
         allowed = np.zeros((len(centroids), len(qids)), dtype=bool)
         for j, cells in enumerate(near):
             allowed[cells, j] = True
@@ -87,7 +98,10 @@ def _scorer(qids: np.ndarray, qmat: np.ndarray, k: int, centroids=None, probes=N
             ids = b.column(0).to_numpy(zero_copy_only=False)
             x = _unit(_matrix(b.column(1)))
             # rows of a cell meet only the queries that probe it
-            cell = np.zeros(len(ids), int) if allowed is None else np.argmax(x @ centroids.T, axis=1)
+            if allowed is None:
+                cell = np.zeros(len(ids), int)
+            else:
+                cell = b.column(2).to_numpy(zero_copy_only=False) if b.num_columns > 2 else np.argmax(x @ centroids.T, axis=1)
             for c in np.unique(cell):
                 rows = np.flatnonzero(cell == c)
                 asking = np.arange(len(qids)) if allowed is None else np.flatnonzero(allowed[c])
@@ -130,25 +144,109 @@ def exact_topk(corpus: DataFrame, queries: DataFrame, k: int, id_col: str = "doc
 
 
 def fit_cells(corpus: DataFrame, cells: int, vec_col: str = "embedding", seed: int = 7) -> np.ndarray:
-    """Cell centres from a distributed k-means over the corpus vectors."""
-    unit = corpus.where(F.col(vec_col).isNotNull()).select(array_to_vector(F.col(vec_col).cast("array<double>")).alias("features"))
+    """Cell centres from a distributed k-means over at most some FIT_ROWS of the corpus vectors, chosen by hash."""
+    rows = corpus.where(F.col(vec_col).isNotNull())
+    share = FIT_ROWS / max(1, rows.count())
+    if share < 1:
+        rows = rows.where(F.pmod(F.xxhash64(F.lit(seed), vec_col), F.lit(1 << 30)) < int(share * (1 << 30)))
+    unit = rows.select(array_to_vector(F.col(vec_col).cast("array<double>")).alias("features"))
     model = KMeans(k=cells, seed=seed, maxIter=10, distanceMeasure="cosine").fit(unit)
     return _unit(np.array(model.clusterCenters()))
 
 
-def approx_topk(corpus: DataFrame, queries: DataFrame, k: int, cells: int | None = None, probes: int = 4,
+@dataclass
+class CellIndex:
+    """Vectors written in one folder per cell, and how many cells a query reads."""
+
+    rows: DataFrame          # id, vector, cell; partitioned by cell
+    centroids: np.ndarray
+    probes: int
+    curve: list[float]       # recall on the calibration vectors after 1, 2, ... cells
+
+    def read(self, cells) -> DataFrame:
+        """Rows of some cells; the other folders are not opened."""
+        return self.rows.where(F.col("cell").isin([int(c) for c in cells]))
+
+
+def _assigned(corpus: DataFrame, id_col: str, vec_col: str, centroids: np.ndarray) -> DataFrame:
+    kind, vec = corpus.schema[id_col].dataType.simpleString(), corpus.schema[vec_col].dataType.simpleString()
+
+    def run(batches):
+        for b in batches:
+            cell = np.argmax(_unit(_matrix(b.column(1))) @ centroids.T, axis=1) if b.num_rows else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(cell.astype(np.int32))], names=["doc_num", "v", "cell"])
+
+    rows = corpus.where(F.col(vec_col).isNotNull()).select(F.col(id_col).alias("doc_num"), F.col(vec_col).alias("v"))
+    return rows.mapInArrow(run, f"doc_num {kind}, v {vec}, cell int")
+
+
+def recall_curve(rows: DataFrame, centroids: np.ndarray, k: int) -> list[float]:
+    """Recall at ``k`` after each number of probed cells, over CALIBRATE of the
+    indexed vectors (by hash), each without itself: one exact search gives the
+    cells of the true neighbours, and their places give every number at once."""
+    sample = materialize(rows.orderBy(F.xxhash64(F.lit(3), "doc_num"), "doc_num").limit(CALIBRATE).select(F.col("doc_num").alias("query_id"), F.col("v").alias("query_vector")), "calibrate")
+    hits = exact_topk(rows, sample, k + 1, vec_col="v").where(F.col("query_id") != F.col("doc_num"))
+    cells = hits.select("query_id", "doc_num").join(rows.select("doc_num", "cell"), "doc_num").select("query_id", "cell").collect()   # CALIBRATE * (k + 1) rows
+    if not cells:
+        return [1.0] * len(centroids)
+    asked = {r[0]: r[1] for r in sample.collect()}
+    place = {q: {int(c): i for i, c in enumerate(_nearest_cells(_unit(np.array([v], float)), centroids, len(centroids))[0])} for q, v in asked.items()}
+    counts = np.bincount([place[q][c] for q, c in cells], minlength=len(centroids))
+    return (np.cumsum(counts) / len(cells)).tolist()
+
+
+def build_index(corpus: DataFrame, k: int = 10, cells: int | None = None, goal: float = GOAL,
+                id_col: str = "doc_num", vec_col: str = "embedding") -> CellIndex:
+    """Index of every non-null vector.
+
+    The number of cells grows with the square root of the corpus, so the rows
+    of a cell grow no faster.  The probes are the fewest that reach ``goal``
+    on the calibration vectors; they follow the data, not a constant.
+    """
+    spark = corpus.sparkSession
+    centroids = fit_cells(corpus, cells or max(16, math.isqrt(corpus.count()) // 4), vec_col)
+    path = scratch(spark, "cells")
+    placed = _assigned(corpus, id_col, vec_col, centroids)
+    placed.hint("rebalance", "cell").write.partitionBy("cell").parquet(path)
+    rows = spark.read.schema(placed.schema).parquet(path)
+    curve = recall_curve(rows, centroids, k)
+    return CellIndex(rows, centroids, next(i for i, r in enumerate(curve, 1) if r >= min(goal, curve[-1])), curve)
+
+
+def search_index(index: CellIndex, queries: DataFrame, k: int, probes: int | None = None, query_vec: str = "query_vector") -> DataFrame:
+    """Top-k over the cells nearest each query, scored exactly; only the
+    folders that some query of a block probes are read."""
+    n = min(probes or index.probes, len(index.centroids))
+    schema = (f"query_id {queries.schema['query_id'].dataType.simpleString()}, "
+              f"doc_num {index.rows.schema['doc_num'].dataType.simpleString()}, score double")
+    hits = [index.read(np.unique(_nearest_cells(m, index.centroids, n))).select("doc_num", "v", "cell")
+            .mapInArrow(_scorer(q, m, k, index.centroids, n), schema) for q, m in query_blocks(queries, query_vec)]
+    if not hits:
+        return index.rows.sparkSession.createDataFrame([], schema + ", rank int")
+    return rank_hits(union_all(*hits), k)
+
+
+def approx_topk(corpus: DataFrame, queries: DataFrame, k: int, cells: int | None = None, probes: int | None = None,
                 id_col: str = "doc_num", vec_col: str = "embedding",
                 query_vec: str = "query_vector", centroids: np.ndarray | None = None) -> DataFrame:
-    """Top-k over the ``probes`` cells nearest each query, scored exactly.
+    """Top-k over the cells nearest each query, scored exactly.
 
     More probes, more recall; probing every cell equals ``exact_topk``.
-    Without ``cells`` their number grows with the square root of the corpus,
-    so the rows a query is compared with grow no faster.
+    Without ``probes`` an index is built whose probes reach GOAL; with
+    ``probes`` and ``centroids`` the corpus is searched in place.
     """
-    if centroids is None:
-        cells = cells or max(16, math.isqrt(corpus.count()) // 4)
-        centroids = fit_cells(corpus, cells, vec_col)
-    return _search(corpus, queries, k, id_col, vec_col, query_vec, centroids, min(probes, len(centroids)))
+    if centroids is not None:
+        return _search(corpus, queries, k, id_col, vec_col, query_vec, centroids, min(probes or len(centroids), len(centroids)))
+    return search_index(build_index(corpus, k, cells, id_col=id_col, vec_col=vec_col), queries, k, probes, query_vec)
+
+
+def check_recall(report: DataFrame, floor: float = FLOOR) -> DataFrame:
+    """The report of ``recall``, or an error if the mean is below ``floor``."""
+    report = materialize(report, "recall")
+    mean = report.agg(F.avg("recall")).first()[0]
+    if mean is not None and mean < floor:
+        raise ValueError(f"recall {mean:.3f} is below {floor}")
+    return report
 
 
 def recall(approx: DataFrame, exact: DataFrame) -> DataFrame:

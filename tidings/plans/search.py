@@ -12,6 +12,7 @@ from tidings.session import materialize
 from tidings.sources import tables
 
 DEPTH = 50
+ASKED = 50       # similarity searches ask for the ids divisible by it, against all rows
 
 
 def _hits(df):
@@ -92,8 +93,9 @@ def ann_all_cells(spark, sf):
 
 
 def recall_monitor(spark, sf):
+    """Recall of the index per query; below the floor the query fails."""
     v, q = tables.doc_vectors(spark, sf), tables.search_queries(spark, sf)
-    return vector.recall(vector.approx_topk(v, q, 10), vector.exact_topk(v, q, 10))
+    return vector.check_recall(vector.recall(vector.approx_topk(v, q, 10), vector.exact_topk(v, q, 10)))
 
 
 def recall_baseline(spark, sf):
@@ -110,9 +112,10 @@ def entity_vectors(spark, sf):
 
 
 def entity_similarity(spark, sf):
-    """Neighbours of the ten most mentioned entities by mean document vector."""
+    """Neighbours by mean document vector, against all entities, of those whose hashed id is divisible by ASKED."""
     ents = entity_vectors(spark, sf)
-    top = ents.orderBy(F.desc("docs"), "alias").limit(10).select(F.col("alias").alias("query_id"), F.col("embedding").alias("query_vector"))
+    number = F.conv(F.substring(F.md5("alias"), 1, 7), 16, 10).cast("bigint")
+    top = ents.where(number % ASKED == 0).select(F.col("alias").alias("query_id"), F.col("embedding").alias("query_vector"))
     hits = vector.exact_topk(ents, top, 6, id_col="alias")
     return hits.select("query_id", F.col("doc_num").alias("alias"), F.round("score", 6).alias("score"), "rank")
 
@@ -128,10 +131,11 @@ def _edge_texts(spark, sf):
 
 
 def edge_similarity(spark, sf):
-    """Relations most like the ten of largest value."""
+    """Relations most like those of the customers whose id is divisible by ASKED with the suppliers whose id is divisible by 10, among all."""
     e = _edge_texts(spark, sf)
     emb = e.select("edge_id", "total", vectors.embed_tokens(F.col("tokens")).alias("embedding"))
-    top = (e.orderBy(F.desc("total"), "edge_id").limit(10)
+    end = lambda kind: F.regexp_extract("edge_id", kind + r":(\d+)", 1).cast("bigint")
+    top = (e.where((end("c") % ASKED == 0) & (end("s") % 10 == 0))
            .select(F.col("edge_id").alias("query_id"), vectors.embed_tokens(F.col("tokens")).alias("query_vector")))
     hits = vector.exact_topk(emb, top, 5, id_col="edge_id")
     return hits.select("query_id", F.col("doc_num").alias("edge_id"), F.round("score", 6).alias("score"), "rank")
@@ -247,18 +251,19 @@ dims AS (SELECT unnest(generate_series(1, 64)) AS i),
 ev AS (SELECT alias, count(*) AS docs, list(embedding::DOUBLE[]) AS vs FROM mentions JOIN embeddings ON doc_num = vec_id GROUP BY 1),
 em AS (SELECT alias, max(docs) AS docs, list(m ORDER BY i) AS v FROM (
    SELECT alias, docs, i, list_avg(list_transform(vs, lambda x: x[i])) AS m FROM ev, dims) GROUP BY 1),
-top AS (SELECT alias AS query_id, v AS qv FROM em ORDER BY docs DESC, alias LIMIT 10),
+top AS (SELECT alias AS query_id, v AS qv FROM em WHERE ('0x' || substring(md5(alias), 1, 7))::BIGINT % 50 = 0),
 es AS (SELECT query_id, alias, round(list_cosine_similarity(qv, v), 9) AS score FROM top, em)
 """
 
 _EDGE = """
 et AS (SELECT src || '>' || dst AS edge_id, count(*) AS n, sum(value::DECIMAL(18,2)) AS total, src, dst FROM awards GROUP BY src, dst),
 etok AS (SELECT edge_id, unnest(['buyer' || src, 'seller' || dst, 'orders' || n, 'size' || length((floor(total)::BIGINT)::VARCHAR)]) AS tok FROM et),
-es AS (SELECT edge_id, ('0x' || substring(md5(tok), 1, 7))::BIGINT % 64 AS slot,
+es AS MATERIALIZED (SELECT edge_id, ('0x' || substring(md5(tok), 1, 7))::BIGINT % 64 AS slot,
        sum(CASE WHEN ('0x' || substring(md5(tok), 8, 1))::BIGINT % 2 = 0 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END) AS val FROM etok GROUP BY 1, 2),
 en AS (SELECT edge_id, sqrt(sum(val * val)) AS nrm FROM es GROUP BY 1),
-top AS (SELECT edge_id FROM et ORDER BY total DESC, edge_id LIMIT 10),
-dots AS (SELECT a.edge_id AS query_id, b.edge_id, sum(a.val * b.val) AS dot FROM es a JOIN top USING (edge_id) JOIN es b ON a.slot = b.slot GROUP BY 1, 2),
+top AS (SELECT edge_id FROM et WHERE substring(src, 3)::BIGINT % 50 = 0 AND substring(dst, 3)::BIGINT % 10 = 0),
+asked AS MATERIALIZED (SELECT * FROM es WHERE edge_id IN (SELECT edge_id FROM top)),
+dots AS (SELECT a.edge_id AS query_id, b.edge_id, sum(a.val * b.val) AS dot FROM asked a JOIN es b ON a.slot = b.slot GROUP BY 1, 2),
 sc AS (SELECT query_id, d.edge_id, round(dot / (na.nrm * nb.nrm), 9) AS score FROM dots d JOIN en na ON na.edge_id = query_id
        JOIN en nb ON nb.edge_id = d.edge_id WHERE nb.nrm > 0)
 """
