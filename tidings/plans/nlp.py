@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidings import vocab
 from tidings.functions import text, vectors
-from tidings.operators import nlp
+from tidings.operators import nlp, spans
 from tidings.operators.ingest import union_all
 from tidings.plans import common
 from tidings.plans.sql import ARTICLES, EDGES, GAZETTEER, TOKENS, with_
@@ -116,6 +116,12 @@ def ner_aliases(spark, sf):
     return nlp.alias_mentions(common.tokenised(spark, sf), given_names(spark, sf))
 
 
+def ner_spans(spark, sf):
+    """Where the given names stand in all texts: leftmost, longest, none over another."""
+    found = spans.name_spans(common.text_articles(spark, sf), given_names(spark, sf))
+    return found.select("doc_num", "entity_id", "name", "first", "n", "score")
+
+
 def run_models(spark, sf):
     """A model over all texts that fails on the batches holding a marked one:
     failed batches are reported, the others counted."""
@@ -174,7 +180,7 @@ def node_embeddings(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     ner_gazetteer, entities_by_type, graph_extract, nlp_summary, vocab_filter, relation_rules, coref_rewrite,
-    consolidate_nlp, entity_texts, node_embeddings, relations_resolved, ner_aliases, run_models)}
+    consolidate_nlp, entity_texts, node_embeddings, relations_resolved, ner_aliases, ner_spans, run_models)}
 
 OCCURRENCES = """
 occ AS (SELECT s.doc_num, s.pos, g.alias, g.type FROM seq s JOIN gaz g ON s.term = g.alias),
@@ -219,6 +225,14 @@ texts AS (SELECT alias AS id, arg_min(alias || ' - ' || type || CASE WHEN tf > 1
   FROM mentions JOIN articles USING (doc_num) GROUP BY 1)
 """
 
+_GIVEN = r"""
+given AS (SELECT 'n:' || n_nationkey AS entity_id, n_name AS name FROM nation UNION ALL SELECT 's:' || s_suppkey, s_name FROM supplier
+  UNION ALL SELECT 'c:' || c_custkey, c_name FROM customer UNION ALL SELECT 'p:' || p_partkey, p_name FROM part
+  UNION ALL SELECT 'b:' || item_id, array_to_string(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')[1:3], ' ') FROM benchmark),
+keyed AS (SELECT DISTINCT entity_id, name, array_to_string(regexp_extract_all(lower(name), '[\p{L}\p{N}]+'), ' ') AS gram,
+  len(regexp_extract_all(lower(name), '[\p{L}\p{N}]+')) AS n FROM given)
+"""
+
 ORACLES = {
     "ner_gazetteer": with_(TOKENS, GAZETTEER, body="""
 SELECT type, count(*) AS mentions, sum(tf)::BIGINT AS occurrences, count(*) FILTER (tf / (tf + 0.5::DOUBLE) > 0.7) AS confident,
@@ -249,12 +263,16 @@ whole AS (SELECT r, string_agg(CASE WHEN lower(piece) IN ({_PRONOUNS}) AND pos <
   FROM pieces LEFT JOIN main USING (r) GROUP BY 1),
 resolved AS (SELECT id, whole.text FROM whole JOIN said USING (r))""", _rules("resolved", "id"), body="""
 SELECT id, trim(s) AS source_entity, trim(t) AS target_entity, relation_type, 0.8::DOUBLE AS confidence, e AS evidence_text FROM rules"""),
-    "ner_aliases": with_(TOKENS, r"""
-given AS (SELECT 'n:' || n_nationkey AS entity_id, n_name AS name FROM nation UNION ALL SELECT 's:' || s_suppkey, s_name FROM supplier
-  UNION ALL SELECT 'c:' || c_custkey, c_name FROM customer UNION ALL SELECT 'p:' || p_partkey, p_name FROM part
-  UNION ALL SELECT 'b:' || item_id, array_to_string(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')[1:3], ' ') FROM benchmark),
-keyed AS (SELECT DISTINCT entity_id, name, array_to_string(regexp_extract_all(lower(name), '[\p{L}\p{N}]+'), ' ') AS gram,
-  len(regexp_extract_all(lower(name), '[\p{L}\p{N}]+')) AS n FROM given),
+    "ner_spans": with_(TOKENS, _GIVEN, r"""
+hits AS (SELECT s.doc_num, s.pos, k.n, array_to_string(t.tokens[s.pos:s.pos + k.n - 1], ' ') AS gram FROM seq s JOIN toks t USING (doc_num)
+  JOIN (SELECT DISTINCT n, split_part(gram, ' ', 1) AS head FROM keyed) k ON k.head = s.term WHERE s.pos + k.n - 1 <= len(t.tokens)),
+longest AS MATERIALIZED (SELECT doc_num, pos, max_by(gram, n) AS gram, max(n) AS n FROM hits WHERE gram IN (SELECT gram FROM keyed) GROUP BY ALL),
+walk AS (SELECT * FROM longest QUALIFY row_number() OVER (PARTITION BY doc_num ORDER BY pos) = 1
+  UNION ALL SELECT l.* FROM walk w JOIN longest l ON l.doc_num = w.doc_num AND l.pos >= w.pos + w.n
+  QUALIFY row_number() OVER (PARTITION BY l.doc_num ORDER BY l.pos) = 1),
+share AS (SELECT gram, round(1.0 / count(DISTINCT entity_id), 6)::DOUBLE AS score FROM keyed GROUP BY 1)""", body="""
+SELECT doc_num, entity_id, name, (pos - 1)::INT AS first, walk.n::INT AS n, score FROM walk JOIN keyed USING (gram) JOIN share USING (gram)"""),
+    "ner_aliases": with_(TOKENS, _GIVEN, r"""
 grams AS (SELECT s.doc_num, array_to_string(t.tokens[s.pos:s.pos + k.n - 1], ' ') AS gram FROM seq s JOIN toks t USING (doc_num)
   JOIN (SELECT DISTINCT n, split_part(gram, ' ', 1) AS head FROM keyed) k ON k.head = s.term
   WHERE s.pos + k.n - 1 <= len(t.tokens))""", body="""
