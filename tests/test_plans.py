@@ -20,7 +20,7 @@ def plan(spark, name):
 
 
 @pytest.mark.parametrize("name", ["union_topics_dedup", "ingest_topic_cap", "relevance_mart", "density_relevance", "graph_relations_upsert",
-                                  "relation_lifecycle", "interval_overlaps", "confidence_merge", "facets", "graph_mentions"])
+                                  "relation_lifecycle", "relation_asof_dates", "interval_overlaps", "confidence_merge", "facets", "graph_mentions"])
 def test_no_cross_or_nested_loop_join(no_auto_broadcast, name):
     p = plan(no_auto_broadcast, name)
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p

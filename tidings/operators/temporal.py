@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidings.session import materialize
+
 # Evidence bands: lowest and highest confidence by kind of source
 CONFIDENCE_BANDS = (("filing", 0.9, 1.0), ("market", 0.7, 0.9), ("news", 0.3, 0.8), ("inferred", 0.2, 0.6))
 
@@ -55,6 +57,27 @@ def as_of(intervals: DataFrame, dates: list[str]) -> DataFrame:
     return intervals.select("*", F.explode(held).alias("as_of"))
 
 
+def as_of_join(intervals: DataFrame, asked: DataFrame, keys: list[str], at: str = "at", period: str = "month") -> DataFrame:
+    """Rows of ``asked`` with every fact of the same keys that holds at their date.
+
+    ``asked`` is a table of any size with the keys and a date.  Both sides meet
+    on the keys and the calendar period of the date: an interval is one row for
+    each period it covers between the first and the last date asked, so a pair
+    meets once, and a subject with very many facts is dealt over its periods.
+    Null dates and dates before a first fact have no row.
+    """
+    asked = materialize(asked, "asked")
+    low, high = asked.agg(F.min(at), F.max(at)).first()
+    if low is None:
+        return asked.join(intervals, keys).where(F.lit(False)) if keys else asked.join(intervals, F.lit(True)).where(F.lit(False))
+    from_, to = F.lit(low).cast("timestamp"), F.lit(high).cast("timestamp")
+    open_ = F.coalesce("end", to)
+    covered = F.sequence(F.date_trunc(period, F.greatest("start", from_)), F.date_trunc(period, F.least(open_, to)), F.expr(f"INTERVAL 1 {period}"))
+    dealt = intervals.where((F.col("start") <= to) & (open_ >= from_)).withColumn("_period", F.explode(covered))
+    met = asked.withColumn("_period", F.date_trunc(period, at)).join(dealt, [*keys, "_period"]).drop("_period")
+    return met.where((F.col("start") <= F.col(at)) & (F.col("end").isNull() | (F.col(at) < F.col("end"))))
+
+
 def trend(edges: DataFrame, period: str = "month") -> DataFrame:
     """Relations per type and period, and the change from the period before.
 

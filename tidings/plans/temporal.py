@@ -39,6 +39,15 @@ def relation_asof(spark, sf):
     return held.select(F.date_format("as_of", "yyyy-MM-dd").alias("as_of"), "subject", "object", F.date_format("start", "yyyy-MM-dd").alias("start"))
 
 
+def relation_asof_dates(spark, sf):
+    """Who supplied each ordered part on the day of its order."""
+    o, li = (tables.table(spark, sf, t) for t in ("orders", "lineitem"))
+    asked = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+             .select(tables._key("p:", "l_partkey").alias("subject"), F.col("o_orderdate").cast("timestamp").alias("at")).distinct())
+    held = temporal.as_of_join(temporal.lifecycle(_facts(spark, sf), ["subject", "type"]), asked, ["subject"])
+    return held.select(F.date_format("at", "yyyy-MM-dd").alias("on_day"), "subject", "object", F.date_format("start", "yyyy-MM-dd").alias("start"))
+
+
 def _evidence(spark, sf):
     li = tables.table(spark, sf, "lineitem")
     return li.select(
@@ -72,7 +81,7 @@ def interval_overlaps(spark, sf):
                       "earlier", F.date_format("reached", "yyyy-MM-dd").alias("reached"), "violation")
 
 
-QUERIES = {f.__name__: f for f in (relation_trend, relation_lifecycle, relation_asof, relation_bitemporal, conflict_resolve, confidence_merge, interval_overlaps)}
+QUERIES = {f.__name__: f for f in (relation_trend, relation_lifecycle, relation_asof, relation_asof_dates, relation_bitemporal, conflict_resolve, confidence_merge, interval_overlaps)}
 
 _LIFE = """
 life AS (SELECT subject, object, ts AS start, lead(ts) OVER (PARTITION BY subject ORDER BY ts, object) AS end_
@@ -89,6 +98,10 @@ SELECT type, strftime(p, '%Y-%m') AS period, n, n - lag(n) OVER (PARTITION BY ty
 SELECT subject, object, strftime(start, '%Y-%m-%d') AS start, strftime(end_, '%Y-%m-%d') AS "end" FROM life"""),
     "relation_asof": with_(EDGES, _LIFE, "ds AS (SELECT unnest([" + ", ".join(f"TIMESTAMP '{d}'" for d in DATES) + "]) AS d)", body="""
 SELECT strftime(d, '%Y-%m-%d') AS as_of, subject, object, strftime(start, '%Y-%m-%d') AS start FROM life JOIN ds ON start <= d AND (end_ IS NULL OR d < end_)"""),
+    "relation_asof_dates": with_(EDGES, _LIFE, """questions AS (SELECT DISTINCT 'p:' || l_partkey AS subject, o_orderdate AS asked
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""", body="""
+SELECT strftime(asked, '%Y-%m-%d') AS on_day, subject, object, strftime(start, '%Y-%m-%d') AS start FROM questions JOIN life USING (subject)
+WHERE start <= asked AND (end_ IS NULL OR asked < end_)"""),
     "relation_bitemporal": with_("""
 life AS (SELECT subject, object, ts AS start, lead(ts) OVER (PARTITION BY subject ORDER BY ts, object) AS end_ FROM (
   SELECT DISTINCT 'p:' || l_partkey AS subject, 's:' || l_suppkey AS object, l_shipdate AS ts FROM lineitem JOIN orders ON l_orderkey = o_orderkey
