@@ -59,6 +59,24 @@ def test_dedup_from_the_last_fetch_kept(spark):
     assert rows(out.select("event_id")) == [(1,), (2,), (4,), (6,)]
 
 
+def test_burst_over_a_minute_border_fires_once(spark):
+    src, root, chk = (scratch(spark, n) for n in ("src", "out", "chk"))
+    make = lambda s: flows.bursts(s, 3, "60 seconds", "10 minutes")
+    events(spark, (1, 40, 3, "purchase"), (2, 55, 13, "purchase"), (3, 50, 4, "purchase"), (4, 58, 3, "error")).write.parquet(src)
+    drain(spark, src, make, root, chk, ["resource", "fired"], "append")
+    events(spark, (5, 65, 3, "purchase"), (6, 66, 3, "purchase"), (7, 67, 3, "purchase"), (8, 120, 4, "purchase"), (9, 181, 4, "purchase")).write.mode("append").parquet(src)
+    out = drain(spark, src, make, root, chk, ["resource", "fired"], "append")
+    assert rows(out) == [("flow-3", BASE + dt.timedelta(seconds=65))]
+    # a day later nothing is remembered, and three events at one moment are a burst
+    events(spark, (10, 90_000, 4, "purchase")).write.mode("append").parquet(src)
+    drain(spark, src, make, root, chk, ["resource", "fired"], "append")
+    events(spark, *[(20 + i, 90_100, 3, "purchase") for i in range(3)]).write.mode("append").parquet(src)
+    out = drain(spark, src, make, root, chk, ["resource", "fired"], "append")
+    assert rows(out) == [("flow-3", BASE + dt.timedelta(seconds=65)), ("flow-3", BASE + dt.timedelta(seconds=90_100))]
+    state = spark.read.format("statestore").load(chk)
+    assert {r.key.resource for r in state.select("key").collect()} <= {"flow-3", "flow-4"}
+
+
 def test_alert_message(spark):
     ev = flows.run_events(events(spark, (7, 5, 12, "error"), (8, 5, 12, "click")))
     assert rows(flows.failure_alerts(ev)) == [(7, "Ingestion Failed", "Flow: flow-2\nRun: 7\nTime: 2024-01-01 12:00:05")]

@@ -124,7 +124,13 @@ def stream_dedup(spark, sf):
     return out.select("event_id", "key", "user_id", "state", common.iso("occurred"))
 
 
-QUERIES = {f.__name__: f for f in (stream_ingest_index, stream_catchup, stream_graph, stream_chain, stream_threshold, stream_daily, stream_alert, stream_dedup)}
+def stream_bursts(spark, sf):
+    """Moments at which three completed runs of a resource lie within an hour, an hour apart at least."""
+    out = _drained(spark, flows.bursts(_events(spark, sf), 3, "1 hour"), ["resource", "fired"], "append")
+    return out.select("resource", common.iso("fired"))
+
+
+QUERIES = {f.__name__: f for f in (stream_ingest_index, stream_catchup, stream_graph, stream_chain, stream_threshold, stream_daily, stream_alert, stream_dedup, stream_bursts)}
 
 _RUNS = """
 runs AS (SELECT event_id, ts, user_id, 'flow-' || (user_id % 10) AS resource, CASE event_type WHEN 'error' THEN 'Failed' ELSE 'Completed' END AS state
@@ -154,6 +160,13 @@ SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS start, count(*) A
     "stream_alert": with_(_RUNS, body="""
 SELECT event_id, 'Ingestion Failed' AS subject, 'Flow: ' || resource || chr(10) || 'Run: ' || event_id || chr(10) || 'Time: ' || strftime(ts, '%Y-%m-%d %H:%M:%S') AS body
 FROM runs WHERE state = 'Failed'"""),
+    "stream_bursts": with_(_RUNS, """
+near AS (SELECT resource, ts, count(*) OVER (PARTITION BY resource ORDER BY ts RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW) AS n
+  FROM runs WHERE state = 'Completed'),
+hot AS (SELECT DISTINCT resource, ts FROM near WHERE n >= 3),
+fired AS (SELECT resource, min(ts) AS ts FROM hot GROUP BY 1
+  UNION ALL SELECT f.resource, min(h.ts) FROM fired f JOIN hot h ON h.resource = f.resource AND h.ts >= f.ts + INTERVAL 1 HOUR GROUP BY f.resource, f.ts)""", body="""
+SELECT resource, strftime(ts, '%Y-%m-%d %H:%M:%S') AS fired FROM fired"""),
     "stream_dedup": with_(_RUNS, """
 kept AS (
   SELECT user_id, state, min(ts) AS ts FROM runs GROUP BY 1, 2

@@ -171,6 +171,41 @@ def dedupe_fetches(events: DataFrame, *args: str, within: str = "1 hour") -> Dat
     return keyed.groupBy("key").applyInPandasWithState(keep, keyed.schema, "last timestamp", "append", GroupStateTimeout.NoTimeout)
 
 
+def bursts(events: DataFrame, count: int = 3, within: str = "60 seconds", late: str = "1 hour", state: str = COMPLETED) -> DataFrame:
+    """resource, fired: moments at which ``count`` events of a resource lie
+    within ``within``, wherever a minute begins.
+
+    A burst fires once: the next alert of a resource comes ``within`` after
+    its last at the earliest.  The state of a resource is the times of its last
+    ``count`` events and of its last alert; it is removed once the watermark
+    (``late`` behind the newest event) has passed them by ``within``.  Events
+    of a resource are taken in order within a batch; one older than those kept
+    counts towards no alert before them.
+    """
+    from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+    gap = pd.Timedelta(within)
+    timed = events.where(F.col("state") == state).select("resource", "occurred").withWatermark("occurred", late)
+
+    def watch(key, batches, kept: GroupState):
+        if kept.hasTimedOut:
+            kept.remove()
+            return
+        recent, last = ([pd.Timestamp(t) for t in kept.get[0]], kept.get[1]) if kept.exists else ([], None)
+        last = None if last is None or pd.isna(last) else pd.Timestamp(last)
+        fired = []
+        for at, same in pd.concat(list(batches)).groupby("occurred").size().items():
+            recent = sorted([*recent, *[at] * min(same, count)])[-count:]
+            if len(recent) == count and recent[-1] - recent[0] <= gap and recent[-1] == at and (last is None or at - last >= gap):
+                fired.append(at)
+                last = at
+        kept.update(([t.to_pydatetime() for t in recent], None if last is None else last.to_pydatetime()))
+        kept.setTimeoutTimestamp(max(int((recent[-1] + gap).timestamp() * 1000), kept.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({"resource": key[0], "fired": pd.Series(fired, dtype="datetime64[ns]")})
+
+    return timed.groupBy("resource").applyInPandasWithState(
+        watch, "resource string, fired timestamp", "recent array<timestamp>, last timestamp", "append", GroupStateTimeout.EventTimeTimeout)
+
+
 def keep_latest(df: DataFrame, root: str, checkpoint: str, mode: str = "update") -> None:
     """Changed result rows of each micro-batch as deltas of an upserted table."""
     run_available(df, lambda batch, batch_id: files.write_batch(batch, root, batch_id, files.writer_id(checkpoint)), checkpoint, mode)
