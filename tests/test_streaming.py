@@ -59,6 +59,16 @@ def test_dedup_from_the_last_fetch_kept(spark):
     assert rows(out.select("event_id")) == [(1,), (2,), (4,), (6,)]
 
 
+def test_dedup_state_expires(spark):
+    src, root, chk = (scratch(spark, n) for n in ("src", "out", "chk"))
+    make = lambda s: flows.dedupe_fetches(s, "user_id", "state", late="1 hour")
+    for batch in ([(i, i, i, "purchase") for i in range(20)], [(30, 90_000, 99, "purchase")], [(31, 90_001, 99, "purchase")], [(32, 98_000, 3, "purchase")]):
+        events(spark, *batch).write.mode("append").parquet(src)
+        out = drain(spark, src, make, root, chk, ["event_id"], "append")
+    assert rows(out.select("event_id")) == sorted([(i,) for i in range(20)] + [(30,), (32,)], key=str)
+    assert spark.read.format("statestore").load(chk).count() <= 2
+
+
 def test_burst_over_a_minute_border_fires_once(spark):
     src, root, chk = (scratch(spark, n) for n in ("src", "out", "chk"))
     make = lambda s: flows.bursts(s, 3, "60 seconds", "10 minutes")

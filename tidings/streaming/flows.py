@@ -143,20 +143,25 @@ def failure_alerts(events: DataFrame) -> DataFrame:
         F.date_format("occurred", "yyyy-MM-dd HH:mm:ss")).alias("body"))
 
 
-def dedupe_fetches(events: DataFrame, *args: str, within: str = "1 hour") -> DataFrame:
+def dedupe_fetches(events: DataFrame, *args: str, within: str = "1 hour", late: str = "1 day") -> DataFrame:
     """Fetches that are not a repeat: one with the same arguments is dropped
     until ``within`` has passed since the last one kept.
 
     A state row per argument key holds the time of the last fetch kept, so
     the rule does not depend on how events fall into batches, as long as a
     key's events arrive in order; an event before the last one kept is a
-    repeat if less than ``within`` lies between them.
+    repeat if less than ``within`` lies between them.  The state of a key is
+    removed once the watermark (``late`` behind the newest event) has passed
+    its time by ``within``; an event later than the watermark is dropped.
     """
     from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
     gap = pd.Timedelta(within)
-    keyed = events.withColumn("key", F.md5(F.concat_ws("|", *[F.col(a).cast("string") for a in args])))
+    keyed = events.withColumn("key", F.md5(F.concat_ws("|", *[F.col(a).cast("string") for a in args]))).withWatermark("occurred", late)
 
     def keep(key, batches, state: GroupState):
+        if state.hasTimedOut:
+            state.remove()
+            return
         last = pd.Timestamp(state.get[0]) if state.exists else None
         rows = pd.concat(list(batches)).sort_values(["occurred", "event_id"])
         kept = []
@@ -166,9 +171,10 @@ def dedupe_fetches(events: DataFrame, *args: str, within: str = "1 hour") -> Dat
             kept.append(fresh)
         if last is not None:
             state.update((last.to_pydatetime(),))
+            state.setTimeoutTimestamp(max(int((last + gap).timestamp() * 1000), state.getCurrentWatermarkMs() + 1))
         yield rows[kept]
 
-    return keyed.groupBy("key").applyInPandasWithState(keep, keyed.schema, "last timestamp", "append", GroupStateTimeout.NoTimeout)
+    return keyed.groupBy("key").applyInPandasWithState(keep, keyed.schema, "last timestamp", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def bursts(events: DataFrame, count: int = 3, within: str = "60 seconds", late: str = "1 hour", state: str = COMPLETED) -> DataFrame:
