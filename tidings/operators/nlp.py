@@ -308,12 +308,17 @@ def node_embeddings(nodes: DataFrame, *order: Column, embed: Callable = vectors.
     return texts.select("id", "entity_text", embed(text.tokens(F.col("entity_text"))).alias("embedding"))
 
 
-def consolidate(documents: DataFrame, entities: DataFrame, coreferences: DataFrame, rel: DataFrame) -> DataFrame:
-    """One record per document from the three services; missing parts are empty."""
+def consolidate(documents: DataFrame, entities: DataFrame, coreferences: DataFrame, rel: DataFrame, processed_at: Column | None = None) -> DataFrame:
+    """One record per document from the three services; missing parts are empty.
+
+    ``processed_at`` stamps the records (a column of ``documents`` or a
+    literal, so that reruns agree); without it they get the time of the query.
+    """
     def empty(col, like):
         return F.coalesce(F.col(col), F.array().cast(like.schema[col].dataType)).alias(col)
     stamps = F.create_map(*[F.lit(x) for kv in vocab.MODEL_VERSIONS.items() for x in kv])
     return (documents.join(entities, "doc_num", "left").join(coreferences, "doc_num", "left").join(rel, "doc_num", "left")
             .select("doc_num", empty("entities", entities), empty("coreferences", coreferences), empty("relations", rel),
-                    F.struct(F.lit(vocab.NLP_PIPELINE_VERSION).alias("nlp_pipeline_version"),
+                    F.struct((F.current_timestamp() if processed_at is None else processed_at).cast("timestamp").alias("processing_timestamp"),
+                             F.lit(vocab.NLP_PIPELINE_VERSION).alias("nlp_pipeline_version"),
                              stamps.alias("model_versions")).alias("processing_metadata")))

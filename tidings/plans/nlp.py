@@ -151,9 +151,10 @@ def consolidate_nlp(spark, sf):
     ents = found.groupBy("doc_num").agg(F.array_sort(F.collect_list("alias")).alias("entities"))
     coref = docs.select("doc_num", nlp.pronoun_clusters("text").alias("coreferences"))
     rel = nlp.relations(docs, "doc_num").groupBy("doc_num").agg(F.collect_list(F.struct("source_entity", "target_entity", "relation_type")).alias("relations"))
-    out = nlp.consolidate(docs.select("doc_num"), ents, coref, rel)
+    out = nlp.consolidate(docs.select("doc_num"), ents, coref, rel, tables._at(F.col("doc_num")) + F.expr("INTERVAL 7 HOURS"))
     return out.select("doc_num", F.size("entities").cast("bigint").alias("entities"), F.size("coreferences").cast("bigint").alias("clusters"),
                       F.size("relations").cast("bigint").alias("relations"),
+                      F.date_format("processing_metadata.processing_timestamp", "yyyy-MM-dd HH:mm:ss").alias("processed_at"),
                       F.col("processing_metadata.nlp_pipeline_version").alias("version"),
                       F.col("processing_metadata.model_versions")["ner"].alias("ner_model"))
 
@@ -287,6 +288,7 @@ SELECT doc_id, md5(string_agg(x, '' ORDER BY pos)) AS resolved_md5, sum(length(x
   FROM pieces LEFT JOIN main USING (doc_id)) GROUP BY 1"""),
     "consolidate_nlp": with_(TOKENS, GAZETTEER, "w AS (SELECT doc_num, count(*) AS n FROM seq GROUP BY 1)", _rules("documents", "doc_id"), body="""
 SELECT doc_id AS doc_num, coalesce(m.n, 0) AS entities, CASE WHEN w.n > 0 THEN 1 ELSE 0 END::BIGINT AS clusters, coalesce(r.n, 0) AS relations,
+       strftime(TIMESTAMP '2024-01-01' + to_days((doc_id % 30)::INT) + to_hours((doc_id % 24)::INT + 7), '%Y-%m-%d %H:%M:%S') AS processed_at,
        '1.0' AS version, 'roberta-base-finetuned-v2.1' AS ner_model
 FROM documents d LEFT JOIN (SELECT doc_num, count(*) AS n FROM mentions GROUP BY 1) m ON d.doc_id = m.doc_num
 LEFT JOIN w ON d.doc_id = w.doc_num LEFT JOIN (SELECT doc_id, count(*) AS n FROM rules GROUP BY 1) r USING (doc_id)"""),
