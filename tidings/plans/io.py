@@ -9,6 +9,7 @@ from tidings.functions import text
 from tidings.operators import ingest, nlp
 from tidings.plans import common
 from tidings.plans.ingest import topics
+from tidings.plans.nlp import OCCURRENCES
 from tidings.plans.sql import ARTICLES, GAZETTEER, RAW, TOKENS, with_
 from tidings.session import materialize, scratch
 from tidings.sinks import files
@@ -151,7 +152,7 @@ def sinks_roundtrip(spark, sf):
         rows("articles", files.read_articles(spark, p["articles"]), *text_of),
         rows("combined", spark.read.parquet(p["combined"]), *text_of),
         rows("enriched", files.read_enriched(spark, p["enriched"]).select("doc_id", F.array_join(F.array_sort("entities"), ",").alias("names")), "doc_id", "names"),
-        rows("objects", objects, "document_id", "entity_count"),
+        rows("objects", objects, "document_id", "entity_count", "relationship_count"),
         rows("index", latest, "doc_id", "title"),
         rows("exports", spark.read.json(p["exports"], schema="doc_id string, content string"), "content"),
         rows("runs", spark.read.parquet(p["runs"]), "run_date"))
@@ -232,14 +233,15 @@ UNION ALL SELECT 'glob', topic_key, count(*), min(doc_id) FROM articles WHERE st
 UNION ALL SELECT 'array', topic_key, count(*), min(doc_id) FROM articles GROUP BY 2"""),
     "document_scan": with_(ARTICLES, body="""
 SELECT source, count(*) AS documents, sum(length(title) + 2 + length(content))::BIGINT AS chars, min(doc_id) AS first FROM articles WHERE content <> '' GROUP BY 1"""),
-    "sinks_roundtrip": with_(ARTICLES, TOKENS, GAZETTEER, """
+    "sinks_roundtrip": with_(ARTICLES, TOKENS, GAZETTEER, OCCURRENCES, """
 names AS (SELECT 'doc_' || doc_id AS doc_id, coalesce(x, '') AS names, coalesce(n, 0) AS n FROM documents LEFT JOIN (
-  SELECT doc_num, string_agg(alias, ',' ORDER BY alias) AS x, count(*) AS n FROM mentions GROUP BY 1) m ON doc_num = doc_id)""", body=f"""
+  SELECT doc_num, string_agg(alias, ',' ORDER BY alias) AS x, count(*) AS n FROM mentions GROUP BY 1) m ON doc_num = doc_id),
+counted AS (SELECT names.doc_id, names.n, coalesce(r.n, 0) AS r FROM names LEFT JOIN (SELECT doc_num, count(*) AS n FROM adj GROUP BY 1) r ON names.doc_id = 'doc_' || doc_num)""", body=f"""
 SELECT 'raw' AS sink, count(*) AS n, {_TEXT} FROM articles
 UNION ALL SELECT 'articles', count(*), {_TEXT} FROM articles
 UNION ALL SELECT 'combined', count(*), {_TEXT} FROM articles WHERE topic_key <> 't2'
 UNION ALL SELECT 'enriched', count(*), {common.digest_sql('doc_id', 'names')} FROM names
-UNION ALL SELECT 'objects', count(*), {common.digest_sql('doc_id', 'n')} FROM names
+UNION ALL SELECT 'objects', count(*), {common.digest_sql('doc_id', 'n', 'r')} FROM counted
 UNION ALL SELECT 'index', count(*), {common.digest_sql('doc_id', "CASE WHEN topic_key = 't1' THEN 'updated' ELSE coalesce(title, '') END")} FROM articles
 UNION ALL SELECT 'exports', count(*), {common.digest_sql('content')} FROM articles
 UNION ALL SELECT 'runs', 2, {common.digest_sql('d')} FROM (VALUES (DATE '2024-01-01'), (DATE '2024-01-02')) t(d)"""),
