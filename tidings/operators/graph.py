@@ -383,9 +383,9 @@ def _segment_probes(word: Column) -> Column:
     return F.array_distinct(F.array_compact(F.array(*out)))
 
 
-def resolve_entities(names: DataFrame, aliases: DataFrame) -> DataFrame:
+def resolve_entities(names: DataFrame, aliases: DataFrame, letters: int = 0) -> DataFrame:
     """Surface forms to canonical ids: exact alias, else the nearest alias
-    within two edits.
+    within two edits that has at least ``letters`` letters for each of them.
 
     Two words within two edits share a form with at most two characters
     removed; of a long alias one third is left untouched.  Equi-joins on those
@@ -399,8 +399,9 @@ def resolve_entities(names: DataFrame, aliases: DataFrame) -> DataFrame:
     listed = F.when(F.length("alias") <= SHORT_NAME, _deletions(F.col("alias"))).otherwise(_segments(F.col("alias")))
     left = rest.select("name", F.explode_outer(asked).alias("form"))
     right = aliases.select("alias", "entity_id", F.explode_outer(listed).alias("form"))
-    near = (left.join(right, "form").where(F.levenshtein("name", "alias") <= 2)
-            .select("name", "alias", "entity_id", F.levenshtein("name", "alias").alias("distance")))
+    distance = F.levenshtein("name", "alias")
+    near = (left.join(right, "form").where((distance <= 2) & (distance * letters <= F.length("alias")))
+            .select("name", "alias", "entity_id", distance.alias("distance")))
     best = near.groupBy("name").agg(F.min(F.struct("distance", "alias", "entity_id")).alias("b")).select(
         "name", "b.alias", "b.entity_id", "b.distance")
     return exact.unionByName(best)

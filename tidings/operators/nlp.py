@@ -25,32 +25,9 @@ _LONGEST_PRONOUN = max(map(len, vocab.PRONOUNS))
 TYPE_BY_LENGTH = ("Company", "Technology", "Agency", "Organization")
 
 
-def derive_gazetteer(frequencies: DataFrame, n_docs: Column, low: float = 0.005, high: float = 0.05) -> DataFrame:
-    """Alias table from the corpus: long plain words of middling frequency.
-
-    Its size is bounded whatever the corpus: at most (average distinct words
-    per document) / ``low`` words can occur in ``low`` of all documents.
-    """
-    alias = F.col("term")
-    kind = F.element_at(F.array(*[F.lit(t) for t in TYPE_BY_LENGTH]), F.length(alias) % 4 + 1)
-    return (frequencies.where(alias.rlike("^[a-z]{8,}$") & (F.col("df") >= n_docs * low) & (F.col("df") <= n_docs * high))
-            .select(alias.alias("alias"), F.md5(F.concat_ws("|", alias, kind)).alias("entity_id"), kind.alias("type")))
-
-
-def mentions(docs: DataFrame, gazetteer: DataFrame) -> DataFrame:
-    """(doc_num, entity_id, alias, type, tf): one row per document and entity.
-
-    Tokens meet the alias table before they are grouped, so only mentions are
-    shuffled.
-    """
-    return (docs.select("doc_num", text.explode_tokens(F.col("tokens")).alias("alias")).join(gazetteer, "alias")
-            .groupBy("doc_num", "entity_id", "alias", "type").agg(F.count("*").alias("tf")))
-
-
-def mention_positions(docs: DataFrame, gazetteer: DataFrame) -> DataFrame:
-    """Every occurrence with its token position, from 0."""
-    return (docs.select("doc_num", F.posexplode_outer("tokens").alias("pos", "alias"))
-            .join(gazetteer, "alias"))
+def mentions(occurrences: DataFrame) -> DataFrame:
+    """(doc_num, entity_id, alias, type, tf): one row per document and entity."""
+    return occurrences.groupBy("doc_num", "entity_id", "alias", "type").agg(F.count("*").alias("tf"))
 
 
 def alias_mentions(docs: DataFrame, aliases: DataFrame) -> DataFrame:

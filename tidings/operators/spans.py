@@ -20,7 +20,7 @@ from tidings.session import materialize, small, within
 
 BROADCAST_NAMES = 500_000   # distinct names the automaton holds at most: some 100 MB; beyond it names meet texts by joins
 _WORD = regex.compile(r"[\p{L}\p{N}]+")
-FOUND = "doc_num long, gram string, first int, n int, start int, stop int"
+FOUND = "gram string, first int, n int, start int, stop int"
 
 
 class Automaton:
@@ -87,7 +87,11 @@ def _located(doc_num, low: str, places) -> list[tuple]:
 
 
 def _rows(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=[c.split()[0] for c in FOUND.split(", ")])
+    return pd.DataFrame(rows, columns=["doc_num", *(c.split()[0] for c in FOUND.split(", "))])
+
+
+def _schema(docs: DataFrame) -> str:
+    return f"doc_num {docs.schema['doc_num'].dataType.simpleString()}, {FOUND}"
 
 
 def _in_tasks(docs: DataFrame, grams: DataFrame) -> DataFrame:
@@ -102,7 +106,7 @@ def _in_tasks(docs: DataFrame, grams: DataFrame) -> DataFrame:
                 rows += _located(doc_num, low, places) if places else []
             yield _rows(rows)
 
-    return docs.mapInPandas(run, FOUND)
+    return docs.mapInPandas(run, _schema(docs))
 
 
 def _by_joins(docs: DataFrame, grams: DataFrame) -> DataFrame:
@@ -124,7 +128,23 @@ def _by_joins(docs: DataFrame, grams: DataFrame) -> DataFrame:
                 rows += _located(doc_num, content.lower(), leftmost((p["first"], p["n"]) for p in places))
             yield _rows(rows)
 
-    return docs.join(per_doc, "doc_num").select("doc_num", "content", "places").mapInPandas(run, FOUND)
+    return docs.join(per_doc, "doc_num").select("doc_num", "content", "places").mapInPandas(run, _schema(docs))
+
+
+def _found(docs: DataFrame, grams: DataFrame, bound: int) -> DataFrame:
+    known = docs.where(F.col("content").isNotNull()).select("doc_num", "content")
+    return _in_tasks(known, grams) if within(grams, bound) else _by_joins(known, grams)
+
+
+def occurrences(docs: DataFrame, gazetteer: DataFrame, bound: int = BROADCAST_NAMES) -> DataFrame:
+    """doc_num, pos, alias, entity_id, type of every span of an alias.
+
+    ``gazetteer`` (alias, entity_id, type) is a written table with one row per
+    alias, its tokens joined by a blank; ``pos`` is the first token, from 0.
+    """
+    found = _found(docs, gazetteer.select(F.col("alias").alias("gram")), bound)
+    return found.select("doc_num", F.col("first").alias("pos"), F.col("gram").alias("alias")).join(
+        small(gazetteer.select("alias", "entity_id", "type"), bound), "alias").select("doc_num", "pos", "alias", "entity_id", "type")
 
 
 def name_spans(docs: DataFrame, names: DataFrame, bound: int = BROADCAST_NAMES) -> DataFrame:
@@ -139,8 +159,7 @@ def name_spans(docs: DataFrame, names: DataFrame, bound: int = BROADCAST_NAMES)
     key = text.tokens(F.col("name"))
     named = materialize(names.select("entity_id", "name", F.array_join(key, " ").alias("gram")).where("gram != ''").distinct(), "names")
     grams = materialize(named.select("gram").distinct(), "grams")
-    known = docs.where(F.col("content").isNotNull()).select("doc_num", "content")
-    found = _in_tasks(known, grams) if within(grams, bound) else _by_joins(known, grams)
+    found = _found(docs, grams, bound)
     sharing = named.groupBy("gram").agg(F.round(1 / F.count_distinct("entity_id"), 6).alias("score"))
     return found.join(small(materialize(named.join(sharing, "gram"), "shared"), bound), "gram").select(
         "doc_num", "entity_id", "name", "first", "n", "start", "stop", "score")

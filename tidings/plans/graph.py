@@ -48,6 +48,9 @@ def company_rows(spark, sf):
     return c.unionByName(s), delta
 
 
+LETTERS_PER_EDIT = 4   # a name of fewer than eight letters allows one edit, of fewer than four none
+
+
 def graph_entities_upsert(spark, sf):
     out = graph.upsert_entities(*company_rows(spark, sf))
     pairs = F.transform(F.map_entries("props"), lambda e: F.concat_ws("=", e["key"], e["value"]))
@@ -56,7 +59,7 @@ def graph_entities_upsert(spark, sf):
 
 
 def graph_mentions(spark, sf):
-    gaz, found = common.found(spark, sf)
+    gaz, _, found = common.found(spark, sf)
     docs = _T(spark, sf, "embeddings").select(F.col("vec_id").alias("id"))
     ents = gaz.where(F.col("type") != "Organization").select(F.col("entity_id").alias("id"))
     return graph.mention_edges(found.select(F.col("doc_num").alias("doc_id"), "entity_id"), docs, ents)
@@ -80,8 +83,7 @@ def graph_relations_upsert(spark, sf):
 
 
 def graph_update_stats(spark, sf):
-    gaz, found = common.found(spark, sf)
-    occ = nlp.mention_positions(common.tokenised(spark, sf), gaz)
+    _, occ, found = common.found(spark, sf)
     nodes = found.join(tables.doc_vectors(spark, sf), "doc_num", "left").select(F.col("alias").alias("id"), "embedding")
     return graph.update_statistics(nodes, nlp.adjacent_relations(occ))
 
@@ -93,7 +95,7 @@ def graph_constraint(spark, sf):
 
 def graph_route(spark, sf):
     hits = search.hybrid_search(common.text_articles(spark, sf), tables.doc_vectors(spark, sf), tables.search_queries(spark, sf), 5, 50)
-    _, found = common.found(spark, sf)
+    _, _, found = common.found(spark, sf)
     return graph.route(hits, found).select("query_id", "alias", "hits", "best_rank", "position")
 
 
@@ -145,38 +147,39 @@ def relation_strength(spark, sf):
 
 
 def team_views(spark, sf):
-    gaz, _ = common.found(spark, sf)
-    adj = common.relations(spark, sf, gaz)
+    _, occ, _ = common.found(spark, sf)
+    adj = nlp.adjacent_relations(occ)
     all_edges = adj.select("type").unionByName(tables.edges(spark, sf).select("type")).groupBy("type").agg(F.count("*").alias("n"))
     views = [graph.team_view(all_edges, t).groupBy(F.lit(t).alias("team"), "type").agg(F.sum("n").alias("n")) for t in vocab.TEAM_RELATIONS]
     return views[0].unionByName(views[1]).unionByName(views[2])
 
 
 def enriched_search_doc(spark, sf):
-    gaz, found = common.found(spark, sf)
-    adj = common.relations(spark, sf, gaz)
+    _, occ, found = common.found(spark, sf)
+    adj = nlp.adjacent_relations(occ)
     # both tables feed several joins: extracted once, read from the shared folder after
     return graph.document_network(materialize(found, "mentions"), materialize(adj.select("src", "dst", "type"), "relations"))
 
 
 def document_lists(spark, sf):
-    gaz, found = common.found(spark, sf)
-    adj = common.relations(spark, sf, gaz)
+    _, occ, found = common.found(spark, sf)
+    adj = nlp.adjacent_relations(occ)
     return graph.document_lists(found, adj.select("src", "dst", "type"))
 
 
 def entity_resolution(spark, sf):
-    """Every long word of the corpus against the alias table, with the number
-    of documents that support it."""
-    gaz, _ = common.found(spark, sf)
-    freq = search.document_frequencies(common.tokenised(spark, sf)).where(F.col("term").rlike("^[a-z]{8,}$"))
+    """Every word of the corpus against the alias table, with the number of
+    documents that support it.  A word may stand for a name of several words
+    that lost its blanks; an edit takes LETTERS_PER_EDIT letters of an alias."""
+    gaz = materialize(common.gazetteer(spark, sf), "gazetteer")
+    freq = search.document_frequencies(common.tokenised(spark, sf))
     names = materialize(freq.select(F.col("term").alias("name"), F.col("df").alias("docs")), "names")
-    return graph.resolve_entities(names.select("name"), gaz).join(names, "name").select("name", "alias", "entity_id", "distance", "docs")
+    return graph.resolve_entities(names.select("name"), gaz, LETTERS_PER_EDIT).join(names, "name").select("name", "alias", "entity_id", "distance", "docs")
 
 
 def entity_provenance(spark, sf):
     """(entity, source) rows: which sources support an entity."""
-    _, found = common.found(spark, sf)
+    _, _, found = common.found(spark, sf)
     src = _T(spark, sf, "documents").select(F.col("doc_id").alias("doc_num"), "source")
     return found.join(src, "doc_num").groupBy("entity_id", "source").agg(F.count("*").alias("docs"))
 
@@ -226,6 +229,15 @@ def _bfs(depth=4):
     return ",\n".join(parts)
 
 
+# the distance of this SQL counts bytes: each letter with an accent becomes one free byte first
+_ACCENTS = "".join(map(chr, range(0xDF, 0x100))), "".join(map(chr, (*range(33, 48), *range(58, 65), *range(65, 76))))
+
+
+def _code_points(name, other="alias"):
+    one = lambda c: f"""translate({c}, '{_ACCENTS[0]}', '{_ACCENTS[1].replace("'", "''")}')"""
+    return f"levenshtein({one(name)}, {one(other)})"
+
+
 _LETTERS = "(" + " + ".join(f"CASE WHEN contains({{0}}, '{chr(97 + i)}') THEN {1 << i} ELSE 0 END" for i in range(26)) + ")::BIGINT"
 
 ORACLES = {
@@ -306,12 +318,11 @@ SELECT DISTINCT doc_num, kind, other FROM mentions JOIN (SELECT kind, src AS id,
 ON alias = n.id WHERE kind IS NOT NULL"""),
     # two edits change at most four letters of the set a word is made of: a cheap test before the distance
     "entity_resolution": with_(TOKENS, GAZETTEER, """
-names AS MATERIALIZED (SELECT term AS name, count(*) AS docs, """ + _LETTERS.format("term") + """ AS letters FROM postings
-  WHERE regexp_full_match(term, '[a-z]{8,}') GROUP BY 1),
-known AS MATERIALIZED (SELECT alias, entity_id, """ + _LETTERS.format("alias") + """ AS letters FROM gaz),
-near AS (SELECT name, alias, entity_id, docs, CASE WHEN bit_count(xor(n.letters, k.letters)) <= 4 THEN levenshtein(name, alias) ELSE 9 END AS distance
-  FROM names n JOIN known k ON abs(length(name) - length(alias)) <= 2)""", body="""
-SELECT name, alias, entity_id, distance::INT AS distance, docs FROM near WHERE distance <= 2
+names AS MATERIALIZED (SELECT term AS name, count(*) AS docs, """ + _LETTERS.format("term") + """ AS letters FROM postings GROUP BY 1),
+known AS MATERIALIZED (SELECT alias, entity_id, """ + _LETTERS.format("alias") + """ AS letters, unnest(generate_series(length(alias) - 2, length(alias) + 2)) AS size FROM gaz),
+near AS (SELECT name, alias, entity_id, docs, CASE WHEN bit_count(xor(n.letters, k.letters)) <= 4 THEN """ + _code_points("name") + """ ELSE 9 END AS distance
+  FROM names n JOIN known k ON length(name) = size)""", body=f"""
+SELECT name, alias, entity_id, distance::INT AS distance, docs FROM near WHERE distance <= 2 AND distance * {LETTERS_PER_EDIT} <= length(alias)
 QUALIFY row_number() OVER (PARTITION BY name ORDER BY distance, alias, entity_id) = 1"""),
     "entity_provenance": with_(TOKENS, GAZETTEER, body="SELECT entity_id, source, count(*) AS docs FROM mentions JOIN documents ON doc_num = doc_id GROUP BY 1, 2"),
     "index_graph_sync": """SELECT doc_id AS id, 'index' AS missing_in FROM documents WHERE doc_id NOT IN (SELECT vec_id FROM embeddings)

@@ -122,7 +122,7 @@ def clean_staging(spark, sf):
 
 def article_entities(spark, sf):
     """Entity arrays per article from the mentions of its text."""
-    _, found = common.found(spark, sf)
+    _, _, found = common.found(spark, sf)
     def names(cond):
         return F.array_sort(F.collect_list(F.when(cond, F.col("alias"))))
     t = F.col("type")

@@ -131,8 +131,8 @@ def sinks_roundtrip(spark, sf):
     files.write_articles(flat, p["articles"])
     log = ingest.run_log(topics(spark), a.groupBy("topic_key").agg(F.count("*").alias("items")))
     files.combine_successful(spark, log, p["articles"], p["combined"])
-    gaz, found = common.found(spark, sf)
-    adj = common.relations(spark, sf, gaz)
+    _, occ, found = common.found(spark, sf)
+    adj = nlp.adjacent_relations(occ)
     enriched = materialize(nlp.enrich(a, found, adj), "enriched")
     files.vector_objects(enriched).write.parquet(p["objects"])
     files.write_enriched(enriched, p["enriched"])

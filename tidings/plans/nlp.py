@@ -9,12 +9,12 @@ from tidings.functions import text, vectors
 from tidings.operators import nlp, spans
 from tidings.operators.ingest import union_all
 from tidings.plans import common
-from tidings.plans.sql import ARTICLES, EDGES, GAZETTEER, TOKENS, with_
+from tidings.plans.sql import ARTICLES, EDGES, GAZETTEER, GIVEN, TOKENS, with_
 from tidings.sources import tables
 
 
 def ner_gazetteer(spark, sf):
-    _, found = common.found(spark, sf)
+    _, _, found = common.found(spark, sf)
     scored = found.withColumn("confidence", F.col("tf") / (F.col("tf") + F.lit(0.5)))
     kept = F.col("confidence") > vocab.ENTITY_CONFIDENCE_MIN
     return scored.groupBy("type").agg(
@@ -23,14 +23,14 @@ def ner_gazetteer(spark, sf):
 
 
 def entities_by_type(spark, sf):
-    _, found = common.found(spark, sf)
+    _, _, found = common.found(spark, sf)
     rows = nlp.entities_by_type(found).select("doc_num", F.size("entities").cast("bigint").alias("entities"), *nlp.typed_arrays(F.col("entities_by_type")))
     return rows.select("doc_num", "entities", *[F.array_join(c, ",").alias(c) for c in ("companies", "technologies", "agencies")])
 
 
 def _occurrences(spark, sf):
-    gaz, found = common.found(spark, sf)
-    return nlp.mention_positions(common.tokenised(spark, sf), gaz), found
+    _, occ, found = common.found(spark, sf)
+    return occ, found
 
 
 def graph_extract(spark, sf):
@@ -99,26 +99,14 @@ def relations_resolved(spark, sf):
     return nlp.relations(resolved_texts(said).select("id", F.col("resolved").alias("text")), "id")
 
 
-def given_names(spark, sf):
-    """Alias table from the given tables: party and part names, and the first
-    three words of each benchmark item."""
-    t = lambda name: tables.table(spark, sf, name)
-    def of(name, prefix, key, value):
-        return t(name).select(F.concat(F.lit(prefix), F.col(key).cast("string")).alias("entity_id"), F.col(value).alias("name"))
-    first = F.array_join(F.slice(text.tokens(F.col("text")), 1, 3), " ")
-    return union_all(of("nation", "n:", "n_nationkey", "n_name"), of("supplier", "s:", "s_suppkey", "s_name"),
-                     of("customer", "c:", "c_custkey", "c_name"), of("part", "p:", "p_partkey", "p_name"),
-                     t("benchmark").select(F.concat(F.lit("b:"), F.col("item_id").cast("string")).alias("entity_id"), first.alias("name")))
-
-
 def ner_aliases(spark, sf):
     """Mentions of all given names in all texts."""
-    return nlp.alias_mentions(common.tokenised(spark, sf), given_names(spark, sf))
+    return nlp.alias_mentions(common.tokenised(spark, sf), common.given_names(spark, sf))
 
 
 def ner_spans(spark, sf):
     """Where the given names stand in all texts: leftmost, longest, none over another."""
-    found = spans.name_spans(common.text_articles(spark, sf), given_names(spark, sf))
+    found = spans.name_spans(common.text_articles(spark, sf), common.given_names(spark, sf))
     return found.select("doc_num", "entity_id", "name", "first", "n", "score")
 
 
@@ -146,7 +134,7 @@ def coref_rewrite(spark, sf):
 
 
 def consolidate_nlp(spark, sf):
-    _, found = common.found(spark, sf)
+    _, _, found = common.found(spark, sf)
     docs = tables.spread(tables.table(spark, sf, "documents").select(F.col("doc_id").alias("doc_num"), F.col("text")), "doc_num")
     ents = found.groupBy("doc_num").agg(F.array_sort(F.collect_list("alias")).alias("entities"))
     coref = docs.select("doc_num", nlp.pronoun_clusters("text").alias("coreferences"))
@@ -160,7 +148,7 @@ def consolidate_nlp(spark, sf):
 
 
 def _nodes(spark, sf):
-    _, found = common.found(spark, sf)
+    _, _, found = common.found(spark, sf)
     a = tables.articles(spark, sf).select("doc_num", "published_at", "source")
     return found.join(a, "doc_num").select(
         F.col("alias").alias("id"), "type", "published_at", "doc_num",
@@ -184,7 +172,6 @@ QUERIES = {f.__name__: f for f in (
     consolidate_nlp, entity_texts, node_embeddings, relations_resolved, ner_aliases, ner_spans, run_models)}
 
 OCCURRENCES = """
-occ AS (SELECT s.doc_num, s.pos, g.alias, g.type FROM seq s JOIN gaz g ON s.term = g.alias),
 nxt AS (SELECT doc_num, alias AS src, type AS st, lead(alias) OVER w AS dst, lead(type) OVER w AS dt FROM occ WINDOW w AS (PARTITION BY doc_num ORDER BY pos)),
 adj AS (
   SELECT doc_num, src, dst, CASE st || '>' || dt
@@ -226,14 +213,6 @@ texts AS (SELECT alias AS id, arg_min(alias || ' - ' || type || CASE WHEN tf > 1
   FROM mentions JOIN articles USING (doc_num) GROUP BY 1)
 """
 
-_GIVEN = r"""
-given AS (SELECT 'n:' || n_nationkey AS entity_id, n_name AS name FROM nation UNION ALL SELECT 's:' || s_suppkey, s_name FROM supplier
-  UNION ALL SELECT 'c:' || c_custkey, c_name FROM customer UNION ALL SELECT 'p:' || p_partkey, p_name FROM part
-  UNION ALL SELECT 'b:' || item_id, array_to_string(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')[1:3], ' ') FROM benchmark),
-keyed AS (SELECT DISTINCT entity_id, name, array_to_string(regexp_extract_all(lower(name), '[\p{L}\p{N}]+'), ' ') AS gram,
-  len(regexp_extract_all(lower(name), '[\p{L}\p{N}]+')) AS n FROM given)
-"""
-
 ORACLES = {
     "ner_gazetteer": with_(TOKENS, GAZETTEER, body="""
 SELECT type, count(*) AS mentions, sum(tf)::BIGINT AS occurrences, count(*) FILTER (tf / (tf + 0.5::DOUBLE) > 0.7) AS confident,
@@ -264,7 +243,7 @@ whole AS (SELECT r, string_agg(CASE WHEN lower(piece) IN ({_PRONOUNS}) AND pos <
   FROM pieces LEFT JOIN main USING (r) GROUP BY 1),
 resolved AS (SELECT id, whole.text FROM whole JOIN said USING (r))""", _rules("resolved", "id"), body="""
 SELECT id, trim(s) AS source_entity, trim(t) AS target_entity, relation_type, 0.8::DOUBLE AS confidence, e AS evidence_text FROM rules"""),
-    "ner_spans": with_(TOKENS, _GIVEN, r"""
+    "ner_spans": with_(TOKENS, GIVEN, r"""
 hits AS (SELECT s.doc_num, s.pos, k.n, array_to_string(t.tokens[s.pos:s.pos + k.n - 1], ' ') AS gram FROM seq s JOIN toks t USING (doc_num)
   JOIN (SELECT DISTINCT n, split_part(gram, ' ', 1) AS head FROM keyed) k ON k.head = s.term WHERE s.pos + k.n - 1 <= len(t.tokens)),
 longest AS MATERIALIZED (SELECT doc_num, pos, max_by(gram, n) AS gram, max(n) AS n FROM hits WHERE gram IN (SELECT gram FROM keyed) GROUP BY ALL),
@@ -273,7 +252,7 @@ walk AS (SELECT * FROM longest QUALIFY row_number() OVER (PARTITION BY doc_num O
   QUALIFY row_number() OVER (PARTITION BY l.doc_num ORDER BY l.pos) = 1),
 share AS (SELECT gram, round(1.0 / count(DISTINCT entity_id), 6)::DOUBLE AS score FROM keyed GROUP BY 1)""", body="""
 SELECT doc_num, entity_id, name, (pos - 1)::INT AS first, walk.n::INT AS n, score FROM walk JOIN keyed USING (gram) JOIN share USING (gram)"""),
-    "ner_aliases": with_(TOKENS, _GIVEN, r"""
+    "ner_aliases": with_(TOKENS, GIVEN, r"""
 grams AS (SELECT s.doc_num, array_to_string(t.tokens[s.pos:s.pos + k.n - 1], ' ') AS gram FROM seq s JOIN toks t USING (doc_num)
   JOIN (SELECT DISTINCT n, split_part(gram, ' ', 1) AS head FROM keyed) k ON k.head = s.term
   WHERE s.pos + k.n - 1 <= len(t.tokens))""", body="""

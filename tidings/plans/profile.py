@@ -79,7 +79,7 @@ def facets(spark, sf):
 
 def entity_facets(spark, sf):
     """Facet counts of the array fields of the entity index."""
-    _, found = common.found(spark, sf)
+    _, _, found = common.found(spark, sf)
     t = F.col("type")
     field = (F.when(t == "Company", "companies").when(t == "Technology", "technologies").otherwise("agencies"))
     return (found.groupBy(field.alias("field"), F.col("alias").alias("value")).agg(F.count("*").alias("n")))

@@ -60,7 +60,7 @@ def method_overlap(spark, sf):
 
 def weighted_fusion(spark, sf):
     a, v, q = common.text_articles(spark, sf), tables.doc_vectors(spark, sf), tables.search_queries(spark, sf)
-    _, found = common.found(spark, sf)
+    _, _, found = common.found(spark, sf)
     degree = found.groupBy("doc_num").agg(F.count("*").alias("centrality"))
     kw, vec = materialize(search.keyword_leg(a, q, DEPTH), "keyword"), materialize(vector.exact_topk(v, q, DEPTH), "vector")
     return _hits(search.weighted_fusion(kw, vec, degree, 5))
@@ -105,7 +105,7 @@ def recall_baseline(spark, sf):
 
 
 def entity_vectors(spark, sf):
-    _, found = common.found(spark, sf)
+    _, _, found = common.found(spark, sf)
     means = (found.join(tables.doc_vectors(spark, sf), "doc_num").groupBy("entity_id", "alias")
              .agg(vectors.mean_vector(F.col("embedding")).alias("embedding"), F.count("*").alias("docs")))
     return materialize(means, "entity_vectors")

@@ -42,17 +42,29 @@ seq AS (
 postings AS (SELECT doc_num, term, count(*) AS tf FROM seq GROUP BY ALL)
 """
 
-GAZETTEER = r"""
-gaz AS (
-  SELECT term AS alias, md5(term || '|' || type) AS entity_id, type FROM (
-    SELECT term, CASE length(term) % 4 WHEN 0 THEN 'Company' WHEN 1 THEN 'Technology'
-                   WHEN 2 THEN 'Agency' ELSE 'Organization' END AS type
-    FROM postings WHERE regexp_full_match(term, '[a-z]{8,}')
-    GROUP BY term
-    HAVING count(*) >= 0.005 * (SELECT count(*) FROM documents)
-       AND count(*) <= 0.05 * (SELECT count(*) FROM documents))),
-mentions AS (
-  SELECT p.doc_num, g.entity_id, g.alias, g.type, p.tf FROM postings p JOIN gaz g ON p.term = g.alias)
+GIVEN = r"""
+given AS (SELECT 'n:' || n_nationkey AS entity_id, n_name AS name FROM nation UNION ALL SELECT 's:' || s_suppkey, s_name FROM supplier
+  UNION ALL SELECT 'c:' || c_custkey, c_name FROM customer UNION ALL SELECT 'p:' || p_partkey, p_name FROM part
+  UNION ALL SELECT 'b:' || item_id, array_to_string(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')[1:3], ' ') FROM benchmark),
+keyed AS (SELECT DISTINCT entity_id, name, array_to_string(regexp_extract_all(lower(name), '[\p{L}\p{N}]+'), ' ') AS gram,
+  len(regexp_extract_all(lower(name), '[\p{L}\p{N}]+')) AS n FROM given)
+"""
+
+GAZETTEER = GIVEN.rstrip() + r""",
+phrases AS (SELECT tokens, unnest(generate_series(1, len(tokens) - 1)) AS i FROM (SELECT regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS tokens FROM benchmark)),
+called AS (SELECT gram AS alias, left(entity_id, 1) AS origin FROM keyed WHERE gram <> '' UNION ALL SELECT tokens[i] || ' ' || tokens[i + 1], 'b' FROM phrases),
+typed AS (SELECT alias, CASE WHEN origin IN ('s', 'c') THEN 'Company' WHEN origin = 'p' THEN 'Technology' WHEN origin = 'n' THEN 'Agency'
+  ELSE ['Company', 'Technology', 'Agency', 'Organization'][length(alias) % 4 + 1] END AS type FROM called),
+gaz AS MATERIALIZED (SELECT alias, md5(alias || '|' || min(type)) AS entity_id, min(type) AS type FROM typed GROUP BY 1),
+runs3 AS (SELECT doc_num, pos, term, lead(term) OVER w AS second, lead(term, 2) OVER w AS third FROM seq WINDOW w AS (PARTITION BY doc_num ORDER BY pos)),
+tries AS (SELECT doc_num, pos, 1 AS n, term AS alias FROM runs3 UNION ALL SELECT doc_num, pos, 2, term || ' ' || second FROM runs3
+  UNION ALL SELECT doc_num, pos, 3, term || ' ' || second || ' ' || third FROM runs3),
+longest_at AS MATERIALIZED (SELECT doc_num, pos, max(n) AS n, arg_max(alias, n) AS alias FROM tries JOIN gaz USING (alias) GROUP BY 1, 2),
+after_it AS MATERIALIZED (SELECT l.*, m.pos AS next FROM longest_at l ASOF LEFT JOIN longest_at m ON l.doc_num = m.doc_num AND l.pos + l.n <= m.pos),
+taken AS (SELECT * FROM after_it QUALIFY row_number() OVER (PARTITION BY doc_num ORDER BY pos) = 1
+  UNION ALL SELECT a.* FROM taken t JOIN after_it a ON a.doc_num = t.doc_num AND a.pos = t.next),
+occ AS MATERIALIZED (SELECT doc_num, pos, alias, entity_id, type FROM taken JOIN gaz USING (alias)),
+mentions AS (SELECT doc_num, entity_id, alias, type, count(*) AS tf FROM occ GROUP BY ALL)
 """
 
 EDGES = r"""

@@ -52,8 +52,8 @@ def stream_catchup(spark, sf):
 
 def stream_graph(spark, sf):
     """Enriched files to graph deltas, merged on reading."""
-    gaz, found = common.found(spark, sf)
-    adj = common.relations(spark, sf, gaz)
+    _, occ, found = common.found(spark, sf)
+    adj = nlp.adjacent_relations(occ)
     src, root, chk = scratch(spark, "enriched"), scratch(spark, "graph"), scratch(spark, "chk")
     files.write_enriched(nlp.enrich(tables.articles(spark, sf), found, adj), src)
     stream = configure(spark).readStream.schema(schemas.ENRICHED).json(src)
@@ -64,7 +64,7 @@ def stream_graph(spark, sf):
 def stream_chain(spark, sf):
     """Ingested files through the NLP stream into the graph stream, in two
     arrivals: each stage sees only what is new."""
-    gaz, _ = common.found(spark, sf)
+    gaz = materialize(common.gazetteer(spark, sf), "gazetteer")
     src, enriched, root = (scratch(spark, n) for n in ("ingested", "enriched", "graph"))
     chk = scratch(spark, "chk")
     a = tables.articles(spark, sf).drop("doc_num", "lang")

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from tidings import schemas
 from tidings.functions import text, vectors
-from tidings.operators import graph, nlp
+from tidings.operators import graph, nlp, spans
+from tidings.session import materialize
 from tidings.sinks import files
 
 COMPLETED, FAILED = "Completed", "Failed"
@@ -53,10 +54,8 @@ def enrich_new(articles: DataFrame, gazetteer: DataFrame, root: str, checkpoint:
 
     def each(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn("doc_num", F.col("doc_id"))
-        docs = rows.select("doc_num", text.tokens(F.col("content")).alias("tokens"))
-        found = nlp.mentions(docs, gazetteer)
-        rel = nlp.adjacent_relations(nlp.mention_positions(docs, gazetteer))
-        files.write_enriched(nlp.enrich(rows, found, rel), f"{root}/{writer}-{batch_id}")
+        occ = materialize(spans.occurrences(rows, gazetteer), "occurrences")
+        files.write_enriched(nlp.enrich(rows, nlp.mentions(occ), nlp.adjacent_relations(occ)), f"{root}/{writer}-{batch_id}")
 
     run_available(articles, each, checkpoint)
 
