@@ -173,6 +173,13 @@ def test_resolution_allows_any_letter_and_any_length(spark):
     assert got == {"xefinition": ("d", 1), "efinition": ("d", 1), long[:10] + long[12:]: ("l", 2), long[:14] + "zz" + long[16:]: ("l", 2)}
 
 
+def test_resolution_asks_for_letters_per_edit(spark):
+    aliases = spark.createDataFrame([("of it", "o"), ("new york", "n"), ("newer", "w")], "alias string, entity_id string")
+    names = spark.createDataFrame([(n,) for n in ("ofit", "fit", "newyork", "newyor", "newe", "new", "of")], "name string")
+    got = {(r.name, r.entity_id, r.distance) for r in graph.resolve_entities(names, aliases, 4).collect()}
+    assert got == {("ofit", "o", 1), ("newyork", "n", 1), ("newyor", "n", 2), ("newe", "w", 1)}
+
+
 def test_document_lists_are_rows(spark):
     m = spark.createDataFrame([(1, "a"), (2, "b")], "doc_num long, alias string")
     e = spark.createDataFrame([("a", "b", "PARTNERS_WITH"), ("c", "a", "EMPLOYS"), ("a", "z", "LIKES")], E)

@@ -6,7 +6,7 @@ import re
 import pytest
 
 from conftest import rows
-from tidings.operators import spans
+from tidings.operators import nlp, spans
 
 
 def brute(docs, names):
@@ -54,3 +54,13 @@ def test_failure_links_find_names_inside_longer_ones():
     a = spans.Automaton(["a b c d", "b c", "c", "c x"])
     assert a.matches("a b c x a b c d".split()) == [(1, 2), (2, 2), (4, 4), (5, 2), (6, 1)]
     assert spans.leftmost(a.matches("a b c x a b c d".split())) == [(1, 2), (4, 4)]
+
+
+@pytest.mark.parametrize("bound", [10**6, 0])
+def test_occurrences_of_typed_aliases(spark, bound):
+    docs = spark.createDataFrame([("d1", "New York, in York and new york city"), ("d2", None), ("d3", "in in")], "doc_num string, content string")
+    gaz = spark.createDataFrame([("new york", "e1", "Agency"), ("york", "e2", "Company"), ("in", "e3", "Technology"), ("york city", "e4", "Company")], "alias string, entity_id string, type string")
+    occ = spans.occurrences(docs, gaz, bound)
+    assert rows(occ) == [("d1", 0, "new york", "e1", "Agency"), ("d1", 2, "in", "e3", "Technology"), ("d1", 3, "york", "e2", "Company"), ("d1", 5, "new york", "e1", "Agency"),
+                         ("d3", 0, "in", "e3", "Technology"), ("d3", 1, "in", "e3", "Technology")]
+    assert rows(nlp.mentions(occ)) == [("d1", "e1", "new york", "Agency", 2), ("d1", "e2", "york", "Company", 1), ("d1", "e3", "in", "Technology", 1), ("d3", "e3", "in", "Technology", 2)]

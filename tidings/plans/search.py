@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidings.functions import vectors
-from tidings.operators import search, vector
+from tidings.operators import postings, search, vector
 from tidings.plans import common
 from tidings.plans.sql import ARTICLES, GAZETTEER, TOKENS, with_
-from tidings.session import materialize
+from tidings.session import materialize, scratch
 from tidings.sources import tables
 
 DEPTH = 50
@@ -24,6 +24,15 @@ def bm25_topk(spark, sf):
     return h.select("query_id", "doc_num", F.round("score", 6).alias("score"), "rank", "total_matches")
 
 
+def stored_topk(spark, sf):
+    """The same search from stored postings, written in two arrivals."""
+    root = scratch(spark, "postings")
+    docs = common.text_articles(spark, sf)
+    postings.add(docs.where("doc_num % 4 <> 3"), root, "first")
+    postings.add(docs.where("doc_num % 4 = 3"), root, "second")
+    return _hits(postings.topk(spark, root, tables.search_queries(spark, sf), 5))
+
+
 def vector_topk(spark, sf):
     return _hits(vector.exact_topk(tables.doc_vectors(spark, sf), tables.search_queries(spark, sf), 5))
 
@@ -187,7 +196,7 @@ def embed_summary(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    bm25_topk, vector_topk, hybrid_rrf, filtered_search, match_all_filtered, method_overlap, weighted_fusion,
+    bm25_topk, stored_topk, vector_topk, hybrid_rrf, filtered_search, match_all_filtered, method_overlap, weighted_fusion,
     retriever, empty_search, ann_topk, ann_all_cells, recall_monitor, recall_baseline, entity_similarity,
     edge_similarity, chunk_retrieval, chunk_vectors, chunk_stats, summary_vectors, doc_vector_join, embed_hash, embed_summary)}
 
@@ -300,6 +309,7 @@ SELECT query_id, doc_num, round(score, 6) AS score, chunk_no, rank FROM placed W
     "bm25_topk": with_(TOKENS, _Q, _bm25("kw", "toks"), _ranked("kw", "kw_scores", 5), body="""
 SELECT query_id, doc_num, round(score, 6) AS score, rank, total_matches FROM kw
 JOIN (SELECT query_id, count(*) AS total_matches FROM kw_scores GROUP BY 1) t USING (query_id)"""),
+    "stored_topk": with_(TOKENS, _Q, _bm25("kw", "toks"), _ranked("kw", "kw_scores", 5), body=_OUT + "kw"),
     "vector_topk": _VEC_TOP,
     "ann_all_cells": _VEC_TOP,
     "hybrid_rrf": with_(*_HYBRID, _ranked("hyb", "hyb_scores", 5), body=_OUT + "hyb"),
