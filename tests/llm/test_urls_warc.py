@@ -1,5 +1,7 @@
 """URL rules and WARC archives."""
 
+import base64
+import gzip
 import hashlib
 import random
 import re
@@ -116,6 +118,47 @@ def test_wrong_length_and_digest_are_quarantined():
         assert [e[0] for e in found] == ["record", "gap", "record"]
 
 
+def test_digests_of_other_archives():
+    payload = b"body 1 " * 50
+    plain = warc.encode("urn:page:1", "http://x/1", payload, hashlib.sha1(payload).hexdigest(), None)
+    hexed = hashlib.sha1(payload).hexdigest().encode()
+    base32 = base64.b32encode(hashlib.sha1(payload).digest())
+    forms = [b"sha1:" + base32, b"SHA1:" + base32.lower(), b"sha-1:" + hexed.upper(), b"sha256:" + hashlib.sha256(payload).hexdigest().encode(),
+             b"md5:" + base64.b32encode(hashlib.md5(payload).digest()), b"blake9:xyz", b"sha1:not a digest"]
+    for form in forms + [None]:
+        line = b"" if form is None else b"WARC-Payload-Digest: " + form + b"\r\n"
+        record = re.sub(rb"WARC-Payload-Digest: [^\r]*\r\n", lambda _, new=line: new, plain)
+        (event,) = warc.salvage(warc.member(record))
+        assert event[0] == "record" and event[3]["payload"] == payload and event[3]["payload_digest"] == hexed.decode()
+    for form in forms[:5]:   # a digest that can be checked must agree
+        record = re.sub(rb"WARC-Payload-Digest: [^\r]*", b"WARC-Payload-Digest: " + form, plain).replace(b"body 1 body", b"body 2 body", 1)
+        assert [e[0] for e in warc.salvage(record)] == ["gap"]
+
+
+def test_several_records_in_a_member():
+    good = records(5)
+    start = warc.member(good[0])
+    both = warc.member(good[1] + b"lost bytes" + good[2].replace(b"body 2 body", b"body 9 body", 1) + good[3])
+    found = list(warc.salvage(start + both + warc.member(good[4])))
+    assert [e[3]["record_id"][-1] for e in found if e[0] == "record"] == ["0", "1", "3", "4"]
+    (gap,) = [e for e in found if e[0] == "gap"]
+    span = (len(start), len(start) + len(both))
+    assert gap[1:3] == span and f"bytes {len(good[1])} to {len(good[1]) + 10 + len(good[2])} of" in gap[3]
+    assert [e[1:3] for e in found if e[0] == "record"][1:3] == [span, span]
+    hidden = gzip.compress(good[0])   # a payload that is an archive itself is not opened
+    outer = warc.encode("urn:page:o", None, hidden, hashlib.sha1(hidden).hexdigest(), None)
+    assert [e[3]["record_id"] for e in warc.salvage(warc.member(outer))] == ["urn:page:o"]
+    assert [e[0] for e in warc.salvage(warc.member(b"no record at all") + start)] == ["gap", "record"]
+
+
+def test_a_member_is_inflated_in_slices(monkeypatch):
+    whole = b"".join(warc.member(r) for r in records(40))
+    want = [e[:3] for e in warc.salvage(whole)]
+    for size in (1, 7, 300):
+        monkeypatch.setattr(warc, "INFLATE_BYTES", size)
+        assert [e[:3] for e in warc.salvage(whole)] == want
+
+
 def test_gaps_are_logged(spark, tmp_path):
     parts = [warc.member(r) for r in records()]
     (tmp_path / "a.warc.gz").write_bytes(parts[0] + parts[1][:-9] + parts[2])

@@ -4,14 +4,18 @@ The writer makes one gzip member per record.  Spark ends each row with a
 separator; a member ends with a zero byte (the top byte of its length), so
 the row leaves that byte out and the separator puts it back.
 
-The reader trusts nothing: a member must inflate with a right checksum, hold
-a version line, a header block of the stated length and the closing blank
-lines.  After a failed check it looks for the next place that passes, reads
-on from there and reports the bytes between as a gap.
+The reader trusts nothing: a member must inflate with a right checksum, a
+record hold a version line, a header block of the stated length and the
+closing blank lines, and a payload agree with its digest where one is given
+(hexadecimal or base 32).  After a failed check it looks for the next place
+that passes, reads on from there and reports the bytes between as a gap.  A
+member may hold several records; what is lost between them is a gap as well.
 """
 
 from __future__ import annotations
 
+import base64
+import binascii
 import hashlib
 import re
 import zlib
@@ -24,6 +28,7 @@ from pyspark.sql import functions as F
 from tidings.session import materialize, scratch, small
 
 REVISIT_BYTES = 1000           # shorter payloads are always written whole
+INFLATE_BYTES = 1 << 16         # fed to the decompressor at a time: what is left after a member is at most one such slice
 ARCHIVE_BYTES = 32 << 20       # payload bytes per archive; the reader holds one archive at a time
 BROADCAST_REVISITS = 1_000_000  # rows broadcast at most; beyond it the join shuffles
 
@@ -62,6 +67,23 @@ def member(record: bytes) -> bytes:
     return packed if packed[-1] == 0 else packed + pack(b"")
 
 
+def digest_bytes(value: str) -> tuple[str, bytes | None]:
+    """(algorithm, digest) of a header value as ``sha1:...``, in hexadecimal
+    or base 32; None where the value is of neither form or the algorithm not known."""
+    name, _, text = value.partition(":")
+    name, text = name.strip().lower().replace("-", ""), text.strip().rstrip("=")
+    if name not in ("md5", "sha1", "sha256", "sha512"):
+        return name, None
+    size = hashlib.new(name).digest_size
+    try:
+        if len(text) == 2 * size:
+            return name, bytes.fromhex(text)
+        raw = base64.b32decode(text.upper() + "=" * (-len(text) % 8))
+    except (ValueError, binascii.Error):
+        return name, None
+    return name, raw if len(raw) == size else None
+
+
 def decode(data: bytes, at: int) -> tuple[dict, int]:
     """(fields, end) of the record at ``at``; ValueError names the failed check."""
     version = re.compile(rb"WARC/1\.[01]\r\n").match(data, at)
@@ -87,7 +109,10 @@ def decode(data: bytes, at: int) -> tuple[dict, int]:
         raise ValueError("no record type or id")
     out = {"record_type": kind, "record_id": head.get(b"warc-record-id", "").strip("<>"), "url": head.get(b"warc-target-uri"),
            "refers_to_id": head[b"warc-refers-to"].strip("<>") if b"warc-refers-to" in head else None,
-           "payload_digest": head.get(b"warc-payload-digest", "").partition(":")[2] or None, "payload": None, "payload_bytes": None}
+           "payload_digest": None, "payload": None, "payload_bytes": None}
+    name, stated = digest_bytes(head.get(b"warc-payload-digest", ""))
+    if name == "sha1" and stated:
+        out["payload_digest"] = stated.hex()
     if kind in ("response", "revisit"):
         http, blank, body = block.partition(END)
         length = re.search(rb"(?im)^content-length:\s*([0-9]{1,18})", http)
@@ -95,44 +120,54 @@ def decode(data: bytes, at: int) -> tuple[dict, int]:
             raise ValueError("no payload header")
         out["payload_bytes"] = int(length[1]) if length else len(body)
         if kind == "response":
-            if len(body) != out["payload_bytes"] or hashlib.sha1(body).hexdigest() != out["payload_digest"]:
+            if len(body) != out["payload_bytes"] or (stated and hashlib.new(name, body).digest() != stated):
                 raise ValueError("payload digest differs")
-            out["payload"] = body
+            out["payload"], out["payload_digest"] = body, hashlib.sha1(body).hexdigest()
     return out, end + 4
 
 
 def inflate(data: bytes, at: int) -> tuple[bytes, int]:
     """(content, end) of the gzip member at ``at``, checksum and length checked."""
-    z = zlib.decompressobj(31)
+    z, out, view = zlib.decompressobj(31), [], memoryview(data)
     try:
-        out = z.decompress(memoryview(data)[at:])
+        while not z.eof and at < len(data):
+            out.append(z.decompress(view[at:at + INFLATE_BYTES]))
+            at = min(at + INFLATE_BYTES, len(data))
     except zlib.error as e:
         raise ValueError(f"member: {e}") from None
     if not z.eof:
         raise ValueError("member is cut short")
-    return out, len(data) - len(z.unused_data)
+    return b"".join(out), at - len(z.unused_data)
+
+
+def _unpacked(data: bytes, at: int) -> tuple[list[tuple], int]:
+    """(events, end) of the gzip member at ``at``, each with the bytes of the
+    whole member; ValueError if it has content but no record."""
+    content, end = inflate(data, at)
+    events = [(kind, at, end, what if kind == "record" else f"{what}, in bytes {a} to {b} of the content")
+              for kind, a, b, what in salvage(content, packed=False)]
+    if content and not any(e[0] == "record" for e in events):
+        raise ValueError(events[0][3])
+    return events, end
 
 
-def read_at(data: bytes, at: int) -> tuple[dict | None, int]:
-    """(fields or None for an empty member, end) of what starts at ``at``."""
-    if data.startswith(MAGIC, at):
-        content, end = inflate(data, at)
-        if not content:
-            return None, end
-        fields, used = decode(content, 0)
-        if used != len(content):
-            raise ValueError("member holds more than its record")
-        return fields, end
-    return decode(data, at)
+def _read_at(data: bytes, at: int, packed: bool) -> tuple[list[tuple], int]:
+    """(events, end) of what starts at ``at``; ValueError names the failed check."""
+    if packed and data.startswith(MAGIC, at):
+        return _unpacked(data, at)
+    fields, end = decode(data, at)
+    return [("record", at, end, fields)], end
 
 
-def salvage(data: bytes) -> Iterator[tuple[str, int, int, dict | str]]:
-    """("record", start, stop, fields) and ("gap", start, stop, reason) over all of ``data``."""
-    candidate = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
+def salvage(data: bytes, packed: bool = True) -> Iterator[tuple[str, int, int, dict | str]]:
+    """("record", start, stop, fields) and ("gap", start, stop, reason) over all
+    of ``data``.  Records of one gzip member share its start and stop; without
+    ``packed`` only plain records are looked for."""
+    candidate = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n" if packed else rb"WARC/1\.[01]\r\n")
     at, lost, reason = 0, None, ""
     while at < len(data):
         try:
-            fields, end = read_at(data, at)
+            events, end = _read_at(data, at, packed)
         except ValueError as e:
             if lost is None:
                 lost, reason = at, str(e)
@@ -142,8 +177,7 @@ def salvage(data: bytes) -> Iterator[tuple[str, int, int, dict | str]]:
         if lost is not None:
             yield "gap", lost, at, reason
             lost = None
-        if fields is not None:
-            yield "record", at, end, fields
+        yield from events
         at = end
     if lost is not None:
         yield "gap", lost, len(data), reason
