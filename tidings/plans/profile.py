@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidings.functions import text
-from tidings.operators import ingest, profile
+from tidings.operators import ingest, profile, sketches
 from tidings.plans import common
 from tidings.plans.sql import ARTICLES, RAW, TOKENS, GAZETTEER, with_
+from tidings.session import materialize, scratch, small
 from tidings.sources import tables
 
 
@@ -119,10 +120,37 @@ def preview_slug(spark, sf):
     return exported.unionByName(dates)
 
 
+BROADCAST_KEYS = 200_000   # merged rows broadcast at most
+PERIODS = (("early", "2024-01-01", "2024-01-10"), ("middle", "2024-01-05", "2024-01-24"), ("whole", "2024-01-01", "2024-01-31"))
+
+
+def range_sketches(spark, sf):
+    """Day sketches merged for ranges of days: rows, and whether distinct urls,
+    distinct sources and the median length agree with the exact values within
+    the stated errors."""
+    a = tables.articles(spark, sf).select("topic_name", "source", F.col("link").alias("url"), F.length("content").cast("bigint").alias("length"),
+                                          F.date_format("published_at", "yyyy-MM-dd").alias("date"))
+    root = scratch(spark, "sketches")
+    sketches.store(sketches.day_sketches(a, "date", ["topic_name"], ["url", "source"], ["length"]), root, "all")
+    kept = sketches.stored(spark, root).withColumn("day", F.col("day").cast("string"))
+    def of(rows, day):
+        within = [F.when(F.col(day).between(first, last), F.lit(name)) for name, first, last in PERIODS]
+        return rows.withColumn("period", F.explode(F.array_compact(F.array(*within))))
+    keys = ["period", "topic_name"]
+    about = materialize(sketches.merged(of(kept, "day"), keys, ["url", "source"], ["length"]), "merged")
+    exact = of(a, "date").join(small(about.select(*keys, "length_at"), BROADCAST_KEYS), keys).groupBy(*keys).agg(
+        F.count_distinct("url").alias("urls"), F.count_distinct("source").alias("sources"), F.count("length").alias("lengths"),
+        F.count_if(F.col("length") < F.col("length_at")).alias("below"), F.count_if(F.col("length") <= F.col("length_at")).alias("upto"))
+    def near(estimate, true):
+        return F.abs(F.col(estimate) - F.col(true)) <= F.col(true) * sketches.DISTINCT_ERROR
+    middle = ((F.col("below") <= F.col("lengths") * (0.5 + sketches.RANK_ERROR)) & (F.col("upto") >= F.col("lengths") * (0.5 - sketches.RANK_ERROR)))
+    return about.join(exact, keys).select(*keys, "n", near("url_distinct", "urls").alias("urls_within"), near("source_distinct", "sources").alias("sources_within"), middle.alias("median_within"))
+
+
 QUERIES = {f.__name__: f for f in (
     top_sources, by_date, by_publish_day, by_category, by_country, score_stats, length_stats, completeness,
     cross_topic_sources, topic_sources, date_coverage, dup_urls, field_profile, facets, entity_facets,
-    embed_text, search_doc, preview_slug)}
+    embed_text, search_doc, preview_slug, range_sketches)}
 
 _TWO = "two AS (SELECT * FROM raw UNION ALL SELECT * REPLACE ('Topic all' AS topic_name) FROM raw WHERE wgt >= 500)"
 _LABELS = """
@@ -136,6 +164,9 @@ _FIELDS = (("uri", "string", "uri"), ("url", "string", "url"), ("title", "string
            ("source", "struct", "1"), ("categories", "array", "1"))
 
 ORACLES = {
+    "range_sketches": with_(ARTICLES, "p AS (SELECT * FROM (VALUES " + ", ".join(f"('{n}', '{a}', '{b}')" for n, a, b in PERIODS) + ") v(period, first_day, last_day))", body="""
+SELECT period, topic_name, count(*) AS n, true AS urls_within, true AS sources_within, true AS median_within
+FROM articles JOIN p ON strftime(published_at, '%Y-%m-%d') BETWEEN first_day AND last_day GROUP BY 1, 2"""),
     "top_sources": with_(ARTICLES, RAW, body="SELECT coalesce(source_title, 'Unknown') AS source, count(*) AS n FROM raw GROUP BY 1 ORDER BY n DESC, source LIMIT 15"),
     "by_date": with_(ARTICLES, RAW, body="SELECT day, count(*) AS n FROM raw GROUP BY 1 ORDER BY day DESC LIMIT 7"),
     "by_publish_day": with_(ARTICLES, RAW, body="SELECT strftime(dt, '%Y-%m-%d') AS day, count(*) AS n FROM raw WHERE dt IS NOT NULL GROUP BY 1"),
