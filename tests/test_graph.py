@@ -214,3 +214,48 @@ def test_bitemporal_hides_later_records(spark):
     early = temporal.known_lifecycle(f, ["k"], F.lit("2024-01-10").cast("timestamp")).collect()
     assert [(r.object, r.end) for r in early] == [("a", None)]
     assert temporal.known_lifecycle(f, ["k"], F.lit("2024-03-01").cast("timestamp")).where("end is not null").count() == 1
+
+
+def best_partition(edges):
+    """Greatest modularity over all partitions of a few nodes, by trying each."""
+    nodes = sorted({x for e in edges for x in e[:2]})
+    ties = [(a, b) for a, b, _ in edges if a != b]
+    k = {n: sum((a == n) + (b == n) for a, b in ties) for n in nodes}
+
+    def quality(group):
+        inner = sum(2 for a, b in ties if group[a] == group[b])
+        totals = {}
+        for n in nodes:
+            totals[group[n]] = totals.get(group[n], 0) + k[n]
+        return inner / (2 * len(ties)) - sum(t * t for t in totals.values()) / (2 * len(ties)) ** 2
+
+    def grow(i, group, used):
+        if i == len(nodes):
+            yield quality(group)
+            return
+        for g in range(used + 1):
+            group[nodes[i]] = g
+            yield from grow(i + 1, group, max(used, g + 1))
+    return max(grow(0, {}, 0))
+
+
+@pytest.mark.parametrize("hub", [100_000, 2])
+def test_communities(spark, monkeypatch, hub):
+    monkeypatch.setattr(graph, "HUB_EDGES", hub)
+    clique = [(a, b, "T") for a in "abcd" for b in "abcd" if a < b]
+    edges = clique + [(a.upper(), b.upper(), t) for a, b, t in clique] + [("a", "A", "T"), ("a", "a", "T")]
+    df = spark.createDataFrame(edges, E)
+    got = graph.communities(df)
+    assert sorted(map(tuple, got.collect())) == sorted([(x, "a") for x in "abcd"] + [(x, "A") for x in "ABCD"])
+    q = graph.modularity(df, got).first()
+    assert q.groups == 2 and q.modularity == pytest.approx(best_partition(edges))
+    assert graph.modularity(df, graph.components(df)).first().modularity == pytest.approx(0)
+    assert graph.communities(df.limit(0)).count() == 0
+
+
+def test_communities_beat_components(spark):
+    from tidings.sources import tables
+    awards = tables.awards(spark, "/root/testdata/sf0.001")
+    assert graph.modularity(awards, graph.communities(awards, 4, 2)).first().modularity > graph.modularity(awards, graph.components(awards)).first().modularity + 0.05
+    with pytest.raises(ValueError):
+        graph.communities(awards, moves=33)

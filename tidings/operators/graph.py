@@ -122,14 +122,19 @@ def split_adjacency(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     are looked up, by broadcast while they are few; the adjacency is never
     shuffled by its skewed key.  Both tables live in the shared folder.
     """
-    pairs = materialize(undirected(edges), "pairs")
-    deg = pairs.groupBy("a").agg(F.count("*").alias("deg"))
-    nodes = materialize(deg.select(F.col("a").alias("id"), "deg", F.ceil(F.col("deg") / HUB_EDGES).cast("int").alias("salts")), "nodes")
+    return split_pairs(materialize(undirected(edges), "pairs"))
+
+
+def split_pairs(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``split_adjacency`` of written (a, b) rows; with weights (w) nodes carry their sum as ``k``."""
+    sums = [F.sum("w").alias("k")] if "w" in pairs.columns else []
+    deg = pairs.groupBy("a").agg(F.count("*").alias("deg"), *sums)
+    nodes = materialize(deg.withColumn("salts", F.ceil(F.col("deg") / HUB_EDGES).cast("int")).withColumnRenamed("a", "id"), "nodes")
     hubs = nodes.where("salts > 1").select(F.col("id").alias("a"), "salts")
     if within(hubs, 0):
         return pairs.withColumn("salt", F.lit(0)), nodes
     slot = F.coalesce(F.pmod(F.xxhash64("b"), F.col("salts")), F.lit(0)).cast("int")
-    return materialize(pairs.join(small(hubs, BROADCAST_NODES), "a", "left").select("a", "b", slot.alias("salt")), "adjacency"), nodes
+    return materialize(pairs.join(small(hubs, BROADCAST_NODES), "a", "left").withColumn("salt", slot).drop("salts"), "adjacency"), nodes
 
 
 def _sliced(values: DataFrame) -> DataFrame:
@@ -178,6 +183,94 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+def _exact(n) -> Column:
+    """A whole number whose products with another stay exact."""
+    return (n if isinstance(n, Column) else F.lit(n)).cast("decimal(19,0)")
+
+
+def weighted_pairs(edges: DataFrame) -> DataFrame:
+    """(a, b, w) in both directions, without loops; w counts the relations between the two."""
+    pairs = edges.where("src <> dst").groupBy(F.least("src", "dst").alias("x"), F.greatest("src", "dst").alias("y")).agg(F.count("*").alias("w"))
+    return pairs.select(F.inline(F.array(F.struct(F.col("x").alias("a"), F.col("y").alias("b"), "w"),
+                                         F.struct(F.col("y").alias("a"), F.col("x").alias("b"), "w"))))
+
+
+def modularity(edges: DataFrame, labels: DataFrame) -> DataFrame:
+    """One row (groups, modularity) of a partition (id, label) of the nodes."""
+    pairs = materialize(weighted_pairs(edges), "pairs")
+    ends = (pairs.join(labels.withColumnRenamed("id", "a").withColumnRenamed("label", "la"), "a")
+            .groupBy("la", "b").agg(F.sum("w").alias("w")).join(labels.withColumnRenamed("id", "b").withColumnRenamed("label", "lb"), "b"))
+    groups = ends.groupBy("la").agg(F.sum("w").alias("total"), F.sum(F.when(F.col("la") == F.col("lb"), F.col("w")).otherwise(0)).alias("inner"))
+    whole = F.sum("total").cast("double")
+    squares = F.sum(_exact(F.col("total")) * _exact(F.col("total"))).cast("double")
+    return groups.agg(F.count("*").alias("groups"), (F.sum("inner") / whole - squares / (whole * whole)).alias("modularity"))
+
+
+def _settle(pairs: DataFrame, whole: int, moves: int) -> tuple[DataFrame, bool]:
+    """(id, label) after the best of ``moves`` rounds, and whether any round improved on single nodes.
+
+    In a round every node weighs the groups of its neighbours: the gain of a
+    group is whole * w - k * total, with w the weight towards it, k the
+    node's own sum and total the group's without it.  It wants the group of
+    greatest gain; ties stay, then go to the smaller label.  All nodes moving
+    at once would swap for ever, so each round moves the half whose hash has
+    a low hexadecimal digit at the place of the round.
+    """
+    adj, nodes = split_pairs(pairs)
+    labels = nodes.select("id", "salts", "k", F.col("id").alias("label"))
+    best, top, improved = labels, None, False
+    for turn in range(moves + 1):
+        totals = labels.groupBy("label").agg(F.sum("k").alias("total"))
+        flow = (adj.where("a <> b").join(_sliced(labels.select(F.col("id").alias("a"), "salts", "label")), ["a", "salt"])
+                .select(F.col("b").alias("id"), "label", "w"))
+        asked = flow.unionByName(labels.select("id", "label", F.lit(0).cast("long").alias("w"))).groupBy("id", "label").agg(F.sum("w").alias("w"))
+        own = F.col("label") == F.col("own")
+        rest = F.col("total") - F.when(own, F.col("k")).otherwise(0)
+        gain = _exact(whole) * _exact(F.col("w")) - _exact(F.col("k")) * _exact(rest)
+        wanted = (asked.join(totals, "label").join(labels.select("id", "k", F.col("label").alias("own")), "id")
+                  .groupBy("id").agg(F.min(F.struct((-gain).alias("loss"), (~own).alias("away"), "label")).alias("to"),
+                                     F.sum(F.when(own, F.col("w"))).alias("inner")))
+        step = materialize(labels.join(wanted, "id").select("id", "salts", "k", "label", F.col("to.label").alias("to"), "inner"), "moves")
+        sums = step.groupBy("label").agg(F.sum("k").alias("total"), F.sum("inner").alias("inner"), F.count(F.when(F.col("to") != F.col("label"), 1)).alias("moved"))
+        inner, restless, squares = sums.agg(F.sum("inner"), F.sum("moved"), F.sum(_exact(F.col("total")) * _exact(F.col("total")))).first()
+        quality = whole * inner - int(squares)
+        if top is None or quality > top:
+            best, top, improved = labels, quality, turn > 0
+        if turn == moves or not restless:
+            break
+        goes = F.substring(F.md5("id"), turn + 1, 1) < "8"
+        labels = step.select("id", "salts", "k", F.when(goes, F.col("to")).otherwise(F.col("label")).alias("label"))
+    return best.select("id", "label"), improved
+
+
+def communities(edges: DataFrame, moves: int = 6, levels: int = 3) -> DataFrame:
+    """(id, label): groups of dense ties inside components, labelled by their smallest member.
+
+    Rounds of moves by modularity gain, then every group becomes one node
+    with its inner weight as a loop, and the rounds start again.  Sums are
+    whole numbers, so the result is the same in any order of rows.  A level
+    keeps its best round; the first that improves nothing ends the job.
+    Adjacency is dealt over hub slices; adaptive execution broadcasts the
+    sums of groups when they turn out small; the driver sees one quality a round.
+    """
+    if not 0 < moves <= 32:
+        raise ValueError("a round reads one of 32 hash digits")
+    pairs = materialize(weighted_pairs(edges), "pairs")
+    whole = pairs.agg(F.sum("w")).first()[0]
+    member = pairs.select(F.col("a").alias("id"), F.col("a").alias("label")).limit(0)
+    for level in range(levels if whole else 0):
+        labels, improved = _settle(pairs, whole, moves)
+        up = small(labels.select(F.col("id").alias("label"), F.col("label").alias("up")), BROADCAST_NODES)
+        member = labels if level == 0 else materialize(member.join(up, "label").select("id", F.col("up").alias("label")), "members")
+        if not improved:
+            break
+        side = pairs.join(labels.select(F.col("id").alias("a"), F.col("label").alias("la")), "a").groupBy("la", "b").agg(F.sum("w").alias("w"))
+        pairs = materialize(side.join(labels.select(F.col("id").alias("b"), F.col("label").alias("lb")), "b")
+                            .groupBy(F.col("la").alias("a"), F.col("lb").alias("b")).agg(F.sum("w").alias("w")), "pairs")
+    names = member.groupBy("label").agg(F.min("id").alias("name"))
+    return member.join(names, "label").select("id", F.col("name").alias("label"))
+
+
 def _towards(frontier: DataFrame, nodes: DataFrame) -> DataFrame:
     """Frontier rows (id, ...) as (a, salt, ...): a hub's once per slice of its adjacency."""
     hubs = small(nodes.where("salts > 1").select("id", "salts"), BROADCAST_NODES)

@@ -15,6 +15,7 @@ from tidings.session import materialize
 from tidings.sources import tables
 
 _T = tables.table
+MOVES, LEVELS = 4, 2   # rounds of a level and levels of the communities query
 
 
 def _at(day):
@@ -128,6 +129,10 @@ def components_all(spark, sf):
     return graph.components(tables.edges(spark, sf)).groupBy("label").agg(F.count("*").alias("members"), F.max("id").alias("last"))
 
 
+def communities(spark, sf):
+    return graph.communities(tables.awards(spark, sf), moves=MOVES, levels=LEVELS)
+
+
 def shortest_path(spark, sf):
     """Richest customer of each nation to the richest supplier of the next."""
     c = _T(spark, sf, "customer").groupBy(F.col("c_nationkey").alias("n")).agg(F.max(F.struct("c_acctbal", "c_custkey")).alias("m"))
@@ -193,7 +198,7 @@ def index_graph_sync(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     graph_docs_upsert, graph_entities_upsert, graph_mentions, graph_relations_upsert, graph_update_stats, graph_constraint,
-    graph_route, partners, two_hop, centrality_degree, pagerank_5, components, components_all, shortest_path,
+    graph_route, partners, two_hop, centrality_degree, pagerank_5, components, components_all, communities, shortest_path,
     density_relevance, relation_strength, team_views, enriched_search_doc, document_lists, entity_resolution, entity_provenance, index_graph_sync)}
 
 _ADJ = """
@@ -211,6 +216,34 @@ def _pagerank(rounds=5):
     return ",\n".join(parts)
 
 
+def _communities(e, moves=MOVES, levels=LEVELS):
+    """The same rounds of moves and contraction as CTEs; member (id, label) at the end."""
+    parts = [f"""adj0 AS MATERIALIZED (WITH p AS (SELECT least(src, dst) AS x, greatest(src, dst) AS y, count(*) AS w FROM {e} WHERE src <> dst GROUP BY 1, 2)
+  SELECT x AS a, y AS b, w FROM p UNION ALL SELECT y, x, w FROM p)""", "whole AS MATERIALIZED (SELECT sum(w)::HUGEINT AS m FROM adj0)"]
+    for n in range(levels):
+        parts.append(f"g{n}_0 AS MATERIALIZED (SELECT a AS id, sum(w)::HUGEINT AS k, a AS label FROM adj{n} GROUP BY 1)")
+        for r in range(moves + 1):
+            g = f"g{n}_{r}"
+            parts.append(f"t{g} AS MATERIALIZED (SELECT label, sum(k)::HUGEINT AS total FROM {g} GROUP BY 1)")
+            parts.append(f"""c{g} AS MATERIALIZED (SELECT id, label, sum(w)::HUGEINT AS w FROM (SELECT a AS id, label, w FROM adj{n} JOIN {g} ON b = id WHERE a <> b
+  UNION ALL SELECT id, label, 0 FROM {g}) GROUP BY 1, 2)""")
+            parts.append(f"""q{g} AS MATERIALIZED (SELECT {r} AS r, m * (SELECT sum(w)::HUGEINT FROM c{g} JOIN {g} USING (id, label))
+  - (SELECT sum(total * total)::HUGEINT FROM t{g}) AS q FROM whole)""")
+            if r < moves:
+                parts.append(f"""g{n}_{r + 1} AS MATERIALIZED (SELECT id, any_value(k) AS k, CASE WHEN substring(md5(id), {r + 1}, 1) < '8'
+  THEN arg_min(to_label, (loss, to_label <> own, to_label)) ELSE any_value(own) END AS label
+  FROM (SELECT id, k, g.label AS own, c.label AS to_label, k * (total - CASE WHEN c.label = g.label THEN k ELSE 0 END) - m * w AS loss
+    FROM c{g} c JOIN {g} g USING (id) JOIN t{g} t ON t.label = c.label, whole) GROUP BY 1)""")
+        rounds = " UNION ALL ".join(f"SELECT * FROM qg{n}_{r}" for r in range(moves + 1))
+        every = " UNION ALL ".join(f"SELECT {r} AS r, id, label FROM g{n}_{r}" for r in range(moves + 1))
+        parts.append(f"b{n} AS MATERIALIZED (SELECT id, label FROM ({every}) WHERE r = (SELECT r FROM ({rounds}) ORDER BY q DESC, r LIMIT 1))")
+        parts.append(f"adj{n + 1} AS MATERIALIZED (SELECT x.label AS a, y.label AS b, sum(w) AS w FROM adj{n} JOIN b{n} x ON a = x.id JOIN b{n} y ON b = y.id GROUP BY 1, 2)")
+    chain = " ".join(f"JOIN b{n} ON b{n}.id = b{n - 1}.label" for n in range(1, levels))
+    parts.append(f"""ends AS (SELECT b0.id, b{levels - 1}.label AS last FROM b0 {chain}),
+member AS MATERIALIZED (SELECT id, min(id) OVER (PARTITION BY last) AS label FROM ends)""")
+    return ",\n".join(parts)
+
+
 def _labels(rounds):
     parts = ["l0 AS MATERIALIZED (SELECT DISTINCT a AS id, a AS label FROM und)"]
     for i in range(rounds):
@@ -281,6 +314,7 @@ UNION ALL SELECT seed, id, 2 FROM h2 WHERE NOT EXISTS (SELECT 1 FROM h1 WHERE h1
     "components": with_(EDGES, "strong AS MATERIALIZED (SELECT src, dst FROM awards GROUP BY 1, 2 HAVING count(*) >= 3)", _ADJ.format(e="strong"), """
 cc AS (SELECT DISTINCT a AS node, a AS label FROM und UNION SELECT und.b, cc.label FROM cc JOIN und ON cc.node = und.a WHERE cc.label < und.b)""", body="""
 SELECT node AS id, min(label) AS label FROM cc GROUP BY 1"""),
+    "communities": with_(EDGES, _communities("awards"), body="SELECT id, label FROM member"),
     "components_all": with_(EDGES, _ADJ.format(e="edges"), _labels(8), body="SELECT label, count(*) AS members, max(id) AS last FROM l8 GROUP BY 1"),
     "shortest_path": with_(EDGES, _ADJ.format(e="edges"), """
 cm AS (SELECT c_nationkey AS n, arg_max(c_custkey, (c_acctbal, c_custkey)) AS c FROM customer GROUP BY 1),
