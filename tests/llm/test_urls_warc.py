@@ -32,6 +32,19 @@ def test_stated_rules(spark):
     assert urls.judge(pages.limit(0), labels).count() == 0
 
 
+def test_no_stated_rules(spark):
+    pages, labels = tables(spark, [(1, "http://example.org/es/1", None, "?", "?")], [])
+    got = urls.judge(pages, labels, rules=()).first()
+    assert (got.rule, got.verdict) == (None, "allow")
+
+
+def test_index_holds_a_rule_once_under_its_rarest_token(spark):
+    rules = spark.createDataFrame([(1, ["a", "z"], 0.9), (2, ["b", "z"], 0.8), (3, ["z"], 0.6), (4, ["b", "c"], 0.7), (5, ["b", "c"], 0.7)],
+                                  "rule_id long, tokens array<string>, confidence double")
+    got = {r.rule_id: r.token for r in urls.index(rules).collect()}
+    assert got == {1: "a", 2: "b", 3: "z", 4: "c", 5: "c"}
+
+
 def mined(transactions, support, confidence):
     """Rules by trying all token sets, pruned by shorter ones of no less confidence."""
     n = len(transactions)

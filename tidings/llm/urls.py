@@ -2,8 +2,9 @@
 
 FP-growth finds token combinations that go with a bad label.  Rules below the
 support or confidence are pruned, as are rules that a shorter one covers at
-no less confidence.  An inverted index (token -> rules) matches them: a rule
-fires when as many of its tokens meet a url's as it has.
+no less confidence.  An inverted index matches them: each rule stands under
+the token that the fewest rules hold, and fires on a url with that token when
+the url has its others too.
 """
 
 from __future__ import annotations
@@ -35,14 +36,16 @@ def stated(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     """(rule, verdict) of the longest stated rule that fits, else nulls.
 
     A rule fits its host and every subdomain of it.  The list is a setting
-    (some hundred entries at most); equal lengths go by list order.
+    (some hundred entries at most, or none); equal lengths go by list order.
     """
-    rule = verdict = None
+    rule = verdict = F.lit(None).cast("string")
+    found = []
     for kind, text in sorted(rules, key=lambda r: -len(r[1])):
         name, slash, rest = text.partition("/")
         fits = ((host == name) | host.endswith("." + name)) & path.startswith(slash + rest)
-        rule = F.when(fits, text) if rule is None else rule.when(fits, text)
-        verdict = F.when(fits, kind) if verdict is None else verdict.when(fits, kind)
+        found.append((fits, text, kind))
+    for fits, text, kind in reversed(found):
+        rule, verdict = F.when(fits, text).otherwise(rule), F.when(fits, kind).otherwise(verdict)
     return rule, verdict
 
 
@@ -84,28 +87,38 @@ def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONF
 def prune(rules: DataFrame) -> DataFrame:
     """Without rules whose tokens hold those of another of no less confidence.
 
-    A covered rule is found through the same inverted index as a url: its
-    tokens fetch the rules they hold.
+    A covering rule is found like a url's: under its rarest token, which the
+    covered rule must hold, with the rest checked there.
     """
-    rules = rules.withColumn("rule_id", F.xxhash64(F.concat_ws("\0", "tokens")))
-    other = index(rules)
-    covered = (rules.select("rule_id", "confidence", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
-               .join(other.select(F.col("rule_id").alias("by"), "token", F.col("n").alias("by_n"), F.col("confidence").alias("by_c")), "token")
-               .where((F.col("by_n") < F.col("n")) & (F.col("by_c") >= F.col("confidence")))
-               .groupBy("rule_id", "by", "by_n").count().where(F.col("count") == F.col("by_n")).select("rule_id").distinct())
+    rules = materialize(rules.withColumn("rule_id", F.xxhash64(F.concat_ws("\0", "tokens"))), "mined")
+    other = index(rules).select("token", F.col("confidence").alias("by_c"), F.col("tokens").alias("by"))
+    covered = (rules.select("rule_id", "confidence", "tokens", F.explode("tokens").alias("token")).join(other, "token")
+               .where((F.size("by") < F.size("tokens")) & (F.col("by_c") >= F.col("confidence")) & holds("tokens", "by"))
+               .select("rule_id").distinct())
     return materialize(rules.join(covered, "rule_id", "left_anti").select("rule_id", "tokens", "confidence", "support"), "pruned")
 
 
+def holds(tokens: str, wanted: str) -> Column:
+    """Whether an array of distinct tokens has all of another."""
+    return F.size(F.array_intersect(tokens, wanted)) == F.size(wanted)
+
+
 def index(rules: DataFrame) -> DataFrame:
-    return rules.select("rule_id", F.size("tokens").alias("n"), "confidence", F.explode("tokens").alias("token"))
+    """One row per rule (token, rule_id, confidence, tokens): the token is the one that
+    the fewest rules hold, then the first by text, so that common ones bring few rules."""
+    held = rules.select("rule_id", F.explode("tokens").alias("token"))
+    counts = held.groupBy("token").agg(F.count("*").alias("rules"))
+    rarest = held.join(counts, "token").groupBy("rule_id").agg(F.min(F.struct("rules", "token")).alias("rare"))
+    return rules.join(rarest, "rule_id").select(F.col("rare.token").alias("token"), "rule_id", "confidence", "tokens")
 
 
 def fired(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """url, mined_rule, mined_confidence of the surest rule per distinct url
     that any rule fits; ties go to the smaller rule id."""
     postings = small(materialize(index(rules), "postings"), BROADCAST_RULES)
-    hits = (urls.select("url").where(F.col("url").isNotNull()).distinct().select("url", F.explode(tokens(F.col("url"))).alias("token"))
-            .join(postings, "token").groupBy("url", "rule_id", "n", "confidence").count().where(F.col("count") == F.col("n")))
+    asked = urls.select("url").where(F.col("url").isNotNull()).distinct().withColumn("have", tokens(F.col("url")))
+    hits = (asked.withColumn("token", F.explode("have")).join(postings, "token").where(holds("have", "tokens"))
+            .select("url", "rule_id", "confidence"))
     best = hits.groupBy("url").agg(F.max(F.struct("confidence", (-F.col("rule_id")).alias("id"))).alias("best"))
     return best.select("url", (-F.col("best.id")).alias("mined_rule"), F.col("best.confidence").alias("mined_confidence"))
 
