@@ -157,3 +157,33 @@ def test_hashed_vectors(spark):
 def test_bm25_plan_has_no_shuffle_by_term_of_the_corpus(spark):
     plan = search.bm25_scores(search.tokenised(corpus(spark)), queries(spark))._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "CartesianProduct" not in plan
+
+
+@pytest.mark.parametrize("block", [2048, 3])
+def test_groups_by_their_best_part(spark, monkeypatch, block):
+    monkeypatch.setattr(vector, "QUERY_BLOCK", block)
+    rng = np.random.default_rng(3)
+    # one group of very many parts that hold all the best scores, ties, a zero vector, rows without vector or group
+    parts = [(0, i, [1.0, 0.01 * (i % 5), 0.0]) for i in range(400)] + [(int(g), i, rng.integers(-2, 3, 3).astype(float).tolist()) for g in range(1, 40) for i in range(3)]
+    parts += [(50, 0, [0.0, 0.0, 0.0]), (51, 0, None), (None, 0, [1.0, 0.0, 0.0])]
+    asked = [(q, rng.integers(1, 4, 3).astype(float).tolist()) for q in range(8)] + [(3, [1.0, 0.0, 0.0])] * 4 + [(9, None)]
+    df = spark.createDataFrame(parts, "doc_num long, chunk_no int, embedding array<double>").repartition(5)
+    qs = spark.createDataFrame(asked, "query_id long, query_vector array<double>")
+    got = {}
+    for r in vector.exact_topk_groups(df, qs, 4, "chunk_no").collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.doc_num, r.chunk_no, round(r.score, 8)))
+    best = {}
+    for q, v in asked:
+        for g, p, x in parts:
+            if v is not None and x is not None and g is not None:
+                c = round(float(np.dot(v, x) / (np.linalg.norm(v) * (np.linalg.norm(x) or 1))), 9)
+                best[q, g] = min(best.get((q, g), (9, 0)), (-c, p))
+    want = {q: [(i + 1, g, p, round(-c, 8)) for i, ((c, p), g) in enumerate(
+        sorted(((b, g) for (o, g), b in best.items() if o == q), key=lambda e: (e[0][0], e[1]))[:4])] for q in range(8)}
+    assert {q: sorted(v) for q, v in got.items()} == want
+
+
+def test_no_query_gives_no_group(spark):
+    df = spark.createDataFrame([(1, 0, [1.0])], "doc_num long, chunk_no int, embedding array<double>")
+    out = vector.exact_topk_groups(df, spark.createDataFrame([(1, None)], "query_id long, query_vector array<double>"), 4, "chunk_no")
+    assert out.count() == 0 and out.columns == ["query_id", "doc_num", "chunk_no", "score", "rank"]

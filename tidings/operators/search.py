@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidings import vocab
 from tidings.functions import text, vectors
 from tidings.operators.ingest import union_all
-from tidings.operators.vector import DIGITS, exact_topk, rank_hits
+from tidings.operators.vector import DIGITS, exact_topk, exact_topk_groups, rank_hits
 from tidings.session import materialize, small, within
 
 BROADCAST_TERMS = 200_000   # query-term rows broadcast at most: some 20 MB
@@ -204,16 +204,9 @@ def chunk_search(articles: DataFrame, queries: DataFrame, k: int = 5, size: int
 def chunk_vector_search(articles: DataFrame, queries: DataFrame, k: int = 5, size: int = 300, embed=vectors.embed_tokens) -> DataFrame:
     """Vector search over chunks, rolled up to each document's best chunk.
 
-    Chunks are embedded once and written.  The k best documents are among the
-    k x (chunks of the longest document) best chunks, so that many are asked
-    for and none is missed.
+    Chunks are embedded once and written.  Each task keeps its k best
+    documents, so one very long document takes one place, not many.
     """
-    rows = chunked(articles, size)
-    most = (rows.agg(F.max("chunk_no")).first()[0] or 0) + 1
-    chunks = materialize(rows.select((F.col("doc_num") * most + F.col("chunk_no")).alias("chunk_id"), embed(F.col("tokens")).alias("embedding")), "chunks")
+    chunks = materialize(chunked(articles, size).select("doc_num", "chunk_no", embed(F.col("tokens")).alias("embedding")), "chunks")
     asked = materialize(queries.select("query_id", embed(text.tokens(F.col("query_text"))).alias("query_vector")), "asked")
-    hits = exact_topk(chunks, asked, k * most, id_col="chunk_id")
-    best = (hits.select("query_id", F.floor(F.col("doc_num") / most).alias("doc_num"), (F.col("doc_num") % most).alias("chunk_no"), "score")
-            .groupBy("query_id", "doc_num").agg(F.max(F.struct("score", (-F.col("chunk_no")).alias("neg"))).alias("b"))
-            .select("query_id", "doc_num", F.col("b.score").alias("score"), (-F.col("b.neg")).alias("chunk_no")))
-    return rank_hits(best, k)
+    return exact_topk_groups(chunks, asked, k, "chunk_no").select("query_id", "doc_num", "score", "chunk_no", "rank")

@@ -30,27 +30,47 @@ FLOOR = 0.9             # recall an index must reach
 GOAL = 0.95             # recall the probes are chosen for, so that other queries reach the floor
 
 
-def query_blocks(queries: DataFrame, vec: str) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Query vectors in blocks of at most ``QUERY_BLOCK``.
+def query_blocks(queries: DataFrame, vec: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Query vectors in blocks of at most ``QUERY_BLOCK``, one at the driver at a time.
 
     One bounded fetch serves the usual case.  A larger set is written to the
-    shared folder once and split by id hash into more blocks, each fetched
-    within the same bound, so no fetch grows with the query table.
+    shared folder once with a number per row and split by a hash of it, so
+    that repeated ids part too; a block that turns out too full is halved.
     """
     q = queries.where(F.col(vec).isNotNull()).select("query_id", F.col(vec).alias("v"))
     rows = q.limit(QUERY_BLOCK + 1).collect()
     if len(rows) <= QUERY_BLOCK:
-        return [_block(rows)] if rows else []
-    kept = materialize(q, "queries")
+        if rows:
+            yield _block(rows)
+        return
+    kept = materialize(q.withColumn("row", F.monotonically_increasing_id()), "queries")
     parts = -(-2 * kept.count() // QUERY_BLOCK)
-    out = []
-    for i in range(parts):
-        rows = kept.where(F.pmod(F.xxhash64("query_id"), F.lit(parts)) == i).limit(QUERY_BLOCK + 1).collect()
+    left = [(i, parts) for i in reversed(range(parts))]
+    while left:
+        i, of = left.pop()
+        rows = kept.where(F.pmod(F.xxhash64("row"), F.lit(of)) == i).select("query_id", "v").limit(QUERY_BLOCK + 1).collect()
         if len(rows) > QUERY_BLOCK:
-            raise ValueError("query ids repeat too often to be split into blocks")
-        if rows:
-            out.append(_block(rows))
-    return out
+            left += [(i + of, 2 * of), (i, 2 * of)]
+        elif rows:
+            yield _block(rows)
+
+
+def _by_block(blocks: Iterator, hits_of) -> DataFrame | None:
+    """Union of ``hits_of(ids, vectors)`` over the blocks, None without any.
+
+    A single block stays lazy.  Of several each is searched and its hits are
+    written before the next is fetched, so neither the driver nor a plan
+    holds more than one.
+    """
+    first = next(blocks, None)
+    if first is None:
+        return None
+    second = next(blocks, None)
+    if second is None:
+        return hits_of(*first)
+    done = [materialize(hits_of(*b), "hits") for b in (first, second)]
+    del first, second
+    return union_all(*done, *[materialize(hits_of(*b), "hits") for b in blocks])
 
 
 def _block(rows) -> tuple[np.ndarray, np.ndarray]:
@@ -130,11 +150,8 @@ def _search(corpus, queries, k, id_col, vec_col, query_vec, centroids=None, prob
     rows = corpus.where(F.col(vec_col).isNotNull()).select(F.col(id_col).alias("doc_num"), vec_col)
     schema = (f"query_id {queries.schema['query_id'].dataType.simpleString()}, "
               f"doc_num {corpus.schema[id_col].dataType.simpleString()}, score double")
-    blocks = query_blocks(queries, query_vec)
-    if not blocks:
-        return corpus.sparkSession.createDataFrame([], schema + ", rank int")
-    hits = union_all(*[rows.mapInArrow(_scorer(q, m, k, centroids, probes), schema) for q, m in blocks])
-    return rank_hits(hits, k)
+    hits = _by_block(query_blocks(queries, query_vec), lambda q, m: rows.mapInArrow(_scorer(q, m, k, centroids, probes), schema))
+    return corpus.sparkSession.createDataFrame([], schema + ", rank int") if hits is None else rank_hits(hits, k)
 
 
 def exact_topk(corpus: DataFrame, queries: DataFrame, k: int, id_col: str = "doc_num",
@@ -143,6 +160,59 @@ def exact_topk(corpus: DataFrame, queries: DataFrame, k: int, id_col: str = "doc
     return _search(corpus, queries, k, id_col, vec_col, query_vec)
 
 
+def _group_scorer(qids: np.ndarray, qmat: np.ndarray, k: int):
+    """Arrow-batch function: (group, part, vector) rows to this task's k best
+    groups per query, each with its best part; ties go to the smaller part, then group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            groups, parts = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            order = np.lexsort((parts, groups))
+            groups, parts = groups[order], parts[order]
+            s = np.round(_unit(_matrix(b.column(2)))[order] @ qmat.T, DIGITS)
+            starts = np.flatnonzero(np.r_[True, groups[1:] != groups[:-1]])
+            ends = np.r_[starts[1:], len(groups)]
+            tops = np.maximum.reduceat(s, starts, axis=0)
+            for j in range(len(qids)):
+                at, sc = _best(np.arange(len(starts)), tops[:, j], k)
+                first = np.array([starts[a] + np.argmax(s[starts[a]:ends[a], j]) for a in at])
+                g, p = groups[first], parts[first]
+                if j in best:
+                    g, p, sc = (np.concatenate(pair) for pair in zip(best[j], (g, p, sc), strict=True))
+                    once = np.lexsort((p, -sc, g))
+                    once = once[np.r_[True, g[once][1:] != g[once][:-1]]]
+                    g, p, sc = g[once], p[once], sc[once]
+                    order = np.lexsort((g, -sc))[:k]
+                    g, p, sc = g[order], p[order], sc[order]
+                best[j] = (g, p, sc)
+        for j, (g, p, sc) in best.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(qids[j], len(g))), pa.array(g), pa.array(p), pa.array(sc)],
+                                             names=["query_id", "doc_num", "part", "score"])
+
+    return run
+
+
+def exact_topk_groups(corpus: DataFrame, queries: DataFrame, k: int, part: str, group: str = "doc_num",
+                      vec_col: str = "embedding", query_vec: str = "query_vector") -> DataFrame:
+    """Cosine top-k of groups by their best part: query_id, group, part, score, rank.
+
+    A task keeps k groups per query however many parts a group has.  Rows
+    without group, part or vector are left out.
+    """
+    rows = corpus.where(F.col(vec_col).isNotNull() & F.col(group).isNotNull() & F.col(part).isNotNull()).select(
+        F.col(group).alias("doc_num"), F.col(part).alias("part"), vec_col)
+    kind = {n: t.simpleString() for n, t in ((f.name, f.dataType) for f in rows.schema)}
+    schema = (f"query_id {queries.schema['query_id'].dataType.simpleString()}, doc_num {kind['doc_num']}, part {kind['part']}, score double")
+    hits = _by_block(query_blocks(queries, query_vec), lambda q, m: rows.mapInArrow(_group_scorer(q, m, k), schema))
+    if hits is None:
+        hits = corpus.sparkSession.createDataFrame([], schema)
+    best = hits.groupBy("query_id", "doc_num").agg(F.max("score").alias("score"), F.min(F.struct((-F.col("score")).alias("loss"), "part")).alias("b"))
+    return rank_hits(best.select("query_id", F.col("doc_num").alias(group), F.col("b.part").alias(part), "score"), k, doc=group)
+
+
 def fit_cells(corpus: DataFrame, cells: int, vec_col: str = "embedding", seed: int = 7) -> np.ndarray:
     """Cell centres from a distributed k-means over at most some FIT_ROWS of the corpus vectors, chosen by hash."""
     rows = corpus.where(F.col(vec_col).isNotNull())
@@ -219,11 +289,12 @@ def search_index(index: CellIndex, queries: DataFrame, k: int, probes: int | Non
     n = min(probes or index.probes, len(index.centroids))
     schema = (f"query_id {queries.schema['query_id'].dataType.simpleString()}, "
               f"doc_num {index.rows.schema['doc_num'].dataType.simpleString()}, score double")
-    hits = [index.read(np.unique(_nearest_cells(m, index.centroids, n))).select("doc_num", "v", "cell")
-            .mapInArrow(_scorer(q, m, k, index.centroids, n), schema) for q, m in query_blocks(queries, query_vec)]
-    if not hits:
-        return index.rows.sparkSession.createDataFrame([], schema + ", rank int")
-    return rank_hits(union_all(*hits), k)
+    def hits_of(q, m):
+        cells = index.read(np.unique(_nearest_cells(m, index.centroids, n)))
+        return cells.select("doc_num", "v", "cell").mapInArrow(_scorer(q, m, k, index.centroids, n), schema)
+
+    hits = _by_block(query_blocks(queries, query_vec), hits_of)
+    return index.rows.sparkSession.createDataFrame([], schema + ", rank int") if hits is None else rank_hits(hits, k)
 
 
 def approx_topk(corpus: DataFrame, queries: DataFrame, k: int, cells: int | None = None, probes: int | None = None,
