@@ -107,3 +107,14 @@ def test_consolidate_fills_missing_parts(spark):
     out = {r.doc_num: r for r in nlp.consolidate(docs, ents, cor, rel).collect()}
     assert out[1].entities == ["a"] and out[1].relations == [] and out[2].coreferences == []
     assert out[1].processing_metadata.nlp_pipeline_version == "1.0"
+
+
+def test_service_counters(spark):
+    scored = spark.createDataFrame([(0.7,), (0.71,), (0.2,), (None,)], "confidence double")
+    texts = spark.createDataFrame([("The radar failed. It was old, its mast bent.",), ("",), (None,), ("alone",)], "text string")
+    texts = texts.select(nlp.pronoun_clusters("text").alias("clusters"))
+    got = {(r.service, r.counter): r.value for r in nlp.service_counters(scored, texts, scored).collect()}
+    assert got == {("ner", "total_entities"): 4, ("ner", "high_confidence_entities"): 1, ("coreference", "clusters_found"): 2,
+                   ("coreference", "total_mentions"): 4, ("relations", "total_relations_found"): 4, ("relations", "high_quality_relations"): 2}
+    none = nlp.service_counters(scored.limit(0), texts.limit(0), scored.limit(0)).collect()
+    assert len(none) == 6 and all(r.value == 0 for r in none)

@@ -272,6 +272,24 @@ def enrichment_summary(documents: DataFrame, enriched: DataFrame) -> DataFrame:
     return both.withColumn("avg_entities", F.round(F.coalesce(F.try_divide("entities", "enriched"), F.lit(0.0)), 6))
 
 
+def service_counters(entities: DataFrame, texts: DataFrame, rel: DataFrame) -> DataFrame:
+    """(service, counter, value): what each service found and what it kept.
+
+    ``entities`` and ``rel`` have a confidence, kept when above their
+    threshold; ``texts`` has clusters.  Each table is read once; empty
+    tables count 0.
+    """
+    def sums(service, df, **counters):
+        row = df.agg(*[F.coalesce(c, F.lit(0)).cast("long").alias(n) for n, c in counters.items()])
+        return row.select(F.lit(service).alias("service"), F.explode(F.create_map(
+            *[x for n in counters for x in (F.lit(n), F.col(n))])).alias("counter", "value"))
+    spans_of = F.aggregate("clusters", F.lit(0), lambda n, c: n + F.size(c))
+    return union_all(
+        sums("ner", entities, total_entities=F.count("*"), high_confidence_entities=F.count_if(F.col("confidence") > vocab.ENTITY_CONFIDENCE_MIN)),
+        sums("coreference", texts.where(F.col("clusters").isNotNull()), clusters_found=F.sum(F.size("clusters")), total_mentions=F.sum(spans_of)),
+        sums("relations", rel, total_relations_found=F.count("*"), high_quality_relations=F.count_if(F.col("confidence") > vocab.RELATION_CONFIDENCE_MIN)))
+
+
 def entity_texts(nodes: DataFrame, *order: Column) -> DataFrame:
     """First text per entity: ``id - type [- description]``."""
     line = F.concat_ws(" - ", "id", "type", F.col("properties")["description"])

@@ -49,6 +49,16 @@ def nlp_summary(spark, sf):
     return nlp.enrichment_summary(tables.table(spark, sf, "documents"), g)
 
 
+def nlp_counters(spark, sf):
+    """Found and kept by service: confidence grows with how often a text names an entity or ties two."""
+    occ, found = _occurrences(spark, sf)
+    def sure(df, n, half):
+        return df.withColumn("confidence", F.col(n) / (F.col(n) + F.lit(half)))
+    docs = tables.spread(tables.table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    return nlp.service_counters(sure(found, "tf", 0.5), docs.select(nlp.pronoun_clusters("text").alias("clusters")),
+                                sure(nlp.adjacent_relations(occ), "n", 1.0))
+
+
 def vocab_filter(spark, sf):
     occ, _ = _occurrences(spark, sf)
     rel = nlp.adjacent_relations(occ).select("type").unionByName(tables.edges(spark, sf).select("type"))
@@ -168,7 +178,7 @@ def node_embeddings(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    ner_gazetteer, entities_by_type, graph_extract, nlp_summary, vocab_filter, relation_rules, coref_rewrite,
+    ner_gazetteer, entities_by_type, graph_extract, nlp_summary, nlp_counters, vocab_filter, relation_rules, coref_rewrite,
     consolidate_nlp, entity_texts, node_embeddings, relations_resolved, ner_aliases, ner_spans, run_models)}
 
 OCCURRENCES = """
@@ -233,6 +243,14 @@ FROM ns LEFT JOIN rs USING (doc_num)"""),
 SELECT (SELECT count(*) FROM documents) AS documents, (SELECT count(DISTINCT doc_num) FROM mentions) AS enriched,
        (SELECT count(*) FROM mentions) AS entities, (SELECT count(*) FROM adj) AS relationships,
        round((SELECT count(*) FROM mentions) / (SELECT count(DISTINCT doc_num) FROM mentions), 6) AS avg_entities"""),
+    "nlp_counters": with_(TOKENS, GAZETTEER, OCCURRENCES, _PIECES, f"""
+said AS (SELECT count(*) AS n FROM words JOIN main USING (doc_id) WHERE lower(piece) IN ({_PRONOUNS}) AND pos <> main_pos)""", body="""
+SELECT 'ner' AS service, 'total_entities' AS counter, count(*) AS value FROM mentions
+UNION ALL SELECT 'ner', 'high_confidence_entities', count(*) FILTER (tf / (tf + 0.5::DOUBLE) > 0.7) FROM mentions
+UNION ALL SELECT 'coreference', 'clusters_found', count(*) FROM main
+UNION ALL SELECT 'coreference', 'total_mentions', (SELECT n FROM said) + count(*) FROM main
+UNION ALL SELECT 'relations', 'total_relations_found', count(*) FROM adj
+UNION ALL SELECT 'relations', 'high_quality_relations', count(*) FILTER (n / (n + 1.0::DOUBLE) > 0.5) FROM adj"""),
     "vocab_filter": with_(TOKENS, GAZETTEER, OCCURRENCES, EDGES, "u AS (SELECT type FROM adj UNION ALL SELECT type FROM edges)", body=f"""
 SELECT type, count(*) AS "all", count(*) FILTER (type IN ({_ALLOWED})) AS strict FROM u GROUP BY 1"""),
     "relation_rules": with_(_BRIEFS, _rules("briefs", "id"), body="""
