@@ -64,3 +64,10 @@ def test_occurrences_of_typed_aliases(spark, bound):
     assert rows(occ) == [("d1", 0, "new york", "e1", "Agency"), ("d1", 2, "in", "e3", "Technology"), ("d1", 3, "york", "e2", "Company"), ("d1", 5, "new york", "e1", "Agency"),
                          ("d3", 0, "in", "e3", "Technology"), ("d3", 1, "in", "e3", "Technology")]
     assert rows(nlp.mentions(occ)) == [("d1", "e1", "new york", "Agency", 2), ("d1", "e2", "york", "Company", 1), ("d1", "e3", "in", "Technology", 1), ("d3", "e3", "in", "Technology", 2)]
+
+
+def test_texts_with_one_id_or_none_stay_apart_with_many_names(spark):
+    docs = spark.createDataFrame([(1, "new york x york"), (1, "new york city"), (1, "new york x york"), (None, "x new"), (None, "york"), (1 << 60, "york " * 3)], "doc_num long, content string")
+    gaz = spark.createDataFrame([("new york", "e1", "Agency"), ("york", "e2", "Company"), ("york city", "e4", "Company")], "alias string, entity_id string, type string")
+    want = [(1, 0, "new york"), (1, 0, "new york"), (1, 0, "new york"), (1, 3, "york"), (1, 3, "york"), (None, 0, "york"), *[(1 << 60, i, "york") for i in range(3)]]
+    assert rows(spans.occurrences(docs, gaz, 0).select("doc_num", "pos", "alias")) == sorted(want, key=str)
