@@ -204,6 +204,17 @@ def test_document_network_small(spark):
     assert (got[2].partners, got[2].connections, got[2].centrality, got[2].relationship_density) == (1, 0, 3, 0.0)
 
 
+def test_lists_and_networks_are_the_same_by_marks_and_by_joins(spark):
+    rng = random.Random(8)
+    m = spark.createDataFrame([(d, f"n{rng.randint(0, 30)}") for d in (1, 2, 3, 4, None) for _ in range(12)] + [(7, "unknown"), (8, None)], "doc_num long, alias string")
+    kinds = ["PARTNERS_WITH", "COMPETES_WITH", "USES", "SUPPLIES", "EMPLOYS", "LIKES"]
+    e = spark.createDataFrame([(f"n{rng.randint(0, 30)}", f"n{rng.randint(0, 30)}", rng.choice(kinds)) for _ in range(80)], E)
+    for operator in (graph.document_lists, graph.document_network):
+        for edges in (e, e.limit(0)):
+            assert rows(operator(m, edges)) == rows(operator(m, edges, 0))
+    assert graph.document_network(m, e).where("connections > 0 and supply > 1").count() and graph.document_lists(m, e).count() > 30
+
+
 def test_vocabulary_filter(spark):
     rel = spark.createDataFrame([("USES",), ("LIKES",)], "type string")
     assert nlp.allowed_relations(rel).count() == 1 and nlp.allowed_relations(rel, strict=False).count() == 2
