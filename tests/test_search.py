@@ -1,4 +1,5 @@
 import math
+import random
 
 import numpy as np
 import pytest
@@ -187,3 +188,15 @@ def test_no_query_gives_no_group(spark):
     df = spark.createDataFrame([(1, 0, [1.0])], "doc_num long, chunk_no int, embedding array<double>")
     out = vector.exact_topk_groups(df, spark.createDataFrame([(1, None)], "query_id long, query_vector array<double>"), 4, "chunk_no")
     assert out.count() == 0 and out.columns == ["query_id", "doc_num", "chunk_no", "score", "rank"]
+
+
+def test_vectors_many_rows_share_are_searched_once(spark):
+    rng = random.Random(6)
+    docs = [(f"d{i:03}", [f"w{rng.randint(0, 3)}" for _ in range(rng.randint(0, 3))]) for i in range(200)]
+    corpus = spark.createDataFrame(docs, "edge_id string, tokens array<string>")
+    asked = corpus.where("edge_id like '%7'").select(F.col("edge_id").alias("query_id"), "tokens")
+    got = vector.exact_topk_alike(corpus, asked, 5, vectors.embed_tokens, id_col="edge_id")
+    want = vector.exact_topk(corpus.select("edge_id", vectors.embed_tokens(F.col("tokens")).alias("embedding")),
+                             asked.select("query_id", vectors.embed_tokens(F.col("tokens")).alias("query_vector")), 5, id_col="edge_id")
+    assert rows(got.select(want.columns)) == rows(want) and got.count() == 100
+    assert vector.exact_topk_alike(corpus, asked.limit(0), 5, vectors.embed_tokens, id_col="edge_id").count() == 0
