@@ -60,3 +60,19 @@ def test_repeated_and_null_ids(spark):
     same = [(1, " ".join(a)), (1, " ".join(a)), (None, " ".join(a)), (None, " ".join(b)), (None, " ".join(b))]
     assert sorted(str(r.doc_id) for r in simhash.keep_first(frame(spark, same)).collect()) == ["1", "None"]
     assert nearcopies.keep_one(frame(spark, [])).count() == 0
+
+
+def test_trie_links_share_a_bucket(spark):
+    fps = {1: 0, 2: 3, 3: 15, 4: 255 << 30, 5: 255 << 30, 6: -1, 7: 0}      # 1, 2 and 3 differ by two bits in turn; 7 has no words
+    got = {r.node: r.bucket for r in nearcopies.trie_buckets(spark.createDataFrame([(i, 0 if i == 7 else 9, fp) for i, fp in fps.items()], "node long, n long, fp long")).collect()}
+    assert sorted(got) == [1, 2, 3, 4, 5, 6] and len(set(got.values())) == 3
+    assert got[1] == got[2] == got[3] and got[4] == got[5]
+
+
+def test_fingerprints_of_edited_texts_meet_in_the_trie(spark):
+    w = vocabulary(1200)
+    rows = [(1, " ".join(w[:1100])), (2, " ".join(w[:1100] + ["x"])), (3, " ".join(w[900:]))]
+    coded = next(nearcopies._signed([frame(spark, rows).selectExpr("doc_id AS _row", "doc_id", "text").toPandas()]))
+    texts = spark.createDataFrame([(int(r.doc_id), int(r.n), int(r.fp)) for r in coded.itertuples()], "node long, n long, fp long")
+    buckets = {r.node: r.bucket for r in nearcopies.trie_buckets(texts).collect()}
+    assert buckets[1] == buckets[2] != buckets[3]
