@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from tidings.operators import nlp, spans
@@ -43,6 +44,36 @@ def test_spans(spark, bound):
     assert rows(got) == want and len({r[4] for r in want}) > 3
 
 
+@pytest.mark.parametrize("bound,lengths", [(10**6, 0), (10**6, 16), (20, 16), (3, 16), (0, 16)])
+def test_many_names_few_of_them_present(spark, monkeypatch, bound, lengths):
+    """Names held by tasks, names among the texts held by tasks, and joins; words beyond 16 bits and of late Unicode."""
+    monkeypatch.setattr(spans, "LENGTHS", lengths)
+    rng = random.Random(5)
+    words = ["a", "B", "c", "\U00010400x", "\u1c8a", "\u0558", "東", "_", "é", "½"]
+    docs = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 40)))) for i in range(60)] + [(7, "a b c b c a"), (None, "c a b"), (61, None)]
+    names = [("p", "a b"), ("q", "b c a"), ("r", "\U00010428x"), ("s", "東 é"), ("u", "½ a"), ("v", "a"), ("w", "½ a c"), *[(f"x{i}", f"never {i}") for i in range(30)]]
+    frame = spark.createDataFrame(docs, "doc_num long, content string"), spark.createDataFrame(names, "entity_id string, name string")
+    keys = {tuple(n.lower().split()) for _, n in names}
+    want = []
+    for d, t in docs:
+        found, at = spans.regex.findall(r"[\p{L}\p{N}]+", (t or "").lower()), 0
+        while at < len(found):
+            n = max((n for n in (1, 2, 3) if tuple(found[at:at + n]) in keys and at + n <= len(found)), default=0)
+            want += [(d, " ".join(found[at:at + n]), at)] if n else []
+            at += n or 1
+    got = spans.name_spans(*frame, bound)
+    assert rows(got.select("doc_num", F.lower("name"), "first")) == sorted(want, key=str) and len({w[1] for w in want}) > 3
+    gaz = frame[1].select(F.lower("name").alias("alias"), "entity_id", F.lit("Company").alias("type"))
+    assert rows(spans.occurrences(frame[0], gaz, bound).select("doc_num", "alias", "pos")) == sorted(want, key=str)
+
+
+def test_names_among_the_texts_are_looked_up_without_a_shuffle(spark):
+    docs = spark.createDataFrame([(1, "new york x york"), (2, "york city")], "doc_num long, content string")
+    gaz = spark.createDataFrame([("york", "e", "Agency"), *[(f"never {i}", "e", "Agency") for i in range(20)]], "alias string, entity_id string, type string")
+    occ = spans.occurrences(docs, gaz, 5)
+    assert "Exchange hashpartitioning" not in occ._jdf.queryExecution().executedPlan().toString() and occ.count() == 3
+
+
 def test_no_names_or_texts(spark):
     docs = spark.createDataFrame([(1, "new york")], "doc_num long, content string")
     names = spark.createDataFrame([("n", "york")], "entity_id string, name string")
