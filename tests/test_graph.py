@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tidings.operators import graph, nlp, quality, temporal
+from tidings.session import materialize
 
 E = "src string, dst string, type string"
 
@@ -63,6 +64,14 @@ def adjacency(edges):
     return adj
 
 
+def group(adj, start):
+    seen, todo = {start}, [start]
+    for x in todo:
+        todo += adj[x] - seen
+        seen |= adj[x]
+    return seen
+
+
 @pytest.mark.parametrize("hub", [100_000, 2])
 def test_components_and_pagerank_against_brute_force(spark, monkeypatch, hub):
     """hub=2 deals every node of degree above two over several slices."""
@@ -87,6 +96,50 @@ def test_components_and_pagerank_against_brute_force(spark, monkeypatch, hub):
     assert got.keys() == rank.keys() and all(abs(got[x] - rank[x]) < 1e-12 for x in rank)
 
 
+@pytest.mark.parametrize("pairs, bound, hub", [(2, 3, 2), (5, 500_000, 100_000), (8_000_000, 0, 100_000)])
+def test_blocks_of_any_size_and_few_hubs(spark, monkeypatch, pairs, bound, hub):
+    """Pairs lie once, in several blocks, at the end of fewer relations; repeated edges, loops and nulls change nothing."""
+    monkeypatch.setattr(graph, "HUB_EDGES", hub)
+    edges = random_edges(seed=3, nodes=50, n=45) + [("n1", f"m{i}", "T") for i in range(20)]
+    edges += edges[:30] + [("n1", "n1", "T"), ("n1", None, "T"), (None, "x", "T")] + [(b, a, t) for a, b, t in edges[10:40]]
+    adj = adjacency([e for e in edges if None not in e])
+    df = spark.createDataFrame(edges, E).repartition(3)
+    label = {x: min(group(adj, x)) for x in adj}
+    monkeypatch.setattr(graph, "BLOCK_PAIRS", pairs)
+    monkeypatch.setattr(graph, "BROADCAST_NODES", bound)
+    assert rows(graph.components(df)) == sorted(label.items(), key=str)
+    rank = {x: 1 / len(adj) for x in adj}
+    for _ in range(2):
+        rank = {x: 0.15 / len(adj) + 0.85 * sum(rank[y] / len(adj[y]) for y in adj[x]) for x in adj}
+    got = {r.id: (r.deg, r["rank"]) for r in graph.pagerank(df, 2).collect()}
+    assert got.keys() == rank.keys() and all(got[x][0] == len(adj[x]) and abs(got[x][1] - rank[x]) < 1e-12 for x in rank)
+    _, dealt, blocks = graph._owned(df)
+    most, held = -(-len(edges) // pairs), {}
+    for own, other, part in dealt.select("own", "other", F.spark_partition_id()).distinct().collect():
+        assert held.setdefault(own, part) == part
+    assert blocks <= most and len(set(held.values())) > (pairs < 6)
+    assert dealt.distinct().count() == sum(map(len, adj.values())) // 2 and len(held) < len(adj)
+
+
+def test_codes_that_clash_lead_to_another_seed(spark, monkeypatch):
+    monkeypatch.setattr(graph, "_code", lambda c, seed: F.length(c).cast("long") if seed < 2 else F.xxhash64(F.lit(seed), c))
+    df = spark.createDataFrame([("a", "b", "T"), ("c", "d", "T")], E)
+    assert rows(graph.components(df)) == [("a", "a"), ("b", "a"), ("c", "c"), ("d", "c")]
+
+
+def test_rounds_shuffle_no_texts_and_no_pair_twice(spark, monkeypatch):
+    """A round of ranks joins two rows per node and block at most, not one per neighbour."""
+    written = {}
+    def noted(df, name):
+        out = materialize(df, name)
+        written.setdefault(name, []).append((out.count(), dict(out.dtypes)))
+        return out
+    monkeypatch.setattr(graph, "materialize", noted)
+    edges = [(f"c{i}", f"s{j}", "T") for i in range(60) for j in range(i % 7, 30, 3)]
+    assert graph.pagerank(spark.createDataFrame(edges, E), 2).count() == 90
+    assert all(n <= 180 and "string" not in kinds.values() for name in ("blocks", "seats", "ranks") for n, kinds in written[name])
+
+
 def test_components_on_a_long_chain(spark):
     chain = [(f"n{i:03d}", f"n{i + 1:03d}", "T") for i in range(120)]
     out = graph.components(spark.createDataFrame(chain, E), max_rounds=25)
