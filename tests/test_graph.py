@@ -138,6 +138,8 @@ def test_rounds_shuffle_no_texts_and_no_pair_twice(spark, monkeypatch):
     edges = [(f"c{i}", f"s{j}", "T") for i in range(60) for j in range(i % 7, 30, 3)]
     assert graph.pagerank(spark.createDataFrame(edges, E), 2).count() == 90
     assert all(n <= 180 and "string" not in kinds.values() for name in ("blocks", "seats", "ranks") for n, kinds in written[name])
+    assert graph.components(spark.createDataFrame(edges, E)).select("label").distinct().count() == 3
+    assert all(n <= 90 for n, _ in written["stars"])
 
 
 def test_components_on_a_long_chain(spark):

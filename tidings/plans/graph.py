@@ -122,7 +122,7 @@ def pagerank_5(spark, sf):
 def components(spark, sf):
     """Groups of companies tied by at least three interactions."""
     strong = graph.strength(tables.awards(spark, sf)).where("interactions >= 3")
-    return graph.components(strong)
+    return graph.components(materialize(strong, "strong"))   # read several times
 
 
 def components_all(spark, sf):
