@@ -142,6 +142,15 @@ def test_rounds_shuffle_no_texts_and_no_pair_twice(spark, monkeypatch):
     assert all(n <= 90 for n, _ in written["stars"])
 
 
+def test_team_views_count_relations_once(spark):
+    """The three views read written counts; none joins orders or orders entities by itself."""
+    from tidings.plans import catalogue
+    views = catalogue.queries()["team_views"](spark, "/root/testdata/sf0.001")
+    plan = views._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan
+    assert {r.team for r in views.collect()} == {"technology", "market", "full"}
+
+
 def test_components_on_a_long_chain(spark):
     chain = [(f"n{i:03d}", f"n{i + 1:03d}", "T") for i in range(120)]
     out = graph.components(spark.createDataFrame(chain, E), max_rounds=25)

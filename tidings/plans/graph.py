@@ -154,7 +154,8 @@ def relation_strength(spark, sf):
 def team_views(spark, sf):
     _, occ, _ = common.found(spark, sf)
     adj = nlp.adjacent_relations(occ)
-    all_edges = adj.select("type").unionByName(tables.edges(spark, sf).select("type")).groupBy("type").agg(F.count("*").alias("n"))
+    kinds = adj.select("type").unionByName(tables.edges(spark, sf).select("type"))
+    all_edges = materialize(kinds.groupBy("type").agg(F.count("*").alias("n")), "types")   # counted once for all views
     views = [graph.team_view(all_edges, t).groupBy(F.lit(t).alias("team"), "type").agg(F.sum("n").alias("n")) for t in vocab.TEAM_RELATIONS]
     return views[0].unionByName(views[1]).unionByName(views[2])
 
