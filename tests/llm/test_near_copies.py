@@ -2,6 +2,9 @@
 
 from itertools import combinations
 
+import numpy as np
+import pandas as pd
+
 from tests.llm.helpers import corpus, frame, vocabulary
 from tidings.llm import nearcopies, simhash
 
@@ -76,3 +79,32 @@ def test_fingerprints_of_edited_texts_meet_in_the_trie(spark):
     texts = spark.createDataFrame([(int(r.doc_id), int(r.n), int(r.fp)) for r in coded.itertuples()], "node long, n long, fp long")
     buckets = {r.node: r.bucket for r in nearcopies.trie_buckets(texts).collect()}
     assert buckets[1] == buckets[2] != buckets[3]
+
+
+def test_every_pair_of_a_bucket_is_counted():
+    rng = np.random.default_rng(5)
+    base = rng.choice(10_000, 200, replace=False)
+    own = [np.unique(np.concatenate([base[:200 - k], 20_000 + 300 * k + np.arange(k)])) for k in range(0, 60, 3)] + [np.arange(50_000 + 9 * i, 50_180 + 9 * i) for i in range(30)]
+    n = [len(x) for x in own]
+    # no two nodes show equal minima: the exact count alone decides
+    pdf = pd.DataFrame({"bucket": 1, "node": range(len(own)), "n": n, "side": 0, "label": range(len(own)), "own": own, "sig": [rng.bytes(80) for _ in own]})
+    got = nearcopies._linked(pdf)
+    near = [(i, j) for i, j in combinations(range(len(own)), 2) if 5 * (c := len(np.intersect1d(own[i], own[j]))) >= 4 * (n[i] + n[j] - c)]
+
+    def parts(pairs):
+        label = list(range(len(own)))
+        for i, j in pairs:
+            label = [label[i] if x == label[j] else x for x in label]
+        return [[i for i, x in enumerate(label) if x == y] for y in sorted(set(label))]
+    assert near and sorted(parts(near)) == sorted(parts(zip(got["u"], got["v"], strict=True)))
+
+
+def test_parts_of_a_large_bucket_all_meet(spark, monkeypatch):
+    monkeypatch.setattr(nearcopies, "CROWD", 8)
+    asked = spark.createDataFrame([(b, 100 * b + i, 9) for b, size in ((1, 30), (2, 5)) for i in range(size)], "bucket long, node long, n long")
+    dealt = nearcopies._parted(asked).toPandas()
+    met = [tuple(sorted(p)) for _, g in dealt.groupby("bucket") for p in combinations(zip(g["node"], g["side"], strict=True), 2)
+           if g["side"].nunique() == 1 or p[0][1] != p[1][1]]
+    met = sorted((a[0], b[0]) for a, b in met)
+    assert met == sorted(p for b, size in ((1, 30), (2, 5)) for p in combinations(range(100 * b, 100 * b + size), 2))
+    assert dealt.groupby("bucket").size().max() < 30

@@ -45,6 +45,14 @@ def test_held_out_labels_are_not_learnt(spark):
     assert [i for i, _ in a] == [i for i, _ in b] and np.allclose([s for _, s in a], [s for _, s in b])
 
 
+def test_all_labelled_rows_are_learnt_from(spark, monkeypatch):
+    monkeypatch.setattr(quality, "fit", lambda rows: rows.count())
+    ids = spark.range(600_000).withColumnRenamed("id", "doc_id")
+    labels = ids.withColumn("quality", F.lit(1))
+    learnt = quality.learn(ids.withColumn("stats", F.array(F.lit(0.0))), labels)
+    assert learnt == ids.where(quality.remainder(F.col("doc_id"), 4) != 2).count() > 400_000
+
+
 def test_nothing_to_learn_from(spark):
     docs, none = frame(spark, corpus(10)), spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {(r.score, r.predicted) for r in quality.classify(docs, none).collect()} == {(0.5, 0)}

@@ -25,7 +25,6 @@ WIDTH = 4.0                # Gaussian kernel width, in standard deviations
 RIDGE = 1e-3               # times the number of rows
 BINS = 1024                # of the ridge score, for calibration
 PARTS = 32                 # tasks that sum normal equations
-TRAIN_ROWS = 400_000       # labelled rows used at most, those of the smallest hash
 THRESHOLD = 0.7
 BROADCAST_IDS = 2_000_000   # labelled ids broadcast at most; beyond it the join shuffles
 SEED = 11
@@ -166,18 +165,15 @@ def remainder(doc_id, by: int):
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % by
 
 
-def learn(stats: DataFrame, labels: DataFrame, held=(2,), calibrate=(3,), rows: int = TRAIN_ROWS) -> Model | None:
-    """Model from the labelled rows outside the held remainders of crc32(doc_id) mod 4.
+def learn(stats: DataFrame, labels: DataFrame, held=(2,), calibrate=(3,)) -> Model | None:
+    """Model from all labelled rows outside the held remainders of crc32(doc_id) mod 4.
 
     A null quality is no label; several labels of a document count once, the
-    larger.  At most ``rows`` rows are used (a random choice by hash).
+    larger.
     """
     known = labels.where(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("label"))
     r = remainder(F.col("doc_id"), 4)
     mine = stats.where(~r.isin(*held)).join(known.where(~r.isin(*held)), "doc_id")
-    share = rows / max(1, mine.count())
-    if share < 1:
-        mine = mine.where(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 30)) < int(share * (1 << 30)))
     return fit(materialize(mine.select("stats", F.col("label").cast("int").alias("label"), r.isin(*calibrate).alias("calibrate")), "labelled"))
 
 
