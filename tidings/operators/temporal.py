@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidings.session import materialize
+from tidings.session import materialize, within
+
+KEY_ROWS = 10_000     # rows of one key that a task takes as they are; beyond it a key is spread over calendar periods
+KEY_CODES = 1 << 18   # codes under which the rows of keys are counted
 
 # Evidence bands: lowest and highest confidence by kind of source
 CONFIDENCE_BANDS = (("filing", 0.9, 1.0), ("market", 0.7, 0.9), ("news", 0.3, 0.8), ("inferred", 0.2, 0.6))
@@ -31,12 +36,27 @@ def next_in_group(df: DataFrame, keys: list[str], order: Sequence[str], values:
     return out.select(*df.columns, *[F.col(f"_n.{v}").alias(f"next_{v}") for v in values])
 
 
+def crowded(df: DataFrame, keys: list[str]) -> bool:
+    """Whether a key may have more than ``KEY_ROWS`` rows.  Keys that share a
+    code are counted together, so no such key is missed and what is shuffled is bounded."""
+    code = F.pmod(F.xxhash64(*keys), F.lit(KEY_CODES)).cast("int")
+    return not within(df.groupBy(code.alias("code")).agg(F.count("*").alias("n")).where(F.col("n") > KEY_ROWS), 0)
+
+
 def lifecycle(facts: DataFrame, keys: list[str]) -> DataFrame:
     """A new fact ends the one before it; the last one is open (null end).
 
     ``facts`` holds the keys, ``object`` and ``start``; repeats of the same
-    fact at the same time count once.
+    fact at the same time count once.  Without a crowded key one shuffle by
+    the keys serves both steps.  A fact without a start is not ended, one without
+    a whole key only within its month.
     """
+    if not crowded(facts, keys):
+        once = facts.select(*keys, "object", "start").repartition(*keys).distinct()
+        after = F.lead("start").over(Window.partitionBy(*keys).orderBy("start", "object"))
+        whole = reduce(and_, [F.col(k).isNotNull() for k in keys])
+        reach = F.col("start").isNotNull() & (whole | (F.date_trunc("month", after) == F.date_trunc("month", "start")))
+        return once.withColumn("end", F.when(reach, after))
     once = facts.select(*keys, "object", "start").distinct()
     return next_in_group(once, keys, ["start", "object"], ["start"], F.date_trunc("month", "start")).withColumnRenamed("next_start", "end")
 
@@ -61,11 +81,16 @@ def as_of_join(intervals: DataFrame, asked: DataFrame, keys: list[str], at: str
     """Rows of ``asked`` with every fact of the same keys that holds at their date.
 
     ``asked`` is a table of any size with the keys and a date.  Both sides meet
-    on the keys and the calendar period of the date: an interval is one row for
-    each period it covers between the first and the last date asked, so a pair
-    meets once, and a subject with very many facts is dealt over its periods.
-    Null dates and dates before a first fact have no row.
+    on the keys.  With a crowded subject they meet on the keys and the calendar
+    period of the date: an interval is one row for each period it covers between
+    the first and the last date asked, so a pair meets once, and a subject with
+    very many facts is dealt over its periods.  Null dates and dates before a
+    first fact have no row.
     """
+    intervals = materialize(intervals, "intervals")
+    holds = (F.col("start") <= F.col(at)) & (F.col("end").isNull() | (F.col(at) < F.col("end")))
+    if keys and not crowded(intervals, keys):
+        return asked.join(intervals, keys).where(holds)
     asked = materialize(asked, "asked")
     low, high = asked.agg(F.min(at), F.max(at)).first()
     if low is None:
@@ -75,7 +100,7 @@ def as_of_join(intervals: DataFrame, asked: DataFrame, keys: list[str], at: str
     covered = F.sequence(F.date_trunc(period, F.greatest("start", from_)), F.date_trunc(period, F.least(open_, to)), F.expr(f"INTERVAL 1 {period}"))
     dealt = intervals.where((F.col("start") <= to) & (open_ >= from_)).withColumn("_period", F.explode(covered))
     met = asked.withColumn("_period", F.date_trunc(period, at)).join(dealt, [*keys, "_period"]).drop("_period")
-    return met.where((F.col("start") <= F.col(at)) & (F.col("end").isNull() | (F.col(at) < F.col("end"))))
+    return met.where(holds)
 
 
 def trend(edges: DataFrame, period: str = "month") -> DataFrame:
