@@ -220,3 +220,16 @@ def test_router_matches_anywhere_and_literally(spark):
     a = spark.createDataFrame([("the militarys plan",), ("xdarpax",), ("a.b",), ("aXb",)], "content string")
     assert [r.matched for r in clean.route(a).collect()] == [True, True, False, False]
     assert [r.matched for r in clean.route(a, ("a.b",)).collect()] == [False, False, True, False]
+
+
+def test_envelopes_are_filled_where_rows_are_read(spark):
+    from tidings.plans import io
+    df = spark.range(950).selectExpr("CAST(id % 7 AS STRING) AS topic", "nullif(id % 3, 0) AS page", "named_struct('id', id, 'text', repeat('x', CAST(id % 5 AS INT))) AS items").coalesce(2)
+    got = io.enveloped(df)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    pages = got.collect()
+    assert all(0 < len(r.items) <= io.PAGE for r in pages)
+    assert sorted((r.topic, str(r.page), i.id, i.text) for r in pages for i in r.items) == sorted((r.topic, str(r.page), r["items"].id, r["items"].text) for r in df.collect())
+    one = spark.range(250).selectExpr("id % 1 AS k", "named_struct('id', id) AS items").coalesce(1)
+    assert sorted(len(r["items"]) for r in io.enveloped(one).collect()) == [50, 100, 100]
+    assert io.enveloped(one.limit(0)).count() == 0

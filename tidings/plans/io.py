@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from tidings import schemas, vocab
 from tidings.functions import text
@@ -19,13 +22,36 @@ PAGE = 100
 ARRAY_PAGE = 4000
 
 
+def _cut(batches):
+    """Envelopes of a task: the items (last column) of equal keys, PAGE at most, with the keys of the first."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        *keys, items = b.columns
+        own = pa.Table.from_arrays(keys, names=b.schema.names[:-1]).to_pandas().groupby(b.schema.names[:-1], dropna=False, sort=False).ngroup().to_numpy()
+        order = np.argsort(own, kind="stable")
+        size = np.bincount(own)
+        place = np.arange(len(own)) - np.repeat(np.cumsum(size) - size, size)
+        starts = np.flatnonzero(place % PAGE == 0)
+        first = pa.array(order[starts])
+        lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(own)).astype(np.int32)), items.take(pa.array(order)))
+        yield pa.RecordBatch.from_arrays([*[k.take(first) for k in keys], lists], names=b.schema.names)
+
+
+def enveloped(rows):
+    """Rows of keys and one item column (the last) as envelopes of at most PAGE
+    items of equal keys.  They are filled where the rows are read: no text is
+    shuffled, and a page read by several tasks is several envelopes."""
+    *keys, items = rows.schema.fields
+    return rows.mapInArrow(_cut, StructType([*keys]).add(items.name, ArrayType(items.dataType)))
+
+
 def land_topics(spark, sf, root):
     """Topic responses of at most 100 items per envelope."""
     items = tables.raw_items(spark, sf)
-    pages = items.groupBy("topic_key", "topic_name", F.floor(F.col("doc_num") / PAGE).alias("page")).agg(
-        F.collect_list("raw_article").alias("results"), F.max("fetched_at").alias("fetched_at"))
+    pages = enveloped(items.select("fetched_at", "topic_name", "topic_key", F.col("raw_article").alias("results")))
     pages.select(F.struct(F.size("results").cast("bigint").alias("totalResults"), "results").alias("articles"),
-                 "fetched_at", "topic_name", "topic_key").write.json(root)
+                 "fetched_at", "topic_name", "topic_key").write.options(**files.PACKED).json(root)
 
 
 def _title(html):
@@ -46,7 +72,8 @@ def land_agency(spark, sf, root):
     item = F.struct(F.col("doc_num").cast("string").alias("id"), "title", F.col("content").alias("body"), F.col("description").alias("excerpt"),
                     F.col("link").alias("url"), F.date_format("published_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("date"),
                     F.when(F.col("doc_num") % 2 == 0, "solicitation").alias("type"), "categories")
-    a.groupBy(F.floor(F.col("doc_num") / PAGE).alias("page")).agg(F.collect_list(item).alias("items")).select("items").write.json(root)
+    pages = enveloped(a.select(F.floor(F.col("doc_num") / PAGE).alias("page"), item.alias("items")))
+    pages.select("items").write.options(**files.PACKED).json(root)
 
 
 def land_queries(spark, sf, root):
@@ -58,10 +85,10 @@ def land_queries(spark, sf, root):
     item = F.struct(F.struct(F.col("source").alias("id"), F.col("source").alias("name")).alias("source"), F.lit(None).cast("string").alias("author"),
                     "title", "description", F.col("link").alias("url"), F.col("image").alias("urlToImage"),
                     F.date_format("published_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("publishedAt"), "content")
-    pages = found.groupBy("query", F.floor(F.col("doc_num") / PAGE).alias("page")).agg(F.collect_list(item).alias("articles"))
-    lines = pages.select(F.to_json(F.struct("query", "articles")).alias("value"))
-    broken = pages.select(F.concat(F.lit('{"query": "'), "query", F.lit('", "articles": [')).alias("value"))
-    lines.unionByName(broken).write.text(root)
+    page = F.floor(F.col("doc_num") / PAGE).alias("page")
+    lines = enveloped(found.select("query", page, item.alias("articles"))).select(F.to_json(F.struct("query", "articles")).alias("value"))
+    broken = found.select("query", page).distinct().select(F.concat(F.lit('{"query": "'), "query", F.lit('", "articles": [')).alias("value"))
+    lines.unionByName(broken).write.options(**files.PACKED).text(root)
 
 
 LANDERS = {"topics": land_topics, "defense_news": land_feed, "darpa": land_agency, "newsapi": land_queries}
