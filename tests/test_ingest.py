@@ -233,3 +233,26 @@ def test_envelopes_are_filled_where_rows_are_read(spark):
     one = spark.range(250).selectExpr("id % 1 AS k", "named_struct('id', id) AS items").coalesce(1)
     assert sorted(len(r["items"]) for r in io.enveloped(one).collect()) == [50, 100, 100]
     assert io.enveloped(one.limit(0)).count() == 0
+
+
+def test_latest_rows_shuffle_no_column_that_is_not_asked(spark, tmp_path):
+    root = str(tmp_path / "index")
+    for batch, title in enumerate(("old", "new")):
+        files.write_batch(spark.createDataFrame([(i, title, "x" * 50) for i in range(9 - 5 * batch)], "doc_id long, title string, content string"), root, batch)
+    latest = files.read_latest(spark, root, "doc_id", columns=["title"])
+    assert rows(latest) == [(i, "new" if i < 4 else "old") for i in range(9)]
+    assert rows(latest) == rows(files.read_latest(spark, root, "doc_id").select("doc_id", "title"))
+
+
+def test_streams_read_packed_and_plain_enriched_files(spark, tmp_path):
+    from tidings.streaming import flows
+    one = '{"doc_id": "%s", "metadata": {"id": "%s"}}'
+    (tmp_path / "w-0").mkdir()
+    (tmp_path / "w-0" / "part-0.json").write_text(one % ("a", "a"))
+    spark.createDataFrame([(one % ("b", "b"),)], "value string").coalesce(1).write.options(**files.PACKED).mode("append").text(str(tmp_path / "w-1"))
+    assert [p.name for p in (tmp_path / "w-1").glob("part-*.gz")]
+    for f in (tmp_path / "w-1").glob("part-*.txt.gz"):
+        (tmp_path / "w-1" / "part-1.json.gz").write_bytes(f.read_bytes())
+    got, chk = str(tmp_path / "got"), str(tmp_path / "chk")
+    flows.run_available(flows.enriched_stream(spark, str(tmp_path)), lambda df, k: df.select("doc_id").write.mode("append").parquet(got), chk)
+    assert rows(spark.read.parquet(got)) == [("a",), ("b",)]

@@ -160,8 +160,8 @@ def sinks_roundtrip(spark, sf):
     files.combine_successful(spark, log, p["articles"], p["combined"])
     _, occ, found = common.found(spark, sf)
     adj = nlp.adjacent_relations(occ)
-    enriched = materialize(nlp.enrich(a, found, adj), "enriched")
-    files.vector_objects(enriched).write.parquet(p["objects"])
+    enriched = materialize(nlp.enrich(a, found, adj), "enriched", **files.DENSE)
+    files.vector_objects(enriched).write.options(**files.DENSE).parquet(p["objects"])
     files.write_enriched(enriched, p["enriched"])
     objects = spark.read.parquet(p["objects"])
     emb = a.join(objects.select(F.col("document_id").alias("doc_id"), "embedding"), "doc_id")
@@ -170,7 +170,7 @@ def sinks_roundtrip(spark, sf):
     files.write_topic_exports(ingest.export_rows(tables.raw_items(spark, sf)), p["exports"])
     for run, day in (("1", "2024-01-01"), ("2", "2024-01-02"), ("2", "2024-01-02")):   # the second run is retried
         files.write_summary(ingest.run_summary(log), p["runs"], run, day)
-    latest = files.read_latest(spark, p["index"], "doc_id")
+    latest = files.read_latest(spark, p["index"], "doc_id", columns=["title"])
     def rows(name, df, *content):
         return df.agg(F.lit(name).alias("sink"), F.count("*").alias("n"), common.digest(*content))
     text_of = ("doc_id", "title", "content")
