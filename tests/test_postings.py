@@ -45,3 +45,16 @@ def test_empty_index_and_queries(spark, tmp_path):
     postings.add(spark.createDataFrame([(1, "a b")], "doc_num long, content string"), root, "b")
     assert postings.topk(spark, root, asked.limit(0), 5).count() == 0
     assert [r.doc_num for r in postings.topk(spark, root, asked, 5).collect()] == [1]
+
+
+def test_postings_are_written_without_a_shuffle_and_meet_candidates_by_document(spark, tmp_path):
+    from tidings.operators.postings import POSTINGS
+    root = str(tmp_path / "index")
+    table = spark.createDataFrame(_texts(200, 3), "doc_num long, content string").repartition(4, "doc_num")
+    postings.add(table, root, "a")
+    parts = spark.read.schema(POSTINGS).parquet(f"{root}/postings/batch=a").selectExpr("doc_num", "_metadata.file_path AS at").distinct()
+    assert parts.count() == 200 and parts.select("at").distinct().count() > 1     # a document's terms lie in one segment
+    asked = spark.createDataFrame(_texts(20, 4), "query_id long, query_text string")
+    plan = postings.topk(spark, root, asked, 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan
+    assert rows(postings.topk(spark, root, asked, 5).select("query_id", "doc_num", "score", "rank")) == rows(search.keyword_leg(table, asked, 5))

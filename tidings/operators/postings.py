@@ -1,8 +1,9 @@
 """Stored postings: keyword search without reading the corpus again.
 
 An index is a folder with one delta per batch of documents and three tables in
-each: ``postings`` (term, doc_num, tf, dl) in ranges of terms, so that the
-statistics of a file tell which terms it holds; ``terms`` (term, df, most,
+each: ``postings`` (term, doc_num, tf, dl), a segment per task that read texts,
+sorted by term, so that the statistics of its parts tell which terms they hold
+and what a document gains is summed where its segment is read; ``terms`` (term, df, most,
 shortest), whose frequencies add up over deltas; and ``corpus`` (docs,
 tokens), one row.  A batch written again replaces its own delta and nothing
 else.  A document belongs to one batch.
@@ -29,17 +30,19 @@ CORPUS = "docs long, tokens long"
 def add(docs: DataFrame, root: str, batch: str) -> None:
     """Index ``docs`` (doc_num, content) as the delta ``batch`` below ``root``.
 
-    Each text is tokenised once.  Postings are written in ranges of (term,
-    document), so a word of most documents is spread over tasks.  A text that
-    is null or empty counts as a document without tokens.
+    Each text is tokenised once and its postings are written where it was read,
+    without a shuffle; the other tables are made from them.  A text that is null
+    or empty counts as a document without tokens.
     """
+    spark, at = docs.sparkSession, f"{root}/postings/batch={batch}"
     tokens = docs.select("doc_num", F.coalesce(text.tokens(F.col("content")), F.array().cast("array<string>")).alias("tokens"))
-    counted = materialize(tokens.select("doc_num", F.size("tokens").cast("double").alias("dl"), F.explode_outer(search.term_counts(F.col("tokens"))).alias("t")), "counted")
+    counted = tokens.select("doc_num", F.size("tokens").cast("double").alias("dl"), F.explode_outer(search.term_counts(F.col("tokens"))).alias("t"))
     rows = counted.where("t IS NOT NULL").select("t.term", "doc_num", "t.tf", "dl")
-    rows.repartitionByRange("term", "doc_num").sortWithinPartitions("term", "doc_num").write.mode("overwrite").parquet(f"{root}/postings/batch={batch}")
-    rows.groupBy("term").agg(F.count("*").alias("df"), F.max("tf").alias("most"), F.min("dl").alias("shortest")).write.mode("overwrite").parquet(f"{root}/terms/batch={batch}")
-    length = F.coalesce(F.sum(F.coalesce("t.tf", F.lit(0))), F.lit(0)).cast("bigint")
-    counted.agg(F.count_distinct("doc_num").alias("docs"), length.alias("tokens")).write.mode("overwrite").parquet(f"{root}/corpus/batch={batch}")
+    rows.sortWithinPartitions("term", "doc_num").write.mode("overwrite").option("compression", "zstd").parquet(at)
+    kept = spark.read.schema(POSTINGS).parquet(at)
+    kept.groupBy("term").agg(F.count("*").alias("df"), F.max("tf").alias("most"), F.min("dl").alias("shortest")).write.mode("overwrite").parquet(f"{root}/terms/batch={batch}")
+    length = kept.agg(F.coalesce(F.sum("tf"), F.lit(0)).cast("bigint").alias("tokens"))
+    docs.agg(F.count_distinct("doc_num").alias("docs")).crossJoin(length).write.mode("overwrite").parquet(f"{root}/corpus/batch={batch}")
 
 
 def _read(spark: SparkSession, root: str, table: str, schema: str) -> DataFrame:
@@ -97,13 +100,15 @@ def candidates(spark: SparkSession, root: str, queries: DataFrame, k: int = 5) -
 def topk(spark: SparkSession, root: str, queries: DataFrame, k: int = 5) -> DataFrame:
     """BM25 hits as ``search.keyword_leg`` finds them, from the stored postings.
 
-    The terms that bring no document in are added for the candidates alone, by
-    a join on (term, document) that no frequent term can make hot.
+    The terms that bring no document in are added for the candidates alone:
+    their postings and the candidates meet once, by document, which holds a
+    term once, and are summed there.
     """
     found, left, avgdl = candidates(spark, root, queries, k)
-    terms = small(materialize(left.select("query_id", "term", "idf"), "left"), search.BROADCAST_TERMS)
-    asked = found.select("query_id", "doc_num").join(terms, "query_id")
-    added = asked.join(_read(spark, root, "postings", POSTINGS), ["term", "doc_num"]).select(
-        "query_id", "doc_num", (F.col("idf") * _gain(F.col("tf"), F.col("dl"), avgdl)).alias("part"))
-    whole = found.unionByName(added).groupBy("query_id", "doc_num").agg(F.round(F.sum("part"), DIGITS).alias("score"))
+    terms = materialize(left.select("query_id", "term", "idf"), "left")
+    wanted = small(materialize(terms.select("term").distinct(), "wanted"), search.BROADCAST_TERMS)
+    rest = _read(spark, root, "postings", POSTINGS).join(wanted, "term", "left_semi")
+    met = found.join(rest, "doc_num", "left").join(small(terms, search.BROADCAST_TERMS), ["query_id", "term"], "left")
+    added = F.sum(F.col("idf") * _gain(F.col("tf"), F.col("dl"), avgdl))
+    whole = met.groupBy("query_id", "doc_num").agg(F.round(F.max("part") + F.coalesce(added, F.lit(0.0)), DIGITS).alias("score"))
     return rank_hits(whole, k)
